@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming source, window, watermark or state: every
+input is a file or a one-shot download.  Nothing is built here; landed
+long facts are scanned in batch (see :mod:`regpanel.sources.readers`).
+"""
