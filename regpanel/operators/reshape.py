@@ -103,12 +103,13 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     body = (c.join(F.broadcast(last_row), "sheet")
              .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
     regions = (body.where(F.col("col_idx") == 1)
-                   .select("sheet", "row_idx", F.coalesce(F.col("value"), F.lit(region_label)).alias("region")))
+                   .select("sheet", "row_idx", F.col("value").alias("region")))
     vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value")
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
 
     meta = (F.broadcast(nb.join(n_groups, "sheet").join(measure, "sheet")))
-    out = (vals.join(regions, ["sheet", "row_idx"])
+    out = (vals.join(regions, ["sheet", "row_idx"], "left")
+               .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
                .join(meta, "sheet")
                .join(F.broadcast(bands), ["sheet", "col_idx"])
                .withColumn("group", (F.pmod(F.floor((F.col("col_idx") - fc) / F.col("__nb")),
@@ -120,49 +121,49 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
 def panel_to_cells(long_panel: DataFrame, sheet_col: str, measure_title_col: str,
                    year_col: str, sector_col: str, region_col: str, band_col: str,
                    value_col: str, first_value_col: int = 3) -> DataFrame:
-    """Lay a long panel out as crosstab cells (the inverse of
+    """Lay a long panel out as sparse crosstab cells (the inverse of
     :func:`crosstab_normalise`), used to build fixtures from real tables.
 
-    Columns: blocks of (year, sector) in sorted order, bands in sorted order
-    inside each block; rows: regions in sorted order from row 6; a source note
-    in the last row.  Band/year/sector/region ordinals come from dense ranks
-    over the distinct labels of each sheet (bounded dimension lists)."""
+    Only non-blank cells are stored, as a sheet reader emits them.  Columns:
+    blocks of (year, sector) in sorted order, bands in sorted order inside
+    each block; rows: regions in sorted order from row 6; a source note in
+    the last row.  Ordinals are dense ranks over the distinct labels of each
+    sheet (dimension lists, not data), joined back to the value cells."""
+    fc = first_value_col
     p = long_panel.select(F.col(sheet_col).alias("sheet"), F.col(measure_title_col).alias("__title"),
                           F.col(year_col).cast("string").alias("__y"),
                           F.col(sector_col).alias("__s"), F.col(region_col).alias("__r"),
                           F.col(band_col).alias("__b"), F.col(value_col).cast("string").alias("__v"))
-    dims = {}
-    for k in ("__b", "__r"):
-        d = p.select("sheet", k).distinct()
-        dims[k] = d.withColumn(k + "_i", F.dense_rank().over(Window.partitionBy("sheet").orderBy(k)))
-    ys = p.select("sheet", "__y", "__s").distinct()
-    ys = ys.withColumn("__g", F.dense_rank().over(Window.partitionBy("sheet").orderBy("__y", "__s")))
-    nb = dims["__b"].groupBy("sheet").agg(F.max("__b_i").alias("__nb"))
-    ys = ys.join(nb, "sheet")
-    # full grid of (block, band) so every column exists even without data
-    grid = ys.join(dims["__b"], "sheet").withColumn(
-        "col_idx", (F.lit(first_value_col) + (F.col("__g") - 1) * F.col("__nb") + F.col("__b_i") - 1).cast("int"))
-    first_of_block = F.col("__b_i") == 1
-    year_cells = grid.select("sheet", F.lit(3).alias("row_idx"), "col_idx",
-                             F.when(first_of_block & (F.col("__s") == F.first("__s").over(
-                                 Window.partitionBy("sheet", "__y").orderBy("__s"))), F.col("__y")).alias("value"))
-    sector_cells = grid.select("sheet", F.lit(4).alias("row_idx"), "col_idx",
-                               F.when(first_of_block, F.col("__s")).alias("value"))
-    band_cells = grid.select("sheet", F.lit(5).alias("row_idx"), "col_idx", F.col("__b").alias("value"))
-    regions = dims["__r"].select("sheet", (F.col("__r_i") + 5).cast("int").alias("row_idx"), "__r")
-    region_cells = regions.select("sheet", "row_idx", F.lit(1).alias("col_idx"), F.col("__r").alias("value"))
-    filler_cells = regions.select("sheet", "row_idx", F.lit(2).alias("col_idx"), F.lit("-").alias("value"))
-    # one value cell per (region row, column); missing panel cells stay NULL
-    body = (grid.join(regions, "sheet")
-                .join(p.select("sheet", "__y", "__s", "__r", "__b", "__v"),
-                      ["sheet", "__y", "__s", "__r", "__b"], "left")
-                .select("sheet", "row_idx", "col_idx", F.col("__v").alias("value")))
-    titles = p.groupBy("sheet").agg(F.first("__title").alias("value"))
-    title_cells = titles.select("sheet", F.lit(1).alias("row_idx"), F.lit(1).alias("col_idx"), "value")
-    n_reg = dims["__r"].groupBy("sheet").agg(F.max("__r_i").alias("__nr"))
-    note_cells = n_reg.select("sheet", (F.col("__nr") + 6).cast("int").alias("row_idx"),
-                              F.lit(1).alias("col_idx"), F.lit("Fonte: generated").alias("value"))
-    parts = [title_cells, year_cells, sector_cells, band_cells, region_cells, filler_cells, body, note_cells]
+    bands = p.select("sheet", "__b").distinct().withColumn(
+        "__b_i", F.dense_rank().over(Window.partitionBy("sheet").orderBy("__b")))
+    regions = p.select("sheet", "__r").distinct().withColumn(
+        "__r_i", F.dense_rank().over(Window.partitionBy("sheet").orderBy("__r")))
+    nb = bands.groupBy("sheet").agg(F.max("__b_i").alias("__nb"))
+    blocks = (p.select("sheet", "__y", "__s").distinct()
+               .withColumn("__g", F.dense_rank().over(Window.partitionBy("sheet").orderBy("__y", "__s")))
+               .withColumn("__first_in_year",
+                           F.row_number().over(Window.partitionBy("sheet", "__y").orderBy("__s")) == 1)
+               .join(nb, "sheet")
+               .withColumn("__c0", (F.lit(fc) + (F.col("__g") - 1) * F.col("__nb")).cast("int")))
+    vals = (p.join(blocks, ["sheet", "__y", "__s"]).join(bands, ["sheet", "__b"])
+             .join(regions, ["sheet", "__r"])
+             .select("sheet", (F.col("__r_i") + 5).cast("int").alias("row_idx"),
+                     (F.col("__c0") + F.col("__b_i") - 1).cast("int").alias("col_idx"),
+                     F.col("__v").alias("value"), "__b"))
+    value_cells = vals.select("sheet", "row_idx", "col_idx", "value")
+    band_cells = vals.select("sheet", F.lit(5).alias("row_idx"), "col_idx", F.col("__b").alias("value")).distinct()
+    year_cells = blocks.where("__first_in_year").select("sheet", F.lit(3).alias("row_idx"),
+                                                       F.col("__c0").alias("col_idx"), F.col("__y").alias("value"))
+    sector_cells = blocks.select("sheet", F.lit(4).alias("row_idx"), F.col("__c0").alias("col_idx"),
+                                 F.col("__s").alias("value"))
+    region_cells = regions.select("sheet", (F.col("__r_i") + 5).cast("int").alias("row_idx"),
+                                  F.lit(1).alias("col_idx"), F.col("__r").alias("value"))
+    title_cells = p.groupBy("sheet").agg(F.min("__title").alias("value")).select(
+        "sheet", F.lit(1).alias("row_idx"), F.lit(1).alias("col_idx"), "value")
+    note_cells = regions.groupBy("sheet").agg(F.max("__r_i").alias("__nr")).select(
+        "sheet", (F.col("__nr") + 6).cast("int").alias("row_idx"), F.lit(1).alias("col_idx"),
+        F.lit("Fonte: tabela gerada").alias("value"))
+    parts = [title_cells, year_cells, sector_cells, band_cells, region_cells, value_cells, note_cells]
     out = parts[0]
     for q in parts[1:]:
         out = out.unionByName(q)
