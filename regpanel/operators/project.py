@@ -65,3 +65,42 @@ def coalesce_pair(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
     """Resolve a join-suffix pair (or two spellings of a measure): left wins."""
     return df.withColumn(name, F.coalesce(F.col(left), F.col(right))).drop(
         *[c for c in (left, right) if c != name])
+
+
+_LOGICAL = ["T", "F", "TRUE", "FALSE", "true", "false", "True", "False"]
+
+
+def parse_guess(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """readr parse_guess per text column: the narrowest of logical, double,
+    date, timestamp, text that fits every non-missing value.  One aggregate
+    job decides all columns; the casts are then applied in one projection."""
+    from regpanel.functions.exprs import NUMERIC_TEXT
+    cols = cols or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    checks = []
+    for c in cols:
+        s = F.trim(F.col(c))
+        n = F.count(s)
+        checks += [(F.count_if(s.isin(_LOGICAL)) == n).alias(f"{c}__l"),
+                   (F.count_if(s.rlike(NUMERIC_TEXT)) == n).alias(f"{c}__d"),
+                   (F.count_if(s.rlike(r"^\d{4}-\d{2}-\d{2}$") & s.try_cast("date").isNotNull()) == n).alias(f"{c}__t"),
+                   (F.count_if(s.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$")
+                               & s.try_cast("timestamp").isNotNull()) == n).alias(f"{c}__ts")]
+    r = df.agg(*checks).first()
+    out = []
+    for c in cols:
+        s = F.trim(F.col(c))
+        if r[f"{c}__l"]:
+            e = F.upper(F.substring(s, 1, 1)) == "T"
+            e = F.when(s.isNull(), F.lit(None).cast("boolean")).otherwise(e)
+        elif r[f"{c}__d"]:
+            e = s.try_cast("double")
+        elif r[f"{c}__t"]:
+            e = s.try_cast("date")
+        elif r[f"{c}__ts"]:
+            e = s.try_cast("timestamp")
+        else:
+            e = F.col(c)
+        out.append(e.alias(c))
+    keep = set(cols)
+    return df.select(*[next(o for o, c2 in zip(out, cols) if c2 == c) if c in keep else F.col(c)
+                       for c in df.columns])
