@@ -1,6 +1,6 @@
 """Imports every catalogue module so the registry is complete."""
 
-from regpanel.plans import catalog_joins, catalog_shape, catalog_stats, catalog_text  # noqa: F401
+from regpanel.plans import catalog_io, catalog_joins, catalog_shape, catalog_stats, catalog_text  # noqa: F401
 from regpanel.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

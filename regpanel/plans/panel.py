@@ -8,7 +8,7 @@ data, as in the real panels):
 * pedidos          orders
 * pessoal_ocupado  fulfilled orders, NULL when none
 * valor_total      order value (cents-exact: summed as decimal)
-* salario_medio    mean order value, NULL for cells with fewer than 3 orders
+* salario_medio    mean order value (exact cents / count), NULL below 3 orders
 
 orders ⨝ customer is a shuffle join on the customer key (both sides grow
 with the data); nation is broadcast after a bounded row check.
@@ -34,13 +34,14 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     cnt = F.count(F.lit(1))
+    cents = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
     return j.groupBy(F.year("o_orderdate").alias("anio"), F.col("n_name").alias("region"),
                      F.col("c_mktsegment").alias("tramo"), F.col("o_orderpriority").alias("sector")).agg(
         F.count_distinct("o_custkey").cast("double").alias("numero_empresas"),
         cnt.cast("double").alias("pedidos"),
         F.nullif(F.count_if(F.col("o_orderstatus") == "F"), F.lit(0)).cast("double").alias("pessoal_ocupado"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("valor_total"),
-        F.when(cnt >= 3, F.avg("o_totalprice")).alias("salario_medio"))
+        cents.alias("valor_total"),
+        F.when(cnt >= 3, cents / cnt.cast("double")).alias("salario_medio"))
 
 
 PANEL_SQL = """panel AS (
@@ -50,7 +51,8 @@ PANEL_SQL = """panel AS (
          CAST(count(*) AS DOUBLE) AS pedidos,
          CAST(nullif(count(*) FILTER (WHERE o.o_orderstatus = 'F'), 0) AS DOUBLE) AS pessoal_ocupado,
          CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS valor_total,
-         CASE WHEN count(*) >= 3 THEN avg(o.o_totalprice) END AS salario_medio
+         CASE WHEN count(*) >= 3 THEN CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+              / CAST(count(*) AS DOUBLE) END AS salario_medio
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN nation n ON c.c_nationkey = n.n_nationkey
   GROUP BY ALL)"""
