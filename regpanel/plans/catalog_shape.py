@@ -205,7 +205,13 @@ _SHEETS = {"pedidos": ("Tabela 1", "Variável - Pedidos (Unidades)", "pedidos_un
 
 
 def panel_cells(spark, d):
-    """The panel laid out as two crosstab sheets (one per measure)."""
+    """The panel laid out as two crosstab sheets (one per measure).
+
+    The long panel feeds five branches of the layout and the cells feed five
+    branches of the normaliser, so both are cut with a reliable checkpoint
+    (shared checkpoint folder) instead of being recomputed per branch."""
+    from regpanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     p = panel(spark, d)
     long = pivot_longer(p.select("anio", "region", "tramo", "sector", "pedidos", "valor_total"),
                         ["pedidos", "valor_total"], "measure", "value",
@@ -213,7 +219,8 @@ def panel_cells(spark, d):
     sheet = F.when(F.col("measure") == "pedidos", _SHEETS["pedidos"][0]).otherwise(_SHEETS["valor_total"][0])
     title = F.when(F.col("measure") == "pedidos", _SHEETS["pedidos"][1]).otherwise(_SHEETS["valor_total"][1])
     long = long.where(F.col("value").isNotNull()).withColumn("sheet", sheet).withColumn("title", title)
-    return panel_to_cells(long, "sheet", "title", "anio", "sector", "region", "tramo", "value")
+    long = long.checkpoint()
+    return panel_to_cells(long, "sheet", "title", "anio", "sector", "region", "tramo", "value").checkpoint()
 
 
 CROSSTAB_SQL = with_panel(f"""
