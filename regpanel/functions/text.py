@@ -71,12 +71,22 @@ def replace_first(x, pattern: str, replacement: str = "") -> Column:
     return F.regexp_replace(col(x), f"(?s)^(.*?){pattern}", "$1" + repl)
 
 
+def replace_first_literal(x, needle: str, replacement: str = "") -> Column:
+    """First occurrence of a literal ``needle`` replaced (one linear search,
+    no regular expression)."""
+    c = col(x)
+    pos = F.instr(c, needle)
+    tail = F.substring(c, pos + len(needle), 1 << 30)
+    head = F.substring(c, F.lit(1), pos - 1)
+    return F.when(pos > 0, F.concat(head, F.lit(replacement), tail)).otherwise(c)
+
+
 def sanitize(x) -> Column:
     """Name sanitiser: spaces -> '_', first '(' and first ')' removed,
     Latin -> ASCII, lower case."""
     c = F.replace(col(x), F.lit(" "), F.lit("_"))
-    c = replace_first(c, r"\(")
-    c = replace_first(c, r"\)")
+    c = replace_first_literal(c, "(")
+    c = replace_first_literal(c, ")")
     return F.lower(translit_ascii(c))
 
 
