@@ -303,3 +303,13 @@ def bind_rows_fill(spark, d):
                                            F.col("c_mktsegment").alias("segment"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("acctbal"))
     return U.bind_rows([c, s], fill=True)
+
+
+CROSSTAB_DOUBLE_SQL = CROSSTAB_SQL.replace("CAST(trunc(value) AS INTEGER) AS value", "value")
+
+
+@query("crosstab_normalise_double", CROSSTAB_DOUBLE_SQL)
+def crosstab_normalise_double(spark, d):
+    """Same sheets with ``value_type="double"``: ratio measures keep their
+    fraction instead of the source's truncating integer cast."""
+    return crosstab_normalise(panel_cells(spark, d), value_type="double")

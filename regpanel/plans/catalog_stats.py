@@ -307,3 +307,27 @@ SELECT event_type, bin, {sql_sig('any_value(lo) + bin * ((any_value(hi) - any_va
   CAST(count(*) AS BIGINT) AS n FROM b GROUP BY event_type, bin""")
 def histogram_by_group(spark, d):
     return sig_all(A.histogram(table(spark, d, "events"), ["event_type"], "value", bins=20))
+
+
+# ---------------------------------------------------------------- A13 ribbon
+T_975_LARGE_N = 1.959963984540054  # Student t 0.975 quantile for large n (normal limit)
+
+
+@query("linear_fit_band", f"""WITH g AS (SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n,
+  regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
+  regr_sxy(l_extendedprice, l_quantity) AS sxy, regr_avgx(l_extendedprice, l_quantity) AS mx,
+  regr_avgy(l_extendedprice, l_quantity) AS my FROM lineitem GROUP BY l_returnflag),
+f AS (SELECT l_returnflag, n, sxx, mx, sxy / nullif(sxx, 0) AS slope, my - sxy / nullif(sxx, 0) * mx AS intercept,
+  CASE WHEN n > 2 THEN sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0.0) / (n - 2)) END AS sigma FROM g),
+p AS (SELECT DISTINCT l_returnflag, l_quantity FROM lineitem),
+b AS (SELECT p.l_returnflag, p.l_quantity, f.intercept + f.slope * p.l_quantity AS fit,
+  {T_975_LARGE_N} * f.sigma * sqrt(1.0 / f.n + ((p.l_quantity - f.mx) ** 2) / nullif(f.sxx, 0)) AS half
+  FROM p JOIN f USING (l_returnflag))
+SELECT l_returnflag, l_quantity, {sql_sig('fit')} AS fit, {sql_sig('fit - half')} AS lower, {sql_sig('fit + half')} AS upper FROM b""")
+def linear_fit_band(spark, d):
+    """geom_smooth(method = "lm") ribbon: fitted line and 95% band at every
+    observed x of each group."""
+    li = table(spark, d, "lineitem")
+    fits = A.linear_fit(li, ["l_returnflag"], "l_quantity", "l_extendedprice")
+    pts = li.select("l_returnflag", "l_quantity").distinct()
+    return sig_all(A.fit_band(fits, pts, ["l_returnflag"], "l_quantity", T_975_LARGE_N))
