@@ -104,3 +104,13 @@ def parse_guess(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     keep = set(cols)
     return df.select(*[next(o for o, c2 in zip(out, cols) if c2 == c) if c in keep else F.col(c)
                        for c in df.columns])
+
+
+def single_value(df: DataFrame, column: str):
+    """The one distinct value of ``column`` (a name taken from data, e.g. the
+    indicator of a landed file).  Reads at most two distinct values; raises
+    unless there is exactly one."""
+    vals = [r[0] for r in df.select(column).distinct().limit(2).collect()]
+    if len(vals) != 1:
+        raise ValueError(f"{column}: expected exactly one distinct value, got {vals}")
+    return vals[0]

@@ -54,7 +54,7 @@ LEFT JOIN (SELECT * FROM g WHERE ind = 'purchase') p ON c.anio = p.anio AND c.de
 LEFT JOIN (SELECT * FROM g WHERE ind = 'view') w ON c.anio = w.anio AND c.departamento = w.departamento""")
 def pl_natural_merge(spark, d):
     files = [C.indicator_file(spark, d, i) for i in C.NATURAL_FILES]
-    return C.natural_merge(files, C.NATURAL_FILES)
+    return C.natural_merge(files)
 
 
 def _share_sql(corrected: bool) -> str:

@@ -86,11 +86,13 @@ def indicator_file(spark, d, indicator: str) -> DataFrame:
                     F.when(F.col("__v") < 2, F.lit("SIN DATOS")).otherwise(F.col("__v").cast("string")).alias("Valor"))
 
 
-def natural_merge(files: list[DataFrame], indicators: list[str]) -> DataFrame:
-    """PL4: rename Valor to the file's indicator, sanitise names, natural
-    left-join chain (base = first file), SIN DATOS -> NULL, type guess."""
+def natural_merge(files: list[DataFrame]) -> DataFrame:
+    """PL4: rename Valor to the file's indicator (its one distinct Indicador
+    value, checked), sanitise names, natural left-join chain (base = first
+    file), SIN DATOS -> NULL, type guess."""
     tables = []
-    for f, ind in zip(files, indicators):
+    for f in files:
+        ind = P.single_value(f, "Indicador")
         t = P.rename(f, {"Valor": ind, "Año": "anio"})
         t = P.rename_with(t, sanitize_name)
         tables.append(t.drop("indicador", "sector"))
@@ -305,37 +307,38 @@ QUADRANTS = ("A: Alto PyME / Alto PBI", "B: Bajo PyME / Alto PBI", "C: Alto PyME
              "D: Bajo PyME / Bajo PBI")
 
 
-def country_controls(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Two countries' control tables (regions of EUROPE and of ASIA) with
-    the population measure spelled differently, as the sources do."""
+def country_controls(spark, d) -> DataFrame:
+    """Both countries' control tables (regions of EUROPE and of ASIA) in one
+    pass, with the population measure spelled as each source spells it
+    (the other spelling is NULL, as bind_rows(fill) leaves it)."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = J.bounded_broadcast(table(spark, d, "nation"))
-    r = J.bounded_broadcast(table(spark, d, "region"))
+    r = J.bounded_broadcast(table(spark, d, "region").where(F.col("r_name").isin("EUROPE", "ASIA")))
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     g = j.groupBy("r_name", F.col("n_name").alias("region"), F.year("o_orderdate").alias("anio")).agg(
         F.count_distinct("o_custkey").cast("double").alias("__pob"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("__val"))
-    g = g.withColumn("pbi_per_capita", F.col("__val") / F.col("__pob"))
-    it = g.where(F.col("r_name") == "EUROPE").select("region", "anio", F.col("__pob").alias("poblacion_total"),
-                                                     "pbi_per_capita", F.lit("Italia").alias("pais"))
-    es = g.where(F.col("r_name") == "ASIA").select("region", "anio", F.col("__pob").alias("pobl_total"),
-                                                   "pbi_per_capita", F.lit("España").alias("pais"))
-    return it, es
+    it = F.col("r_name") == "EUROPE"
+    return g.select("region", "anio",
+                    F.when(it, F.col("__pob")).alias("poblacion_total"),
+                    F.when(~it, F.col("__pob")).alias("pobl_total"),
+                    (F.col("__val") / F.col("__pob")).alias("pbi_per_capita"),
+                    F.when(it, F.lit("Italia")).otherwise(F.lit("España")).alias("pais"))
 
 
 def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
-    """PL11 (flagship): control ⨝ firm panel per country, stacked with
-    missing columns filled, suffix pair and population spellings unified,
+    """PL11 (flagship): control ⨝ firm panel for both countries, suffix pair
+    and population spellings unified,
     firms per 1000 inhabitants, one band, national medians broadcast to the
     regions, quadrant label."""
     p = panel(spark, d).select("anio", "region", "tramo", "sector", F.col("numero_empresas").alias("ent_nr"),
                                F.col("pessoal_ocupado").alias("emp_nr"),
                                F.when(F.col("sector") != "5-LOW", F.lit("pymes")).alias("pais"))
-    it, es = country_controls(spark, d)
-    df = (J.join(it, p, ["region", "anio"], "inner", suffix=("_x", "_y"))
-           .unionByName(J.join(es, p, ["region", "anio"], "inner", suffix=("_x", "_y")), allowMissingColumns=True))
+    # bind_rows(it |> inner_join(p), es |> inner_join(p)) == (it ∪ es) |> inner_join(p):
+    # one join instead of two, the panel is computed once.
+    df = J.join(country_controls(spark, d), p, ["region", "anio"], "inner", suffix=("_x", "_y"))
     df = df.withColumn("pais", F.coalesce("pais_x", "pais_y")) \
            .withColumn("poblacion", F.coalesce("poblacion_total", "pobl_total")) \
            .drop("pais_x", "pais_y", "poblacion_total", "pobl_total")

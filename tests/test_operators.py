@@ -247,3 +247,10 @@ def test_crosstab_normalise(spark):
     # the blank region cell becomes the literal 'region' (source behaviour); the note row is dropped
     assert out.where("region = 'region'").count() == 8
     assert out.count() == 24
+
+
+def test_single_value(spark):
+    df = spark.createDataFrame([("a",), ("a",)], "x string")
+    assert P.single_value(df, "x") == "a"
+    with pytest.raises(ValueError):
+        P.single_value(df.unionByName(spark.createDataFrame([("b",)], "x string")), "x")
