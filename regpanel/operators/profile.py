@@ -36,7 +36,11 @@ def _kind(dt) -> str:
 
 
 def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """skimr::skim(df) or group_by(group) |> skim(): one row per column."""
+    """skimr::skim(df) or group_by(group) |> skim(): one row per column.
+
+    Exact distinct counts make Spark expand every row once per counted
+    column; ``approx=True`` uses HyperLogLog counts and quantile sketches
+    instead (bounded state, no expansion) for wide tables at scale."""
     group = list(group or [])
     structs = []
     n = F.count(F.lit(1))
@@ -52,7 +56,7 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
             s = c.cast("string")
             vals.update(min_len=F.min(F.length(s)).cast("bigint"), max_len=F.max(F.length(s)).cast("bigint"),
                         n_empty=F.count_if(s == "").cast("bigint"),
-                        n_unique=F.count_distinct(s).cast("bigint"),
+                        n_unique=(F.approx_count_distinct(s) if approx else F.count_distinct(s)).cast("bigint"),
                         n_whitespace=F.count_if(s.rlike(r"^\s+$")).cast("bigint"))
         elif kind == "numeric":
             x = c.cast("double")
@@ -66,7 +70,7 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
             u = F.unix_date(d)
             vals.update(date_min=F.min(d), date_max=F.max(d),
                         date_median=F.date_from_unix_date(F.floor(F.median(u)).cast("int")),
-                        n_unique=F.count_distinct(d).cast("bigint"))
+                        n_unique=(F.approx_count_distinct(d) if approx else F.count_distinct(d)).cast("bigint"))
         else:  # logical
             vals.update(mean=F.avg(c.cast("double")))
         structs.append(F.struct(F.lit(kind).alias("skim_type"), F.lit(f.name).alias("skim_variable"),

@@ -48,13 +48,34 @@ def net_pay_share(f: Column, m: Column, h: Column, total_fmh: Column, corrected:
     return f + m + F.try_divide(h, total_fmh)
 
 
-def forward_fill(df: DataFrame, partition: list[str], order: str, cols: list[str]) -> DataFrame:
+def forward_fill(df: DataFrame, partition: list[str], order: str, cols: list[str],
+                 chunk: Column | None = None) -> DataFrame:
     """tidyr fill(.direction = "down") along ``order`` within ``partition``.
-    Meant for header-sized tables (one row per column of a sheet)."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+    Without ``chunk`` one window runs per partition key — fine for
+    header-sized tables.  With ``chunk`` (a coarse bucket that never decreases
+    along ``order``, e.g. the day of a timestamp) the fill is two-level, so
+    a hot key is spread over many tasks: (1) fill inside each (key, chunk);
+    (2) the last non-NULL value of every chunk, carried forward over the
+    chunk-level table (one row per key and chunk); (3) rows still NULL take
+    the carried value.  Same result as the single window."""
     s = set(cols)
-    return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in s else F.col(c)
-                       for c in df.columns])
+    if chunk is None:
+        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in s else F.col(c)
+                           for c in df.columns])
+    d = df.withColumn("__chunk", chunk)
+    w_in = Window.partitionBy(*partition, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inner = d.select(*d.columns, *[F.last(c, ignorenulls=True).over(w_in).alias(f"__in_{c}") for c in cols])
+    per_chunk = d.groupBy(*partition, "__chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__end_{c}") for c in cols])
+    w_carry = Window.partitionBy(*partition).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(*partition, "__chunk",
+                             *[F.last(f"__end_{c}", ignorenulls=True).over(w_carry).alias(f"__carry_{c}")
+                               for c in cols])
+    j = join(inner, carry, [*partition, "__chunk"], "left")
+    return j.select(*[F.coalesce(F.col(f"__in_{c}"), F.col(f"__carry_{c}")).alias(c) if c in s else F.col(c)
+                      for c in df.columns])
 
 
 def first_appearance_ordinal(df: DataFrame, partition: list[str], order: str,

@@ -89,7 +89,8 @@ def forward_fill_header(spark, d):
         "event_id", "user_id", "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"))
     w = e.withColumn("__o", F.struct("ts", "event_id"))
-    return W.forward_fill(w, ["user_id"], "__o", ["last_purchase"]).select("event_id", "user_id", "last_purchase")
+    filled = W.forward_fill(w, ["user_id"], "__o", ["last_purchase"], chunk=F.to_date("ts"))
+    return filled.select("event_id", "user_id", "last_purchase")
 
 
 @query("first_appearance_ordinal", """WITH f AS (SELECT user_id, event_type, min(struct_pack(ts := ts, id := event_id)) AS fst

@@ -254,3 +254,14 @@ def test_single_value(spark):
     assert P.single_value(df, "x") == "a"
     with pytest.raises(ValueError):
         P.single_value(df.unionByName(spark.createDataFrame([("b",)], "x string")), "x")
+
+
+def test_chunked_forward_fill_equals_single_window(spark):
+    import random
+    rnd = random.Random(7)
+    data = [(u, d * 100 + i, d, rnd.choice([None, None, float(i)])) for u in range(3) for d in range(6)
+            for i in range(rnd.randint(0, 5))]
+    df = spark.createDataFrame(data, "u int, o int, day int, v double")
+    a = W.forward_fill(df, ["u"], "o", ["v"])
+    b = W.forward_fill(df, ["u"], "o", ["v"], chunk=F.col("day"))
+    assert rows(a, "u", "o", "v") == rows(b, "u", "o", "v")
