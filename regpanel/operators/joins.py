@@ -13,11 +13,27 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+_BOUND_CHECKS: dict = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a
-    LIMIT job that stops early); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    LIMIT job that stops early); otherwise return it unchanged for a shuffle join.
+
+    The verdict is remembered per (plan, input files, bound): a rewritten or
+    grown table has new files and is checked again."""
+    try:
+        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # noqa: BLE001 - plans without a stable hash are simply re-checked
+        key = None
+    small = _BOUND_CHECKS.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None and key[1]:
+            if len(_BOUND_CHECKS) > 4096:
+                _BOUND_CHECKS.clear()
+            _BOUND_CHECKS[key] = small
+    return F.broadcast(df) if small else df
 
 
 def _pairs(on) -> list[tuple[str, str]]:

@@ -39,7 +39,8 @@ def get_spark(master: str | None = None, app: str = "regpanel",
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names in spark.checkpoint.dir."""
+    """The shared checkpoint folder the cluster names in spark.checkpoint.dir
+    (falling back to the one set on the SparkContext)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
@@ -47,12 +48,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the configured checkpoint dir; set one only where none is set (tests)."""
+    """Use the configured checkpoint dir; set one only where none is set
+    (tests, local runs).  spark.checkpoint.dir is a core config that cannot
+    be changed at runtime, so the fallback goes to SparkContext.setCheckpointDir."""
     d = checkpoint_dir(spark)
     if not d:
         import tempfile
         d = fallback or tempfile.mkdtemp(prefix="regpanel-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
+    elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -17,8 +17,6 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="regpanel-test-ckpt-"))
     from regpanel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(s)
+    ensure_checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="regpanel-test-ckpt-"))
     yield s
