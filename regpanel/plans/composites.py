@@ -280,7 +280,9 @@ def control_panel_national(spark, d, country: str, region_name: str, out_dir: st
     rc = J.recode_contains("region", NATIONAL_RECODE, default=translit_lower("region"))
     key = translit_lower(F.trim(rc)) if corrected else F.lower(rc)
     nat = national.withColumn("__key", key).drop("region")
-    out = J.join(base.withColumn("__key", translit_lower("region")), nat, ["__key", "anio"], "left").drop("__key")
+    # a national file with a breakdown (e.g. by sex) would fan the join out: check first
+    out = J.join(base.withColumn("__key", translit_lower("region")), nat, ["__key", "anio"], "left",
+                 expect_unique_right=True).drop("__key")
     return out
 
 
