@@ -24,6 +24,18 @@ def pivot_longer(df: DataFrame, cols: list[str], names_to: str = "name",
     return d.unpivot(id_cols, cols, names_to, values_to)
 
 
+MAX_PIVOT_COLUMNS = 10_000
+
+
+def distinct_names(df: DataFrame, column: str, max_names: int = MAX_PIVOT_COLUMNS) -> list:
+    """Sorted distinct values of a code column that will become column names.
+    At most ``max_names + 1`` values reach the driver; more raises."""
+    vals = [r[0] for r in df.select(column).distinct().limit(max_names + 1).collect()]
+    if len(vals) > max_names:
+        raise ValueError(f"{column}: more than {max_names} distinct names; pass an explicit list")
+    return sorted(vals, key=lambda v: (v is None, v))
+
+
 def pivot_wider(df: DataFrame, id_cols: list[str], names_from: str, values_from: str,
                 values: list[str] | None = None, on_duplicate: str = "error") -> DataFrame:
     """pivot_wider with an explicit value list (column order = list order; a
@@ -34,7 +46,7 @@ def pivot_wider(df: DataFrame, id_cols: list[str], names_from: str, values_from:
     largest.  NULL id groups are kept.
     """
     if values is None:
-        values = [r[0] for r in df.select(names_from).distinct().orderBy(names_from).collect()]
+        values = distinct_names(df, names_from)
     if on_duplicate == "error":
         dup = (df.groupBy(*id_cols, names_from).count().where(F.col("count") > 1).limit(1).count())
         if dup:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from regpanel.operators import order as L
 from regpanel.operators import setops as U
 from regpanel.operators import windows as W
-from regpanel.operators.reshape import (crosstab_normalise, panel_to_cells, pivot_duplicates,
-                                        pivot_longer, pivot_wider)
+from regpanel.operators.reshape import (crosstab_normalise, distinct_names, panel_to_cells,
+                                        pivot_duplicates, pivot_longer, pivot_wider)
 from regpanel.plans.panel import panel, with_panel
 from regpanel.plans.registry import query, sig_all, sql_sig, table
 
@@ -168,7 +168,7 @@ def measure_named_from_data(spark, d):
     """Column names come from the data (the distinct event types, a bounded
     code list) and are only applied at the pivot edge."""
     e = table(spark, d, "events")
-    codes = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]
+    codes = distinct_names(e, "event_type")
     long = e.groupBy("user_id", F.concat(F.lit("n_"), "event_type").alias("code")).agg(F.count(F.lit(1)).alias("n"))
     out = pivot_wider(long, ["user_id"], "code", "n", values=[f"n_{c}" for c in codes], on_duplicate="first")
     return out.na.fill(0, [f"n_{c}" for c in codes])
