@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 from regpanel.operators.joins import join
 
 
-def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
-    """Attach per-group aggregates to every row (row count preserved)."""
+def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
+                    materialize: bool = False) -> DataFrame:
+    """Attach per-group aggregates to every row (row count preserved).
+
+    ``df`` feeds both the aggregate and the join; with ``materialize`` it is
+    written once to the checkpoint folder (reliable, lineage cut) so an
+    expensive upstream is not computed twice."""
+    if materialize:
+        df = df.checkpoint()
     g = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
     return join(df, g, keys, "left", null_safe=True)
 
@@ -94,10 +101,11 @@ def block_cycle_ordinal(idx, block: int = 9, cycle: int = 336) -> Column:
 
 
 def group_medians(df: DataFrame, keys: list[str], cols: dict[str, str],
-                  approx: bool = False) -> DataFrame:
+                  approx: bool = False, materialize: bool = False) -> DataFrame:
     """mutate(m = median(x, na.rm = TRUE)) by group, for several columns."""
     med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else (lambda c: F.median(c))
-    return with_group_aggs(df, keys, {n: med(F.col(c)).cast("double") for n, c in cols.items()})
+    return with_group_aggs(df, keys, {n: med(F.col(c)).cast("double") for n, c in cols.items()},
+                           materialize=materialize)
 
 
 def quadrant_label(x: Column, y: Column, mx: Column, my: Column,

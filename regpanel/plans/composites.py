@@ -186,6 +186,7 @@ def indicator_panel(spark, d, out_path: str, countries_kept=("europe", "asia"))
     j = J.join(facts, cs, {"country_code": "code"}, "inner")
     j = J.join(j, J.bounded_broadcast(geo.select("id", F.col("NUTS_NAME").alias("region"))), {"geo": "id"}, "inner")
     u = j.select("pais", "region", "TIME_PERIOD", "indic_sb", "sizeclas", "values").distinct()
+    # the mapper is built from fixed literal lists: bounded by construction
     u = J.join(u, F.broadcast(code_mapper(spark)), {"indic_sb": "hist"}, "left")
     u = u.withColumn("variables", F.coalesce("new", "indic_sb"))
     codes = ["ENT_NR", "EMP_NR", "V97020"]
@@ -347,7 +348,7 @@ def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
     df = df.withColumn("ent_per_1000", r_div("ent_nr", "poblacion") * 1000) \
            .withColumn("tasa_empleo_pyme", r_div("emp_nr", "poblacion") * 100)
     q = W.group_medians(df.where(F.col("tramo") == band), ["pais"],
-                        {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"})
+                        {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"}, materialize=True)
     lab = W.quadrant_label(F.col("ent_per_1000"), F.col("pbi_per_capita"), F.col("mediana_pyme"),
                            F.col("mediana_pbi"), QUADRANTS)
     return q.select("pais", "region", "anio", "sector", "ent_per_1000", "tasa_empleo_pyme", "pbi_per_capita",
