@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from regpanel.constants import TRUNC_ELLIPSIS, TRUNC_WIDTH
+
 # Text accepted as a number by R's as.numeric / as.integer (decimal form,
 # optional exponent, surrounding blanks).  Hex and Inf are not accepted.
 NUMERIC_TEXT = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
@@ -95,7 +97,7 @@ def corr_safe(x, y) -> Column:
     return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
 
 
-def trunc_center(s, width: int = 20, ellipsis: str = "..") -> Column:
+def trunc_center(s, width: int = TRUNC_WIDTH, ellipsis: str = TRUNC_ELLIPSIS) -> Column:
     """stringr str_trunc(side="center"): ceil half on the left, floor half on the right."""
     s = col(s)
     keep = width - len(ellipsis)

@@ -10,6 +10,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from regpanel.constants import BAND_RECODE, MISSING_TOKEN
 from regpanel.functions.exprs import col
 
 # Latin letters without a canonical decomposition and their
@@ -106,8 +107,10 @@ def separate_code_name(x, sep: str = " ") -> tuple[Column, Column]:
 
 def band_recode(x) -> Column:
     """Size-band labels: '-' -> ' a ', then 'GE' -> '+' (1-9 -> 1 a 9, GE10 -> +10)."""
-    c = F.replace(col(x), F.lit("-"), F.lit(" a "))
-    return F.replace(c, F.lit("GE"), F.lit("+"))
+    c = col(x)
+    for a, b in BAND_RECODE:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
 
 
 def band_order_key(x) -> Column:
@@ -115,7 +118,7 @@ def band_order_key(x) -> Column:
     return F.regexp_replace(col(x), " .*", "").try_cast("double")
 
 
-def missing_token(x, token: str = "SIN DATOS") -> Column:
+def missing_token(x, token: str = MISSING_TOKEN) -> Column:
     """if_else(as.character(x) == token, NA, as.character(x))."""
     return F.nullif(col(x).cast("string"), F.lit(token))
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regpanel.constants import SAMPLE_SEED
+
 
 def _keys(order):
     return [order] if isinstance(order, (str, Column)) else list(order)
@@ -23,7 +25,7 @@ def tail_n(df: DataFrame, order, n: int = 6) -> DataFrame:
     return df.orderBy(*desc).limit(n).orderBy(*ks)
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 1922, by: list[str] | None = None) -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, by: list[str] | None = None) -> DataFrame:
     """sample_n(n) with a seed: the n rows with the smallest hash of
     (row, seed).  Deterministic for any partitioning; ties are broken by the
     row itself."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from regpanel.constants import MEASURE_MARKER
 from regpanel.functions.exprs import as_int_trunc, as_num
 from regpanel.functions.text import sanitize, split_nth
 
@@ -63,7 +64,6 @@ def pivot_duplicates(df: DataFrame, id_cols: list[str], names_from: str) -> Data
 
 
 # ------------------------------------------------------------ crosstab cells
-MEASURE_MARKER = "Variável - "
 
 
 def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int | None = None,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
 from regpanel.operators.joins import join
 
 
@@ -94,7 +95,7 @@ def first_appearance_ordinal(df: DataFrame, partition: list[str], order: str,
     return g.select(*partition, *cols, F.row_number().over(w).alias(name))
 
 
-def block_cycle_ordinal(idx, block: int = 9, cycle: int = 336) -> Column:
+def block_cycle_ordinal(idx, block: int = BLOCK_BANDS, cycle: int = BLOCK_GROUPS) -> Column:
     """(((idx - 1) %/% block) %% cycle) + 1 for a 1-based position ``idx``."""
     i = F.col(idx) if isinstance(idx, str) else idx
     return (F.pmod(F.floor((i - 1) / block), F.lit(cycle)) + 1).cast("bigint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS, SAMPLE_SEED
 from regpanel.operators import order as L
 from regpanel.operators import setops as U
 from regpanel.operators import windows as W
@@ -107,7 +108,7 @@ def first_appearance_ordinal(spark, d):
 def block_cycle_ordinal(spark, d):
     from regpanel.functions.exprs import floor_div, floor_mod
     p = table(spark, d, "part")
-    return p.select("p_partkey", W.block_cycle_ordinal(F.col("p_partkey") + 1, 9, 336).alias("grp"),
+    return p.select("p_partkey", W.block_cycle_ordinal(F.col("p_partkey") + 1, BLOCK_BANDS, BLOCK_GROUPS).alias("grp"),
                     floor_div("p_partkey", F.lit(9)).alias("int_div"),
                     F.pmod("p_partkey", F.lit(9)).cast("bigint").alias("floor_mod"))
 
@@ -250,7 +251,7 @@ def tail_n(spark, d):
 
 @query("sample_n_seeded")
 def sample_n_seeded(spark, d):
-    return L.sample_n(table(spark, d, "orders"), 6, seed=1922)
+    return L.sample_n(table(spark, d, "orders"), 6, seed=SAMPLE_SEED)
 
 
 def _band_labels(spark, d):

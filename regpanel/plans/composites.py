@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regpanel.constants import MISSING_TOKEN, QUADRANT_LABELS
 from regpanel.functions import selectors as S
 from regpanel.functions.dates import date_to_year_text, year_to_date
 from regpanel.functions.exprs import r_div, strict_mean, strict_sum, log_pos
@@ -83,7 +84,7 @@ def indicator_file(spark, d, indicator: str) -> DataFrame:
                   F.concat(F.lit("Dpto "), F.col("user_id").cast("string")).alias("Departamento")).agg(
         F.sum(F.col("value").cast("decimal(18,2)")).alias("__v"))
     return g.select("Año", "Departamento", F.lit(indicator).alias("Indicador"), F.lit("Todos").alias("Sector"),
-                    F.when(F.col("__v") < 2, F.lit("SIN DATOS")).otherwise(F.col("__v").cast("string")).alias("Valor"))
+                    F.when(F.col("__v") < 2, F.lit(MISSING_TOKEN)).otherwise(F.col("__v").cast("string")).alias("Valor"))
 
 
 def natural_merge(files: list[DataFrame]) -> DataFrame:
@@ -306,8 +307,7 @@ def eda_direct(p: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PL11
-QUADRANTS = ("A: Alto PyME / Alto PBI", "B: Bajo PyME / Alto PBI", "C: Alto PyME / Bajo PBI",
-             "D: Bajo PyME / Bajo PBI")
+QUADRANTS = QUADRANT_LABELS
 
 
 def country_controls(spark, d) -> DataFrame:
