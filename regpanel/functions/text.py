@@ -52,18 +52,27 @@ def _build_translate_table() -> tuple[str, str]:
 _TR_FROM, _TR_TO = _build_translate_table()
 
 
+_NON_ASCII = r"[^\x00-\x7F]"
+
+
+def _translit(c: Column, multi: dict[str, str]) -> Column:
+    out = c
+    for k, v in multi.items():
+        out = F.replace(out, F.lit(k), F.lit(v))
+    out = F.regexp_replace(F.translate(out, _TR_FROM, _TR_TO), r"\p{M}", "")
+    # pure-ASCII text (the common case) skips the whole chain
+    return F.when(c.rlike(_NON_ASCII), out).otherwise(c)
+
+
 def translit_ascii(x) -> Column:
     """Latin -> ASCII (stringi ``Latin-ASCII``), case preserved."""
-    c = col(x)
-    for k, v in _MULTI_FIXED.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    c = F.translate(c, _TR_FROM, _TR_TO)
-    return F.regexp_replace(c, r"\p{M}", "")
+    return _translit(col(x), _MULTI_FIXED)
 
 
 def translit_lower(x) -> Column:
-    """lower() then transliterate (lowering first also folds upper-case accents)."""
-    return translit_ascii(F.lower(col(x)))
+    """lower() then transliterate (lowering first also folds upper-case accents,
+    so only the lower-case multi-letter forms need replacing)."""
+    return _translit(F.lower(col(x)), {k: v for k, v in _MULTI_FIXED.items() if k == k.lower()})
 
 
 def replace_first(x, pattern: str, replacement: str = "") -> Column:
@@ -88,7 +97,7 @@ def sanitize(x) -> Column:
     c = F.replace(col(x), F.lit(" "), F.lit("_"))
     c = replace_first_literal(c, "(")
     c = replace_first_literal(c, ")")
-    return F.lower(translit_ascii(c))
+    return translit_lower(c)  # == lower(translit_ascii(c)) for Latin letters
 
 
 def split_nth(x, sep: str, n: int) -> Column:
