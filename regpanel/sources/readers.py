@@ -5,6 +5,7 @@ storage form, scanned once with pushed-down dimension predicates."""
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     be given for production sources (``infer`` is for exploration only);
     ``overrides`` casts single columns (e.g. year as string), ``select``
     prunes columns (pushed to the scan's ReadSchema for columnar formats)."""
-    r = spark.read.option("header", True).option("nullValue", "NA").option("emptyValue", None)
+    r = spark.read.option("header", True).option("nullValue", "NA")
     if schema is not None:
         r = r.schema(schema)
     else:
@@ -93,8 +94,10 @@ class DatasetSpec:
             vals = list(v) if isinstance(v, (list, tuple, set)) else [v]
             p = p & F.col(dim).isin(vals)
         if self.period is not None:
+            # a range on the column itself (not year(col)) so parquet can take it
             lo, hi = self.period
-            p = p & F.year(F.col(time_col)).between(lo, hi)
+            p = p & (F.col(time_col) >= F.lit(datetime.date(lo, 1, 1))) \
+                  & (F.col(time_col) < F.lit(datetime.date(hi + 1, 1, 1)))
         if self.geo is not None:
             p = p & F.col(geo_col).isin(list(self.geo))
         return p
