@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
-                               TimestampType)
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 FIELDS = [
     ("n_missing", "bigint"), ("complete_rate", "double"),

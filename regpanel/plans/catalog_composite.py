@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from regpanel.plans import composites as C
 from regpanel.plans.catalog_io import national_file_reader, scratch
 from regpanel.plans.catalog_shape import CROSSTAB_SQL, panel_cells

@@ -110,7 +110,7 @@ def block_cycle_ordinal(spark, d):
     p = table(spark, d, "part")
     return p.select("p_partkey", W.block_cycle_ordinal(F.col("p_partkey") + 1, BLOCK_BANDS, BLOCK_GROUPS).alias("grp"),
                     floor_div("p_partkey", F.lit(9)).alias("int_div"),
-                    F.pmod("p_partkey", F.lit(9)).cast("bigint").alias("floor_mod"))
+                    floor_mod("p_partkey", F.lit(9)).cast("bigint").alias("floor_mod"))
 
 
 # ---------------------------------------------------------------- W7 W8 F24
