@@ -5,7 +5,7 @@ from __future__ import annotations
 from regpanel.plans import composites as C
 from regpanel.plans.catalog_io import national_file_reader, scratch
 from regpanel.plans.catalog_shape import CROSSTAB_SQL, panel_cells
-from regpanel.plans.catalog_stats import _dist_sql
+from regpanel.plans.catalog_stats import _dist_sql, _profile_sql, _sig_profile
 from regpanel.plans.panel import panel, with_panel
 from regpanel.plans.registry import query, sig_all, sql_sig
 
@@ -183,7 +183,7 @@ def pl_eda_direct(spark, d):
     return sig_all(C.eda_direct(panel(spark, d)), ["salario_prom", "log_empresas", "log10_empleados"])
 
 
-PL11_SQL = with_panel(f"""
+_EU_SQL = with_panel("""
 , g AS (SELECT r_name, n_name AS region, CAST(year(o_orderdate) AS INTEGER) AS anio,
   CAST(count(DISTINCT o_custkey) AS DOUBLE) AS pob, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS val
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -194,8 +194,11 @@ p AS (SELECT anio, region, tramo, sector, numero_empresas AS ent_nr, pessoal_ocu
   CASE WHEN sector <> '5-LOW' THEN 'pymes' END AS pais FROM panel),
 df AS (SELECT c.region, c.anio, c.pbi_per_capita, p.tramo, p.sector, p.ent_nr, p.emp_nr,
   coalesce(c.pais, p.pais) AS pais, c.pob AS poblacion FROM ctl c JOIN p ON c.region = p.region AND c.anio = p.anio),
-x AS (SELECT *, ent_nr / nullif(poblacion, 0) * 1000 AS ent_per_1000, emp_nr / nullif(poblacion, 0) * 100 AS tasa_empleo_pyme
-  FROM df WHERE tramo = 'AUTOMOBILE'),
+eu AS (SELECT *, ent_nr / nullif(poblacion, 0) * 1000 AS ent_per_1000, emp_nr / nullif(poblacion, 0) * 100 AS tasa_empleo_pyme
+  FROM df)""")
+
+PL11_SQL = _EU_SQL + f"""
+, x AS (SELECT * FROM eu WHERE tramo = 'AUTOMOBILE'),
 m AS (SELECT *, median(ent_per_1000) OVER (PARTITION BY pais) AS mediana_pyme,
   median(pbi_per_capita) OVER (PARTITION BY pais) AS mediana_pbi FROM x)
 SELECT pais, region, anio, sector, {sql_sig('ent_per_1000')} AS ent_per_1000, {sql_sig('tasa_empleo_pyme')} AS tasa_empleo_pyme,
@@ -204,10 +207,59 @@ SELECT pais, region, anio, sector, {sql_sig('ent_per_1000')} AS ent_per_1000, {s
        WHEN ent_per_1000 < mediana_pyme AND pbi_per_capita >= mediana_pbi THEN '{C.QUADRANTS[1]}'
        WHEN ent_per_1000 >= mediana_pyme AND pbi_per_capita < mediana_pbi THEN '{C.QUADRANTS[2]}'
        WHEN ent_per_1000 < mediana_pyme AND pbi_per_capita < mediana_pbi THEN '{C.QUADRANTS[3]}' END AS patron
-FROM m""")
+FROM m"""
 
 
 @query("pl_regional_quadrants", PL11_SQL)
 def pl_regional_quadrants(spark, d):
     return sig_all(C.regional_quadrants(spark, d), ["ent_per_1000", "tasa_empleo_pyme", "pbi_per_capita",
                                                     "mediana_pyme", "mediana_pbi"])
+
+
+@query("pl_regional_fit", _EU_SQL + f"""
+, g2 AS (SELECT pais, regr_count(pbi_per_capita, ent_per_1000) AS n, regr_sxx(pbi_per_capita, ent_per_1000) AS sxx,
+  regr_syy(pbi_per_capita, ent_per_1000) AS syy, regr_sxy(pbi_per_capita, ent_per_1000) AS sxy,
+  regr_avgx(pbi_per_capita, ent_per_1000) AS mx, regr_avgy(pbi_per_capita, ent_per_1000) AS my
+  FROM eu WHERE tramo = 'AUTOMOBILE' GROUP BY pais)
+SELECT pais, CAST(n AS BIGINT) AS n, {sql_sig('sxy / nullif(sxx, 0)')} AS slope,
+  {sql_sig('my - sxy / nullif(sxx, 0) * mx')} AS intercept, {sql_sig('sxy * sxy / nullif(sxx * syy, 0)')} AS r2,
+  {sql_sig('CASE WHEN n > 2 THEN sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0.0) / (n - 2)) END')} AS sigma,
+  {sql_sig('mx')} AS mean_x, {sql_sig('sxx')} AS sxx FROM g2""")
+def pl_regional_fit(spark, d):
+    return sig_all(C.regional_fit(spark, d))
+
+
+_REG_CORR = ["ent_per_1000", "pbi_per_capita", "tasa_empleo_pyme"]
+
+
+@query("pl_regional_correlations", _EU_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT pais, '{a}' AS var_x, '{b}' AS var_y, "
+    f"{sql_sig(f'regr_sxy({b}, {a}) / nullif(sqrt(regr_sxx({b}, {a}) * regr_syy({b}, {a})), 0)')} AS corr, "
+    f"CAST(regr_count({b}, {a}) AS BIGINT) AS n FROM eu WHERE tramo = 'AUTOMOBILE' GROUP BY pais"
+    for i, a in enumerate(_REG_CORR) for b in _REG_CORR[i + 1:]))
+def pl_regional_correlations(spark, d):
+    return sig_all(C.regional_correlations(spark, d))
+
+
+@query("pl_regional_box_latest", _EU_SQL + f"""
+, lt AS (SELECT * FROM eu WHERE anio = (SELECT max(anio) FROM eu) AND (SELECT count(*) FROM eu WHERE anio IS NULL) = 0),
+y AS (SELECT tramo, pais, log10(ent_nr) AS v FROM lt WHERE ent_nr > 0),
+q AS (SELECT tramo, pais, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+  quantile_cont(v, 0.75) AS q3 FROM y GROUP BY ALL),
+b AS (SELECT y.*, q.n, q.q1, q.median, q.q3, q.q1 - 1.5 * (q.q3 - q.q1) AS lo, q.q3 + 1.5 * (q.q3 - q.q1) AS hi
+  FROM y JOIN q USING (tramo, pais))
+SELECT tramo, pais, any_value(n) AS n, {sql_sig('any_value(q1)')} AS q1, {sql_sig('any_value(median)')} AS median,
+  {sql_sig('any_value(q3)')} AS q3, {sql_sig('min(v) FILTER (WHERE v >= lo AND v <= hi)')} AS whisker_low,
+  {sql_sig('max(v) FILTER (WHERE v >= lo AND v <= hi)')} AS whisker_high,
+  CAST(count(*) FILTER (WHERE NOT (v >= lo AND v <= hi)) AS BIGINT) AS n_outliers FROM b GROUP BY tramo, pais""")
+def pl_regional_box_latest(spark, d):
+    return sig_all(C.regional_box_latest(spark, d))
+
+
+_REG_PROFILE = [("ent_nr", "numeric"), ("emp_nr", "numeric"), ("pbi_per_capita", "numeric"),
+                ("ent_per_1000", "numeric"), ("tramo", "character")]
+
+
+@query("pl_regional_profile", _EU_SQL + "\n" + _profile_sql("eu", _REG_PROFILE, ["pais"]))
+def pl_regional_profile(spark, d):
+    return _sig_profile(C.regional_profile(spark, d))

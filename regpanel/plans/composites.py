@@ -15,6 +15,7 @@ from regpanel.operators import aggregate as A
 from regpanel.operators import joins as J
 from regpanel.operators import project as P
 from regpanel.operators import windows as W
+from regpanel.operators.profile import profile
 from regpanel.operators.reshape import crosstab_normalise, pivot_longer, pivot_wider
 from regpanel.plans.panel import panel
 from regpanel.plans.registry import table
@@ -331,11 +332,10 @@ def country_controls(spark, d) -> DataFrame:
                     F.when(it, F.lit("Italia")).otherwise(F.lit("España")).alias("pais"))
 
 
-def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
-    """PL11 (flagship): control ⨝ firm panel for both countries, suffix pair
-    and population spellings unified,
-    firms per 1000 inhabitants, one band, national medians broadcast to the
-    regions, quadrant label."""
+def regional_panel(spark, d) -> DataFrame:
+    """PL11 panel: control ⨝ firm panel for both countries, suffix pair and
+    population spellings unified, firms per 1000 inhabitants and employment
+    rate."""
     p = panel(spark, d).select("anio", "region", "tramo", "sector", F.col("numero_empresas").alias("ent_nr"),
                                F.col("pessoal_ocupado").alias("emp_nr"),
                                F.when(F.col("sector") != "5-LOW", F.lit("pymes")).alias("pais"))
@@ -345,11 +345,42 @@ def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
     df = df.withColumn("pais", F.coalesce("pais_x", "pais_y")) \
            .withColumn("poblacion", F.coalesce("poblacion_total", "pobl_total")) \
            .drop("pais_x", "pais_y", "poblacion_total", "pobl_total")
-    df = df.withColumn("ent_per_1000", r_div("ent_nr", "poblacion") * 1000) \
-           .withColumn("tasa_empleo_pyme", r_div("emp_nr", "poblacion") * 100)
+    return df.withColumn("ent_per_1000", r_div("ent_nr", "poblacion") * 1000) \
+             .withColumn("tasa_empleo_pyme", r_div("emp_nr", "poblacion") * 100)
+
+
+def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
+    """PL11 (flagship): one band, national medians broadcast to the regions,
+    quadrant label."""
+    df = regional_panel(spark, d)
     q = W.group_medians(df.where(F.col("tramo") == band), ["pais"],
                         {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"}, materialize=True)
     lab = W.quadrant_label(F.col("ent_per_1000"), F.col("pbi_per_capita"), F.col("mediana_pyme"),
                            F.col("mediana_pbi"), QUADRANTS)
     return q.select("pais", "region", "anio", "sector", "ent_per_1000", "tasa_empleo_pyme", "pbi_per_capita",
                     "mediana_pyme", "mediana_pbi", lab.alias("patron"))
+
+
+def regional_fit(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
+    """PL11: lm(pbi_per_capita ~ ent_per_1000) per country for one band."""
+    df = regional_panel(spark, d).where(F.col("tramo") == band)
+    return A.linear_fit(df, ["pais"], "ent_per_1000", "pbi_per_capita")
+
+
+def regional_correlations(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
+    """PL11: pairwise correlations per country for one band."""
+    df = regional_panel(spark, d).where(F.col("tramo") == band)
+    return A.correlation_pairs(df, ["ent_per_1000", "pbi_per_capita", "tasa_empleo_pyme"], ["pais"])
+
+
+def regional_box_latest(spark, d) -> DataFrame:
+    """PL11: latest year only (global max), box statistics of firms by band
+    and country on a log10 scale."""
+    df = P.keep_latest(regional_panel(spark, d), "anio")
+    return A.boxplot_stats(df, ["tramo", "pais"], "ent_nr", log="10")
+
+
+def regional_profile(spark, d) -> DataFrame:
+    """PL11: group_by(pais) |> skim()."""
+    df = regional_panel(spark, d).select("pais", "ent_nr", "emp_nr", "pbi_per_capita", "ent_per_1000", "tramo")
+    return profile(df, ["pais"])
