@@ -172,6 +172,22 @@ def pl_eda_aggregated(spark, d):
     return sig_all(C.eda_aggregated(panel(spark, d)))
 
 
+@query("pl_eda_salary_box", with_panel(", " + _AGG_SQL + f"""
+, y AS (SELECT 'salario_medio' AS variable, tramo, ln(salario_medio) AS v FROM agg WHERE salario_medio > 0),
+q AS (SELECT variable, tramo, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+  quantile_cont(v, 0.75) AS q3 FROM y GROUP BY ALL),
+b AS (SELECT y.*, q.n, q.q1, q.median, q.q3, q.q1 - 1.5 * (q.q3 - q.q1) AS lo, q.q3 + 1.5 * (q.q3 - q.q1) AS hi
+  FROM y JOIN q USING (variable, tramo))
+SELECT variable, tramo, any_value(n) AS n, {sql_sig('any_value(q1)')} AS q1, {sql_sig('any_value(median)')} AS median,
+  {sql_sig('any_value(q3)')} AS q3, {sql_sig('min(v) FILTER (WHERE v >= lo AND v <= hi)')} AS whisker_low,
+  {sql_sig('max(v) FILTER (WHERE v >= lo AND v <= hi)')} AS whisker_high,
+  CAST(count(*) FILTER (WHERE NOT (v >= lo AND v <= hi)) AS BIGINT) AS n_outliers,
+  CASE WHEN length(variable) > 20 THEN substr(variable, 1, 9) || '..' || right(variable, 9) ELSE variable END AS etiqueta
+FROM b GROUP BY variable, tramo"""))
+def pl_eda_salary_box(spark, d):
+    return sig_all(C.eda_salary_box(panel(spark, d)))
+
+
 @query("pl_eda_direct", with_panel(f"""
 SELECT anio, tramo, CASE WHEN count(numero_empresas) = count(*) THEN sum(numero_empresas) END AS cant_empresas,
   CASE WHEN count(pessoal_ocupado) = count(*) THEN sum(pessoal_ocupado) END AS cant_empleados,

@@ -298,6 +298,20 @@ def eda_aggregated(p: DataFrame) -> DataFrame:
     return A.distribution_table(agg, "tramo", S.exclude(S.where_numeric(agg), ["anio"]))
 
 
+def eda_salary_box(p: DataFrame) -> DataFrame:
+    """PL9: salary columns (not split by sex) of the aggregated panel, long,
+    box statistics by (variable, band) on a natural-log scale, with the
+    centre-truncated legend label."""
+    from regpanel.functions.exprs import trunc_center
+    agg = A.summarise_sum_mean(p, ["anio", "region", "tramo"], S.matches(p, "numero|pedidos|pessoal|valor"),
+                               S.starts_with(p, "salario"))
+    sal = S.exclude(S.starts_with(agg, "salario"), S.matches(agg, "sexo"))
+    long = pivot_longer(agg.select(*S.col_range(agg, "anio", "tramo"), *sal), sal, "variable", "valor",
+                        id_cols=S.col_range(agg, "anio", "tramo"))
+    box = A.boxplot_stats(long, ["variable", "tramo"], "valor", log="e")
+    return box.withColumn("etiqueta", trunc_center("variable"))
+
+
 def eda_direct(p: DataFrame) -> DataFrame:
     """PL10: national evolution per (year, band): strict totals and means, logs."""
     g = p.groupBy("anio", "tramo").agg(strict_sum("numero_empresas").alias("cant_empresas"),
