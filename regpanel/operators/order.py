@@ -19,9 +19,10 @@ def head_n(df: DataFrame, order, n: int = 6) -> DataFrame:
 
 
 def tail_n(df: DataFrame, order, n: int = 6) -> DataFrame:
-    """tail(n): last n rows by ``order``, returned in ascending order."""
+    """tail(n): last n rows by ``order``, returned in ascending order.
+    Ascending order puts NULLs first, so the reversed order puts them last."""
     ks = _keys(order)
-    desc = [(F.col(k) if isinstance(k, str) else k).desc_nulls_first() for k in ks]
+    desc = [(F.col(k) if isinstance(k, str) else k).desc_nulls_last() for k in ks]
     return df.orderBy(*desc).limit(n).orderBy(*ks)
 
 

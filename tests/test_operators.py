@@ -265,3 +265,9 @@ def test_chunked_forward_fill_equals_single_window(spark):
     a = W.forward_fill(df, ["u"], "o", ["v"])
     b = W.forward_fill(df, ["u"], "o", ["v"], chunk=F.col("day"))
     assert rows(a, "u", "o", "v") == rows(b, "u", "o", "v")
+
+
+def test_tail_with_null_keys(spark):
+    df = spark.createDataFrame([(None,), (3,), (1,), (None,), (2,)], "k int")
+    assert [r[0] for r in L.tail_n(df, "k", 2).collect()] == [2, 3]
+    assert [r[0] for r in L.head_n(df, "k", 3).collect()] == [None, None, 1]
