@@ -100,7 +100,7 @@ u AS (SELECT DISTINCT c.pais, geo.region, f.time_period, f.indic_sb, f.sizeclas,
   FROM facts f JOIN countries c ON substr(f.geo, 1, 2) = c.code JOIN geo ON f.geo = geo.id),
 m AS (SELECT * FROM (VALUES ('V11910', 'ENT_NR'), ('V16910', 'EMP_NR')) t(hist, new)),
 v AS (SELECT u.*, coalesce(m.new, u.indic_sb) AS variables FROM u LEFT JOIN m ON u.indic_sb = m.hist)
-SELECT lower(pais) AS pais, region, replace(replace(sizeclas, '-', ' a '), 'GE', '+') AS tramo,
+SELECT pais, region, replace(replace(sizeclas, '-', ' a '), 'GE', '+') AS tramo,
   strftime(time_period, '%Y') AS anio, max(vals) FILTER (WHERE variables = 'ENT_NR') AS ent_nr,
   max(vals) FILTER (WHERE variables = 'EMP_NR') AS emp_nr, max(vals) FILTER (WHERE variables = 'V97020') AS v97020
 FROM v GROUP BY pais, region, sizeclas, time_period""")

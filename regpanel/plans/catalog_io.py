@@ -61,14 +61,14 @@ def csv_european_roundtrip(spark, d):
 
 
 # ---------------------------------------------------------------- K2 K3 S4
-@query("partitioned_sink_roundtrip", """SELECT o_orderkey, o_totalprice, lower(o_orderpriority) AS o_orderpriority
-FROM orders""")
+@query("partitioned_sink_roundtrip", """SELECT o_orderkey, o_totalprice, o_orderpriority,
+  lower(o_orderpriority) AS o_orderpriority_key FROM orders""")
 def partitioned_sink_roundtrip(spark, d):
     path = scratch(spark, "per_group")
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    K.write_per_group(o, path, "o_orderpriority")
+    key = K.write_per_group(o, path, "o_orderpriority")
     return (spark.read.option("basePath", path).parquet(path)
-                 .select("o_orderkey", "o_totalprice", F.col("o_orderpriority").cast("string")))
+                 .select("o_orderkey", "o_totalprice", "o_orderpriority", F.col(key).cast("string")))
 
 
 @query("multi_file_scan", """SELECT 'n_lines' AS measure, l_partkey AS partkey, CAST(count(*) AS DOUBLE) AS value FROM lineitem GROUP BY 2

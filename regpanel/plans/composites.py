@@ -197,8 +197,8 @@ def indicator_panel(spark, d, out_path: str, countries_kept=("europe", "asia"))
     wide = P.rename(wide, {"sizeclas": "tramo"}).withColumn("tramo", band_recode("tramo"))
     wide = wide.withColumn("anio", date_to_year_text("time_period"))
     wide = P.relocate(wide, "anio", before="time_period").drop("time_period")
-    K.write_per_group(wide, out_path, "pais")
-    return spark.read.option("basePath", out_path).parquet(out_path)
+    key = K.write_per_group(wide, out_path, "pais")
+    return spark.read.option("basePath", out_path).parquet(out_path).drop(key)
 
 
 # ------------------------------------------------------------------ PL7 PL8

@@ -17,13 +17,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_per_group(df: DataFrame, path: str, group: str, fmt: str = "parquet",
-                    lower: bool = True, mode: str = "overwrite") -> None:
-    """split(f = group) |> iwalk(write): one folder per (lower-cased) group value."""
-    out = df.withColumn(group, F.lower(F.col(group))) if lower else df
-    w = out.write.mode(mode).partitionBy(group).format(fmt)
+                    lower: bool = True, mode: str = "overwrite") -> str:
+    """split(f = group) |> iwalk(write): one folder per group value.  The folder
+    key is a derived ``<group>_key`` column (lower-cased when ``lower``); the
+    files keep the original ``group`` column, as the source's files do.
+    Returns the name of the key column."""
+    key = f"{group}_key"
+    out = df.withColumn(key, F.lower(F.col(group)) if lower else F.col(group))
+    w = out.write.mode(mode).partitionBy(key).format(fmt)
     if fmt == "csv":
         w = w.option("header", True).option("nullValue", "NA")
     w.save(path)
+    return key
 
 
 def checkpoint_to(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

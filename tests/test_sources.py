@@ -30,9 +30,10 @@ def test_read_csv_european(spark, tmp_path):
 
 def test_write_per_group_lowercases_and_roundtrips(spark, tmp_path):
     df = spark.createDataFrame([("Italia", 1), ("España", 2)], "pais string, v int")
-    K.write_per_group(df, str(tmp_path / "out"), "pais")
+    key = K.write_per_group(df, str(tmp_path / "out"), "pais")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["pais_key=españa", "pais_key=italia"]
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted((r["pais"], r["v"]) for r in back.collect()) == [("españa", 2), ("italia", 1)]
+    assert sorted((r["pais"], r[key], r["v"]) for r in back.collect()) == [("España", "españa", 2), ("Italia", "italia", 1)]
 
 
 def test_dataset_spec_predicate_pushed(spark, tmp_path):
