@@ -55,6 +55,9 @@ def pl_natural_merge(spark, d):
     return C.natural_merge(files)
 
 
+NO_INFO_STAND_IN = "NATION_0"  # the panel region playing "no information"
+
+
 def _share_sql(corrected: bool) -> str:
     def strict(x):
         return f"CASE WHEN count({x}) OVER w = count(*) OVER w THEN sum({x}) OVER w END"
@@ -74,13 +77,13 @@ FROM p WINDOW w AS (PARTITION BY anio, region)""")
 
 @query("pl_share_panel", _share_sql(False))
 def pl_share_panel(spark, d):
-    return sig_all(C.share_panel(panel(spark, d)), ["contribucion_po", "contribucion_empleo", "contribucion_vtas",
+    return sig_all(C.share_panel(panel(spark, d), no_info=NO_INFO_STAND_IN), ["contribucion_po", "contribucion_empleo", "contribucion_vtas",
                                                      "contribucion_sal_neto", "sal_neto"])
 
 
 @query("pl_share_panel_corrected", _share_sql(True))
 def pl_share_panel_corrected(spark, d):
-    return sig_all(C.share_panel(panel(spark, d), corrected=True),
+    return sig_all(C.share_panel(panel(spark, d), corrected=True, no_info=NO_INFO_STAND_IN),
                    ["contribucion_po", "contribucion_empleo", "contribucion_vtas", "contribucion_sal_neto", "sal_neto"])
 
 

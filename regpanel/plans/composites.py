@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.constants import MISSING_TOKEN, QUADRANT_LABELS
+from regpanel.constants import MISSING_TOKEN, NO_INFO_REGION, QUADRANT_LABELS
 from regpanel.functions import selectors as S
 from regpanel.functions.dates import date_to_year_text, year_to_date
 from regpanel.functions.exprs import r_div, strict_mean, strict_sum, log_pos
@@ -104,10 +104,10 @@ def natural_merge(files: list[DataFrame]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PL5
-def share_panel(p: DataFrame, corrected: bool = False) -> DataFrame:
+def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_REGION) -> DataFrame:
     """PL5: contribution shares within (year, region), after dropping the
-    'no information' region (NULL regions drop too)."""
-    p = p.where(F.col("region") != "NATION_0")
+    'no information' region (NULL regions drop too, as with R's filter)."""
+    p = p.where(F.col("region") != no_info)
     f, m, h = F.col("valor_total"), F.col("salario_medio"), F.col("pedidos")
     g = W.with_group_aggs(p.withColumn("__fmh", f + m + h).withColumn("__emp", F.col("pedidos") + F.col("pessoal_ocupado")),
                           ["anio", "region"],
