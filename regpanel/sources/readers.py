@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from regpanel.functions.dates import year_to_date
+from regpanel.functions.exprs import nan_to_null
 from regpanel.functions.text import separate_code_name
 
 NULL_TOKENS = ("", "NA")
@@ -32,10 +33,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
         r = r.option("inferSchema", infer)
     df = r.csv(path)
     # Spark maps only one nullValue token; the other one is handled here.
-    df = df.select(*[F.when(F.col(f.name).cast("string").isin(*NULL_TOKENS), None)
-                      .otherwise(F.col(f.name)).alias(f.name)
-                      if f.dataType.simpleString() == "string" else F.col(f.name)
-                      for f in df.schema.fields])
+    # NaN is missing too (R's is.na), and Spark aggregates would propagate it.
+    def clean(f):
+        t = f.dataType.simpleString()
+        if t == "string":
+            return F.when(F.col(f.name).isin(*NULL_TOKENS), None).otherwise(F.col(f.name)).alias(f.name)
+        if t in ("double", "float"):
+            return nan_to_null(f.name).alias(f.name)
+        return F.col(f.name)
+    df = df.select(*[clean(f) for f in df.schema.fields])
     for c, t in (overrides or {}).items():
         df = df.withColumn(c, F.col(c).cast(t))
     if select:

@@ -10,7 +10,7 @@ from regpanel.sources import sinks as K
 
 def test_read_csv_null_tokens_and_override(spark, tmp_path):
     p = tmp_path / "a.csv"
-    p.write_text("anio,region,v,w\n2019,Norte,NA,1.5\n2020,,2,NA\n2021,NA,,3\n", encoding="utf-8")
+    p.write_text("anio,region,v,w\n2019,Norte,NA,1.5\n2020,,2,NaN\n2021,NA,,3\n", encoding="utf-8")
     df = R.read_csv(spark, str(p), schema="anio int, region string, v double, w double",
                     overrides={"anio": "string"})
     got = sorted(tuple(r) for r in df.collect())
