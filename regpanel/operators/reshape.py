@@ -81,9 +81,8 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     The (year, sector) header is forward-filled along columns and numbered
     by first appearance; a body column belongs to header group
     ``((col - first) div n_bands) mod n_groups + 1``.  All header tables hold
-    one row per sheet column; AQE broadcasts them when their measured size is
-    small, so the body cells are shuffled only for the join with their region
-    cell.
+    one row per sheet column and are broadcast after a bounded size check, so
+    the body cells are shuffled only for the join with their region cell.
     """
     fc = first_value_col
     c = cells.select("sheet", "row_idx", "col_idx", "value")
@@ -113,23 +112,25 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     else:
         nb = bands.select("sheet").distinct().withColumn("__nb", F.lit(n_bands))
 
-    # Header tables hold one row per sheet column (they grow with sheets x width),
-    # so no broadcast hint: AQE broadcasts them after measuring their runtime size.
-    body = (c.join(last_row, "sheet")
+    # Header tables hold one row per sheet column: they grow with sheets x width,
+    # so each is broadcast only after a bounded size check (otherwise a shuffle
+    # join).  Broadcasting them keeps the large body cells from being shuffled.
+    from regpanel.operators.joins import bounded_broadcast
+    body = (c.join(bounded_broadcast(last_row), "sheet")
              .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
     regions = (body.where(F.col("col_idx") == 1)
                    .select("sheet", "row_idx", F.col("value").alias("region")))
     vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value")
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
 
-    meta = nb.join(n_groups, "sheet").join(measure, "sheet")
+    meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet"))
     out = (vals.join(regions, ["sheet", "row_idx"], "left")
                .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
                .join(meta, "sheet")
-               .join(bands, ["sheet", "col_idx"])
+               .join(bounded_broadcast(bands), ["sheet", "col_idx"])
                .withColumn("group", (F.pmod(F.floor((F.col("col_idx") - fc) / F.col("__nb")),
                                             F.col("__ng")) + 1).cast("int"))
-               .join(groups, ["sheet", "group"]))
+               .join(bounded_broadcast(groups), ["sheet", "group"]))
     return out.select("sheet", "variable", "anio", "sector", "region", "tramo", cast.alias("value"))
 
 
