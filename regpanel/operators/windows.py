@@ -12,19 +12,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
-from regpanel.operators.joins import join
+from regpanel.operators.joins import bounded_broadcast, join
 
 
 def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-                    materialize: bool = False) -> DataFrame:
+                    materialize: bool = False, few_groups: bool = False) -> DataFrame:
     """Attach per-group aggregates to every row (row count preserved).
 
     ``df`` feeds both the aggregate and the join; with ``materialize`` it is
     written once to the checkpoint folder (reliable, lineage cut) so an
-    expensive upstream is not computed twice."""
+    expensive upstream is not computed twice.  ``few_groups`` broadcasts the
+    per-group table after a bounded size check (the rows are then never
+    shuffled); without ``materialize`` that check recomputes the upstream, so
+    by default AQE picks the join at runtime."""
     if materialize:
         df = df.checkpoint()
     g = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    if few_groups:
+        g = bounded_broadcast(g)
     return join(df, g, keys, "left", null_safe=True)
 
 
@@ -102,11 +107,13 @@ def block_cycle_ordinal(idx, block: int = BLOCK_BANDS, cycle: int = BLOCK_GROUPS
 
 
 def group_medians(df: DataFrame, keys: list[str], cols: dict[str, str],
-                  approx: bool = False, materialize: bool = False) -> DataFrame:
-    """mutate(m = median(x, na.rm = TRUE)) by group, for several columns."""
+                  approx: bool = False, materialize: bool = False, few_groups: bool = False) -> DataFrame:
+    """mutate(m = median(x, na.rm = TRUE)) by group, for several columns.
+    ``few_groups`` pays off together with ``materialize``: the size check then
+    reads the materialised rows instead of recomputing the upstream."""
     med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else (lambda c: F.median(c))
     return with_group_aggs(df, keys, {n: med(F.col(c)).cast("double") for n, c in cols.items()},
-                           materialize=materialize)
+                           materialize=materialize, few_groups=few_groups)
 
 
 def quadrant_label(x: Column, y: Column, mx: Column, my: Column,

@@ -368,7 +368,8 @@ def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
     quadrant label."""
     df = regional_panel(spark, d)
     q = W.group_medians(df.where(F.col("tramo") == band), ["pais"],
-                        {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"}, materialize=True)
+                        {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"},
+                        materialize=True, few_groups=True)
     lab = W.quadrant_label(F.col("ent_per_1000"), F.col("pbi_per_capita"), F.col("mediana_pyme"),
                            F.col("mediana_pbi"), QUADRANTS)
     return q.select("pais", "region", "anio", "sector", "ent_per_1000", "tasa_empleo_pyme", "pbi_per_capita",

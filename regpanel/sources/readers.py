@@ -115,7 +115,7 @@ def read_specs(facts: DataFrame, specs: list[DatasetSpec], regions: DataFrame,
                region_id: str = "NUTS_ID", region_name: str = "NUTS_NAME") -> DataFrame:
     """ONE scan for all specs: OR of the spec predicates (pushed to parquet),
     a when-chain naming the measure, inner join to the region list (broadcast
-    by AQE when small), distinct.  Output long: (anio, id_region, region, variable, value, unit)."""
+    after a bounded size check), distinct.  Output long: (anio, id_region, region, variable, value, unit)."""
     pred = None
     name = None
     for s in specs:
@@ -126,8 +126,10 @@ def read_specs(facts: DataFrame, specs: list[DatasetSpec], regions: DataFrame,
                                  name.alias("variable"), F.col(value_col).alias("value"),
                                  F.col(unit_col).alias("unit"))
     r = regions.select(F.col(region_id).alias("id_region"), F.col(region_name).alias("region"))
-    # the region list can grow with the data: AQE decides the broadcast at runtime
-    return (f.join(r, "id_region")
+    # the region list is broadcast only after a bounded size check, so the
+    # large fact side is never shuffled for this join when the list is small
+    from regpanel.operators.joins import bounded_broadcast
+    return (f.join(bounded_broadcast(r), "id_region")
              .select("anio", "id_region", "region", "variable", "value", "unit").distinct())
 
 
