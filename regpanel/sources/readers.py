@@ -142,3 +142,11 @@ def read_national_file(df: DataFrame, region_col: str, period_col: str, total_co
     return d.select(year_to_date(F.col(period_col.lower())).alias("anio"), name.alias("region"),
                     F.col(total_col.lower()).alias(var_name),
                     F.col(unit_col.lower()).alias(f"{var_name}_unidad"))
+
+
+def specs_from(table: list[tuple[str, str, dict]], geo: list[str] | None = None,
+               period: tuple[int, int] | None = None) -> list[DatasetSpec]:
+    """DatasetSpec list from (dataset id, measure name, filters) rows, e.g. the
+    country spec lists in :mod:`regpanel.constants`."""
+    return [DatasetSpec(ds, name, dict(f), period=period, geo=tuple(geo) if geo else None)
+            for ds, name, f in table]
