@@ -250,43 +250,65 @@ def hdi_table(spark, d, country_region: str) -> DataFrame:
     return sub.unionByName(nat)
 
 
-def control_panel_eu(spark, d, country: str, region_name: str, out_dir: str) -> DataFrame:
-    """PL8: spec list -> one filtered scan -> fold as one aggregation -> HDI
-    (column-pruned, filtered) joined on the transliterated region name and
-    the year; interim written next to the result."""
-    regions = control_regions(spark, d).where(F.col("CNTR_CODE") == country)
-    long = R.read_specs(control_facts(spark, d), CONTROL_SPECS, regions)
+def eu_controls(spark, facts: DataFrame, regions: DataFrame, specs: list[R.DatasetSpec],
+                interim_path: str | None = None) -> DataFrame:
+    """Spec list -> ONE filtered scan of the landed facts -> keyed fold as one
+    conditional aggregation -> (anio, id_region, region, <var>, <var>_unidad…).
+    Keys are checked unique first (a breakdown left in the facts would fan
+    out); the interim result is written next to the final one when asked."""
+    long = R.read_specs(facts, specs, regions)
     keys = ["anio", "id_region", "region"]
-    eu = J.fold_as_pivot(long, keys, "variable", ["value", "unit"], [s.var_name for s in CONTROL_SPECS],
-                         base=CONTROL_SPECS[0].var_name)
+    J.assert_unique(long, keys + ["variable"], "control facts")
+    eu = J.fold_as_pivot(long, keys, "variable", ["value", "unit"], [s.var_name for s in specs],
+                         base=specs[0].var_name)
     eu = eu.toDF(*[c.replace("_unit", "_unidad") for c in eu.columns])
-    eu = K.checkpoint_to(spark, eu, f"{out_dir}/interim_eurostat")
-    hdi = hdi_table(spark, d, region_name).select("Country", "Level", "Region", "Year", "shdi")
-    hdi = P.rename_with(hdi, str.lower)
-    hdi = hdi.where((F.col("country") == region_name) & (F.col("level") == "Subnat") & (F.col("year") > 1990))
+    return K.checkpoint_to(spark, eu, interim_path) if interim_path else eu
+
+
+def attach_hdi(eu: DataFrame, hdi_raw: DataFrame, country: str, after_year: int) -> DataFrame:
+    """Subnational index (Country, Level, Region, Year, shdi, …): column-pruned,
+    one country's subnational rows after ``after_year``, joined on (lower-cased
+    name, Jan-1 date).  The EU side's name is transliterated, the index side's
+    only lower-cased, as the source does."""
+    hdi = P.rename_with(hdi_raw.select("Country", "Level", "Region", "Year", "shdi"), str.lower)
+    hdi = hdi.where((F.col("country") == country) & (F.col("level") == "Subnat") & (F.col("year") > after_year))
     hdi = hdi.select(year_to_date("year").alias("anio"), F.lower("region").alias("__key"),
                      F.col("shdi").alias("hdi"), F.lit("Indice").alias("hdi_unidad"))
-    out = J.join(eu.withColumn("__key", translit_lower("region")), hdi, ["__key", "anio"], "left").drop("__key")
-    return out
+    return J.join(eu.withColumn("__key", translit_lower("region")), hdi, ["__key", "anio"], "left").drop("__key")
+
+
+def attach_national(base: DataFrame, national: DataFrame, rules: list[tuple[str, str]],
+                    corrected: bool = True) -> DataFrame:
+    """National file (anio, region, <var>, <var>_unidad) joined on the recoded,
+    normalised region name and the year.  ``corrected`` trims and
+    transliterates the recode targets (the source's rules leave a trailing
+    space and accents in four targets, so those never match)."""
+    rc = J.recode_contains("region", rules, default=translit_lower("region"))
+    key = translit_lower(F.trim(rc)) if corrected else F.lower(rc)
+    nat = national.withColumn("__key", key).drop("region")
+    # a national file with a breakdown (e.g. by sex) would fan the join out: check first
+    return J.join(base.withColumn("__key", translit_lower("region")), nat, ["__key", "anio"], "left",
+                  expect_unique_right=True).drop("__key")
+
+
+def control_panel_eu(spark, d, country: str, region_name: str, out_dir: str) -> DataFrame:
+    """PL8 on the driver-derived control facts: EU controls + HDI."""
+    regions = control_regions(spark, d).where(F.col("CNTR_CODE") == country)
+    eu = eu_controls(spark, control_facts(spark, d), regions, CONTROL_SPECS, f"{out_dir}/interim_eurostat")
+    return attach_hdi(eu, hdi_table(spark, d, region_name), region_name, 1990)
 
 
-# National-file region names -> the spelling used by the EU side.
+# National-file region names -> the spelling used by the EU side
+# (stand-in rules for the driver-derived nations; the source's own rules are
+# constants.ES_REGION_RECODE).
 NATIONAL_RECODE = [("NATION_1$", "NATION_1"), ("NATION_11", "Nation_11 "), ("NATION_6", "NATIÓN_6")]
 
 
 def control_panel_national(spark, d, country: str, region_name: str, out_dir: str,
                            national: DataFrame, corrected: bool = True) -> DataFrame:
-    """PL7: PL8 plus a national file joined on a recoded, normalised text key.
-    ``corrected`` trims and transliterates the recode targets (the source left
-    a trailing space and accents in four targets, so those never matched)."""
+    """PL7 on the driver-derived tables: PL8 plus a national file."""
     base = control_panel_eu(spark, d, country, region_name, out_dir)
-    rc = J.recode_contains("region", NATIONAL_RECODE, default=translit_lower("region"))
-    key = translit_lower(F.trim(rc)) if corrected else F.lower(rc)
-    nat = national.withColumn("__key", key).drop("region")
-    # a national file with a breakdown (e.g. by sex) would fan the join out: check first
-    out = J.join(base.withColumn("__key", translit_lower("region")), nat, ["__key", "anio"], "left",
-                 expect_unique_right=True).drop("__key")
-    return out
+    return attach_national(base, national, NATIONAL_RECODE, corrected)
 
 
 # ------------------------------------------------------------------ PL9 PL10

@@ -7,9 +7,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from regpanel.constants import CONTROL_PERIOD, ES_EU_SPECS, ES_NUTS2
-from regpanel.operators.joins import assert_unique, fold_as_pivot
-from regpanel.sources.readers import read_specs, specs_from
+from regpanel.constants import CONTROL_PERIOD, ES_EU_SPECS, ES_NUTS2, ES_REGION_RECODE
+from regpanel.plans.composites import attach_national, eu_controls
+from regpanel.sources.readers import specs_from
 
 UNITS = {"nama_10r_2hhinc": "EUR_HAB", "nama_10r_3gdp": "EUR_HAB", "demo_r_d3dens": "PER_KM2"}
 
@@ -40,11 +40,8 @@ def test_es_control_panel_shape(spark):
     regions = spark.createDataFrame([(g, f"Region {g}", "ES") for g in ES_NUTS2] + [("FR10", "Paris", "FR")],
                                     "NUTS_ID string, NUTS_NAME string, CNTR_CODE string")
     specs = specs_from(ES_EU_SPECS, geo=ES_NUTS2, period=CONTROL_PERIOD)
-    long = read_specs(facts, specs, regions.where(F.lower("CNTR_CODE") == "es"))
+    out = eu_controls(spark, facts, regions.where(F.lower("CNTR_CODE") == "es"), specs)
     keys = ["anio", "id_region", "region"]
-    assert_unique(long, keys + ["variable"])
-    out = fold_as_pivot(long, keys, "variable", ["value", "unit"], [s.var_name for s in specs], specs[0].var_name)
-    out = out.toDF(*[c.replace("_unit", "_unidad") for c in out.columns])
     assert out.columns == ["anio", "id_region", "region", "renta_media_hogar", "renta_media_hogar_unidad",
                            "pbi_per_capita", "pbi_per_capita_unidad", "densidad_pobl", "densidad_pobl_unidad"]
     assert out.count() == 19 * 16 == 304
@@ -53,3 +50,21 @@ def test_es_control_panel_shape(spark):
     assert nulls.count() == 19
     assert {r[0] for r in nulls.select(F.year("anio")).distinct().collect()} == {CONTROL_PERIOD[1]}
     assert out.where(F.col("densidad_pobl_unidad") != "PER_KM2").count() == 0
+
+
+def test_es_national_recode_as_is_loses_four_regions(spark):
+    """D5: with the source's recode rules, targets with a trailing space or with
+    accents left in never match the transliterated EU names."""
+    eu = spark.createDataFrame(
+        [(datetime.date(2020, 1, 1), n) for n in ["Illes Balears", "Región de Murcia", "Ciudad Autónoma de Ceuta",
+                                                  "Ciudad Autónoma de Melilla", "Comunidad de Madrid", "Galicia"]],
+        "anio date, region string")
+    nat = spark.createDataFrame(
+        [(datetime.date(2020, 1, 1), n, float(i), "tasa") for i, n in enumerate(
+            ["Balears, Illes", "Murcia, Región de", "Ceuta", "Melilla", "Madrid, Comunidad de", "Galicia"])],
+        "anio date, region string, tasa_pobreza double, tasa_pobreza_unidad string")
+    as_is = attach_national(eu, nat, ES_REGION_RECODE, corrected=False)
+    fixed = attach_national(eu, nat, ES_REGION_RECODE, corrected=True)
+    missing = sorted(r["region"] for r in as_is.where(F.col("tasa_pobreza").isNull()).collect())
+    assert missing == ["Ciudad Autónoma de Ceuta", "Ciudad Autónoma de Melilla", "Illes Balears", "Región de Murcia"]
+    assert fixed.where(F.col("tasa_pobreza").isNull()).count() == 0
