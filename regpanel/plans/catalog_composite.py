@@ -71,7 +71,7 @@ SELECT anio, region, tramo, sector,
   {sql_sig(f"emp / nullif({strict('emp')}, 0)")} AS contribucion_empleo,
   {sql_sig(f"valor_total / nullif({strict('valor_total')}, 0)")} AS contribucion_vtas,
   {sql_sig(net)} AS contribucion_sal_neto,
-  numero_empresas, emp AS trabajadores, valor_total, {sql_sig('fmh')} AS sal_neto
+  numero_empresas, emp AS trabajadores, valor_total AS ventas, {sql_sig('fmh')} AS sal_neto
 FROM p WINDOW w AS (PARTITION BY anio, region)""")
 
 

@@ -62,15 +62,29 @@ def territories(spark, d):
                     F.col("user_id").cast("double").alias("area"))
 
 
+def series_wide_from(facts: DataFrame, territories: DataFrame, names: dict[str, str],
+                     density: tuple[str, str, str] | None = None, level: str = "States") -> DataFrame:
+    """PL3 core: series facts (code, date, value, uname, tcode) filtered to one
+    territory level (a single scan over all codes), joined to the territories
+    (tcode, tname, area) on the text code, pivoted to one column per code
+    (duplicates raise), renamed by ``names`` (code -> column), plus
+    ``density = (name, numerator, denominator)`` as a NULL-safe ratio."""
+    f = (facts.where(F.col("code").isin(list(names)) & (F.col("uname") == level))
+              .withColumn("tcode", F.col("tcode").cast("string")))
+    j = J.join(f, territories.withColumn("tcode", F.col("tcode").cast("string")), ["tcode"], "inner")
+    wide = pivot_wider(j, ["date", "tname", "area"], "code", "value", values=list(names))
+    wide = P.rename(wide, {"date": "anio", "tname": "region", "area": "area_km2", **names})
+    if density:
+        name, num, den = density
+        wide = wide.withColumn(name, r_div(num, den))
+    return wide
+
+
 def series_wide(spark, d) -> DataFrame:
-    """PL3: per-code series filtered to state level, joined to territories on
-    the text code, stacked, pivoted to one column per code, renamed, density."""
-    f = series_facts(spark, d).withColumn("tcode", F.col("tcode").cast("string")).where(F.col("uname") == "States")
-    t = territories(spark, d)
-    j = J.join(f, t, ["tcode"], "inner")
-    wide = pivot_wider(j, ["date", "tname", "area"], "code", "value", values=list(SERIES_NAMES))
-    wide = P.rename(wide, {"date": "anio", "tname": "region", "area": "area_km2", **SERIES_NAMES})
-    return wide.withColumn("densidad", r_div("compras", "area_km2"))
+    """PL3 on the driver-derived series (the source's codes are
+    constants.BR_SERIES, with density = pobl_total / area_km2)."""
+    return series_wide_from(series_facts(spark, d), territories(spark, d), SERIES_NAMES,
+                            density=("densidad", "compras", "area_km2"))
 
 
 # ------------------------------------------------------------------ PL4
@@ -104,27 +118,42 @@ def natural_merge(files: list[DataFrame]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PL5
-def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_REGION) -> DataFrame:
-    """PL5: contribution shares within (year, region), after dropping the
-    'no information' region (NULL regions drop too, as with R's filter)."""
-    p = p.where(F.col("region") != no_info)
-    f, m, h = F.col("valor_total"), F.col("salario_medio"), F.col("pedidos")
-    g = W.with_group_aggs(p.withColumn("__fmh", f + m + h).withColumn("__emp", F.col("pedidos") + F.col("pessoal_ocupado")),
-                          ["anio", "region"],
-                          {"__t_po": F.sum("numero_empresas"), "__ok_po": F.count("numero_empresas") == F.count(F.lit(1)),
-                           "__t_emp": F.sum("__emp"), "__ok_emp": F.count("__emp") == F.count(F.lit(1)),
-                           "__t_v": F.sum("valor_total"), "__ok_v": F.count("valor_total") == F.count(F.lit(1)),
-                           "__t_fmh": F.sum("__fmh"), "__ok_fmh": F.count("__fmh") == F.count(F.lit(1))})
-    def sh(x, t, ok):
-        return F.when(F.col(ok), r_div(x, t))
-    return g.select("anio", "region", "tramo", "sector",
-                    sh("numero_empresas", "__t_po", "__ok_po").alias("contribucion_po"),
-                    sh("__emp", "__t_emp", "__ok_emp").alias("contribucion_empleo"),
-                    sh("valor_total", "__t_v", "__ok_v").alias("contribucion_vtas"),
+def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_REGION,
+                keys: tuple[str, str] = ("anio", "region"), band: str = "tramo", extra: tuple[str, ...] = ("sector",),
+                firms: str = "numero_empresas", workers: tuple[str, str] = ("pedidos", "pessoal_ocupado"),
+                sales: str = "valor_total", pay: tuple[str, str, str] = ("valor_total", "salario_medio", "pedidos"),
+                text_numeric: tuple[str, ...] = ()) -> DataFrame:
+    """PL5: contribution shares within (year, region) after dropping the
+    'no information' region (NULL regions drop too, as with R's filter).
+
+    Roles: ``firms`` count, two ``workers`` columns summed, ``sales``, three
+    ``pay`` columns (f, m, h) for the net-pay share (``corrected`` adds the
+    missing parentheses); ``text_numeric`` columns are parsed leniently first.
+    Shares are strict: one NULL in the group makes the group's shares NULL."""
+    from regpanel.functions.exprs import as_num
+    year, region = keys
+    p = p.where(F.col(region) != no_info)
+    if text_numeric:
+        p = p.select(*[as_num(c).alias(c) if c in set(text_numeric) else F.col(c) for c in p.columns])
+    f, m, h = (F.col(c) for c in pay)
+    d = p.withColumn("__fmh", f + m + h).withColumn("__emp", F.col(workers[0]) + F.col(workers[1]))
+    parts = {"po": firms, "emp": "__emp", "v": sales, "fmh": "__fmh"}
+    aggs = {}
+    for k, c in parts.items():
+        aggs[f"__t_{k}"] = F.sum(c)
+        aggs[f"__ok_{k}"] = F.count(c) == F.count(F.lit(1))
+    g = W.with_group_aggs(d, [year, region], aggs)
+
+    def sh(x, k):
+        return F.when(F.col(f"__ok_{k}"), r_div(x, f"__t_{k}"))
+    return g.select(year, region, band, *extra,
+                    sh(firms, "po").alias("contribucion_po"),
+                    sh("__emp", "emp").alias("contribucion_empleo"),
+                    sh(sales, "v").alias("contribucion_vtas"),
                     W.net_pay_share(f, m, h, F.when(F.col("__ok_fmh"), F.col("__t_fmh")), corrected)
                     .alias("contribucion_sal_neto"),
-                    "numero_empresas", F.col("__emp").alias("trabajadores"), "valor_total",
-                    F.col("__fmh").alias("sal_neto"))
+                    F.col(firms).alias("numero_empresas"), F.col("__emp").alias("trabajadores"),
+                    F.col(sales).alias("ventas"), F.col("__fmh").alias("sal_neto"))
 
 
 # ------------------------------------------------------------------ PL6
