@@ -68,3 +68,39 @@ def test_es_national_recode_as_is_loses_four_regions(spark):
     missing = sorted(r["region"] for r in as_is.where(F.col("tasa_pobreza").isNull()).collect())
     assert missing == ["Ciudad Autónoma de Ceuta", "Ciudad Autónoma de Melilla", "Illes Balears", "Región de Murcia"]
     assert fixed.where(F.col("tasa_pobreza").isNull()).count() == 0
+
+
+def test_chile_shares_with_source_columns(spark):
+    """Fixture §5 shape: text numerics with '*', a 'Sin Información' region and a
+    NULL region (both dropped), one poisoned (year, region) group, one complete."""
+    from regpanel.plans.composites import share_panel
+    cols = ("ano_comercial int, region_del_domicilio_o_casa_matriz string, tramo_segun_ventas_5_tramos string, "
+            "numero_de_empresas double, numero_de_trabajadores_dependientes_informados double, "
+            "numero_de_trabajadores_a_honorarios_informados double, ventas_anuales_en_uf string, "
+            "renta_neta_informada_en_uf_trabajadores_de_genero_femenino string, "
+            "renta_neta_informada_en_uf_trabajadores_de_genero_masculino string, "
+            "honorarios_pagados_informados_en_uf string")
+    rows = [(2020, "Maule", "Micro", 30.0, 10.0, 2.0, "100", "10", "20", "10"),
+            (2020, "Maule", "Pequeña", 10.0, 20.0, 8.0, "300", "30", "40", "30"),
+            (2020, "Biobío", "Micro", 5.0, 1.0, 1.0, "*", "1", "1", "1"),
+            (2020, "Biobío", "Pequeña", 5.0, 1.0, 1.0, "50", "1", "1", "1"),
+            (2020, "Sin Información", "Micro", 1.0, 1.0, 1.0, "1", "1", "1", "1"),
+            (2020, None, "Micro", 1.0, 1.0, 1.0, "1", "1", "1", "1")]
+    df = spark.createDataFrame(rows, cols)
+    f, m, h = ("renta_neta_informada_en_uf_trabajadores_de_genero_femenino",
+               "renta_neta_informada_en_uf_trabajadores_de_genero_masculino", "honorarios_pagados_informados_en_uf")
+    out = share_panel(df, keys=("ano_comercial", "region_del_domicilio_o_casa_matriz"),
+                      band="tramo_segun_ventas_5_tramos", extra=(), firms="numero_de_empresas",
+                      workers=("numero_de_trabajadores_dependientes_informados",
+                               "numero_de_trabajadores_a_honorarios_informados"),
+                      sales="ventas_anuales_en_uf", pay=(f, m, h),
+                      text_numeric=("ventas_anuales_en_uf", f, m, h), no_info="Sin Información")
+    got = {(r[1], r[2]): r for r in out.collect()}
+    assert set(k[0] for k in got) == {"Maule", "Biobío"}
+    maule = got[("Maule", "Micro")]
+    assert maule["contribucion_po"] == 0.75 and maule["contribucion_vtas"] == 0.25
+    assert maule["contribucion_empleo"] == 12.0 / 40.0
+    assert maule["contribucion_sal_neto"] == 10 + 20 + 10 / 140.0    # as-is: missing parentheses
+    assert got[("Biobío", "Micro")]["contribucion_vtas"] is None       # '*' poisons the group
+    assert got[("Biobío", "Pequeña")]["contribucion_vtas"] is None
+    assert got[("Biobío", "Micro")]["contribucion_po"] == 0.5
