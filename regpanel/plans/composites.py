@@ -205,22 +205,23 @@ def code_mapper(spark) -> DataFrame:
     return a.unionByName(b).distinct()
 
 
-def indicator_panel(spark, d, out_path: str, countries_kept=("europe", "asia")) -> DataFrame:
-    """PL6: facts -> country code -> inner joins to the listed countries and
-    the region names -> distinct (collapses parent/child codes) -> code
-    mapping -> pivot -> sanitised names -> band recode -> year text -> one
-    output per country."""
-    facts = business_facts(spark, d).withColumn("country_code", F.substring("geo", 1, 2))
-    countries, geo = business_dims(spark, d)
+def indicator_panel_from(spark, facts: DataFrame, countries: DataFrame, geo: DataFrame, mapper: DataFrame,
+                         codes: list[str], out_path: str, countries_kept=("italy", "spain")) -> DataFrame:
+    """PL6 core.  facts (indic_sb, sizeclas, geo, TIME_PERIOD, values) -> country
+    code = first two letters of geo -> inner join to the kept countries (code,
+    name, label; case-insensitive label) and to the region names (id,
+    NUTS_NAME) -> distinct (collapses parent/child codes with one name and
+    value) -> code mapping (hist, new; unmapped codes kept) -> pivot on the
+    explicit ``codes`` -> sanitised names -> band recode -> year text -> one
+    output folder per country."""
+    facts = facts.withColumn("country_code", F.substring("geo", 1, 2))
     cs = J.bounded_broadcast(countries.where(F.lower("label").isin(list(countries_kept)))
                              .select("code", F.col("name").alias("pais")))
     j = J.join(facts, cs, {"country_code": "code"}, "inner")
     j = J.join(j, J.bounded_broadcast(geo.select("id", F.col("NUTS_NAME").alias("region"))), {"geo": "id"}, "inner")
     u = j.select("pais", "region", "TIME_PERIOD", "indic_sb", "sizeclas", "values").distinct()
-    # the mapper is built from fixed literal lists: bounded by construction
-    u = J.join(u, F.broadcast(code_mapper(spark)), {"indic_sb": "hist"}, "left")
+    u = J.join(u, J.bounded_broadcast(mapper.select("hist", "new")), {"indic_sb": "hist"}, "left")
     u = u.withColumn("variables", F.coalesce("new", "indic_sb"))
-    codes = ["ENT_NR", "EMP_NR", "V97020"]
     wide = pivot_wider(u, ["pais", "region", "sizeclas", "TIME_PERIOD"], "variables", "values", values=codes)
     wide = P.rename_with(wide, sanitize_name)
     wide = P.rename(wide, {"sizeclas": "tramo"}).withColumn("tramo", band_recode("tramo"))
@@ -230,6 +231,13 @@ def indicator_panel(spark, d, out_path: str, countries_kept=("europe", "asia"))
     return spark.read.option("basePath", out_path).parquet(out_path).drop(key)
 
 
+def indicator_panel(spark, d, out_path: str, countries_kept=("europe", "asia")) -> DataFrame:
+    """PL6 on the driver-derived business facts."""
+    countries, geo = business_dims(spark, d)
+    return indicator_panel_from(spark, business_facts(spark, d), countries, geo, code_mapper(spark),
+                                ["ENT_NR", "EMP_NR", "V97020"], out_path, countries_kept)
+
+
 # ------------------------------------------------------------------ PL7 PL8
 def control_facts(spark, d) -> DataFrame:
     """Nation-level long control facts (dataset, geo, time, values, unit, sex)."""
