@@ -104,3 +104,48 @@ def test_chile_shares_with_source_columns(spark):
     assert got[("Biobío", "Micro")]["contribucion_vtas"] is None       # '*' poisons the group
     assert got[("Biobío", "Pequeña")]["contribucion_vtas"] is None
     assert got[("Biobío", "Micro")]["contribucion_po"] == 0.5
+
+
+def test_crosstab_full_width_block_cycle(spark):
+    """Full source width: 336 (year, sector) blocks x 9 bands = 3,024 value
+    columns, 27 regions; every value cell must land in its own block."""
+    from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
+    from regpanel.operators.reshape import crosstab_normalise
+    years, sectors = 16, 21                       # 16 x 21 = 336 blocks
+    assert years * sectors == BLOCK_GROUPS
+    n_cols, n_reg = BLOCK_GROUPS * BLOCK_BANDS, 27
+    cols = spark.range(n_cols).select((F.col("id") + 3).cast("int").alias("col_idx"),
+                                      (F.col("id") / BLOCK_BANDS).cast("int").alias("g"),
+                                      (F.col("id") % BLOCK_BANDS).cast("int").alias("b"))
+    year = (F.floor(F.col("g") / sectors) + 2000).cast("string")
+    sector = F.concat(F.lit("S"), F.lpad((F.col("g") % sectors).cast("string"), 2, "0"))
+    head3 = cols.where((F.col("b") == 0) & (F.col("g") % sectors == 0)).select(
+        F.lit("T1").alias("sheet"), F.lit(3).alias("row_idx"), "col_idx", year.alias("value"))
+    head4 = cols.where(F.col("b") == 0).select(F.lit("T1").alias("sheet"), F.lit(4).alias("row_idx"), "col_idx",
+                                               sector.alias("value"))
+    head5 = cols.select(F.lit("T1").alias("sheet"), F.lit(5).alias("row_idx"), "col_idx",
+                        F.concat(F.lit("B"), F.col("b").cast("string")).alias("value"))
+    regs = spark.range(n_reg).select((F.col("id") + 6).cast("int").alias("row_idx"))
+    reg_cells = regs.select(F.lit("T1").alias("sheet"), "row_idx", F.lit(1).alias("col_idx"),
+                            F.concat(F.lit("R"), F.col("row_idx").cast("string")).alias("value"))
+    cell = spark.range(n_reg * n_cols).select((F.floor(F.col("id") / n_cols) + 6).cast("int").alias("row_idx"),
+                                              (F.col("id") % n_cols + 3).cast("int").alias("col_idx"))
+    body = cell.select(F.lit("T1").alias("sheet"), "row_idx", "col_idx",
+                       (F.col("row_idx") * 100000 + F.col("col_idx")).cast("string").alias("value"))
+    title = spark.createDataFrame([("T1", 1, 1, "Variável - Pessoal ocupado total (pessoas)"),
+                                   ("T1", n_reg + 6, 1, "Fonte: nota")], "sheet string, row_idx int, col_idx int, value string")
+    cells = title
+    for part in (head3, head4, head5, reg_cells, body):
+        cells = cells.unionByName(part)
+    out = crosstab_normalise(cells)
+    assert out.count() == n_cols * n_reg
+    # the value encodes (row, col): recompute the expected block labels from it
+    col = (F.col("value") % 100000) - 3
+    g = F.floor(col / BLOCK_BANDS)
+    exp_year = (F.floor(g / sectors) + 2000).cast("string")
+    exp_sector = F.concat(F.lit("S"), F.lpad((g % sectors).cast("string"), 2, "0"))
+    exp_band = F.concat(F.lit("B"), (col % BLOCK_BANDS).cast("string"))
+    bad = out.where((F.col("anio") != exp_year) | (F.col("sector") != exp_sector) | (F.col("tramo") != exp_band)
+                    | (F.col("region") != F.concat(F.lit("R"), F.floor(F.col("value") / 100000).cast("string"))))
+    assert bad.count() == 0
+    assert out.select("variable").distinct().first()[0] == "pessoal_ocupado_total_pessoas"
