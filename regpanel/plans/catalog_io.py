@@ -201,3 +201,19 @@ def national_file_reader(spark, d):
     raw = R.read_csv_european(spark, path, numeric=["Total"])
     return R.read_national_file(raw, "Comunidades y ciudades autónomas", "Periodo", "Total",
                                 "Tipo de moneda", "ventas")
+
+
+_SPEC_SQL = f"""WITH {_FACTS_SQL}
+SELECT DISTINCT f.time AS anio, f.geo AS id_region, r.NUTS_NAME AS region,
+  CASE f.dataset WHEN 'purchase' THEN 'compras' WHEN 'click' THEN 'clics' ELSE 'vistas' END AS variable,
+  f."values" AS value, f.unit FROM facts f JOIN regions r ON f.geo = r.NUTS_ID
+WHERE f.dataset IN ('purchase', 'click', 'view') AND f.unit = 'EUR' AND year(f.time) BETWEEN 2008 AND 2030"""
+
+
+@query("dataset_spec_reader_partitioned", _SPEC_SQL)
+def dataset_spec_reader_partitioned(spark, d):
+    """Facts landed partitioned by dataset; the spec predicates prune the
+    partitions at the scan."""
+    path = scratch(spark, "facts_by_dataset")
+    K.land_long_facts(long_facts(spark, d), path)
+    return R.read_specs(spark.read.parquet(path), SPECS, user_regions(spark, d))

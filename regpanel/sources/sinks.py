@@ -36,3 +36,9 @@ def checkpoint_to(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     and survives executor loss (reliable storage, not local checkpoints)."""
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def land_long_facts(df: DataFrame, path: str, partition_col: str = "dataset", mode: str = "overwrite") -> None:
+    """Land long coded facts partitioned by dataset id, so every spec read
+    prunes whole partitions (PartitionFilters) before any file is opened."""
+    df.write.mode(mode).partitionBy(partition_col).parquet(path)
