@@ -26,6 +26,8 @@ def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
     shuffled); without ``materialize`` that check recomputes the upstream, so
     by default AQE picks the join at runtime."""
     if materialize:
+        from regpanel.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()
     g = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
     if few_groups:
