@@ -67,7 +67,8 @@ def pivot_duplicates(df: DataFrame, id_cols: list[str], names_from: str) -> Data
 
 
 def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int | None = None,
-                       value_type: str = "int", region_label: str = "region") -> DataFrame:
+                       value_type: str = "int", region_label: str = "region",
+                       blank_region: str = "label") -> DataFrame:
     """Normalise two-level crosstab sheets held as a cells table
     ``(sheet, row_idx, col_idx, value)`` (1-based) into a long panel
     ``(sheet, variable, anio, sector, region, tramo, value)``.
@@ -79,7 +80,10 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     column 2 is ignored.
 
     The (year, sector) header is forward-filled along columns and numbered
-    by first appearance; a body column belongs to header group
+    by first appearance.  A body row with a blank region cell gets the
+    literal ``region_label`` (``blank_region="label"``, the source's
+    behaviour), the region of the nearest row above (``"ffill"``), or raises
+    (``"reject"``).  A body column belongs to header group
     ``((col - first) div n_bands) mod n_groups + 1``.  All header tables hold
     one row per sheet column and are broadcast after a bounded size check, so
     the body cells are shuffled only for the join with their region cell.
@@ -124,6 +128,16 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
 
     meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet"))
+    if blank_region == "ffill":
+        rows = vals.select("sheet", "row_idx").distinct().join(regions, ["sheet", "row_idx"], "left")
+        w = Window.partitionBy("sheet").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
+        regions = rows.select("sheet", "row_idx", F.last("region", ignorenulls=True).over(w).alias("region"))
+    elif blank_region == "reject":
+        blank = (vals.select("sheet", "row_idx").distinct()
+                     .join(regions.where(F.col("region").isNotNull()), ["sheet", "row_idx"], "left_anti")
+                     .limit(1).count())
+        if blank:
+            raise ValueError("crosstab_normalise: body row without a region cell")
     out = (vals.join(regions, ["sheet", "row_idx"], "left")
                .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
                .join(meta, "sheet")

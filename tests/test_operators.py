@@ -271,3 +271,12 @@ def test_tail_with_null_keys(spark):
     df = spark.createDataFrame([(None,), (3,), (1,), (None,), (2,)], "k int")
     assert [r[0] for r in L.tail_n(df, "k", 2).collect()] == [2, 3]
     assert [r[0] for r in L.head_n(df, "k", 3).collect()] == [None, None, 1]
+
+
+def test_crosstab_blank_region_modes(spark):
+    cells = _cells(spark)
+    ff = crosstab_normalise(cells, blank_region="ffill")
+    assert ff.where("region = 'region'").count() == 0
+    assert ff.where("region = 'Sul'").count() == 16  # row 8 takes the region of row 7
+    with pytest.raises(ValueError):
+        crosstab_normalise(cells, blank_region="reject")
