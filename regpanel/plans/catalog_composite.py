@@ -42,14 +42,17 @@ def pl_series_wide(spark, d):
     return sig_all(C.series_wide(spark, d), ["densidad"])
 
 
-@query("pl_natural_merge", """WITH f AS (SELECT event_type AS ind, CAST(ts AS DATE) AS anio,
+PL4_SQL = """WITH f AS (SELECT event_type AS ind, CAST(ts AS DATE) AS anio,
   'Dpto ' || CAST(user_id AS VARCHAR) AS departamento, sum(CAST(value AS DECIMAL(18,2))) AS v
   FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY ALL),
 g AS (SELECT ind, anio, departamento, CASE WHEN v < 2 THEN NULL ELSE CAST(v AS DOUBLE) END AS v FROM f)
 SELECT c.anio, c.departamento, c.v AS click, p.v AS purchase, w.v AS view
 FROM (SELECT * FROM g WHERE ind = 'click') c
 LEFT JOIN (SELECT * FROM g WHERE ind = 'purchase') p ON c.anio = p.anio AND c.departamento = p.departamento
-LEFT JOIN (SELECT * FROM g WHERE ind = 'view') w ON c.anio = w.anio AND c.departamento = w.departamento""")
+LEFT JOIN (SELECT * FROM g WHERE ind = 'view') w ON c.anio = w.anio AND c.departamento = w.departamento"""
+
+
+@query("pl_natural_merge", PL4_SQL)
 def pl_natural_merge(spark, d):
     files = [C.indicator_file(spark, d, i) for i in C.NATURAL_FILES]
     return C.natural_merge(files)
@@ -58,6 +61,17 @@ def pl_natural_merge(spark, d):
 NO_INFO_STAND_IN = "NATION_0"  # the panel region playing "no information"
 
 
+@query("pl_natural_merge_folder", PL4_SQL)
+def pl_natural_merge_folder(spark, d):
+    """The indicator files landed in one folder (one file per indicator), merged
+    from a single scan."""
+    root = scratch(spark, "pl4_folder")
+    for ind in C.NATURAL_FILES:
+        C.indicator_file(spark, d, ind).write.mode("overwrite").parquet(f"{root}/{ind}.parquet")
+    return C.natural_merge_folder(spark, f"{root}/*.parquet", ["anio", "Departamento"],
+                                  rename={"Año": "anio"}, name_from="dir")
+
+
 def _share_sql(corrected: bool) -> str:
     def strict(x):
         return f"CASE WHEN count({x}) OVER w = count(*) OVER w THEN sum({x}) OVER w END"

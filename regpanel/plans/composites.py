@@ -117,6 +117,37 @@ def natural_merge(files: list[DataFrame]) -> DataFrame:
     return P.parse_guess(m)
 
 
+def natural_merge_folder(spark, path: str, keys: list[str], fmt: str = "parquet",
+                         indicator_col: str = "Indicador", value_col: str = "Valor",
+                         drop: tuple[str, ...] = ("Sector",), rename: dict | None = None,
+                         name_from: str = "file") -> DataFrame:
+    """PL4 at scale: ONE scan of the folder of indicator files.  Each file must
+    hold exactly one indicator (checked in one aggregation); the base of the
+    left-join chain is the alphabetically first file; the chain itself is one
+    conditional aggregation restricted to the base file's keys (keys checked
+    unique), then SIN DATOS -> NULL and the type guess.  ``name_from="dir"``
+    names each input by its parent folder (Spark-written datasets)."""
+    df = spark.read.format(fmt).load(path).withColumn("__file", F.col("_metadata.file_path"))
+    part = (r"/([^/]+)/[^/]+$" if name_from == "dir" else r"/([^/]+)$")
+    stem = F.regexp_extract(F.regexp_extract("__file", part, 1), r"^(.*?)(\.[^.]*)?$", 1)
+    per_file = df.groupBy(stem.alias("__stem")).agg(
+        F.count_distinct(indicator_col).alias("__n"), F.min(indicator_col).alias("__ind"))
+    files = per_file.orderBy("__stem").limit(10_001).collect()
+    if len(files) > 10_000:
+        raise ValueError("natural_merge_folder: more than 10000 files")
+    if any(r["__n"] != 1 for r in files):
+        raise ValueError("natural_merge_folder: a file holds more than one indicator")
+    indicators = list(dict.fromkeys(r["__ind"] for r in files))
+    d = df.drop("__file", *drop)
+    if rename:
+        d = d.withColumnsRenamed(rename)
+    J.assert_unique(d, keys + [indicator_col], "indicator files")
+    wide = J.fold_as_pivot(d, keys, indicator_col, [value_col], indicators, base=indicators[0])
+    wide = P.rename_with(wide, sanitize_name)
+    wide = wide.select(*[missing_token(c).alias(c) for c in wide.columns])
+    return P.parse_guess(wide)
+
+
 # ------------------------------------------------------------------ PL5
 def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_REGION,
                 keys: tuple[str, str] = ("anio", "region"), band: str = "tramo", extra: tuple[str, ...] = ("sector",),
