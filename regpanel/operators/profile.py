@@ -76,3 +76,28 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
                                 *[vals[k].alias(k) for k, _ in FIELDS]))
     agg = df.groupBy(*group).agg(F.array(*structs).alias("__p"))
     return agg.select(*group, F.explode("__p").alias("__s")).select(*group, "__s.*")
+
+
+def factor_profile(df: DataFrame, cols: list[str], top: int = 4, ordered: dict[str, bool] | None = None,
+                   group: list[str] | None = None) -> DataFrame:
+    """skim's factor block: per (group, column) the number of distinct levels,
+    the ordered flag, and the ``top`` most frequent levels with their counts
+    (rank 1 = most frequent, ties by level).  One count per (column, level)
+    after unpivoting; the ranking window runs over distinct levels only."""
+    from pyspark.sql import Window
+    group = list(group or [])
+    ordered = ordered or {}
+    long = df.select(*group, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("skim_variable"), F.col(c).cast("string").alias("level")) for c in cols]))
+        .alias("__f")).select(*group, "__f.*").where(F.col("level").isNotNull())
+    counts = long.groupBy(*group, "skim_variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*group, "skim_variable").orderBy(F.col("n").desc(), F.col("level"))
+    wn = Window.partitionBy(*group, "skim_variable")
+    ranked = counts.select(*group, "skim_variable", "level", "n", F.row_number().over(w).alias("rank"),
+                           F.count(F.lit(1)).over(wn).alias("n_unique"))
+    flag = F.lit(False)
+    for c, o in ordered.items():
+        flag = F.when(F.col("skim_variable") == c, F.lit(o)).otherwise(flag)
+    return ranked.where(F.col("rank") <= top).select(
+        *group, "skim_variable", flag.alias("ordered"), F.col("n_unique").cast("bigint"),
+        F.col("rank").cast("int"), "level", F.col("n").cast("bigint"))

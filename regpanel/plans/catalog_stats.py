@@ -331,3 +331,16 @@ def linear_fit_band(spark, d):
     fits = A.linear_fit(li, ["l_returnflag"], "l_quantity", "l_extendedprice")
     pts = li.select("l_returnflag", "l_quantity").distinct()
     return sig_all(A.fit_band(fits, pts, ["l_returnflag"], "l_quantity", T_975_LARGE_N))
+
+
+@query("profile_factor", """WITH l AS (SELECT 'o_orderpriority' AS skim_variable, o_orderpriority AS level FROM orders
+  UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders),
+c AS (SELECT skim_variable, level, count(*) AS n FROM l WHERE level IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY skim_variable ORDER BY n DESC, level) AS rank,
+  count(*) OVER (PARTITION BY skim_variable) AS n_unique FROM c)
+SELECT skim_variable, skim_variable = 'o_orderpriority' AS ordered, CAST(n_unique AS BIGINT) AS n_unique,
+  CAST(rank AS INTEGER) AS rank, level, CAST(n AS BIGINT) AS n FROM r WHERE rank <= 4""")
+def profile_factor(spark, d):
+    from regpanel.operators.profile import factor_profile
+    o = table(spark, d, "orders")
+    return factor_profile(o, ["o_orderpriority", "o_orderstatus"], top=4, ordered={"o_orderpriority": True})
