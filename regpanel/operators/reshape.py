@@ -120,14 +120,15 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     # so each is broadcast only after a bounded size check (otherwise a shuffle
     # join).  Broadcasting them keeps the large body cells from being shuffled.
     from regpanel.operators.joins import bounded_broadcast
-    body = (c.join(bounded_broadcast(last_row), "sheet")
+    # one per-sheet table: measure name, band count, group count, last row
+    meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet").join(last_row, "sheet"))
+    body = (c.join(meta, "sheet")
              .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
     regions = (body.where(F.col("col_idx") == 1)
                    .select("sheet", "row_idx", F.col("value").alias("region")))
-    vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value")
+    vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value",
+                                                     "variable", "__nb", "__ng")
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
-
-    meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet"))
     if blank_region == "ffill":
         rows = vals.select("sheet", "row_idx").distinct().join(regions, ["sheet", "row_idx"], "left")
         w = Window.partitionBy("sheet").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
@@ -140,7 +141,6 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
             raise ValueError("crosstab_normalise: body row without a region cell")
     out = (vals.join(regions, ["sheet", "row_idx"], "left")
                .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
-               .join(meta, "sheet")
                .join(bounded_broadcast(bands), ["sheet", "col_idx"])
                .withColumn("group", (F.pmod(F.floor((F.col("col_idx") - fc) / F.col("__nb")),
                                             F.col("__ng")) + 1).cast("int"))
