@@ -149,3 +149,32 @@ def test_crosstab_full_width_block_cycle(spark):
                     | (F.col("region") != F.concat(F.lit("R"), F.floor(F.col("value") / 100000).cast("string"))))
     assert bad.count() == 0
     assert out.select("variable").distinct().first()[0] == "pessoal_ocupado_total_pessoas"
+
+
+def test_brazil_series_wide(spark):
+    """Fixture §4 shape: 9 series codes, state level only, a sparse population
+    series, a zero area (density NULL), one duplicate cell (pivot raises)."""
+    import pytest as _pt
+    from regpanel.constants import BR_SERIES
+    from regpanel.plans.composites import series_wide_from
+    rows = []
+    for code in BR_SERIES:
+        for t in (11, 12, 13):
+            for y in (2019, 2020):
+                if code == "ADH12_POPTOT" and y == 2019:
+                    continue                                   # sparse population
+                rows.append((code, datetime.date(y, 1, 1), float(t * 10 + y % 10), "States", t))
+        rows.append((code, datetime.date(2020, 1, 1), 1.0, "Municipalities", 11))   # other level
+    facts = spark.createDataFrame(rows, "code string, date date, value double, uname string, tcode int")
+    terr = spark.createDataFrame([("11", "Rondônia", 200.0), ("12", "Acre", 0.0), ("13", "Amazonas", 1500.0)],
+                                 "tcode string, tname string, area double")
+    out = series_wide_from(facts, terr, BR_SERIES, density=("densidad_pobl", "pobl_total", "area_km2"))
+    assert out.columns == ["anio", "region", "area_km2", *BR_SERIES.values(), "densidad_pobl"]
+    got = {(r["region"], r["anio"].year): r for r in out.collect()}
+    assert len(got) == 6
+    assert got[("Rondônia", 2019)]["pobl_total"] is None and got[("Rondônia", 2019)]["densidad_pobl"] is None
+    assert got[("Acre", 2020)]["densidad_pobl"] is None              # zero area
+    assert got[("Amazonas", 2020)]["densidad_pobl"] == 130.0 / 1500.0
+    dup = facts.unionByName(facts.limit(1))
+    with _pt.raises(ValueError):
+        series_wide_from(dup, terr, BR_SERIES)
