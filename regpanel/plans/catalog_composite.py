@@ -68,8 +68,7 @@ def pl_natural_merge_folder(spark, d):
     root = scratch(spark, "pl4_folder")
     for ind in C.NATURAL_FILES:
         C.indicator_file(spark, d, ind).write.mode("overwrite").parquet(f"{root}/{ind}.parquet")
-    return C.natural_merge_folder(spark, f"{root}/*.parquet", ["anio", "Departamento"],
-                                  rename={"Año": "anio"}, name_from="dir")
+    return C.natural_merge_folder(spark, f"{root}/*.parquet", ["anio", "Departamento"], name_from="dir")
 
 
 def _share_sql(corrected: bool) -> str:

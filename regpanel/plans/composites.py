@@ -102,14 +102,19 @@ def indicator_file(spark, d, indicator: str) -> DataFrame:
                     F.when(F.col("__v") < 2, F.lit(MISSING_TOKEN)).otherwise(F.col("__v").cast("string")).alias("Valor"))
 
 
+# Column renames of the landed indicator files.
+INDICATOR_RENAMES = {"Año": "anio", "Tamaño": "tramo"}
+
+
 def natural_merge(files: list[DataFrame]) -> DataFrame:
     """PL4: rename Valor to the file's indicator (its one distinct Indicador
-    value, checked), sanitise names, natural left-join chain (base = first
-    file), SIN DATOS -> NULL, type guess."""
+    value, checked) and Año/Tamaño to anio/tramo, sanitise names, natural
+    left-join chain (base = first file), SIN DATOS -> NULL, type guess."""
     tables = []
     for f in files:
         ind = P.single_value(f, "Indicador")
-        t = P.rename(f, {"Valor": ind, "Año": "anio"})
+        ren = {k: v for k, v in INDICATOR_RENAMES.items() if k in f.columns}
+        t = P.rename(f, {"Valor": ind, **ren})
         t = P.rename_with(t, sanitize_name)
         tables.append(t.drop("indicador", "sector"))
     m = J.left_join_chain(tables)
@@ -139,6 +144,8 @@ def natural_merge_folder(spark, path: str, keys: list[str], fmt: str = "parquet"
         raise ValueError("natural_merge_folder: a file holds more than one indicator")
     indicators = list(dict.fromkeys(r["__ind"] for r in files))
     d = df.drop("__file", *drop)
+    if rename is None:
+        rename = {k: v for k, v in INDICATOR_RENAMES.items() if k in d.columns}
     if rename:
         d = d.withColumnsRenamed(rename)
     J.assert_unique(d, keys + [indicator_col], "indicator files")

@@ -178,3 +178,21 @@ def test_brazil_series_wide(spark):
     dup = facts.unionByName(facts.limit(1))
     with _pt.raises(ValueError):
         series_wide_from(dup, terr, BR_SERIES)
+
+
+def test_uruguay_natural_merge(spark):
+    """Fixture §3 shape: a row absent from the first file is lost, NULL keys
+    match, SIN DATOS becomes NULL, types are guessed."""
+    from regpanel.plans.composites import natural_merge
+    schema = "`Año` string, Departamento string, `Tamaño` string, Sector string, Indicador string, Valor string"
+    a = spark.createDataFrame([("2019", "Montevideo", "Micro", "Todos", "n_empresas", "120"),
+                               ("2019", None, "Micro", "Todos", "n_empresas", "7"),
+                               ("2020", "Salto", "Pequeña", "Todos", "n_empresas", "SIN DATOS")], schema)
+    b = spark.createDataFrame([("2019", "Montevideo", "Micro", "Todos", "tm", "0.5"),
+                               ("2019", None, "Micro", "Todos", "tm", "0.25"),
+                               ("2021", "Rivera", "Micro", "Todos", "tm", "0.1")], schema)
+    out = natural_merge([a, b])
+    assert out.columns == ["anio", "departamento", "tramo", "n_empresas", "tm"]
+    assert dict(out.dtypes)["n_empresas"] == "double" and dict(out.dtypes)["anio"] == "double"
+    got = sorted((r["departamento"] or "", r["n_empresas"], r["tm"]) for r in out.collect())
+    assert got == [("", 7.0, 0.25), ("Montevideo", 120.0, 0.5), ("Salto", None, None)]
