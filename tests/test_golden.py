@@ -196,3 +196,30 @@ def test_uruguay_natural_merge(spark):
     assert dict(out.dtypes)["n_empresas"] == "double" and dict(out.dtypes)["anio"] == "double"
     got = sorted((r["departamento"] or "", r["n_empresas"], r["tm"]) for r in out.collect())
     assert got == [("", 7.0, 0.25), ("Montevideo", 120.0, 0.5), ("Salto", None, None)]
+
+
+def test_eu_business_indicator_panel(spark, tmp_path):
+    """Fixture §6 shape: overlapping mapper rows, an unmapped code, a country
+    that is not listed, parent/child region codes with one name and value."""
+    from regpanel.plans.composites import indicator_panel_from
+    t = datetime.date(2021, 1, 1)
+    facts = spark.createDataFrame([
+        ("V11910", "1-9", "ES13", t, 10.0), ("V11910", "1-9", "ES130", t, 10.0),   # parent/child, same value
+        ("V16910", "1-9", "ES13", t, 30.0), ("V97020", "GE10", "ES13", t, 2.5),
+        ("V11910", "1-9", "ITC1", t, 20.0), ("V11910", "1-9", "FR10", t, 99.0)],
+        "indic_sb string, sizeclas string, geo string, TIME_PERIOD date, values double")
+    countries = spark.createDataFrame([("ES", "Spain", "Spain"), ("IT", "Italy", "ITALY"), ("FR", "France", "France")],
+                                      "code string, name string, label string")
+    geo = spark.createDataFrame([("ES13", "Cantabria"), ("ES130", "Cantabria"), ("ITC1", "Piemonte"),
+                                 ("FR10", "Ile de France")], "id string, NUTS_NAME string")
+    mapper = spark.createDataFrame([("V11910", "ENT_NR"), ("V16910", "EMP_NR"), ("V16910", "EMP_NR")],
+                                   "hist string, new string").distinct()
+    out = indicator_panel_from(spark, facts, countries, geo, mapper, ["ENT_NR", "EMP_NR", "V97020"],
+                               str(tmp_path / "pymes"))
+    assert sorted(out.columns) == sorted(["pais", "region", "tramo", "anio", "ent_nr", "emp_nr", "v97020"])
+    got = {(r["pais"], r["tramo"]): r for r in out.collect()}
+    assert set(got) == {("Spain", "1 a 9"), ("Spain", "+10"), ("Italy", "1 a 9")}
+    es = got[("Spain", "1 a 9")]
+    assert (es["region"], es["anio"], es["ent_nr"], es["emp_nr"], es["v97020"]) == ("Cantabria", "2021", 10.0, 30.0, None)
+    assert got[("Spain", "+10")]["v97020"] == 2.5                 # unmapped code keeps its own name
+    assert sorted(p.name for p in (tmp_path / "pymes").iterdir() if p.is_dir()) == ["pais_key=italy", "pais_key=spain"]
