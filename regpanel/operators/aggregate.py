@@ -102,14 +102,17 @@ def evolution_total(df: DataFrame, period: str, band: str, measure: str,
     return out.withColumn(f"log_{name}", log_pos(name, log))
 
 
-def boxplot_stats(df: DataFrame, keys: list[str], y: str, log: str | None = "10") -> DataFrame:
+def boxplot_stats(df: DataFrame, keys: list[str], y: str, log: str | None = "10",
+                  approx: bool = False) -> DataFrame:
     """Box statistics per group, computed after the log transform (non-finite
-    values removed): q1, median, q3 (type 7), Tukey whiskers, outlier count.
-    Two aggregations; the quartile table joins back with one row per group."""
+    values removed): q1, median, q3 (type 7, or a sketch with ``approx``),
+    Tukey whiskers, outlier count.  Two aggregations; the quartile table joins
+    back with one row per group."""
     val = log_pos(y, log) if log else F.col(y)
     d = df.select(*keys, val.alias("__y")).where(F.col("__y").isNotNull())
-    q = d.groupBy(*keys).agg(F.percentile("__y", [0.25, 0.5, 0.75]).alias("__q"),
-                             F.count(F.lit(1)).alias("n"))
+    q3 = (F.percentile_approx("__y", [0.25, 0.5, 0.75], 10000) if approx
+          else F.percentile("__y", [0.25, 0.5, 0.75]))
+    q = d.groupBy(*keys).agg(q3.alias("__q"), F.count(F.lit(1)).alias("n"))
     q = q.select(*keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3"))
     q = q.withColumn("__lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
