@@ -114,7 +114,7 @@ def pushed_dimension_filter(spark, d):
         "event_id", "user_id", "event_type", "value")
 
 
-# The series codes pulled in one scan.
+# Catalogue stand-in: the event types read as series codes in one scan.
 SERIES = ["purchase", "signup", "error"]
 
 

@@ -190,7 +190,7 @@ def text_key_join_corrected(spark, d):
     return sig_all(out)
 
 
-# Crosswalk rules (pattern -> canonical name), first match wins.
+# Catalogue stand-in: crosswalk rules (pattern -> canonical name), first match wins.
 CROSSWALK = [
     ("NATION_1$", "Nation One"),
     ("NATION_2", "Nation Two"),
@@ -228,7 +228,7 @@ def coalesce_codes(spark, d):
 
 
 # ---------------------------------------------------------------- P1-P6, P9-P14
-# Display names given to the customer columns.
+# Catalogue stand-in: display names given to the customer columns.
 _DISPLAY = {"c_custkey": "Código Único (ID)", "c_name": "Nombre Cliente", "c_acctbal": "Saldo (Cuenta)",
             "c_mktsegment": "Segmento de Mercado"}
 

@@ -40,7 +40,8 @@ def assemble_measures(spark: SparkSession, path: str, measures: list[str]) -> Da
 
 
 # ------------------------------------------------------------------ PL3
-# Series code -> output name.
+# Catalogue stand-in: event types as series codes -> output name
+# (the source's codes are constants.BR_SERIES).
 SERIES_NAMES = {"purchase": "compras", "signup": "altas", "error": "errores"}
 
 
@@ -195,8 +196,8 @@ def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_RE
 
 
 # ------------------------------------------------------------------ PL6
-# Business-demography code correspondence (historical -> new),
-# first from the main sheet, then derived indicators; one overlap on purpose.
+# Catalogue stand-in: code correspondence rows (historical -> new), a main
+# sheet and a derived-indicator sheet with one overlap on purpose.
 MAPPER_MAIN = [("bd_size_r3", "V11910", "ENT_NR"), ("bd_size_r3", "V16910", "EMP_NR"),
                ("bd_other", "V11920", "BIRTH_NR")]
 MAPPER_DERIVED = [("V16910", "EMP_NR", "yes"), ("V97020", "GRW_ENT_PC", "no")]
@@ -373,9 +374,9 @@ def control_panel_eu(spark, d, country: str, region_name: str, out_dir: str) ->
     return attach_hdi(eu, hdi_table(spark, d, region_name), region_name, 1990)
 
 
-# National-file region names -> the spelling used by the EU side
-# (stand-in rules for the driver-derived nations; the source's own rules are
-# constants.ES_REGION_RECODE).
+# Catalogue stand-in: recode rules for the driver-derived nation names, with
+# the same defects as the source's rules (constants.ES_REGION_RECODE): a
+# trailing space and an accent left in a target.
 NATIONAL_RECODE = [("NATION_1$", "NATION_1"), ("NATION_11", "Nation_11 "), ("NATION_6", "NATIÓN_6")]
 
 
