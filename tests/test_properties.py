@@ -62,3 +62,38 @@ def test_crosstab_normaliser_inverts_layout(spark, cells):
     sheet = panel_to_cells(long, "sheet", "title", "y", "s", "r", "b", "v")
     out = crosstab_normalise(sheet).select("anio", "sector", "region", "tramo", "value")
     assert sorted(map(tuple, out.collect())) == sorted((y, s, r, b, v) for (y, s, r, b), v in cells.items())
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.one_of(st.floats(-5e9, 5e9, allow_nan=False, allow_infinity=False),
+                          st.integers(-3_000_000_000, 3_000_000_000)), min_size=1, max_size=60),
+       st.sampled_from(["{}", " {} ", "{}e0", "+{}"]))
+def test_as_int_trunc_matches_r_rule(spark, nums, fmt):
+    import math
+    from regpanel.functions.exprs import as_int_trunc
+    texts = [fmt.format(repr(float(n)) if isinstance(n, float) else n) for n in nums]
+    texts = [t.replace("+-", "-") for t in texts]
+
+    def r_int(t):  # R: as.integer(as.numeric(t)), truncation toward zero, NA outside int range
+        try:
+            v = float(t)
+        except ValueError:
+            return None
+        if math.isnan(v) or not (-2147483648.0 < v < 2147483648.0):
+            return None
+        return int(v)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(as_int_trunc("t")).collect()]
+    assert got == [r_int(t) for t in texts]
+
+
+latin = st.text(alphabet=st.sampled_from(list("abcXYZ ()_-ÁÉÍÓÚáéíóúÑñÇçÜüßæœÀÈ12")), max_size=25)
+
+
+@settings(**SETTINGS)
+@given(st.lists(latin, min_size=1, max_size=30))
+def test_sanitize_column_equals_python_twin(spark, names):
+    from regpanel.functions.text import sanitize, sanitize_name
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    got = [r[0] for r in df.select(sanitize("s")).collect()]
+    assert got == [sanitize_name(n) for n in names]
