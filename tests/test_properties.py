@@ -97,3 +97,33 @@ def test_sanitize_column_equals_python_twin(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "s string")
     got = [r[0] for r in df.select(sanitize("s")).collect()]
     assert got == [sanitize_name(n) for n in names]
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.one_of(st.none(), st.integers(-3, 3))), min_size=1,
+                max_size=40))
+def test_n_distinct_and_strict_sum_match_python(spark, data):
+    from regpanel.functions.exprs import n_distinct_na, strict_sum
+    df = spark.createDataFrame(data, "g string, x int")
+    got = {r["g"]: (r["nd"], r["s"]) for r in
+           df.groupBy("g").agg(n_distinct_na("x").alias("nd"), strict_sum("x").alias("s")).collect()}
+    for g in {k for k, _ in data}:
+        xs = [x for k, x in data if k == g]
+        exp_s = None if any(x is None for x in xs) else sum(xs)
+        assert got[g] == (len(set(xs)), exp_s)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.floats(-100, 100, allow_nan=False))),
+                min_size=1, max_size=40))
+def test_profile_independent_of_partitioning(spark, data):
+    from regpanel.operators.profile import profile
+    df = spark.createDataFrame(data, "s string, x double")
+    a = sorted(map(tuple, profile(df.repartition(1)).collect()), key=str)
+    b = sorted(map(tuple, profile(df.repartition(8)).collect()), key=str)
+    for ra, rb in zip(a, b):
+        for va, vb in zip(ra, rb):
+            if isinstance(va, float) and isinstance(vb, float):
+                assert va == pytest.approx(vb, rel=1e-9, abs=1e-9)
+            else:
+                assert va == vb
