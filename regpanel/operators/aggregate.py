@@ -129,6 +129,23 @@ def boxplot_stats(df: DataFrame, keys: list[str], y: str, log: str | None = "10"
     return w
 
 
+def boxplot_outliers(df: DataFrame, keys: list[str], y: str, log: str | None = "10",
+                     carry: list[str] = (), approx: bool = False) -> DataFrame:
+    """The rows drawn as outlier points: transformed value outside
+    [q1 - 1.5 IQR, q3 + 1.5 IQR] of its group.  Returned as rows (never
+    collected into per-group arrays), with ``carry`` columns kept."""
+    from regpanel.operators.joins import join
+    val = log_pos(y, log) if log else F.col(y)
+    d = df.select(*keys, *carry, val.alias("__y")).where(F.col("__y").isNotNull())
+    q3 = (F.percentile_approx("__y", [0.25, 0.75], 10000) if approx else F.percentile("__y", [0.25, 0.75]))
+    q = d.groupBy(*keys).agg(q3.alias("__q")).select(
+        *keys, F.col("__q")[0].alias("__q1"), F.col("__q")[1].alias("__q3"))
+    j = join(d, q, keys, "inner")
+    iqr = F.col("__q3") - F.col("__q1")
+    out = j.where((F.col("__y") < F.col("__q1") - 1.5 * iqr) | (F.col("__y") > F.col("__q3") + 1.5 * iqr))
+    return out.select(*keys, *carry, F.col("__y").alias("value"))
+
+
 def linear_fit(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """lm(y ~ x) per group from one pass of regression aggregates: slope,
     intercept, r2, residual standard error, n, mean of x, sxx.  Pairs with a

@@ -254,6 +254,18 @@ def boxplot_stats(spark, d):
     return sig_all(A.boxplot_stats(o, ["o_orderstatus", "o_orderpriority"], "o_totalprice", log="10"))
 
 
+@query("boxplot_outliers", f"""WITH y AS (SELECT o_orderstatus, o_orderpriority, o_orderkey, log10(o_totalprice) AS v
+  FROM orders WHERE o_totalprice > 0),
+q AS (SELECT o_orderstatus, o_orderpriority, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM y GROUP BY ALL)
+SELECT y.o_orderstatus, y.o_orderpriority, y.o_orderkey, {sql_sig('y.v')} AS value
+FROM y JOIN q USING (o_orderstatus, o_orderpriority)
+WHERE y.v < q.q1 - 1.5 * (q.q3 - q.q1) OR y.v > q.q3 + 1.5 * (q.q3 - q.q1)""")
+def boxplot_outliers(spark, d):
+    o = table(spark, d, "orders")
+    return sig_all(A.boxplot_outliers(o, ["o_orderstatus", "o_orderpriority"], "o_totalprice", log="10",
+                                      carry=["o_orderkey"]))
+
+
 # ---------------------------------------------------------------- A13
 @query("linear_fit_by_group", f"""WITH g AS (SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n,
   regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
