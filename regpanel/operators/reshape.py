@@ -90,11 +90,17 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     """
     fc = first_value_col
     c = cells.select("sheet", "row_idx", "col_idx", "value")
-    measure = (c.where((F.col("row_idx") == 1) & (F.col("col_idx") == 1))
-                .select("sheet", sanitize(split_nth("value", MEASURE_MARKER, 2)).alias("variable")))
-    last_row = c.groupBy("sheet").agg(F.max("row_idx").alias("__last"))
-
-    head = (c.where(F.col("row_idx").isin(3, 4) & (F.col("col_idx") >= fc))
+    # The header rows (1-5) and the region column are small (sheet width +
+    # sheet height).  Extract them in ONE pass and cut the lineage (reliable
+    # checkpoint), so the many header tables below never rescan the cells.
+    from regpanel.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(cells.sparkSession)
+    small = c.where((F.col("row_idx") <= 5) | (F.col("col_idx") == 1)).checkpoint()
+    last_row = c.groupBy("sheet").agg(F.max("row_idx").alias("__last")).checkpoint()
+    measure = (small.where((F.col("row_idx") == 1) & (F.col("col_idx") == 1))
+                    .select("sheet", sanitize(split_nth("value", MEASURE_MARKER, 2)).alias("variable")))
+
+    head = (small.where(F.col("row_idx").isin(3, 4) & (F.col("col_idx") >= fc))
              .groupBy("sheet", "col_idx")
              .agg(F.max(F.when(F.col("row_idx") == 3, F.col("value"))).alias("__y"),
                   F.max(F.when(F.col("row_idx") == 4, F.col("value"))).alias("__s")))
@@ -109,7 +115,7 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
                            .alias("group")))
     n_groups = groups.groupBy("sheet").agg(F.max("group").alias("__ng"))
 
-    bands = (c.where((F.col("row_idx") == 5) & (F.col("col_idx") >= fc))
+    bands = (small.where((F.col("row_idx") == 5) & (F.col("col_idx") >= fc))
               .select("sheet", "col_idx", F.col("value").alias("tramo")))
     if n_bands is None:
         nb = (bands.groupBy("sheet").agg(F.count_distinct("tramo").alias("__nb")))
@@ -122,10 +128,11 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     from regpanel.operators.joins import bounded_broadcast
     # one per-sheet table: measure name, band count, group count, last row
     meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet").join(last_row, "sheet"))
-    body = (c.join(meta, "sheet")
+    body = (c.where(F.col("col_idx") >= fc).join(meta, "sheet")
              .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
-    regions = (body.where(F.col("col_idx") == 1)
-                   .select("sheet", "row_idx", F.col("value").alias("region")))
+    regions = (small.join(last_row, "sheet")
+                    .where((F.col("col_idx") == 1) & (F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last")))
+                    .select("sheet", "row_idx", F.col("value").alias("region")))
     vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value",
                                                      "variable", "__nb", "__ng")
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
