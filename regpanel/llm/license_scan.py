@@ -55,7 +55,7 @@ TEMPLATES = (
 
 
 def template_grams(spark: SparkSession, base=BASE, templates=TEMPLATES, k: int = K) -> DataFrame:
-    """(t_gram, template, label, is_base, tpos, n_grams): one row per template position."""
+    """(t_gram, template, label, is_base, tpos, n_grams, bit): one row per template position."""
     rows = []
     for i, (label, text) in enumerate([*base, *templates]):
         w = text.split()
@@ -64,8 +64,9 @@ def template_grams(spark: SparkSession, base=BASE, templates=TEMPLATES, k: int =
         n = len(w) - k + 1
         if n > 63:  # a diagonal's votes are the bits of one long
             raise ValueError(f"split the template, it has more than 63 grams: {text}")
-        rows += [(" ".join(w[p:p + k]), i, label, i < len(base), p, n) for p in range(n)]
-    return spark.createDataFrame(rows, "t_gram string, template int, label string, is_base boolean, tpos int, n_grams int")
+        rows += [(" ".join(w[p:p + k]), i, label, i < len(base), p, n, 1 << p) for p in range(n)]
+    return spark.createDataFrame(
+        rows, "t_gram string, template int, label string, is_base boolean, tpos int, n_grams int, bit long")
 
 
 def _hits(docs: DataFrame, grams: DataFrame, k: int) -> DataFrame:
@@ -76,10 +77,11 @@ def _hits(docs: DataFrame, grams: DataFrame, k: int) -> DataFrame:
     w, n = F.col("words"), F.size("words")
     item = lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(w, i + 1, k), " ").alias("gram"))
     own = F.array(F.struct((-1 - n).alias("pos"), F.lit("").alias("gram")))  # the document itself: no words
+    # outer: the filter that Spark infers for explode would split the text anew for every gram
     d = d.withColumn("items", F.when(n >= k, F.concat(own, F.transform(F.sequence(F.lit(0), n - k), item))).otherwise(own))
-    e = d.select("doc_id", "fp", F.explode("items").alias("x")).select("doc_id", "fp", "x.pos", "x.gram")
+    e = d.select("doc_id", "fp", F.explode_outer("items").alias("x")).select("doc_id", "fp", "x.pos", "x.gram")
     spark = docs.sparkSession
-    mark = spark.createDataFrame([("", -1, None, False, 0, 1)], grams.schema)
+    mark = spark.createDataFrame([("", -1, None, False, 0, 1, 1)], grams.schema)
     g = grams.unionAll(mark).withColumn("h", F.xxhash64("t_gram"))
     e = e.withColumn("h", F.xxhash64("gram"))
     return e.join(F.broadcast(g), (e["h"] == g["h"]) & (e["gram"] == g["t_gram"])).drop("h", "gram", "t_gram")
@@ -94,7 +96,7 @@ def license_spans(docs: DataFrame, grams: DataFrame | None = None, k: int = K, g
     diag = (_hits(docs, grams, k)
             .groupBy(*key, "template", (F.col("pos") - F.col("tpos")).alias("diag"))
             .agg(F.first("label").alias("label"), F.first("is_base").alias("is_base"), F.first("n_grams").alias("n_grams"),
-                 F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("tpos"))).alias("grams"),
+                 F.bit_or("bit").alias("grams"),
                  F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("rows"))
             .withColumn("votes", F.bit_count("grams")))
     w = Window.partitionBy(*key, "template").orderBy("diag")

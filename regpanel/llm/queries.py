@@ -41,9 +41,11 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
   FROM documents),
-g AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 4], ' ')) AS c
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT doc_id, i, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS v,
+             lead(x, 4) OVER o IS NOT NULL AS whole
+      FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS c FROM k WHERE whole),
 r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g WHERE c > 1)
       GROUP BY doc_id),
 m AS (
