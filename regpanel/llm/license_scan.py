@@ -75,7 +75,7 @@ def _hits(docs: DataFrame, grams: DataFrame, k: int) -> DataFrame:
     d = docs.select("doc_id", F.xxhash64("text").alias("fp"),
                     F.filter(F.split(t, BREAK, -1), lambda w: w != "").alias("words"))
     w, n = F.col("words"), F.size("words")
-    item = lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(w, i + 1, k), " ").alias("gram"))
+    item = lambda i: F.struct(i.alias("pos"), F.concat_ws(" ", *[F.get(w, i + j) for j in range(k)]).alias("gram"))
     own = F.array(F.struct((-1 - n).alias("pos"), F.lit("").alias("gram")))  # the document itself: no words
     # outer: the filter that Spark infers for explode would split the text anew for every gram
     d = d.withColumn("items", F.when(n >= k, F.concat(own, F.transform(F.sequence(F.lit(0), n - k), item))).otherwise(own))

@@ -60,17 +60,20 @@ def _measures(df: DataFrame, text: str) -> DataFrame:
     })
     words, lines, tc = F.col("`q.words`"), F.col("`q.lines`"), F.col("`q.t`")
     n = F.size(words)
-    gram = lambda i: F.struct(F.xxhash64(F.slice(words, i + 1, 5)).alias("h"), i.alias("i"))
+    gram = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(5)])
     df = df.withColumns({
         "q.n_words": n.cast("long"),
-        "q.word_chars": F.char_length(F.regexp_replace(tc, SPACE, "")).cast("long"),
+        "q.word_chars": F.char_length(F.array_join(words, "")).cast("long"),
         "q.n_symbols": (F.char_length(tc) - F.char_length(F.translate(tc, SYMBOLS, ""))).cast("long"),
         "q.n_lines": F.size(lines).cast("long"),
         "q.n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "q.stop_words": F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS))).cast("long"),
-        # windows sorted by hash: equal windows become neighbours
-        "q.grams": F.when(n >= 5, F.sort_array(F.transform(F.sequence(F.lit(0), n - 5), gram))),
+        "q.hashes": F.when(n >= 5, F.transform(F.sequence(F.lit(0), n - 5), gram)),
     })
+    # windows sorted by hash, where any repeats: equal windows become neighbours
+    h = F.col("`q.hashes`")
+    at = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+    df = df.withColumn("q.grams", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(at)))
     g = F.col("`q.grams`")
     twice = F.filter(g, lambda x, j: (F.get(g, j - 1)["h"] == x["h"]) | (F.get(g, j + 1)["h"] == x["h"]))
     df = df.withColumn("q.starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
