@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regpanel.llm import license_scan, quality
+from regpanel.llm import bpe, html_extract, license_scan, packing, quality, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,11 +32,34 @@ _STOP = ("the of and to in is that for on are with as be by this was it or at fr
          "dans par sur pas au avec ce el y a los se del las por con no su para es al lo como más").split()
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_query("op3_byte_bpe")
+def op3_byte_bpe(spark, d):
+    import public_tokenizers
+    return bpe.round_trip(_table(spark, d, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@_query("op5_packing")
+def op5_packing(spark, d):
+    return packing.pack(_table(spark, d, "documents"), _tokenizer("word_bpe_49k.json"), with_ids=False)
+
+
 @_query("op6_license_scan")
 def op6_license_scan(spark, d):
     return license_scan.license_report(_table(spark, d, "documents"))
 
 
+@_query("op7_sharding")
+def op7_sharding(spark, d):
+    s = sharding.assign_shards(_table(spark, d, "documents"))
+    return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"))
+
+
 @_query("op8_quality_rules", f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w,
@@ -61,3 +85,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f""")
 def op8_quality_rules(spark, d):
     return quality.quality_report(_table(spark, d, "documents"))
+
+
+@_query("op9_html_extraction")
+def op9_html_extraction(spark, d):
+    return html_extract.extract(_table(spark, d, "pages"))
+
+
+@_query("op10_secret_scan")
+def op10_secret_scan(spark, d):
+    return secret_scan.report(_table(spark, d, "documents"))
