@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.llm import bpe, html_extract, license_scan, packing, quality, secret_scan, sharding
+from regpanel.llm import bpe, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +43,24 @@ def op3_byte_bpe(spark, d):
     return bpe.round_trip(_table(spark, d, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@_query("op4_ngram_jaccard_join", """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 1, 2)),
+                                                    lambda i: array_to_string(w[i:i + 2], ' '))) AS g
+      FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT i.a, i.b FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""")
+def op4_ngram_jaccard_join(spark, d):
+    return parity_join.near_groups(_table(spark, d, "documents"), k=3, similarity=90)
+
+
 @_query("op5_packing")
 def op5_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), _tokenizer("word_bpe_49k.json"), with_ids=False)
