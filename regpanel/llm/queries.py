@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.llm import bpe, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding
+from regpanel.llm import bpe, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,23 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query("op2_substring_dedup", f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+v AS (SELECT doc_id, i, md5_number(array_to_string(w[i:i + 34], ' ')) AS h
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+g AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY h) AS c FROM v) WHERE c > 1),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+m AS (SELECT p.doc_id, p.i, p.x,
+             max(g.i) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS last
+      FROM p LEFT JOIN g ON g.doc_id = p.doc_id AND g.i = p.i),
+k AS (SELECT doc_id, count(*) FILTER (last IS NOT NULL) AS n_removed,
+             string_agg(x, ' ' ORDER BY i) FILTER (last IS NULL) AS t FROM m GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)""")
+def op2_substring_dedup(spark, d):
+    return substring.report(_table(spark, d, "documents"))
+
+
 @_query("op3_byte_bpe")
 def op3_byte_bpe(spark, d):
     import public_tokenizers
