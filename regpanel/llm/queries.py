@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.llm import bpe, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding, substring
+from regpanel.llm import bpe, graph_dedup, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +37,20 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query("op1_embedding_near_dedup", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(vec_id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.c) AS component_id, min(r.c) = r.vec_id AS kept,
+       CAST(1.0 AS DOUBLE) AS audit_recall
+FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id""")
+def op1_embedding_near_dedup(spark, d):
+    return graph_dedup.near_duplicates(_table(spark, d, "embeddings"))
+
+
 @_query("op2_substring_dedup", f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 v AS (SELECT doc_id, i, md5_number(array_to_string(w[i:i + 34], ' ')) AS h
