@@ -291,7 +291,7 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     members = scratch.save(meta.join(sids, "sid").groupBy("sid").agg(
         F.min("doc_id").alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "members")
     one = members.where("one is not null").select(F.col("one").alias("doc_id"), "sid")
-    sets = scratch.save(d.join(one, "doc_id").select("sid", "text").mapInArrow(_sets(k), "sid long, set binary")
+    sets = scratch.save(d.join(one.hint("merge"), "doc_id").select("sid", "text").mapInArrow(_sets(k), "sid long, set binary")
                         .dropDuplicates(["sid"]), "sets")
     # large buckets: every pair of blocks is a bucket of its own
     block = F.floor(F.col("place") / BLOCK_ROWS).cast("int")
