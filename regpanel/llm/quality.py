@@ -116,4 +116,7 @@ def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def quality_filter(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows that pass every rule, with the input's columns."""
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return _measures(docs, text).where(_verdict(rules)).select(*cols)
+    # the row number keeps Spark from moving the filter below the projection, where it
+    # would write the split text into every lambda and split it anew for each word
+    judged = _measures(docs, text).withColumns({"q.kept": _verdict(rules), "q.row": F.monotonically_increasing_id()})
+    return judged.where(F.col("`q.kept`") & (F.col("`q.row`") >= 0)).select(*cols)
