@@ -117,6 +117,10 @@ def is_reported(f):
     return (f["kind"] < 3) | f["live"]
 
 
+def _equals(k: int):
+    return lambda x: x == k
+
+
 def _joined(a):
     name = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(a, lambda f: F.concat_ws(":", F.get(name, f["kind"]), f["start"].cast("string"),
@@ -128,8 +132,9 @@ def report(docs: DataFrame, **columns) -> DataFrame:
     many of them are live-looking or copied examples."""
     f = scan(docs, **columns)
     count = lambda test: F.size(F.filter("found", test)).cast("long")
+    kinds = F.transform("found", lambda x: x["kind"])
     return f.select(
-        "doc_id", *[count(lambda x, k=k: x["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        "doc_id", *[F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_joined(F.filter("found", is_base)).cast("binary"), 256).alias("base_sha256"),
         _joined(F.filter("found", is_reported)).alias("spans"),
         count(lambda x: is_reported(x) & x["live"]).alias("n_live"),
