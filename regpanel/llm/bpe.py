@@ -9,7 +9,7 @@ the vocabulary's trie) and, for each shorter suffix a token may continue too,
 the tokens since the last point that all of them share.  Tokens before that
 point cannot change any more and are emitted, so the lookahead is bounded by
 the longest token.  States and their moves are made when first needed; beyond
-``max_states`` all are dropped and made anew, which changes no result.
+``MAX_STATES`` all are dropped and made anew, which changes no result.
 
 Decoding joins the tokens' bytes and runs them through an incremental UTF-8
 decoder, which holds back the bytes of an unfinished character.
@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+import struct
 from collections import deque
 from collections.abc import Iterator
 from itertools import islice
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 
 from regpanel.llm.packing import read_vocabulary
 
-CACHE_PIECES = 1 << 19
-MAX_STATES = 1 << 17
+CACHE_PIECES = 1 << 20
+MAX_STATES = 1 << 18
+MAX_PAIRS = 1 << 19
 PIECES_AT_ONCE = 1 << 16
 
 
@@ -44,19 +46,25 @@ def read_ranks(vocabulary: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _State:
     __slots__ = ("node", "last", "chains", "moves", "final")
 
-    def __init__(self, node: int, last: int, chains: dict[int, tuple], final: tuple):
-        self.node, self.last, self.chains = node, last, chains  # chains by the suffix's length
+    def __init__(self, node: int, last: int, chains: tuple):
+        self.node, self.last, self.chains = node, last, chains  # from the longest suffix to the empty one
         self.moves: dict[int, tuple] = {}
-        self.final = final  # what is still to be emitted if the piece ends here
+        self.final = chains[-1]  # what is still to be emitted if the piece ends here
 
 
 class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {v: k for k, v in ranks.items()}
+        self._pairs: dict[int, bool] = {}
+        self._steps: dict[int, tuple] = {}
         self._last_merges()
         self._trie()
         self._reset()
@@ -88,16 +96,7 @@ class Transducer:
 
     def _reset(self) -> None:
         self.states: dict[tuple, _State] = {}
-        self._known: dict[int, tuple] = {}
-        self.start = self._state(0, -1, ((),))
-
-    def _state(self, node: int, last: int, chains: tuple) -> _State:
-        key = (node, last, chains)
-        s = self.states.get(key)
-        if s is None:
-            by_depth = {d: c for (d, _), c in zip(self._suffixes(node), chains, strict=True)}
-            s = self.states[key] = _State(node, last, by_depth, chains[-1])
-        return s
+        self.start, self.made = _State(0, -1, ((),)), 0
 
     def _last_merges(self) -> None:
         """The two parts that each token is merged from at last (single bytes:
@@ -139,48 +138,72 @@ class Transducer:
             else:
                 before, b = b + 1, right[0]
 
-    def _suffixes(self, node: int) -> tuple[tuple[int, int], ...]:
+    def _suffixes(self, node: int) -> list[tuple[int, int]]:
         """(depth, token) of the node and of the shorter suffixes that a token
         may continue, down to the root; tokens that no merge gives count as none."""
-        got = self._known.get(node)
-        if got is None:
-            out, v = [], node
-            while v:
-                out.append((self.depth[v], self.token[v] if self.token[v] in self.own else -1))
-                v = self.fail[v]
-            got = self._known[node] = (*out, (0, -1))
+        out = []
+        while node:
+            t = self.token[node]
+            out.append((self.depth[node], t if t in self.own else -1))
+            node = self.fail[node]
+        return [*out, (0, -1)]
+
+    def _step(self, node: int, b: int) -> tuple:
+        """The trie's part of a move: the next node, which chains go on, and
+        the tokens that may end here with the chain each would go behind."""
+        place = {d: i for i, (d, _) in enumerate(self._suffixes(node))}
+        v, child = node, self.child
+        while v and b not in child[v]:
+            v = self.fail[v]
+        v = child[v][b]
+        after = [(place[d - 1], t) for d, t in self._suffixes(v) if d]
+        got = v, [i for i, _ in after], [(i, t) for i, t in after if t >= 0]
+        self._steps[node << 8 | b] = got
         return got
 
     def _move(self, s: _State, b: int) -> tuple[_State, tuple]:
-        child, old = self.child, s.chains
-        v = s.node
-        while v and b not in child[v]:
-            v = self.fail[v]
-        node = child[v][b]
-        suffixes = self._suffixes(node)
-        kept = [old[d - 1] for d, _ in suffixes if d]
-        for (_, t), before in zip(suffixes, kept, strict=False):
-            if t >= 0:
-                prev = before[-1] if before else s.last
-                if prev < 0 or self._stays(prev, t):
-                    kept.append((*before, t))
+        step = self._steps.get(s.node << 8 | b)
+        node, on, ends = step if step is not None else self._step(s.node, b)
+        old, last, pairs = s.chains, s.last, self._pairs
+        kept = [old[i] for i in on]
+        for i, t in ends:
+            before = old[i]
+            prev = before[-1] if before else last
+            if prev < 0:
+                break
+            ok = pairs.get(prev << 32 | t)
+            if ok is None:
+                if len(pairs) >= MAX_PAIRS:
+                    pairs.clear()
+                ok = pairs[prev << 32 | t] = self._stays(prev, t)
+            if ok:
+                break
+        kept.append((*before, t))
+        first, out = kept[0], ()
+        if first:  # tokens that all chains begin with are settled
+            k = 1
+            while all([c[:k] == first[:k] for c in kept]):
+                k += 1
+                if k > len(first):
                     break
-        k, first = 0, kept[0]
-        least = min(map(len, kept))
-        while k < least and all(c[k] == first[k] for c in kept):
-            k += 1
-        out, last = first[:k], s.last
-        if k:
-            kept, last = [c[k:] for c in kept], out[-1]
-        got = (self._state(node, last, tuple(kept)), out)
-        s.moves[b] = got
+            out = first[:k - 1]
+        if out:
+            last = out[-1]
+            key = (node, last, *[c[k - 1:] for c in kept])
+            to = self.states.get(key)  # only what comes after settled tokens can be met again on other ways
+            if to is None:
+                to = self.states[key] = _State(node, last, key[2:])
+        else:
+            to = _State(node, last, kept)
+        self.made += 1
+        got = s.moves[b] = (to, out)
         return got
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token
             return [whole]
-        if len(self.states) > self.max_states:
+        if self.made > self.max_states:
             self._reset()
         s, ids = self.start, []
         for b in piece:
@@ -204,7 +227,7 @@ class Encoder(dict):
         self.bytes = [self.machine.tokens.get(i) for i in range(top)]
 
     def __missing__(self, piece: str) -> bytes:
-        got = np.array(self.machine.encode(piece.encode()), dtype="<u4").tobytes()
+        got = _packed(self.machine.encode(piece.encode()))
         if len(piece) <= 64:
             if len(self) >= CACHE_PIECES:
                 self.clear()
