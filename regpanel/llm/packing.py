@@ -18,6 +18,7 @@ pieces; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,8 @@ from regpanel.llm.prefix import partition_bases
 LENGTH = 4096
 END = 2
 MAX_VOCABULARY_BYTES = 64 << 20  # what is broadcast: the tokenizer's file
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 20
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe of contractions
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -54,8 +56,14 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        got = np.array(ids, dtype="<u4").tobytes()
+        core = word.rstrip(PUNCTUATION)
+        if core != word and core.isalpha():  # the pattern cuts between letters and punctuation
+            got = self[core] + self[word[len(core):]]
+        elif word.isascii() and word.isalpha() and not word.islower():  # the normalizer lower-cases
+            got = self[word.lower()]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            got = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
