@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -57,7 +58,8 @@ class WordEncoder(dict):
 
     def __missing__(self, word: str) -> bytes:
         core = word.rstrip(PUNCTUATION)
-        if core != word and core.isalpha():  # the pattern cuts between letters and punctuation
+        if core != word and (core if core.isascii() else unicodedata.normalize("NFC", core).lower()).isalpha():
+            # the pattern cuts between letters and punctuation
             got = self[core] + self[word[len(core):]]
         elif word.isascii() and word.isalpha() and not word.islower():  # the normalizer lower-cases
             got = self[word.lower()]
