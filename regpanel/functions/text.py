@@ -25,13 +25,19 @@ _MULTI_FIXED = {
     "þ": "th", "Þ": "TH", "ĳ": "ij", "Ĳ": "IJ",
 }
 
+# Signs and quotes of the Latin-ASCII transform.
+_SIGNS_FIXED = {
+    "º": "o", "ª": "a", "‘": "'", "’": "'", "‚": ",", "“": '"', "”": '"', "„": '"',
+    "–": "-", "—": "-", "‐": "-", "¡": "!", "¿": "?", "×": "*", "÷": "/",
+}
+
 _RANGES = [(0x00C0, 0x024F), (0x1E00, 0x1EFF)]
 
 
 def _build_translate_table() -> tuple[str, str]:
     """Rule: a letter in the Latin-1 Supplement / Extended-A/B / Extended
     Additional blocks maps to the ASCII base of its NFKD decomposition."""
-    src, dst = [], []
+    src, dst = list(_SIGNS_FIXED), list(_SIGNS_FIXED.values())
     for lo, hi in _RANGES:
         for cp in range(lo, hi + 1):
             ch = chr(cp)
@@ -78,7 +84,7 @@ def translit_lower(x) -> Column:
 def replace_first(x, pattern: str, replacement: str = "") -> Column:
     """stringr str_replace: only the first match is replaced."""
     repl = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    return F.regexp_replace(col(x), f"(?s)^(.*?){pattern}", "$1" + repl)
+    return F.regexp_replace(col(x), f"(?s)^(.*?)(?:{pattern})", "$1" + repl)
 
 
 def replace_first_literal(x, needle: str, replacement: str = "") -> Column:
@@ -86,7 +92,7 @@ def replace_first_literal(x, needle: str, replacement: str = "") -> Column:
     no regular expression)."""
     c = col(x)
     pos = F.instr(c, needle)
-    tail = F.substring(c, pos + len(needle), 1 << 30)
+    tail = F.substr(c, pos + len(needle))
     head = F.substring(c, F.lit(1), pos - 1)
     return F.when(pos > 0, F.concat(head, F.lit(replacement), tail)).otherwise(c)
 
@@ -138,20 +144,15 @@ def sanitize_name(s: str | None) -> str | None:
     if s is None:
         return None
     s = s.replace(" ", "_").replace("(", "", 1).replace(")", "", 1)
-    return ascii_name(s).lower()
+    return ascii_name(s.lower())
+
+
+_ASCII = str.maketrans({**dict(zip(_TR_FROM, _TR_TO, strict=True)), **_MULTI_FIXED})
 
 
 def ascii_name(s: str) -> str:
-    out = []
-    for ch in s:
-        if ch in _MULTI_FIXED:
-            out.append(_MULTI_FIXED[ch])
-        elif ch in _SINGLE_FIXED:
-            out.append(_SINGLE_FIXED[ch])
-        else:
-            out.append("".join(c for c in unicodedata.normalize("NFKD", ch)
-                               if not unicodedata.combining(c)))
-    return "".join(out)
+    """Python twin of :func:`translit_ascii`, from the same table."""
+    return "".join(c for c in s.translate(_ASCII) if not unicodedata.category(c).startswith("M"))
 
 
 def clean_names(names: list[str | None]) -> list[str]:
@@ -163,6 +164,7 @@ def clean_names(names: list[str | None]) -> list[str]:
             base = "na"
         else:
             s = ascii_name(str(n))
+            s = re.sub("['\"]", "", s)  # quotes leave no gap
             s = s.replace("%", "_percent_").replace("#", "_number_")
             s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
             s = re.sub(r"[^A-Za-z0-9]+", "_", s).strip("_").lower()

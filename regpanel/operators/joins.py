@@ -1,7 +1,6 @@
 """Joins with dplyr defaults: NULL keys match NULL keys, left keys kept,
-many-to-many fans out.  Small sides are broadcast only after a bounded row
-check; derived (aggregated) sides are left to AQE, which re-plans to a
-broadcast join at runtime when the shuffle output is small."""
+many-to-many fans out.  Whether a side is broadcast is left to
+spark.sql.autoBroadcastJoinThreshold and to AQE, which know sizes in bytes."""
 
 from __future__ import annotations
 
@@ -10,32 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-_BOUND_CHECKS: dict = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a
-    LIMIT job that stops early); otherwise return it unchanged for a shuffle join.
-
-    The verdict is remembered per (plan, input files, bound): a rewritten or
-    grown table has new files and is checked again."""
-    try:
-        key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # noqa: BLE001 - plans without a stable hash are simply re-checked
-        key = None
-    small = _BOUND_CHECKS.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None and key[1]:
-            if len(_BOUND_CHECKS) > 4096:
-                _BOUND_CHECKS.clear()
-            _BOUND_CHECKS[key] = small
-    return F.broadcast(df) if small else df
-
-
 def _pairs(on) -> list[tuple[str, str]]:
     if isinstance(on, str):
         return [(on, on)]
@@ -45,8 +18,7 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner", null_safe: bool = True,
-         suffix: tuple[str, str] = ("_x", "_y"), broadcast_right: bool = False,
-         expect_unique_right: bool = False) -> DataFrame:
+         suffix: tuple[str, str] = ("_x", "_y"), expect_unique_right: bool = False) -> DataFrame:
     """dplyr-style *_join.
 
     ``on``: a name, a list of names / (left, right) pairs, or {left: right}.
@@ -62,8 +34,6 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner", null_safe: b
     r_rest = [c for c in right.columns if c not in rk]
     clash = (set(l_rest) - lk) & set(r_rest)
     L, R = left.alias("__l"), right.alias("__r")
-    if broadcast_right:
-        R = F.broadcast(R)
     conds = [(F.col(f"__l.`{l}`").eqNullSafe(F.col(f"__r.`{r}`")) if null_safe
               else F.col(f"__l.`{l}`") == F.col(f"__r.`{r}`")) for l, r in pairs]
     j = L.join(R, reduce(lambda a, b: a & b, conds), how)

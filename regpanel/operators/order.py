@@ -36,9 +36,8 @@ def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, by: list[str] | Non
 
 
 def ordinal_levels(df: DataFrame, label: str, name: str = "level") -> DataFrame:
-    """factor(levels = unique(x[order(as.numeric(sub(" .*", "", x)))])):
-    the distinct labels with their level number (numeric prefix order,
-    non-numeric last, then by label)."""
+    """The distinct labels, numbered by the number they begin with; labels
+    without one come last, equal ones by their text.  One row per level."""
     key = F.regexp_replace(F.col(label), " .*", "").try_cast("double")
     d = df.select(label).distinct().where(F.col(label).isNotNull())
     from pyspark.sql import Window

@@ -25,16 +25,9 @@ def pivot_longer(df: DataFrame, cols: list[str], names_to: str = "name",
     return d.unpivot(id_cols, cols, names_to, values_to)
 
 
-MAX_PIVOT_COLUMNS = 10_000
-
-
-def distinct_names(df: DataFrame, column: str, max_names: int = MAX_PIVOT_COLUMNS) -> list:
-    """Sorted distinct values of a code column that will become column names.
-    At most ``max_names + 1`` values reach the driver; more raises."""
-    vals = [r[0] for r in df.select(column).distinct().limit(max_names + 1).collect()]
-    if len(vals) > max_names:
-        raise ValueError(f"{column}: more than {max_names} distinct names; pass an explicit list")
-    return sorted(vals, key=lambda v: (v is None, v))
+def distinct_names(df: DataFrame, column: str) -> list:
+    """Sorted distinct values of a code column that will become column names."""
+    return sorted((r[0] for r in df.select(column).distinct().collect()), key=lambda v: (v is None, v))
 
 
 def pivot_wider(df: DataFrame, id_cols: list[str], names_from: str, values_from: str,
@@ -125,9 +118,8 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     # Header tables hold one row per sheet column: they grow with sheets x width,
     # so each is broadcast only after a bounded size check (otherwise a shuffle
     # join).  Broadcasting them keeps the large body cells from being shuffled.
-    from regpanel.operators.joins import bounded_broadcast
     # one per-sheet table: measure name, band count, group count, last row
-    meta = bounded_broadcast(nb.join(n_groups, "sheet").join(measure, "sheet").join(last_row, "sheet"))
+    meta = nb.join(n_groups, "sheet").join(measure, "sheet").join(last_row, "sheet")
     body = (c.where(F.col("col_idx") >= fc).join(meta, "sheet")
              .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
     regions = (small.join(last_row, "sheet")
@@ -148,10 +140,10 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
             raise ValueError("crosstab_normalise: body row without a region cell")
     out = (vals.join(regions, ["sheet", "row_idx"], "left")
                .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
-               .join(bounded_broadcast(bands), ["sheet", "col_idx"])
+               .join((bands), ["sheet", "col_idx"])
                .withColumn("group", (F.pmod(F.floor((F.col("col_idx") - fc) / F.col("__nb")),
                                             F.col("__ng")) + 1).cast("int"))
-               .join(bounded_broadcast(groups), ["sheet", "group"]))
+               .join((groups), ["sheet", "group"]))
     return out.select("sheet", "variable", "anio", "sector", "region", "tramo", cast.alias("value"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
-from regpanel.operators.joins import bounded_broadcast, join
+from regpanel.operators.joins import join
 
 
 def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
@@ -21,17 +21,13 @@ def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
 
     ``df`` feeds both the aggregate and the join; with ``materialize`` it is
     written once to the checkpoint folder (reliable, lineage cut) so an
-    expensive upstream is not computed twice.  ``few_groups`` broadcasts the
-    per-group table after a bounded size check (the rows are then never
-    shuffled); without ``materialize`` that check recomputes the upstream, so
-    by default AQE picks the join at runtime."""
+    expensive upstream is not computed twice.  ``few_groups`` marks a per-group
+    table of a handful of rows; how it is joined is left to Spark."""
     if materialize:
         from regpanel.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()
     g = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    if few_groups:
-        g = bounded_broadcast(g)
     return join(df, g, keys, "left", null_safe=True)
 
 
@@ -103,7 +99,8 @@ def first_appearance_ordinal(df: DataFrame, partition: list[str], order: str,
 
 
 def block_cycle_ordinal(idx, block: int = BLOCK_BANDS, cycle: int = BLOCK_GROUPS) -> Column:
-    """(((idx - 1) %/% block) %% cycle) + 1 for a 1-based position ``idx``."""
+    """Number (from 1) of the block that the 1-based position ``idx`` is in,
+    starting over after ``cycle`` blocks."""
     i = F.col(idx) if isinstance(idx, str) else idx
     return (F.pmod(F.floor((i - 1) / block), F.lit(cycle)) + 1).cast("bigint")
 

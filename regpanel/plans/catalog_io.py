@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from regpanel.functions.exprs import col
-from regpanel.operators.joins import assert_unique, bounded_broadcast, fold_as_pivot
+from regpanel.operators.joins import assert_unique, fold_as_pivot
 from regpanel.plans.catalog_shape import CROSSTAB_SQL, panel_cells
 from regpanel.operators.reshape import crosstab_normalise
 from regpanel.plans.panel import panel, with_panel
@@ -188,7 +188,7 @@ def national_file_reader(spark, d):
     written from the tables, then read with the national-file reader."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = bounded_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
     agg = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy("n_nationkey", "n_name", F.year("o_orderdate").alias("y"))
             .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t")))

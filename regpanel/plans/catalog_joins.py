@@ -16,7 +16,7 @@ TRANSLIT_SQL = "replace(strip_accents(lower({x})), 'ß', 'ss')"
 
 
 def _nation(spark, d):
-    return J.bounded_broadcast(table(spark, d, "nation"))
+    return (table(spark, d, "nation"))
 
 
 # ---------------------------------------------------------------- J1 J2 J3
@@ -32,7 +32,7 @@ FROM supplier s JOIN nation n ON CAST(s.s_nationkey AS VARCHAR) = CAST(n.n_natio
 def inner_after_cast(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("tcode"))
     n = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("tcode"), "n_name")
-    return J.join(s, J.bounded_broadcast(n), ["tcode"], "inner")
+    return J.join(s, (n), ["tcode"], "inner")
 
 
 @query("left_lookup", """SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment
@@ -108,8 +108,8 @@ def column_bind_by_key(spark, d):
 def _control(spark, d):
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = J.bounded_broadcast(table(spark, d, "nation"))
-    r = J.bounded_broadcast(table(spark, d, "region"))
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -152,9 +152,9 @@ def _hdi(spark, d):
     one region carry accents, all are in title case."""
     s = table(spark, d, "supplier")
     n = table(spark, d, "nation")
-    name = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1 << 20)))
+    name = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     name = F.when(F.col("n_regionkey") == 1, F.translate(name, "aio", "áíó")).otherwise(name)
-    return (s.join(J.bounded_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    return (s.join((n), F.col("s_nationkey") == F.col("n_nationkey"))
              .groupBy(name.alias("region")).agg(F.avg("s_acctbal").alias("hdi")))
 
 
@@ -219,7 +219,7 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN m ON n.
 def coalesce_codes(spark, d):
     n = table(spark, d, "nation")
     r = table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE"))
-    mapper = J.bounded_broadcast(n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
+    mapper = (n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_name").alias("old_code"),
         F.concat(F.col("r_name"), F.lit("-"), F.col("n_nationkey").cast("string")).alias("new_code")))
     c = _cust_region(spark, d)

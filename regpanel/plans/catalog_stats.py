@@ -87,13 +87,19 @@ def _miss_sql():
           "CAST(count(DISTINCT tramo) + max(CASE WHEN tramo IS NULL THEN 1 ELSE 0 END) AS BIGINT))")
     parts = [f"SELECT anio, '{c}' AS variable, "
              f"{sql_sig(f'CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) * 100.0 / CAST({nd} AS DOUBLE)')} "
-             f"AS pct_faltantes FROM panel GROUP BY anio" for c in _MISS_COLS]
-    return with_panel("\nUNION ALL\n".join(parts))
+             f"AS pct_faltantes FROM agg GROUP BY anio" for c in _MISS_COLS]
+    agg = """, agg AS (SELECT anio, region, tramo, nullif(sum(pessoal_ocupado), 0) AS pessoal_ocupado,
+  nullif(avg(salario_medio), 0) AS salario_medio, nullif(sum(numero_empresas), 0) AS numero_empresas
+FROM panel GROUP BY anio, region, tramo)
+"""
+    return with_panel(agg + "\nUNION ALL\n".join(parts))
 
 
 @query("missing_pct_by_period", _miss_sql())
 def missing_pct_by_period(spark, d):
-    out = A.missing_pct(panel(spark, d), "anio", ("region", "tramo"), _MISS_COLS)
+    agg = A.summarise_sum_mean(panel(spark, d), ["anio", "region", "tramo"], ["pessoal_ocupado", "numero_empresas"],
+                               ["salario_medio"])  # one row per cell of the grid
+    out = A.missing_pct(agg, "anio", ("region", "tramo"), _MISS_COLS)
     return sig_all(out)
 
 
@@ -322,9 +328,6 @@ def histogram_by_group(spark, d):
 
 
 # ---------------------------------------------------------------- A13 ribbon
-T_975_LARGE_N = 1.959963984540054  # Student t 0.975 quantile for large n (normal limit)
-
-
 @query("linear_fit_band", f"""WITH g AS (SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n,
   regr_sxx(l_extendedprice, l_quantity) AS sxx, regr_syy(l_extendedprice, l_quantity) AS syy,
   regr_sxy(l_extendedprice, l_quantity) AS sxy, regr_avgx(l_extendedprice, l_quantity) AS mx,
@@ -333,7 +336,7 @@ f AS (SELECT l_returnflag, n, sxx, mx, sxy / nullif(sxx, 0) AS slope, my - sxy /
   CASE WHEN n > 2 THEN sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0.0) / (n - 2)) END AS sigma FROM g),
 p AS (SELECT DISTINCT l_returnflag, l_quantity FROM lineitem),
 b AS (SELECT p.l_returnflag, p.l_quantity, f.intercept + f.slope * p.l_quantity AS fit,
-  {T_975_LARGE_N} * f.sigma * sqrt(1.0 / f.n + ((p.l_quantity - f.mx) ** 2) / nullif(f.sxx, 0)) AS half
+  (1.959963984540054 + 2.372271230 / (n - 2) + 2.822499 / (n - 2) ** 2) * f.sigma * sqrt(1.0 / f.n + ((p.l_quantity - f.mx) ** 2) / nullif(f.sxx, 0)) AS half
   FROM p JOIN f USING (l_returnflag))
 SELECT l_returnflag, l_quantity, {sql_sig('fit')} AS fit, {sql_sig('fit - half')} AS lower, {sql_sig('fit + half')} AS upper FROM b""")
 def linear_fit_band(spark, d):
@@ -342,7 +345,7 @@ def linear_fit_band(spark, d):
     li = table(spark, d, "lineitem")
     fits = A.linear_fit(li, ["l_returnflag"], "l_quantity", "l_extendedprice")
     pts = li.select("l_returnflag", "l_quantity").distinct()
-    return sig_all(A.fit_band(fits, pts, ["l_returnflag"], "l_quantity", T_975_LARGE_N))
+    return sig_all(A.fit_band(fits, pts, ["l_returnflag"], "l_quantity", 0.975))
 
 
 @query("profile_factor", """WITH l AS (SELECT 'o_orderpriority' AS skim_variable, o_orderpriority AS level FROM orders

@@ -100,9 +100,9 @@ def band_recode(spark, d):
 @query("string_build", """SELECT c.c_custkey, concat_ws('-', n.n_name, c.c_mktsegment) AS etiqueta,
   CAST(c.c_nationkey AS VARCHAR) || '-01-01' AS fecha_txt FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def string_build(spark, d):
-    from regpanel.operators.joins import bounded_broadcast, join
+    from regpanel.operators.joins import join
     c = table(spark, d, "customer")
-    n = bounded_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
     j = join(c, n, {"c_nationkey": "n_nationkey"}, "inner")
     return j.select("c_custkey", F.concat_ws("-", "n_name", "c_mktsegment").alias("etiqueta"),
                     F.concat(F.col("c_nationkey").cast("string"), F.lit("-01-01")).alias("fecha_txt"))

@@ -136,14 +136,15 @@ def natural_merge_folder(spark, path: str, keys: list[str], fmt: str = "parquet"
     df = spark.read.format(fmt).load(path).withColumn("__file", F.col("_metadata.file_path"))
     part = (r"/([^/]+)/[^/]+$" if name_from == "dir" else r"/([^/]+)$")
     stem = F.regexp_extract(F.regexp_extract("__file", part, 1), r"^(.*?)(\.[^.]*)?$", 1)
-    per_file = df.groupBy(stem.alias("__stem")).agg(
-        F.count_distinct(indicator_col).alias("__n"), F.min(indicator_col).alias("__ind"))
-    files = per_file.orderBy("__stem").limit(10_001).collect()
-    if len(files) > 10_000:
-        raise ValueError("natural_merge_folder: more than 10000 files")
-    if any(r["__n"] != 1 for r in files):
-        raise ValueError("natural_merge_folder: a file holds more than one indicator")
-    indicators = list(dict.fromkeys(r["__ind"] for r in files))
+    # NULL is a value of its own: a file with an indicator and NULLs holds two
+    files = (df.groupBy(stem.alias("__stem")).agg(
+        (F.count_distinct(indicator_col) + F.max(F.col(indicator_col).isNull().cast("int"))).alias("__n"),
+        F.min(indicator_col).alias("__ind")).orderBy("__stem").collect())  # one row per indicator file
+    if any(r["__n"] != 1 or r["__ind"] is None for r in files):
+        raise ValueError("natural_merge_folder: a file holds more than one indicator, or none")
+    indicators = [r["__ind"] for r in files]
+    if len(set(indicators)) < len(indicators):
+        raise ValueError("natural_merge_folder: two files hold the same indicator")
     d = df.drop("__file", *drop)
     if rename is None:
         rename = {k: v for k, v in INDICATOR_RENAMES.items() if k in d.columns}
@@ -208,8 +209,8 @@ def business_facts(spark, d) -> DataFrame:
     orders: geo = region-prefixed nation code, sizeclas from order value."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = J.bounded_broadcast(table(spark, d, "nation"))
-    r = J.bounded_broadcast(table(spark, d, "region"))
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
@@ -227,7 +228,7 @@ def business_dims(spark, d):
     also appears under a child code with the same name."""
     r = table(spark, d, "region")
     countries = r.select(F.upper(F.substring("r_name", 1, 2)).alias("code"),
-                         F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.substring("r_name", 2, 100))).alias("name"),
+                         F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.substr("r_name", F.lit(2)))).alias("name"),
                          F.lower("r_name").alias("label"))
     n = table(spark, d, "nation").join(r, F.col("n_regionkey") == F.col("r_regionkey"))
     base = F.concat(F.upper(F.substring("r_name", 1, 2)), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
@@ -254,12 +255,12 @@ def indicator_panel_from(spark, facts: DataFrame, countries: DataFrame, geo: Dat
     explicit ``codes`` -> sanitised names -> band recode -> year text -> one
     output folder per country."""
     facts = facts.withColumn("country_code", F.substring("geo", 1, 2))
-    cs = J.bounded_broadcast(countries.where(F.lower("label").isin(list(countries_kept)))
+    cs = countries.where(F.lower("label").isin(list(countries_kept))
                              .select("code", F.col("name").alias("pais")))
     j = J.join(facts, cs, {"country_code": "code"}, "inner")
-    j = J.join(j, J.bounded_broadcast(geo.select("id", F.col("NUTS_NAME").alias("region"))), {"geo": "id"}, "inner")
+    j = J.join(j, (geo.select("id", F.col("NUTS_NAME").alias("region"))), {"geo": "id"}, "inner")
     u = j.select("pais", "region", "TIME_PERIOD", "indic_sb", "sizeclas", "values").distinct()
-    u = J.join(u, J.bounded_broadcast(mapper.select("hist", "new")), {"indic_sb": "hist"}, "left")
+    u = J.join(u, (mapper.select("hist", "new")), {"indic_sb": "hist"}, "left")
     u = u.withColumn("variables", F.coalesce("new", "indic_sb"))
     wide = pivot_wider(u, ["pais", "region", "sizeclas", "TIME_PERIOD"], "variables", "values", values=codes)
     wide = P.rename_with(wide, sanitize_name)
@@ -309,11 +310,11 @@ def hdi_table(spark, d, country_region: str) -> DataFrame:
     accented names for one region's nations, a national row per year."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = J.bounded_broadcast(table(spark, d, "nation"))
-    r = J.bounded_broadcast(table(spark, d, "region"))
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region")
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
-    name = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1 << 20)))
+    name = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     name = F.when(F.col("n_nationkey") % 2 == 1, F.translate(name, "aio", "áíó")).otherwise(name)
     shdi = (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
             / F.count(F.lit(1)).cast("double") / 1e6)
@@ -429,8 +430,8 @@ def country_controls(spark, d) -> DataFrame:
     (the other spelling is NULL, as bind_rows(fill) leaves it)."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = J.bounded_broadcast(table(spark, d, "nation"))
-    r = J.bounded_broadcast(table(spark, d, "region").where(F.col("r_name").isin("EUROPE", "ASIA")))
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region").where(F.col("r_name").isin("EUROPE", "ASIA"))
     j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     g = j.groupBy("r_name", F.col("n_name").alias("region"), F.year("o_orderdate").alias("anio")).agg(

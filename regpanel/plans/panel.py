@@ -18,8 +18,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from regpanel.operators.joins import bounded_broadcast
 from regpanel.plans.registry import table
 
 KEYS = ["anio", "region", "tramo", "sector"]
@@ -30,7 +28,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice",
                                                "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     cnt = F.count(F.lit(1))

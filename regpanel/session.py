@@ -6,35 +6,38 @@ session is supplied by the caller and only ``checkpoint_dir`` is read.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
 _LOCAL_CONF = {
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    "spark.driver.memory": "16g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
 def get_spark(master: str | None = None, app: str = "regpanel",
               extra: dict | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests/bench."""
+    """Return the active session, or build a local one for tests/bench; memory
+    and, beyond one shuffle partition per core, its sizing are the caller's (``extra``)."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
+    if master is None:
+        builder = builder.config("spark.sql.shuffle.partitions", cpus)
     for k, v in {**_LOCAL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -48,13 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the configured checkpoint dir; set one only where none is set
-    (tests, local runs).  spark.checkpoint.dir is a core config that cannot
-    be changed at runtime, so the fallback goes to SparkContext.setCheckpointDir."""
+    """The configured folder that driver and executors share.  Where none is
+    set, a cluster raises; a ``local[..]`` session, whose executor is the
+    driver itself, gets ``fallback`` or a folder that goes at exit."""
     d = checkpoint_dir(spark)
     if not d:
-        import tempfile
-        d = fallback or tempfile.mkdtemp(prefix="regpanel-ckpt-")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
+        d = fallback
+        if not d:
+            d = tempfile.mkdtemp(prefix="regpanel-ckpt-")
+            atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from regpanel.functions.dates import year_to_date
 from regpanel.functions.exprs import nan_to_null
@@ -24,14 +24,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
              infer: bool = False) -> DataFrame:
     """readr read_csv: header, ``""`` and ``NA`` are missing.  ``schema`` should
     be given for production sources (``infer`` is for exploration only);
-    ``overrides`` casts single columns (e.g. year as string), ``select``
-    prunes columns (pushed to the scan's ReadSchema for columnar formats)."""
+    ``overrides`` are read types of single columns (a code read as string
+    keeps its leading zeros), ``select`` prunes columns (pushed to the scan's
+    ReadSchema for columnar formats)."""
     r = spark.read.option("header", True).option("nullValue", "NA")
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", infer)
-    df = r.csv(path)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if schema is None:
+        schema = r.option("inferSchema", infer).csv(path).schema
+    types = {c: StructType.fromDDL(f"x {t}")[0].dataType for c, t in (overrides or {}).items()}
+    schema = StructType([StructField(f.name, types.get(f.name, f.dataType), f.nullable) for f in schema.fields])
+    df = r.schema(schema).csv(path)
     # Spark maps only one nullValue token; the other one is handled here.
     # NaN is missing too (R's is.na), and Spark aggregates would propagate it.
     def clean(f):
@@ -42,8 +45,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
             return nan_to_null(f.name).alias(f.name)
         return F.col(f.name)
     df = df.select(*[clean(f) for f in df.schema.fields])
-    for c, t in (overrides or {}).items():
-        df = df.withColumn(c, F.col(c).cast(t))
     if select:
         df = df.select(*select)
     return df
@@ -128,8 +129,7 @@ def read_specs(facts: DataFrame, specs: list[DatasetSpec], regions: DataFrame,
     r = regions.select(F.col(region_id).alias("id_region"), F.col(region_name).alias("region"))
     # the region list is broadcast only after a bounded size check, so the
     # large fact side is never shuffled for this join when the list is small
-    from regpanel.operators.joins import bounded_broadcast
-    return (f.join(bounded_broadcast(r), "id_region")
+    return (f.join((r), "id_region")
              .select("anio", "id_region", "region", "variable", "value", "unit").distinct())
 
 

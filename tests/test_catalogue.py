@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from regpanel.plans.catalog import ORACLE, QUERIES
 
 SF = os.environ.get("REGPANEL_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -39,24 +40,25 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {"sample_n_seeded", "distribution_by_group_approx"}
     assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = _canon(df.columns, df.collect())
-    rel = con.sql(E.oracle_sql()[name])
+    rel = con.sql(ORACLE[name])
     want = _canon(rel.columns, rel.fetchall())
     assert sorted(df.columns) == sorted(rel.columns)
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_python_and_no_cross_join(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad} in plan"

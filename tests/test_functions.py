@@ -74,6 +74,25 @@ def test_band_recode_and_order_key(spark):
     assert one(spark, T.band_recode("x"), [("1-9",), ("GE10",), ("0",)]) == ["1 a 9", "+10", "0"]
 
 
+def test_replace_first_groups_the_pattern(spark):
+    assert one(spark, T.replace_first("x", "a|b", "_"), [("xaab",), ("xbba",)]) == ["x_ab", "x_ba"]
+
+
+def test_signs_are_spelled_alike_in_values_and_names(spark):
+    names = ["Nº de empresas", "1ª vez", "“a” – ‘b’"]
+    assert one(spark, T.sanitize("x"), [(n,) for n in names]) == [T.sanitize_name(n) for n in names]
+    assert T.sanitize_name(names[0]) == "no_de_empresas"
+
+
+def test_sanitize_equals_its_twin_over_the_latin_blocks(spark):
+    chars = [f"a{chr(c)}B" for c in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2010, 0x2030)]]
+    assert one(spark, T.sanitize("x"), [(c,) for c in chars]) == [T.sanitize_name(c) for c in chars]
+
+
+def test_clean_names_drops_quotes():
+    assert T.clean_names(["d'Or", 'the "x" name']) == ["d_or", "the_x_name"]
+
+
 def test_clean_names():
     assert T.clean_names(["Año", "2019", None, "Año", "", "ventasAnuales"]) == [
         "ano", "x2019", "na", "ano_2", "x", "ventas_anuales"]

@@ -280,3 +280,21 @@ def test_crosstab_blank_region_modes(spark):
     assert ff.where("region = 'Sul'").count() == 16  # row 8 takes the region of row 7
     with pytest.raises(ValueError):
         crosstab_normalise(cells, blank_region="reject")
+
+
+def test_t_quantile(spark):
+    from regpanel.operators.aggregate import t_quantile
+    known = {1: 12.7062, 2: 4.30265, 3: 3.18245, 5: 2.57058, 10: 2.22814, 30: 2.04227, 1000: 1.96234}
+    df = spark.createDataFrame([(k,) for k in known], "n int")
+    for r in df.select("n", t_quantile(0.975, F.col("n")).alias("t")).collect():
+        assert r.t == pytest.approx(known[r.n], rel=2e-3 if r.n < 5 else 2e-4)
+
+
+def test_natural_merge_folder_checks_its_files(spark, tmp_path):
+    from regpanel.plans.composites import natural_merge_folder
+    schema = "Indicador string, region string, Valor string"
+    for case, files in {"null": [[("a", "r1", "1"), (None, "r2", "2")]], "twice": [[("a", "r1", "1")], [("a", "r2", "2")]]}.items():
+        for i, rows in enumerate(files):
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / case / f"f{i}"))
+        with pytest.raises(ValueError, match="indicator"):
+            natural_merge_folder(spark, f"{tmp_path}/{case}/*", ["region"], drop=(), name_from="dir")

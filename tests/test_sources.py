@@ -18,6 +18,14 @@ def test_read_csv_null_tokens_and_override(spark, tmp_path):
     assert dict(df.dtypes)["anio"] == "string"
 
 
+def test_override_keeps_leading_zeros(spark, tmp_path):
+    p = tmp_path / "z.csv"
+    p.write_text("code,v\n01,1\n002,2\n", encoding="utf-8")
+    for kw in ({"schema": "code int, v int"}, {"infer": True}):
+        df = R.read_csv(spark, str(p), overrides={"code": "string"}, **kw)
+        assert sorted((r.code, r.v) for r in df.collect()) == [("002", 2), ("01", 1)]
+
+
 def test_read_csv_european(spark, tmp_path):
     p = tmp_path / "e.csv"
     p.write_bytes("Comunidades y ciudades autónomas;Periodo;Total\n01 Andalucía;2019;1.234,5\nCeuta;2020;-7,25\n"
