@@ -11,16 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regpanel.session import ensure_checkpoint_dir
+
 # ------------------------------------------------------------ scratch tables
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``);
-    a missing setting is an error, never a machine-local fallback."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
-    return d.rstrip("/")
+    without one, a cluster raises and a local session uses its own."""
+    return ensure_checkpoint_dir(spark).rstrip("/")
 
 
 class Scratch:
