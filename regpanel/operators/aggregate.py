@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from regpanel.functions.exprs import (corr_safe, count_missing, log_pos, n_distinct_na,
                                       strict_mean, strict_sum, sum_na_rm, zero_as_missing)
+from regpanel.operators.quantiles import grouped_quantiles
 from regpanel.operators.reshape import pivot_longer
 
 
@@ -53,23 +54,24 @@ STAT_NAMES = ["min", "p25", "mediana", "media", "p75", "max", "std_dev", "std_er
 def distribution_table(df: DataFrame, group: str, value_cols: list[str],
                        approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Per group x variable: min, p25, median, mean, p75, max, sd, se, cv,
-    missing count.  Quantiles are type 7 (exact ``percentile``) unless
-    ``approx`` (bounded-memory sketch for hot groups).  se divides by the
+    missing count.  Quantiles are type 7, exact by counted ranges unless
+    ``approx`` (bounded-memory sketch).  se divides by the
     group's row count including missing rows; groups with a NULL label are
     dropped (split())."""
     long = pivot_longer(df.where(F.col(group).isNotNull()).select(group, *value_cols),
                         value_cols, "variable", "__v", id_cols=[group])
     v = F.col("__v")
-    if approx:
-        q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
-    else:
-        q = F.percentile(v, [0.25, 0.5, 0.75])
+    q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy) if approx else F.lit(None)
     sd = F.stddev_samp(v)
     agg = long.groupBy(group, "variable").agg(
         F.min(v).alias("min"), q.alias("__q"), F.avg(v).alias("media"), F.max(v).alias("max"),
         sd.alias("std_dev"), (sd / F.sqrt(F.count(F.lit(1)))).alias("std_err"),
         (100.0 * F.try_divide(sd, F.avg(v))).alias("cv"),
         count_missing(v).alias("cant_faltantes"))
+    if not approx:
+        from regpanel.operators.joins import join
+        exact = grouped_quantiles(long, [group, "variable"], v, [0.25, 0.5, 0.75])
+        agg = join(agg.drop("__q"), exact, [group, "variable"], "left", null_safe=False)
     return agg.select(group, "variable", "min",
                       F.col("__q")[0].cast("double").alias("p25"),
                       F.col("__q")[1].cast("double").alias("mediana"),
@@ -113,14 +115,16 @@ def boxplot_stats(df: DataFrame, keys: list[str], y: str, log: str | None = "10"
     back with one row per group."""
     val = log_pos(y, log) if log else F.col(y)
     d = df.select(*keys, val.alias("__y")).where(F.col("__y").isNotNull())
-    q3 = (F.percentile_approx("__y", [0.25, 0.5, 0.75], 10000) if approx
-          else F.percentile("__y", [0.25, 0.5, 0.75]))
-    q = d.groupBy(*keys).agg(q3.alias("__q"), F.count(F.lit(1)).alias("n"))
+    from regpanel.operators.joins import join
+    if approx:
+        q = d.groupBy(*keys).agg(F.percentile_approx("__y", [0.25, 0.5, 0.75], 10000).alias("__q"), F.count(F.lit(1)).alias("n"))
+    else:
+        q = join(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")),
+                 grouped_quantiles(d, keys, F.col("__y"), [0.25, 0.5, 0.75]), keys)
     q = q.select(*keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3"))
     q = q.withColumn("__lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("__hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    from regpanel.operators.joins import join
     j = join(d, q, keys, "inner")
     inside = (F.col("__y") >= F.col("__lo")) & (F.col("__y") <= F.col("__hi"))
     w = j.groupBy(*keys).agg(
@@ -140,8 +144,9 @@ def boxplot_outliers(df: DataFrame, keys: list[str], y: str, log: str | None = "
     from regpanel.operators.joins import join
     val = log_pos(y, log) if log else F.col(y)
     d = df.select(*keys, *carry, val.alias("__y")).where(F.col("__y").isNotNull())
-    q3 = (F.percentile_approx("__y", [0.25, 0.75], 10000) if approx else F.percentile("__y", [0.25, 0.75]))
-    q = d.groupBy(*keys).agg(q3.alias("__q")).select(
+    q = (d.groupBy(*keys).agg(F.percentile_approx("__y", [0.25, 0.75], 10000).alias("__q")) if approx
+         else grouped_quantiles(d, keys, F.col("__y"), [0.25, 0.75]))
+    q = q.select(
         *keys, F.col("__q")[0].alias("__q1"), F.col("__q")[1].alias("__q3"))
     j = join(d, q, keys, "inner")
     iqr = F.col("__q3") - F.col("__q1")

@@ -27,11 +27,11 @@ def tail_n(df: DataFrame, order, n: int = 6) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, by: list[str] | None = None) -> DataFrame:
-    """sample_n(n) with a seed: the n rows with the smallest hash of
-    (row, seed).  Deterministic for any partitioning; ties are broken by the
+    """sample_n(n) with a seed: the n rows with the smallest md5 of
+    (``by`` columns, seed).  Deterministic for any partitioning; ties are broken by the
     row itself."""
     cols = by or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed))).cast("binary"))
     return df.withColumn("__h", h).orderBy("__h", *cols).limit(n).drop("__h")
 
 

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
+from regpanel.operators.joins import join
+from regpanel.operators.quantiles import grouped_quantiles
+
 FIELDS = [
     ("n_missing", "bigint"), ("complete_rate", "double"),
     ("min_len", "bigint"), ("max_len", "bigint"), ("n_empty", "bigint"),
@@ -41,7 +44,7 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
     column; ``approx=True`` uses HyperLogLog counts and quantile sketches
     instead (bounded state, no expansion) for wide tables at scale."""
     group = list(group or [])
-    structs = []
+    structs, ranked = [], []
     n = F.count(F.lit(1))
     for f in df.schema.fields:
         if f.name in group:
@@ -59,23 +62,40 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
                         n_whitespace=F.count_if(s.rlike(r"^\s+$")).cast("bigint"))
         elif kind == "numeric":
             x = c.cast("double")
-            q = (F.percentile_approx(x, [0.0, 0.25, 0.5, 0.75, 1.0], 10000) if approx
-                 else F.percentile(x, [0.0, 0.25, 0.5, 0.75, 1.0]))
-            vals.update(mean=F.avg(x), sd=F.stddev_samp(x),
-                        p0=F.min(x), p25=q[1].cast("double"), p50=q[2].cast("double"),
-                        p75=q[3].cast("double"), p100=F.max(x))
+            vals.update(mean=F.avg(x), sd=F.stddev_samp(x), p0=F.min(x), p100=F.max(x))
+            if approx:
+                q = F.percentile_approx(x, [0.25, 0.5, 0.75], 10000)
+                vals.update(p25=q[0].cast("double"), p50=q[1].cast("double"), p75=q[2].cast("double"))
+            else:
+                ranked.append((f.name, x))
         elif kind == "date":
             d = c.cast("date")
             u = F.unix_date(d)
             vals.update(date_min=F.min(d), date_max=F.max(d),
-                        date_median=F.date_from_unix_date(F.floor(F.median(u)).cast("int")),
                         n_unique=(F.approx_count_distinct(d) if approx else F.count_distinct(d)).cast("bigint"))
+            if approx:
+                vals.update(date_median=F.date_from_unix_date(F.percentile_approx(u, 0.5, 10000)))
+            else:
+                ranked.append((f.name, u))
         else:  # logical
             vals.update(mean=F.avg(c.cast("double")))
         structs.append(F.struct(F.lit(kind).alias("skim_type"), F.lit(f.name).alias("skim_variable"),
                                 *[vals[k].alias(k) for k, _ in FIELDS]))
     agg = df.groupBy(*group).agg(F.array(*structs).alias("__p"))
-    return agg.select(*group, F.explode("__p").alias("__s")).select(*group, "__s.*")
+    out = agg.select(*group, F.explode("__p").alias("__s")).select(*group, "__s.*")
+    return _with_quantiles(df, out, group, ranked) if ranked else out
+
+
+def _with_quantiles(df: DataFrame, out: DataFrame, group: list[str], ranked: list) -> DataFrame:
+    """Fills the exact quartiles and date medians, all columns in one counted pass."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("skim_variable"), x.cast("double").alias("x")) for c, x in ranked]))
+    long = df.select(*group, each.alias("__f")).select(*group, "__f.*")
+    keys = [*group, "skim_variable"]
+    j = join(out, grouped_quantiles(long, keys, F.col("x"), [0.25, 0.5, 0.75]), keys, "left")
+    q, date = F.col("__q"), F.col("skim_type") == "date"
+    fill = {"p25": F.when(~date, q[0]), "p50": F.when(~date, q[1]), "p75": F.when(~date, q[2]),
+            "date_median": F.when(date, F.date_from_unix_date(F.floor(q[1]).cast("int")))}
+    return j.select(*[fill[c].alias(c) if c in fill else F.col(c) for c in out.columns])
 
 
 def factor_profile(df: DataFrame, cols: list[str], top: int = 4, ordered: dict[str, bool] | None = None,

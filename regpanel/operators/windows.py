@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
 from regpanel.operators.joins import join
+from regpanel.operators.quantiles import grouped_quantiles
 
 
 def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
@@ -110,9 +111,18 @@ def group_medians(df: DataFrame, keys: list[str], cols: dict[str, str],
     """mutate(m = median(x, na.rm = TRUE)) by group, for several columns.
     ``few_groups`` pays off together with ``materialize``: the size check then
     reads the materialised rows instead of recomputing the upstream."""
-    med = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else (lambda c: F.median(c))
-    return with_group_aggs(df, keys, {n: med(F.col(c)).cast("double") for n, c in cols.items()},
-                           materialize=materialize, few_groups=few_groups)
+    if approx:
+        return with_group_aggs(df, keys, {n: F.percentile_approx(c, 0.5, 10000).cast("double") for n, c in cols.items()},
+                               materialize=materialize, few_groups=few_groups)
+    if materialize:
+        from regpanel.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint()
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).cast("double").alias("x")) for n, c in cols.items()]))
+    long = df.select(*keys, each.alias("__c")).select(*keys, F.col("__c.n").alias("__name"), F.col("__c.x").alias("__x"))
+    q = grouped_quantiles(long, [*keys, "__name"], F.col("__x"), [0.5])
+    wide = q.groupBy(*keys).agg(*[F.max(F.when(F.col("__name") == n, F.col("__q")[0])).alias(n) for n in cols])
+    return join(df, wide, keys, "left", null_safe=True)
 
 
 def quadrant_label(x: Column, y: Column, mx: Column, my: Column,

@@ -127,3 +127,19 @@ def test_profile_independent_of_partitioning(spark, data):
                 assert va == pytest.approx(vb, rel=1e-9, abs=1e-9)
             else:
                 assert va == vb
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-5, 5), st.floats(-1e3, 1e3))),
+                min_size=1, max_size=60))
+def test_counted_quantiles_equal_percentile(spark, data):
+    from regpanel.operators.quantiles import grouped_quantiles
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in data], "g string, v double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for keys in (["g"], []):
+        got = {tuple(r[k] for k in keys): r["__q"] for r in grouped_quantiles(df, keys, F.col("v"), probs).collect()}
+        want = {tuple(r[k] for k in keys): r["q"] for r in
+                df.where("v is not null").groupBy(*keys).agg(F.percentile("v", probs).alias("q")).collect() if r["q"]}
+        assert got.keys() == want.keys()
+        for k in got:
+            assert got[k] == pytest.approx(want[k])
