@@ -15,8 +15,8 @@ little, so they are joined on that stronger condition: their key also holds
 the following piece, once whole and once without each of its bits.
 
 Candidates inside a bucket are compared on a dense sketch (a lower bound of
-the difference again) and verified on the sets.  Buckets are streamed in key
-order; large ones are dealt out as pairs of blocks.  Documents already known
+the difference again) and verified on the sets.  Buckets with the same members
+become one; large ones are dealt out as pairs of blocks.  Documents already known
 to be in one group are not compared again, so a group of near copies costs
 its links once, not all its pairs.
 
@@ -31,6 +31,7 @@ result; extra columns are ignored by :func:`near_groups` and kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ SKETCH_BITS = 1024
 FULL = 6  # shingles a piece should hold on average; sparser sketches only extend their empty pieces
 LOW = 3  # in fuller sketches, pieces with fewer bits also need the piece after them
 BLOCK_ROWS = 512  # of a large bucket
+LARGE = 4096  # members of buckets that are named by them
 
 
 def shingles(text: np.ndarray, k: int) -> np.ndarray:
@@ -164,41 +166,86 @@ def _sets(k: int):
     return run
 
 
+class _Buckets:
+    """Streams rows sorted by (key, sid) and gives the members of keys with two
+    members or more: (key, sid, place in the bucket, first member).
+
+    A bucket of up to LARGE members is renamed to a hash of its members, so
+    that the many pieces in which the same documents agree become one bucket.
+    Larger ones keep their key and are passed on as they come; never more than
+    LARGE members and one batch are held."""
+
+    def __init__(self):
+        self.key, self.sid = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.passed, self.first = 0, None  # of the bucket that is being passed on
+
+    def feed(self, key: np.ndarray, sid: np.ndarray, end: bool = False) -> list[np.ndarray]:
+        key, sid = np.r_[self.key, key], np.r_[self.sid, sid]
+        if not len(key):
+            return [key] * 4
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
+        key, sid = key[new], sid[new]
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        cut = len(key) if end else int(edge[-1])  # what comes before is complete
+        rows = self._complete(key[:cut], sid[:cut], edge[edge < cut])
+        key, sid = key[cut:], sid[cut:]
+        if len(key) > (0 if self.passed else LARGE) and not end:  # pass on all but the last row
+            rows = [np.r_[x, y] for x, y in zip(rows, self._pass(key[:-1], sid[:-1]), strict=True)]
+            key, sid = key[-1:], sid[-1:]
+        self.key, self.sid = key, sid
+        return rows
+
+    def _pass(self, key, sid) -> list[np.ndarray]:
+        if not len(key):
+            return [key] * 4
+        if not self.passed:
+            self.first = sid[0]
+        place = np.arange(self.passed, self.passed + len(sid))
+        self.passed += len(sid)
+        return [key, sid, place, np.full(len(sid), self.first)]
+
+    def _complete(self, key, sid, edge) -> list[np.ndarray]:
+        head = [np.empty(0, np.int64)] * 4
+        if not len(key):
+            return head
+        if self.passed:  # the rest of the bucket that was being passed on
+            n = int(edge[1]) if len(edge) > 1 else len(key)
+            head = self._pass(key[:n], sid[:n])
+            self.passed, self.first = 0, None
+            key, sid, edge = key[n:], sid[n:], edge[1:] - n
+            if not len(key):
+                return head
+        size = np.diff(np.r_[edge, len(key)])
+        h = mix(sid.view(np.uint64))
+        name = mix(np.add.reduceat(h, edge) ^ mix(np.bitwise_xor.reduceat(h, edge) + size.astype(np.uint64)))
+        name = np.where(size <= LARGE, as_long(name), key[edge])
+        keep = np.repeat(size > 1, size)
+        place = np.arange(len(key)) - np.repeat(edge, size)
+        rows = [np.repeat(name, size)[keep], sid[keep], place[keep], np.repeat(sid[edge], size)[keep]]
+        return [np.r_[x, y] for x, y in zip(head, rows, strict=True)]
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, sid): the members of keys with two members or
-    more, each once, with its place in the bucket.  Holds one batch at a time."""
-    last_key = last_sid = None
-    place = 0
+    state = _Buckets()
+    names = ["key", "sid", "place", "first"]
     for b in batches:
-        key, sid = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "sid"))
-        n = len(key)
-        if not n:
-            continue
-        new_key, new = np.ones(n, bool), np.ones(n, bool)
-        new_key[1:] = key[1:] != key[:-1]
-        new[1:] = new_key[1:] | (sid[1:] != sid[:-1])
-        if last_key is not None:
-            new_key[0] = key[0] != last_key
-            new[0] = new_key[0] or sid[0] != last_sid
-        carried = None if last_key is None else (last_key, last_sid, place)
-        run = np.cumsum(new_key)  # 0: the bucket that the batch before ended in
-        rank = np.cumsum(new)
-        at_start = np.zeros(run[-1] + 1, dtype=np.int64)
-        starts = np.flatnonzero(new_key)
-        at_start[run[starts]] = rank[starts]
-        if run[0] == 0:
-            at_start[0] = -place  # distinct members go on from the place reached
-        pos = rank - at_start[run]
-        size = np.zeros(run[-1] + 1, dtype=np.int64)
-        np.maximum.at(size, run, pos + 1)
-        keep = new & (size[run] > 1)
-        out_key, out_sid, out_pos = key[keep], sid[keep], pos[keep]
-        if run[0] == 0 and carried[2] == 0 and size[0] > 1:  # the second member shows that the first counts
-            out_key, out_sid, out_pos = np.r_[carried[0], out_key], np.r_[carried[1], out_sid], np.r_[0, out_pos]
-        # a bucket's first member is held back while it is alone at the end of a batch
-        last_key, last_sid, place = key[-1], sid[-1], int(pos[-1])
-        if len(out_key):
-            yield pa.RecordBatch.from_arrays([pa.array(out_key), pa.array(out_sid), pa.array(out_pos)], names=["key", "sid", "place"])
+        rows = state.feed(*(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "sid")))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
+    rows = state.feed(np.empty(0, np.int64), np.empty(0, np.int64), end=True)
+    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
+
+
+def _plausible(t: int):
+    """Of pairs with both sizes and sketches: those that the sketches allow."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("ka", "kb"))
+                n = b.column("na").to_numpy() + b.column("nb").to_numpy()
+                b = b.filter(pa.array(_hamming(x, y) * (100 + t) <= (100 - t) * n))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"])
+    return run
 
 
 _POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
@@ -285,7 +332,8 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     meta = scratch.save(d.mapInArrow(_meta(k), "doc_id long, n long, sid long, sketch binary"), "meta")
     pieces = d.select("text").mapInArrow(_pieces(k, t), "key long, sid long")
     shared = (pieces.repartition("key").sortWithinPartitions("key", "sid")
-              .mapInArrow(_shared, "key long, sid long, place long"))
+              .mapInArrow(_shared, "key long, sid long, place long, first long")
+              .groupBy("key", "sid").agg(F.min("place").alias("place"), F.min("first").alias("first")))
     shared = scratch.save(shared, "shared")
     sids = shared.select("sid").distinct()
     members = scratch.save(meta.join(sids, "sid").groupBy("sid").agg(
@@ -293,37 +341,44 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     one = members.where("one is not null").select(F.col("one").alias("doc_id"), "sid")
     sets = scratch.save(d.join(one.hint("merge"), "doc_id").select("sid", "text").mapInArrow(_sets(k), "sid long, set binary")
                         .dropDuplicates(["sid"]), "sets")
-    # large buckets: every pair of blocks is a bucket of its own
-    block = F.floor(F.col("place") / BLOCK_ROWS).cast("int")
-    large = (shared.where(F.col("place") >= BLOCK_ROWS).groupBy("key").agg((F.max(block) + 1).alias("blocks")))
-    other = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks") - 1, F.lit(0))))
-    dealt = (shared.join(large, "key", "left").withColumn("own", block).select("*", other.alias("other"))
-             .select("key", "sid", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                     F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("block")))
-    # a block with itself is compared in (x, x); in (x, y) only rows of different blocks are
-    # first a forest of likely links; then whatever may still join two groups
-    m, found = members.select("sid", "n", "sketch", F.col("sid").alias("label")), []
-    label = None
-    for step in ("likely", "rest"):
-        rows = dealt.join(m, "sid")
-        if label is not None:  # buckets all of one group are done
-            mixed = rows.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
-            rows = rows.join(mixed, "key")
-        rows = (rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "sid")
-                .select("key", "x", "y", "sid", "n", "label", "block", "sketch"))
-        pairs = rows.mapInArrow(_compare(t, label is None), "a long, b long")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if found:
-            pairs = pairs.join(found[0].select("a", "b"), ["a", "b"], "left_anti")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
         judged = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
                   .join(sets.select(F.col("sid").alias("b"), F.col("set").alias("sb")), "b")
                   .mapInArrow(_verify(t), "a long, b long, linked boolean"))
-        found.append(scratch.save(judged, f"judged-{step}"))
-        links = found[0] if len(found) == 1 else found[0].unionAll(found[1])
-        label = components(spark, links.where("linked")).select(F.col("id").alias("sid"), F.col("component").alias("label"))
-        label = scratch.save(label, f"label-{step}")
-        m = (members.select("sid", "n", "sketch").join(label, "sid", "left")
-             .withColumn("label", F.coalesce("label", "sid")))
+        return scratch.save(judged, f"judged-{name}")
+
+    def labels(done: list[DataFrame], name: str) -> DataFrame:
+        links = reduce(DataFrame.unionAll, done).where("linked")
+        return scratch.save(components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label")),
+                            f"label-{name}")
+
+    # every member with the first of its buckets: most groups are joined by that
+    size = members.select("sid", "n", "sketch")
+    stars = (shared.where("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct()
+             .join(size.toDF("a", "na", "ka"), "a").join(size.toDF("b", "nb", "kb"), "b")
+             .where(100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
+             .mapInArrow(_plausible(t), "a long, b long"))
+    done = [verified(stars, "stars")]
+    label = labels(done, "stars")
+    # then what is left in buckets of several groups: a forest of likely links, and all that may still join two
+    for name, thin in (("likely", True), ("rest", False)):
+        known = shared.select("key", "sid", "place").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("place").alias("last"))
+        blocks = F.floor(F.col("last") / BLOCK_ROWS).cast("int")
+        mixed = mixed.where("lo <> hi").select("key", blocks.alias("blocks"))
+        own, other = F.floor(F.col("place") / BLOCK_ROWS).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks")))
+        # large buckets: every pair of blocks is a bucket of its own; a block with itself is compared in (x, x)
+        dealt = (known.join(mixed, "key").withColumn("own", own).select("*", other.alias("other"))
+                 .select("key", "sid", "label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                         F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("block")))
+        rows = (dealt.join(size, "sid").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "sid")
+                .select("key", "x", "y", "sid", "n", "label", "block", "sketch"))
+        pairs = rows.mapInArrow(_compare(t, thin), "a long, b long")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        tried = reduce(DataFrame.unionAll, done).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        done.append(verified(pairs.join(tried, ["a", "b"], "left_anti"), name))
+        label = labels(done, name)
     groups = meta.join(label, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "sid").alias("g"))
     least = groups.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("component_id"))
     return groups.join(least, "g", "left").select(

@@ -340,3 +340,25 @@ def test_pipeline_stages(spark, docs):
 def test_oracles_parse():
     assert set(ORACLE) <= set(QUERIES)
     assert duckdb.connect().extract_statements(";".join(ORACLE.values()))
+
+
+@pytest.mark.parametrize("batch", [1, 3, 50])
+def test_buckets_stream(monkeypatch, batch):
+    monkeypatch.setattr(parity_join, "LARGE", 4)
+    rows = sorted((int(k), int(s)) for k, s in zip(RNG.integers(0, 12, 150) ** 2 // 9, RNG.integers(0, 40, 150), strict=True))
+    state, out = parity_join._Buckets(), []
+    for i in range(0, len(rows), batch):
+        k, s = np.array(rows[i:i + batch], dtype=np.int64).T
+        out.append(state.feed(k, s))
+    out.append(state.feed(np.empty(0, np.int64), np.empty(0, np.int64), end=True))
+    got, want = defaultdict(list), defaultdict(set)
+    for key, sid, place, first in zip(*(np.concatenate(c).tolist() for c in zip(*out, strict=True)), strict=True):
+        got[key].append((place, sid, first))
+    for k, s in rows:
+        want[k].add(s)
+    want = {k: sorted(v) for k, v in want.items() if len(v) > 1}
+    for members in got.values():
+        assert sorted(p for p, *_ in members) == list(range(len(members)))
+        assert {f for *_, f in members} == {min(s for _, s, _ in members)}
+    assert sorted([s for _, s, _ in sorted(m)] for m in got.values()) == sorted(want.values())
+    assert {k for k, v in want.items() if len(v) > 4} <= set(got)
