@@ -35,18 +35,16 @@ def pivot_wider(df: DataFrame, id_cols: list[str], names_from: str, values_from:
     """pivot_wider with an explicit value list (column order = list order; a
     code with no data still gets an all-NULL column).
 
-    on_duplicate: ``error`` raises when an (id, name) cell has several values
+    on_duplicate: ``error`` raises, when the query runs, if an (id, name) cell has several values
     (R would build a list-column); ``first`` keeps one value; ``max`` keeps the
     largest.  NULL id groups are kept.
     """
     if values is None:
         values = distinct_names(df, names_from)
-    if on_duplicate == "error":
-        dup = (df.groupBy(*id_cols, names_from).count().where(F.col("count") > 1).limit(1).count())
-        if dup:
-            raise ValueError("pivot_wider: values are not uniquely identified; "
-                             "use pivot_duplicates() to list them")
     agg = F.max(values_from) if on_duplicate == "max" else F.first(values_from, ignorenulls=True)
+    if on_duplicate == "error":  # checked in the same aggregate, when it runs
+        agg = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(
+            "pivot_wider: values are not uniquely identified; use pivot_duplicates() to list them"))).otherwise(agg)
     return df.groupBy(*id_cols).pivot(names_from, values).agg(agg)
 
 
@@ -140,10 +138,10 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
             raise ValueError("crosstab_normalise: body row without a region cell")
     out = (vals.join(regions, ["sheet", "row_idx"], "left")
                .withColumn("region", F.coalesce(F.col("region"), F.lit(region_label)))
-               .join((bands), ["sheet", "col_idx"])
+               .join(bands, ["sheet", "col_idx"])
                .withColumn("group", (F.pmod(F.floor((F.col("col_idx") - fc) / F.col("__nb")),
                                             F.col("__ng")) + 1).cast("int"))
-               .join((groups), ["sheet", "group"]))
+               .join(groups, ["sheet", "group"]))
     return out.select("sheet", "variable", "anio", "sector", "region", "tramo", cast.alias("value"))
 
 

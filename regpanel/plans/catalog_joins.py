@@ -16,7 +16,7 @@ TRANSLIT_SQL = "replace(strip_accents(lower({x})), 'ß', 'ss')"
 
 
 def _nation(spark, d):
-    return (table(spark, d, "nation"))
+    return table(spark, d, "nation")
 
 
 # ---------------------------------------------------------------- J1 J2 J3
@@ -32,7 +32,7 @@ FROM supplier s JOIN nation n ON CAST(s.s_nationkey AS VARCHAR) = CAST(n.n_natio
 def inner_after_cast(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("tcode"))
     n = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("tcode"), "n_name")
-    return J.join(s, (n), ["tcode"], "inner")
+    return J.join(s, n, ["tcode"], "inner")
 
 
 @query("left_lookup", """SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment
@@ -154,7 +154,7 @@ def _hdi(spark, d):
     n = table(spark, d, "nation")
     name = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     name = F.when(F.col("n_regionkey") == 1, F.translate(name, "aio", "áíó")).otherwise(name)
-    return (s.join((n), F.col("s_nationkey") == F.col("n_nationkey"))
+    return (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
              .groupBy(name.alias("region")).agg(F.avg("s_acctbal").alias("hdi")))
 
 

@@ -36,7 +36,7 @@ def assemble_measures(spark: SparkSession, path: str, measures: list[str]) -> Da
     positional cbind re-aimed as a pivot on the measure name)."""
     long = spark.read.parquet(path)
     return pivot_wider(long, ["anio", "sector", "region", "tramo"], "variable", "value",
-                       values=measures, on_duplicate="first")
+                       values=measures, on_duplicate="error")
 
 
 # ------------------------------------------------------------------ PL3
@@ -255,12 +255,11 @@ def indicator_panel_from(spark, facts: DataFrame, countries: DataFrame, geo: Dat
     explicit ``codes`` -> sanitised names -> band recode -> year text -> one
     output folder per country."""
     facts = facts.withColumn("country_code", F.substring("geo", 1, 2))
-    cs = countries.where(F.lower("label").isin(list(countries_kept))
-                             .select("code", F.col("name").alias("pais")))
+    cs = countries.where(F.lower("label").isin(list(countries_kept))).select("code", F.col("name").alias("pais"))
     j = J.join(facts, cs, {"country_code": "code"}, "inner")
-    j = J.join(j, (geo.select("id", F.col("NUTS_NAME").alias("region"))), {"geo": "id"}, "inner")
+    j = J.join(j, geo.select("id", F.col("NUTS_NAME").alias("region")), {"geo": "id"}, "inner")
     u = j.select("pais", "region", "TIME_PERIOD", "indic_sb", "sizeclas", "values").distinct()
-    u = J.join(u, (mapper.select("hist", "new")), {"indic_sb": "hist"}, "left")
+    u = J.join(u, mapper.select("hist", "new"), {"indic_sb": "hist"}, "left")
     u = u.withColumn("variables", F.coalesce("new", "indic_sb"))
     wide = pivot_wider(u, ["pais", "region", "sizeclas", "TIME_PERIOD"], "variables", "values", values=codes)
     wide = P.rename_with(wide, sanitize_name)

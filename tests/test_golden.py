@@ -176,8 +176,8 @@ def test_brazil_series_wide(spark):
     assert got[("Acre", 2020)]["densidad_pobl"] is None              # zero area
     assert got[("Amazonas", 2020)]["densidad_pobl"] == 130.0 / 1500.0
     dup = facts.unionByName(facts.limit(1))
-    with _pt.raises(ValueError):
-        series_wide_from(dup, terr, BR_SERIES)
+    with _pt.raises(Exception, match="not uniquely identified"):
+        series_wide_from(dup, terr, BR_SERIES).collect()
 
 
 def test_uruguay_natural_merge(spark):

@@ -90,8 +90,8 @@ def test_recode_first_match_wins(spark):
 
 def test_pivot_wider_duplicates_raise_and_all_null_column_kept(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0)], "id int, code string, v double")
-    with pytest.raises(ValueError):
-        pivot_wider(df, ["id"], "code", "v", values=["a"])
+    with pytest.raises(Exception, match="not uniquely identified"):
+        pivot_wider(df, ["id"], "code", "v", values=["a"]).collect()
     ok = spark.createDataFrame([(1, "a", 1.0), (None, "a", 2.0)], "id int, code string, v double")
     out = pivot_wider(ok, ["id"], "code", "v", values=["a", "zz"])
     assert out.columns == ["id", "a", "zz"]
