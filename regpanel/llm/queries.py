@@ -97,7 +97,36 @@ def op5_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), _tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
-@_query("op6_license_scan")
+_PHRASES = ", ".join(f"({i}, '{label}', {str(i < len(license_scan.BASE)).lower()}, '{phrase}')"
+                     for i, (label, phrase) in enumerate([*license_scan.BASE, *license_scan.TEMPLATES]))
+
+
+@_query("op6_license_scan", f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t(template, label, is_base, phrase) AS (VALUES {_PHRASES}),
+u AS (SELECT *, string_split(phrase, ' ') AS tw FROM t),
+g AS (SELECT template, label, is_base, len(tw) - 2 AS n, i - 1 AS tpos, array_to_string(tw[i:i + 2], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, len(tw) - 1)) AS i FROM u)),
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS pos FROM d),
+k AS (SELECT doc_id, pos, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o AS gram
+      FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+h AS (SELECT doc_id, template, label, is_base, n, pos - tpos AS diag, bit_or(CAST(1 AS BIGINT) << tpos) AS m, min(pos) AS first
+      FROM k JOIN g USING (gram) GROUP BY ALL),
+e AS (SELECT *, bit_count(m) = n AS exact, lag(diag) OVER (PARTITION BY doc_id, template ORDER BY diag) AS before FROM h),
+i AS (SELECT *, sum(CASE WHEN diag - before <= 3 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, template ORDER BY diag) AS island
+      FROM e),
+s AS (SELECT doc_id, template, label, is_base, exact, island, CASE WHEN exact THEN diag END AS at, min(first) AS first,
+             bit_count(bit_or(m)) / CAST(any_value(n) AS DOUBLE) AS score
+      FROM i GROUP BY ALL),
+f AS (SELECT * FROM s WHERE exact OR (NOT is_base AND score >= 0.8))
+SELECT d.doc_id, len(any_value(w)) AS n_words, count(*) FILTER (is_base) AS n_base, min(first) FILTER (is_base) AS first_word,
+       max(first) FILTER (is_base) AS last_word,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base), '') AS base_labels,
+       coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(score), 0.0) AS score
+FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id""")
 def op6_license_scan(spark, d):
     return license_scan.license_report(_table(spark, d, "documents"))
 
