@@ -62,7 +62,8 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
                        blank_region: str = "label") -> DataFrame:
     """Normalise two-level crosstab sheets held as a cells table
     ``(sheet, row_idx, col_idx, value)`` (1-based) into a long panel
-    ``(sheet, variable, anio, sector, region, tramo, value)``.
+    ``(sheet, variable, anio, sector, region, tramo, value)``.  Blank body
+    cells are rows with a NULL value, and so are their panel rows.
 
     Layout per sheet: (1,1) names the measure after ``Variável - ``; row 3 holds
     the year and row 4 the sector in the first column of each merged block;
@@ -148,10 +149,10 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
 def panel_to_cells(long_panel: DataFrame, sheet_col: str, measure_title_col: str,
                    year_col: str, sector_col: str, region_col: str, band_col: str,
                    value_col: str, first_value_col: int = 3) -> DataFrame:
-    """Lay a long panel out as sparse crosstab cells (the inverse of
+    """Lay a long panel out as crosstab cells (the inverse of
     :func:`crosstab_normalise`), used to build fixtures from real tables.
 
-    Only non-blank cells are stored, as a sheet reader emits them.  Columns:
+    A NULL value is a blank body cell, stored as a row.  Columns:
     blocks of (year, sector) in sorted order, bands in sorted order inside
     each block; rows: regions in sorted order from row 6; a source note in
     the last row.  Ordinals are dense ranks over the distinct labels of each

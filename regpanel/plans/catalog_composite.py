@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from regpanel.plans import composites as C
 from regpanel.plans.catalog_io import national_file_reader, scratch
-from regpanel.plans.catalog_shape import CROSSTAB_SQL, panel_cells
+from regpanel.plans.catalog_shape import _SHEETS, CROSSTAB_SQL, panel_cells
 from regpanel.plans.catalog_stats import _dist_sql, _profile_sql, _sig_profile
 from regpanel.plans.panel import panel, with_panel
 from regpanel.plans.registry import query, sig_all, sql_sig
@@ -17,14 +17,16 @@ def pl_crosstab_to_panel(spark, d):
     return C.crosstab_to_panel(spark, panel_cells(spark, d), scratch(spark, "pl1"))
 
 
-@query("pl_assemble_measures", f"""SELECT anio, sector, region, tramo,
-  max(value) FILTER (WHERE variable = 'pedidos_unidades') AS pedidos_unidades,
-  max(value) FILTER (WHERE variable = 'valor_total_reais') AS valor_total_reais
-FROM ({_PL1_SQL}) GROUP BY ALL""")
+_MEASURE_NAMES = [s[2] for s in _SHEETS.values()]
+
+
+@query("pl_assemble_measures", "SELECT anio, sector, region, tramo, "
+       + ", ".join(f"max(value) FILTER (WHERE variable = '{m}') AS {m}" for m in _MEASURE_NAMES)
+       + f" FROM ({_PL1_SQL}) GROUP BY ALL")
 def pl_assemble_measures(spark, d):
     path = scratch(spark, "pl2")
     C.crosstab_to_panel(spark, panel_cells(spark, d), path)
-    return C.assemble_measures(spark, path, ["pedidos_unidades", "valor_total_reais"])
+    return C.assemble_measures(spark, path, _MEASURE_NAMES)
 
 
 @query("pl_series_wide", f"""WITH f AS (SELECT event_type AS code, CAST(ts AS DATE) AS date,

@@ -202,12 +202,17 @@ def unpivot_subset(spark, d):
 
 
 # ---------------------------------------------------------------- R7 P7 P8 J7
-_SHEETS = {"pedidos": ("Tabela 1", "Variável - Pedidos (Unidades)", "pedidos_unidades"),
-           "valor_total": ("Tabela 2", "Variável - Valor total (Reais)", "valor_total_reais")}
+# measure -> sheet, title cell, variable name after normalisation
+_SHEETS = {"numero_empresas": ("Tabela 0", "Variável - Número de empresas (Unidades)", "numero_de_empresas_unidades"),
+           "pedidos": ("Tabela 1", "Variável - Pedidos (Unidades)", "pedidos_unidades"),
+           "valor_total": ("Tabela 2", "Variável - Valor total (Reais)", "valor_total_reais"),
+           "pessoal_ocupado": ("Tabela 3", "Variável - Pessoal ocupado (Pessoas)", "pessoal_ocupado_pessoas"),
+           "salario_medio": ("Tabela 4", "Variável - Salário médio (Reais)", "salario_medio_reais")}
 
 
 def panel_cells(spark, d):
-    """The panel laid out as two crosstab sheets (one per measure).
+    """The panel laid out as crosstab sheets, one per measure; a missing value
+    is a blank body cell (a row with a NULL value).
 
     The long panel feeds five branches of the layout and the cells feed five
     branches of the normaliser, so both are cut with a reliable checkpoint
@@ -215,22 +220,20 @@ def panel_cells(spark, d):
     from regpanel.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     p = panel(spark, d)
-    long = pivot_longer(p.select("anio", "region", "tramo", "sector", "pedidos", "valor_total"),
-                        ["pedidos", "valor_total"], "measure", "value",
+    long = pivot_longer(p.select("anio", "region", "tramo", "sector", *_SHEETS), list(_SHEETS), "measure", "value",
                         id_cols=["anio", "region", "tramo", "sector"])
-    sheet = F.when(F.col("measure") == "pedidos", _SHEETS["pedidos"][0]).otherwise(_SHEETS["valor_total"][0])
-    title = F.when(F.col("measure") == "pedidos", _SHEETS["pedidos"][1]).otherwise(_SHEETS["valor_total"][1])
-    long = long.where(F.col("value").isNotNull()).withColumn("sheet", sheet).withColumn("title", title)
+    sheet, title = (F.element_at(F.create_map(*[F.lit(x) for m, s in _SHEETS.items() for x in (m, s[i])]), F.col("measure"))
+                    for i in (0, 1))
+    long = long.withColumn("sheet", sheet).withColumn("title", title)
     long = long.checkpoint()
     return panel_to_cells(long, "sheet", "title", "anio", "sector", "region", "tramo", "value").checkpoint()
 
 
 CROSSTAB_SQL = with_panel(f"""
-, l AS (SELECT * FROM panel UNPIVOT (value FOR measure IN (pedidos, valor_total)))
-SELECT CASE WHEN measure = 'pedidos' THEN '{_SHEETS["pedidos"][0]}' ELSE '{_SHEETS["valor_total"][0]}' END AS sheet,
-  CASE WHEN measure = 'pedidos' THEN '{_SHEETS["pedidos"][2]}' ELSE '{_SHEETS["valor_total"][2]}' END AS variable,
-  CAST(anio AS VARCHAR) AS anio, sector, region, tramo, CAST(trunc(value) AS INTEGER) AS value
-FROM l WHERE value IS NOT NULL""")
+, l AS (SELECT * FROM panel UNPIVOT INCLUDE NULLS (value FOR measure IN ({", ".join(_SHEETS)}))),
+s(measure, sheet, variable) AS (VALUES {", ".join(f"('{m}', '{x[0]}', '{x[2]}')" for m, x in _SHEETS.items())})
+SELECT sheet, variable, CAST(anio AS VARCHAR) AS anio, sector, region, tramo, TRY_CAST(trunc(value) AS INTEGER) AS value
+FROM l JOIN s USING (measure)""")
 
 
 @query("crosstab_normalise", CROSSTAB_SQL)
@@ -308,7 +311,7 @@ def bind_rows_fill(spark, d):
     return U.bind_rows([c, s], fill=True)
 
 
-CROSSTAB_DOUBLE_SQL = CROSSTAB_SQL.replace("CAST(trunc(value) AS INTEGER) AS value", "value")
+CROSSTAB_DOUBLE_SQL = CROSSTAB_SQL.replace("TRY_CAST(trunc(value) AS INTEGER) AS value", "value")
 
 
 @query("crosstab_normalise_double", CROSSTAB_DOUBLE_SQL)
