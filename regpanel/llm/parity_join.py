@@ -237,14 +237,17 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _plausible(t: int):
-    """Of pairs with both sizes and sketches: those that the sketches allow."""
+    """Of pairs with both sizes and sketches: those that the sketches allow, with their distance."""
     def run(batches):
         for b in batches:
             if b.num_rows:
                 x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("ka", "kb"))
-                n = b.column("na").to_numpy() + b.column("nb").to_numpy()
-                b = b.filter(pa.array(_hamming(x, y) * (100 + t) <= (100 - t) * n))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"])
+                n, h = b.column("na").to_numpy() + b.column("nb").to_numpy(), _hamming(x, y)
+                ok = h * (100 + t) <= (100 - t) * n
+                b, h = b.filter(pa.array(ok)), h[ok]
+            else:
+                h = []
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(h, pa.int64())], names=["a", "b", "h"])
     return run
 
 
@@ -339,8 +342,9 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     members = scratch.save(meta.join(sids, "sid").groupBy("sid").agg(
         F.min("doc_id").alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "members")
     one = members.where("one is not null").select(F.col("one").alias("doc_id"), "sid")
-    sets = scratch.save(d.join(one.hint("merge"), "doc_id").select("sid", "text").mapInArrow(_sets(k), "sid long, set binary")
-                        .dropDuplicates(["sid"]), "sets")
+    # repeated rows go where the join has put them already
+    texts_ = d.join(one.hint("merge"), "doc_id").withColumn("fp", F.xxhash64("text")).dropDuplicates(["doc_id", "sid", "fp"])
+    sets = scratch.save(texts_.select("sid", "text").mapInArrow(_sets(k), "sid long, set binary"), "sets")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         judged = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
@@ -353,12 +357,13 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
         return scratch.save(components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label")),
                             f"label-{name}")
 
-    # every member with the first of its buckets: most groups are joined by that
+    # every member with the nearest of its buckets' first ones: most groups are joined by that
     size = members.select("sid", "n", "sketch")
     stars = (shared.where("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct()
              .join(size.toDF("a", "na", "ka"), "a").join(size.toDF("b", "nb", "kb"), "b")
              .where(100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
-             .mapInArrow(_plausible(t), "a long, b long"))
+             .mapInArrow(_plausible(t), "a long, b long, h long")
+             .groupBy("b").agg(F.min(F.struct("h", "a")).alias("best")).select("best.a", "b"))  # the likeliest for each
     done = [verified(stars, "stars")]
     label = labels(done, "stars")
     # then what is left in buckets of several groups: a forest of likely links, and all that may still join two
