@@ -202,4 +202,6 @@ def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b"
     if nodes is None:
         return spark.createDataFrame([], "id long, component long")
     least = nodes.groupBy("root").agg(F.min("id").alias("component"))
-    return nodes.join(least, "root").select("id", "component")
+    out = scratch.save(nodes.join(least, "root").select("id", "component"), "cc-result")
+    scratch.drop(f"cc-edges-{k}", f"cc-map-{k}", f"cc-nodes-{k}")
+    return out

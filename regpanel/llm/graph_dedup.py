@@ -304,6 +304,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
         "label", "v", (F.coalesce("n", F.lit(0)) + F.col("c") - 1).alias("n_links"),
         F.coalesce("component", "one").alias("component"), "one")
     groups = scratch.save(groups, "groups")
+    scratch.drop("members", "graph", "found")
     recall = audit(reps, groups, threshold)
     out = rows.where("ok").join(groups, ["label", "v"]).select("vec_id", "n_links", F.col("component").alias("component_id"))
     out = out.unionAll(rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"),

@@ -45,6 +45,7 @@ SKETCH_BITS = 1024
 FULL = 6  # shingles a piece should hold on average; sparser sketches only extend their empty pieces
 LOW = 3  # in fuller sketches, pieces with fewer bits also need the piece after them
 BLOCK_ROWS = 512  # of a large bucket
+FILTER_BITS = 1 << 23  # of the filter that spares most texts a shuffle: 1 MB, broadcast
 LARGE = 4096  # members of buckets that are named by them
 
 
@@ -236,18 +237,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
 
 
-def _plausible(t: int):
-    """Of pairs with both sizes and sketches: those that the sketches allow, with their distance."""
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A filter of fixed size (FILTER_BITS bits) that holds all doc_id of a table, and others too."""
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    rows = (ids.select(F.floor(at / 32768).cast("int").alias("part"), F.pmod(at, F.lit(32768)).cast("long").alias("bit"))
+            .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in rows:
+        out[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out
+
+
+def _asked(bits: np.ndarray):
     def run(batches):
         for b in batches:
-            if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint8).reshape(b.num_rows, -1) for c in ("ka", "kb"))
-                n, h = b.column("na").to_numpy() + b.column("nb").to_numpy(), _hamming(x, y)
-                ok = h * (100 + t) <= (100 - t) * n
-                b, h = b.filter(pa.array(ok)), h[ok]
-            else:
-                h = []
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(h, pa.int64())], names=["a", "b", "h"])
+            at = b.column("at").to_numpy()
+            yield b.select(["doc_id", "text"]).filter(pa.array(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1))
     return run
 
 
@@ -338,37 +343,14 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
               .mapInArrow(_shared, "key long, sid long, place long, first long")
               .groupBy("key", "sid").agg(F.min("place").alias("place"), F.min("first").alias("first")))
     shared = scratch.save(shared, "shared")
-    sids = shared.select("sid").distinct()
-    members = scratch.save(meta.join(sids, "sid").groupBy("sid").agg(
+    members = scratch.save(meta.join(shared.select("sid").distinct(), "sid").groupBy("sid").agg(
         F.min("doc_id").alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "members")
-    one = members.where("one is not null").select(F.col("one").alias("doc_id"), "sid")
-    # repeated rows go where the join has put them already
-    texts_ = d.join(one.hint("merge"), "doc_id").withColumn("fp", F.xxhash64("text")).dropDuplicates(["doc_id", "sid", "fp"])
-    sets = scratch.save(texts_.select("sid", "text").mapInArrow(_sets(k), "sid long, set binary"), "sets")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        judged = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
-                  .join(sets.select(F.col("sid").alias("b"), F.col("set").alias("sb")), "b")
-                  .mapInArrow(_verify(t), "a long, b long, linked boolean"))
-        return scratch.save(judged, f"judged-{name}")
-
-    def labels(done: list[DataFrame], name: str) -> DataFrame:
-        links = reduce(DataFrame.unionAll, done).where("linked")
-        return scratch.save(components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label")),
-                            f"label-{name}")
-
-    # every member with the nearest of its buckets' first ones: most groups are joined by that
     size = members.select("sid", "n", "sketch")
-    stars = (shared.where("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct()
-             .join(size.toDF("a", "na", "ka"), "a").join(size.toDF("b", "nb", "kb"), "b")
-             .where(100 * F.least("na", "nb") >= t * F.greatest("na", "nb"))
-             .mapInArrow(_plausible(t), "a long, b long, h long")
-             .groupBy("b").agg(F.min(F.struct("h", "a")).alias("best")).select("best.a", "b"))  # the likeliest for each
-    done = [verified(stars, "stars")]
-    label = labels(done, "stars")
-    # then what is left in buckets of several groups: a forest of likely links, and all that may still join two
-    for name, thin in (("likely", True), ("rest", False)):
-        known = shared.select("key", "sid", "place").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+    def candidates(label: DataFrame | None, thin: bool) -> DataFrame:
+        """Pairs of different groups that some bucket holds and the sketches allow."""
+        known = shared.withColumn("label", F.col("sid")) if label is None else (
+            shared.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")))
         mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("place").alias("last"))
         blocks = F.floor(F.col("last") / BLOCK_ROWS).cast("int")
         mixed = mixed.where("lo <> hi").select("key", blocks.alias("blocks"))
@@ -380,10 +362,36 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
         rows = (dealt.join(size, "sid").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "sid")
                 .select("key", "x", "y", "sid", "n", "label", "block", "sketch"))
         pairs = rows.mapInArrow(_compare(t, thin), "a long, b long")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        tried = reduce(DataFrame.unionAll, done).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    # a forest of likely links; whoever has any likely partner is on it
+    forest = scratch.save(candidates(None, True), "forest")
+    ends = forest.select(F.col("a").alias("sid")).unionAll(forest.select(F.col("b").alias("sid"))).distinct()
+    one = scratch.save(members.join(ends, "sid").where("one is not null").select(F.col("one").alias("doc_id"), "sid"), "ends")
+    # repeated rows go where the join has put them already
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at")
+    likely = d.select("doc_id", "text", place).mapInArrow(_asked(_bits(one)), "doc_id long, text string")
+    texts_ = (likely.join(one.hint("merge"), "doc_id")
+              .withColumn("fp", F.xxhash64("text")).dropDuplicates(["doc_id", "sid", "fp"]))
+    sets = scratch.save(texts_.select("sid", "text").mapInArrow(_sets(k), "sid long, set binary"), "sets")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        judged = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
+                  .join(sets.select(F.col("sid").alias("b"), F.col("set").alias("sb")), "b")
+                  .mapInArrow(_verify(t), "a long, b long, linked boolean"))
+        return scratch.save(judged, f"judged-{name}")
+
+    def labels(done: list[DataFrame]) -> DataFrame:
+        links = reduce(DataFrame.unionAll, done).where("linked")
+        return components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label"))
+
+    done = [verified(forest, "forest")]
+    for name, thin in (("likely", True), ("rest", False)):
+        pairs = candidates(labels(done), thin)
+        tried = reduce(DataFrame.unionAll, done).select("a", "b")
         done.append(verified(pairs.join(tried, ["a", "b"], "left_anti"), name))
-        label = labels(done, name)
+    label = labels(done)
+    scratch.drop("shared", "members", "forest", "ends", "sets", "judged-forest", "judged-likely", "judged-rest")
     groups = meta.join(label, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "sid").alias("g"))
     least = groups.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("component_id"))
     return groups.join(least, "g", "left").select(
