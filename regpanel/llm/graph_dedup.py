@@ -1,11 +1,14 @@
 """Embedding near-duplicates on a robust-pruned flat graph.
 
-Vectors of one label are dealt to overlapping cluster shards (each to its
-``OVERLAP`` nearest centres).  Every shard builds a robust-pruned neighbour
-graph; the adjacency lists that a vector got in its shards are united.  Each
-vector then searches its home shard greedily from the nearest medoids, and while it
-meets vectors in range the search widens to all their neighbours.  Found pairs
-are verified by their cosine in double precision.
+Vectors of one label are dealt to overlapping cluster shards: to the nearest
+centre (home) and to every other whose border is within the chord of the
+threshold, so a home shard holds all that can link with its vectors.  Every
+shard builds a robust-pruned neighbour graph; the adjacency lists that a vector
+got in its shards are united.  Each vector then searches its home shard
+greedily from the nearest medoids, and while it meets vectors in range the
+search widens to all their neighbours.  What the walk has not met is looked at
+in every ball of near vectors whose radius lets it hold one in range, so no
+link is lost.  Found pairs are verified by their cosine in double precision.
 
 Equal vectors of a label are collapsed first and count with their number.
 Shards above ``SHARD_ROWS`` are dealt to sub-shards by a hash, with a graph
@@ -14,7 +17,9 @@ each; queries go to all of them in blocks, so no task holds more than
 link counts and a spanning forest, never all pairs of a group.
 
 The centres are fitted on at most ``SAMPLE`` vectors and there are at most
-``MAX_CENTRES`` of them (what is broadcast); every vector is indexed.
+``MAX_CENTRES`` of them (what is broadcast); a label whose vectors lie too
+near to the borders for a deal to save work is one shard.  Every vector is
+indexed; pools, degrees and centres steer work only.
 :func:`audit` compares the links of up to ``AUDIT`` vectors with brute force.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 from regpanel.llm.common import Scratch, components
 
 THRESHOLD = 0.98
-OVERLAP = 3
+OVERLAP = 3  # shards a vector is expected in; borders it is measured from
 SHARD_ROWS = 1500
 SAMPLE = 20_000
 MAX_CENTRES = 4096
@@ -44,6 +49,7 @@ MERGE = 0.8  # cosine of centres that are merged
 DEGREE, ALPHA, POOL, BEAM = 16, 1.2, 64, 32
 STARTS, SPREAD, BALL = 4, 64, 0.9  # medoids a search starts from; spread over a shard; cosine of a dense ball
 AUDIT = 512
+SLACK = 1e-6  # added to bounds for rounding
 
 
 def _matrix(col) -> np.ndarray:
@@ -56,6 +62,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def _angle(cos):
+    return np.arccos(np.clip(cos, -1, 1))
+
+
 # ------------------------------------------------------------ one shard
 
 
@@ -101,16 +111,24 @@ class Graph:
         new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
         self.x, self.to = x, b[new]
         self.first = np.searchsorted(a[new], np.arange(len(x) + 1))
-        # medoids: of the shard, of each dense ball, and some spread over the nodes
+        # medoids: of the shard, of each dense ball, and some spread over the nodes;
+        # every node is in one ball, of which the middle and the angle to the farthest member are known
         starts = {int((x @ x.mean(axis=0)).argmax()), *range(0, len(x), max(1, len(x) // SPREAD))}
-        alone = np.ones(len(x), dtype=bool)
+        alone, self.ball = np.ones(len(x), dtype=bool), np.zeros(len(x), dtype=np.int64)
+        middles, radius = [], []
         for i in range(len(x)):
             if alone[i]:
-                ball = x @ x[i] >= BALL
+                cos = x @ x[i]
+                ball = cos >= BALL
+                ball[i] = True
                 if ball.sum() > 1:
                     starts.add(i)
+                ball &= alone
+                self.ball[ball] = len(middles)
+                middles.append(i)
+                radius.append(_angle(cos[ball].min()))
                 alone[ball] = False
-        self.medoids = np.array(sorted(starts))
+        self.medoids, self.middles, self.radius = np.array(sorted(starts)), x[middles], np.array(radius)
 
     def around(self, nodes) -> np.ndarray:
         return np.concatenate([self.to[self.first[v]:self.first[v + 1]] for v in nodes])
@@ -136,13 +154,33 @@ class Graph:
             new = np.unique(new[~seen[new]])
             seen[new] = True
             ids, sims, done = np.r_[ids, new], np.r_[sims, x[new] @ q], np.r_[done, np.zeros(len(new), dtype=bool)]
-        return ids[sims >= least]
+        # angles are a metric: a ball farther than its radius and the range holds nothing
+        may = _angle(self.middles @ q) <= self.radius + _angle(least) + SLACK
+        rest = np.flatnonzero(may[self.ball] & ~seen)
+        return np.r_[ids[sims >= least], rest[x[rest] @ q >= least]]
 
 
 # ------------------------------------------------------------ Spark steps
 
 
-def _centres(reps: DataFrame) -> dict[tuple[int, int], tuple[int, np.ndarray]]:
+def _near(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row of a unit matrix, and which centres can be
+    the nearest of a vector in range: those with no border farther than the chord."""
+    dots, chord = x @ c.T, math.sqrt(max(0.0, 2 - 2 * threshold))
+    order = np.argsort(-dots, axis=1, kind="stable")
+    may = np.ones(dots.shape, dtype=bool)
+    for t in order[:, :OVERLAP].T:
+        apart = np.sqrt(np.maximum(0, 2 - 2 * (c[t] @ c.T)))
+        may &= dots[np.arange(len(x)), t][:, None] - dots <= chord * apart + SLACK
+    return order[:, 0], may
+
+
+def _shipped(n: int, k: int, copies: float) -> float:
+    """Rows sent to the search of a label: nodes to every block of queries, queries to every sub-shard."""
+    return n * (copies * math.ceil(n / k / SHARD_ROWS) + math.ceil(n * copies / k / SHARD_ROWS))
+
+
+def _centres(reps: DataFrame, threshold: float) -> dict[tuple[int, int], tuple[int, np.ndarray]]:
     """(label, length) -> (number of the first centre, unit centres), fitted on a bounded sample."""
     sizes = {(r["label"], r["dim"]): r["n"] for r in
              reps.groupBy("label", "dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label", "dim")
@@ -169,13 +207,15 @@ def _centres(reps: DataFrame) -> dict[tuple[int, int], tuple[int, np.ndarray]]:
             if not apart or (c[apart] @ c[j]).max() < MERGE:
                 apart.append(j)
         c = c[apart]
+        if _shipped(n, len(c), _near(x[:1000], c, threshold)[1].sum(axis=1).mean()) >= _shipped(n, 1, 1):
+            c = c[:1]
         out[key] = (first, c)
         first += len(c)
     out["rest", 0] = (first, np.empty((0, 0)))  # labels beyond the list: one shard by hash
     return out if total else {}
 
 
-def _assign(sent):
+def _assign(sent, threshold: float):
     def run(batches):
         centres = sent.value
         for b in batches:
@@ -184,17 +224,16 @@ def _assign(sent):
             groups: dict[tuple, list] = {}
             for i, key in enumerate(zip(label, dim, strict=True)):
                 groups.setdefault(key, []).append(i)
-            for key, rows in groups.items():
+            for key, rows in ((k, g[i:i + 1024]) for k, g in groups.items() for i in range(0, len(g), 1024)):
                 first, c = centres.get(key, (centres["rest", 0][0] + abs(hash(key)) % MAX_CENTRES, None))
                 if c is None:
-                    near = np.zeros((len(rows), 1), dtype=np.int64)
+                    nearest, may = np.zeros(len(rows), dtype=np.int64), np.ones((len(rows), 1), dtype=bool)
                 else:
-                    x = _unit(_matrix(b.column("v").take(pa.array(rows))))
-                    near = np.argsort(-(x @ c.T), axis=1, kind="stable")[:, :OVERLAP]
-                for i, js in zip(rows, near, strict=True):
-                    shard += [first + int(j) for j in js]
-                    row += [i] * len(js)
-                    home += [True] + [False] * (len(js) - 1)
+                    nearest, may = _near(_unit(_matrix(b.column("v").take(pa.array(rows)))), c, threshold)
+                at, js = np.nonzero(may)
+                shard += (first + js).tolist()
+                row += [rows[i] for i in at]
+                home += (nearest[at] == js).tolist()
             t = b.take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int64()), pa.array(home, pa.bool_()), t.column("one"),
                                               t.column("c"), t.column("label"), t.column("dim"), t.column("v")],
@@ -277,23 +316,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
     rows = rows.withColumn("ok", F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _valid("v"))
     reps = scratch.save(rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("one"), F.count("*").alias("c"))
                         .withColumn("dim", F.size("v")), "vectors")
-    sent = spark.sparkContext.broadcast(_centres(reps))
+    sent = spark.sparkContext.broadcast(_centres(reps, threshold))
     kind = reps.schema["v"].dataType.simpleString()
-    members = reps.mapInArrow(_assign(sent), f"shard long, home boolean, one long, c long, label string, dim int, v {kind}")
+    members = reps.mapInArrow(_assign(sent, threshold), f"shard long, home boolean, one long, c long, label string, dim int, v {kind}")
     members = scratch.save(members, "members")
-    sizes = members.groupBy("shard", "label", "dim").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("parts"))
+    sizes = members.groupBy("shard", "label", "dim").agg(
+        F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("parts"),
+        F.greatest(F.lit(1), F.ceil(F.count_if("home") / SHARD_ROWS)).cast("int").alias("blocks"))
     members = (members.join(sizes, ["shard", "label", "dim"])
-               .withColumn("sub", F.pmod(F.xxhash64("one"), F.col("parts")).cast("int")))
+               .withColumn("sub", F.pmod(F.xxhash64("one"), F.col("parts")).cast("int"))
+               .withColumn("own", F.pmod(F.xxhash64("one"), F.col("blocks")).cast("int")))
     shard = ["shard", "label", "dim", "sub"]
     edges = members.groupBy(*shard).applyInArrow(_build, "src long, dst long")
     united = scratch.save(edges.groupBy("src").agg(F.collect_set("dst").alias("near")), "graph")
     nodes = members.join(united, members["one"] == united["src"], "left").drop("src")
-    blocks = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("block")
+    blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     all_ = F.sequence(F.lit(0), F.col("parts") - 1)
     node_rows = (nodes.select("*", blocks)
-                 .withColumn("node", F.lit(True)).withColumn("asks", F.col("home") & (F.col("sub") == F.col("block"))))
-    asking = (members.where("home and parts > 1").withColumn("block", F.col("sub")).drop("sub")
-              .withColumn("sub", F.explode(all_)).where("sub <> block")
+                 .withColumn("node", F.lit(True)).withColumn("asks", F.col("home") & (F.col("own") == F.col("block"))))
+    asking = (members.where("home and parts > 1").withColumn("block", F.col("own")).withColumnRenamed("sub", "in")
+              .withColumn("sub", F.explode(all_)).where("sub <> in")
               .withColumn("near", F.lit(None).cast("array<long>")).withColumn("node", F.lit(False)).withColumn("asks", F.lit(True)))
     cols = [*shard, "block", "one", "c", "v", "near", "node", "asks"]
     found = scratch.save(node_rows.select(*cols).unionAll(asking.select(*cols)).groupBy(*shard, "block")

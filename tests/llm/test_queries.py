@@ -309,6 +309,28 @@ def test_sub_shards_find_the_same_links(spark, monkeypatch):
     assert all(r.component_id == 0 for r in got if r.vec_id < 200)
 
 
+@pytest.mark.parametrize("shard_rows", [1500, 100])
+def test_links_of_tight_groups_are_whole(spark, monkeypatch, shard_rows):
+    """Tight groups larger than a pool, near each other at the threshold, among scattered rows: links as by brute force."""
+    monkeypatch.setattr(graph_dedup, "SHARD_ROWS", shard_rows)
+    rng = np.random.default_rng(11)
+    one, side = np.eye(24)[0], np.eye(24)[1]
+    groups = [one * np.cos(a) + side * np.sin(a) + rng.normal(size=(150, 24)) * 0.002 for a in (0, 0.17, 0.34)]
+    x = np.concatenate([*groups, rng.normal(size=(500, 24)), rng.normal(size=(200, 1)) * side + rng.normal(size=(200, 24)) * 0.05])
+    x = x[rng.permutation(len(x))]
+    got = graph_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                                                            "vec_id long, embedding array<double>, label int")).collect()
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    link = unit @ unit.T >= 0.98
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(x))
+    for _ in range(50):
+        comp = np.array([min(comp[i], *comp[link[i]]) if link[i].any() else comp[i] for i in range(len(x))])
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {
+        i: (int(n), int(c)) for i, (n, c) in enumerate(zip(link.sum(axis=1), comp, strict=True))}
+    assert all(r.audit_recall == 1 for r in got)
+
+
 PAGES = {
     "<html><body><nav>menu</nav><div class='sidebar'>side</div><article><h1>T &amp; x</h1><p><b>a,  b<br><p>c\n d &eacute;"
     "<script>p</script></article><footer>f</footer>": "T & x\na, b\nc d é",
