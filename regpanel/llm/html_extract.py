@@ -7,7 +7,11 @@ by its link density.  The best container is kept with the siblings that score
 well or read like text; an enclosing ``article`` or ``main`` takes its place.
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments are left out wherever they stand, by their element,
-role or the words of their class and id.
+role or a class or id that is one of the words.  A word that is only part of a
+class or id (``has-sidebar``) puts an element in doubt: it counts half, and is
+left out if it holds little unlinked text, or reader comments that are less
+than half of the page.  What holds the page's article is never left out by its class, and a page with
+nothing left is read again without the classes.
 
 Defined cases: null and empty pages give an empty text; broken markup and
 unclosed elements are read as far as they go; pages of any length are read
@@ -30,18 +34,21 @@ from pyspark.sql import functions as F
 OUT = frozenset("""nav footer aside form script style noscript template iframe object embed svg canvas button select
 option textarea input label head title link meta menu dialog audio video map math fieldset legend datalist""".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar form".split())
-OUT_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promoted|"
-    r"promotion|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|sidebar|side|rail|widget|footer|foot|masthead|"
-    r"topbar|toolbar|cookie|cookies|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|share|sharing|social|related|recommended|recommendations|comment|comments|"
-    r"commentlist|disqus|respond|replies|discussion|pagination|pager|skip|copyright|disclaimer|alert|teaser|teasers)(?:$|[\s_-])", re.I)
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies discussion".split())
+OUT_WORDS = COMMENT_WORDS | frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo
+promoted promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar side rail widget footer foot masthead
+topbar toolbar cookie cookies consent gdpr notice notification popup modal overlay newsletter subscribe
+subscription signup login share sharing social related recommended recommendations pagination pager skip copyright
+disclaimer alert teaser teasers""".split())
+PART_WORDS = OUT_WORDS - {"widget"}  # page builders wrap every block of a page in widgets
+STATES = re.compile(r"(?:has|no|not|with|without|is|category|tag|type|format)[_-]|.*[_-](?:enabled|disabled|open|closed)$")
 BLOCKS = frozenset("""address article blockquote body caption center dd details div dl dt figcaption figure h1 h2 h3
 h4 h5 h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd".split())
-HEAD_WORDS = re.compile(r"(?:^|[\s_-])(?:header|head|top|logo)(?:$|[\s_-])", re.I)
+HEAD_WORDS = frozenset("header head top logo".split())
+MUCH = 80  # characters of unlinked paragraph text that an element in doubt holds at least
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # what an opening tag closes, and where the search for it ends
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -56,10 +63,10 @@ _SPACES = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "score", "length", "links")
+    __slots__ = ("tag", "parent", "children", "out", "mark", "score", "length", "links")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool = False):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool = False, mark: str = ""):
+        self.tag, self.parent, self.out, self.mark = tag, parent, out, mark
         self.children: list[Node | str] = []
         self.score = self.length = self.links = 0.0
 
@@ -75,20 +82,63 @@ def _left_out(tag: str, attrs: str, parent: Node) -> bool:
         return True
     if tag == "header" and not _in_article(parent):  # the head of an article holds its title
         return True
-    if attrs and tag not in ("html", "body", "main"):
-        for name, a, b, c in _CLASS.findall(attrs):
-            name, value = name.lower(), a or b or c
-            if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-                return True
-            if name == "role" and value.lower() in OUT_ROLES:
-                return True
-            if name in ("class", "id") and (OUT_WORDS.search(value) or (
-                    parent.parent is None and tag in ("div", "section", "table") and HEAD_WORDS.search(value))):
-                return True
+    for name, a, b, c in _CLASS.findall(attrs) if attrs and tag not in ("html", "body", "main") else ():
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+        if name == "role" and value.lower() in OUT_ROLES:
+            return True
     return False
 
 
-def parse(page: str) -> Node:
+def _mark(tag: str, attrs: str, parent: Node) -> str:
+    """What class and id say: "out", "doubt", "comments" in doubt, or nothing."""
+    if not attrs or tag in ("html", "body", "main"):
+        return ""
+    mark = ""
+    words, parts = OUT_WORDS, PART_WORDS
+    if parent.parent is None and tag in ("div", "section", "table"):
+        words, parts = words | HEAD_WORDS, parts | HEAD_WORDS
+    for name, a, b, c in _CLASS.findall(attrs):
+        for token in (a or b or c).lower().split() if name.lower() in ("class", "id") else ():
+            if token in words and tag != "article":
+                return "out"
+            if not STATES.match(token):
+                found = parts.intersection(re.split("[_-]+", token))
+                mark = "comments" if found & COMMENT_WORDS else mark or ("doubt" if found else "")
+    return mark
+
+
+def _settle(root: Node) -> None:
+    """Leaves out what its class marks, but for what holds the article or, in doubt, much text."""
+    nodes = _nodes(root)
+    size: dict[int, tuple[int, int, int]] = {}
+
+    def read(x: Node) -> tuple[int, int, int]:
+        """Characters, those in links and those of unlinked paragraphs below a node."""
+        below = [size[id(c)] for c in x.children if isinstance(c, Node) and not c.out]
+        own = [len(c.strip()) for c in x.children if isinstance(c, str)]
+        n = sum(own) + sum(t[0] for t in below)
+        links = n if x.tag == "a" else sum(t[1] for t in below)
+        if x.tag in PARAGRAPHS:
+            return n, links, n - links
+        return n, links, sum(t[2] for t in below) + sum(k for k in own if k >= 25)
+    for x in reversed(nodes):
+        size[id(x)] = read(x)
+    total, article = size[id(root)][2], set()
+    # an article of less than half of the longest one is a teaser or the like
+    least = max((size[id(x)][2] for x in nodes if x.tag in ("article", "main") and x.mark != "comments"), default=0) / 2
+    for x in reversed(nodes):
+        size[id(x)] = n, links, plain = read(x)
+        if (x.tag in ("article", "main") and x.mark != "comments" and plain >= least) or any(
+                id(c) in article for c in x.children if isinstance(c, Node) and not c.out):
+            article.add(id(x))
+        elif x.mark == "out" or (x.mark == "doubt" and (plain < MUCH or links > 0.25 * n)) or (
+                x.mark == "comments" and plain < 0.5 * total):
+            x.out = True
+
+
+def parse(page: str, classes: bool = True) -> Node:
     root = Node("html", None)
     at, pos, size = root, 0, len(page)
     while pos < size:
@@ -129,13 +179,15 @@ def parse(page: str) -> Node:
                 p = p.parent
             if found is not None:
                 at = found.parent
-        node = Node(tag, at, at.out or _left_out(tag, m.group(3), at))
+        node = Node(tag, at, at.out or _left_out(tag, m.group(3), at), _mark(tag, m.group(3), at) if classes else "")
         at.children.append(node)
         if tag in RAW and not m.group(3).rstrip().endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
             pos = end.end() if end else size
         elif tag not in VOID:
             at = node
+    if classes:
+        _settle(root)
     return root
 
 
@@ -175,6 +227,10 @@ def _density(x: Node) -> float:
     return x.links / x.length if x.length else 0.0
 
 
+def _worth(x: Node) -> float:
+    return x.score * (1 - _density(x)) * (0.5 if x.mark else 1)
+
+
 def best(root: Node) -> list[Node]:
     """The container of the article and the siblings kept with it, in page order."""
     nodes = _nodes(root)
@@ -196,7 +252,7 @@ def best(root: Node) -> list[Node]:
     scored = [x for x in nodes if x.score > 0]
     if not scored:
         return [root]
-    top = max(scored, key=lambda x: x.score * (1 - _density(x)))
+    top = max(scored, key=_worth)
     p = top
     while p is not None:  # the page's own mark of the article
         if p.tag in ("article", "main"):
@@ -205,12 +261,12 @@ def best(root: Node) -> list[Node]:
         p = p.parent
     if top.parent is None:
         return [top]
-    limit = max(10.0, top.score * (1 - _density(top)) * 0.2)
+    limit = max(10.0, _worth(top) * 0.2)
     kept = []
     for s in top.parent.children:
         if not isinstance(s, Node) or s.out:
             continue
-        if s is top or s.score * (1 - _density(s)) >= limit or (s.tag == top.tag == "article"):
+        if s is top or _worth(s) >= limit or (s.tag == top.tag == "article"):
             kept.append(s)
         elif s.tag in ("p", "pre", "blockquote") and top.tag not in ("article", "main"):
             text = _text(s)
@@ -248,12 +304,15 @@ def blocks(node: Node) -> Iterator[str]:
 
 
 def main_text(page: str) -> str:
-    out = []
-    for node in best(parse(page)):
-        for b in blocks(node):
-            b = _SPACES.sub(" ", html.unescape(b)).strip()
-            if b:
-                out.append(b)
+    for classes in (True, False):
+        out = []
+        for node in best(parse(page, classes)):
+            for b in blocks(node):
+                b = _SPACES.sub(" ", html.unescape(b)).strip()
+                if b:
+                    out.append(b)
+        if out:
+            break
     return "\n".join(out)
 
 

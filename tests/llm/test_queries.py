@@ -13,7 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from regpanel.llm import bpe, graph_dedup, parity_join, quality, secret_scan, sharding, substring
+from regpanel.llm import bpe, graph_dedup, html_extract, parity_join, quality, secret_scan, sharding, substring
 from regpanel.llm.queries import ORACLE, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -349,6 +349,26 @@ def test_html(spark, tables):
         (i, u, PAGES.get(h or "", ""), len(PAGES.get(h or "", ""))) for i, u, h in rows)
 
 
+_P = "The first paragraph, of the article itself, is long enough to be read as text by everyone."
+MARKED = {
+    **{f"<div {a}><article><h1>T</h1><p>{_P}</p></article></div><div class='site-footer'>f</div>": f"T\n{_P}" for a in (
+        "class='has-sidebar'", "class='no-sidebar'", "id=entry-share-enabled", "class='elementor-widget-container'", "class=widget")},
+    f"<article class='post category-social'><p>{_P}</p></article>": _P,
+    f"<div class='x-share-wrap'><p>{_P}</p></div>": _P,
+    f"<article><p>{_P}</p><div class='elementor-widget-container'><h2>H</h2></div><div class='social-share-bar'>share</div>"
+    f"<div class='newsletter-box'><p>Sign up</p></div></article>": f"{_P}\nH",
+    f"<article><p>{_P}</p><p>{_P}</p></article><ol class='comment-list'><li><article class='comment-body'><p>I, too, think, so."
+    "</p></article></ol>": f"{_P}\n{_P}",
+    f"<article><p>{_P}</p></article><article class='teaser'><p>More <a href=x>here</a>.</p></article>": _P,
+    f"<div class='sidebar'><p>{_P}</p></div>": _P,
+}
+
+
+@pytest.mark.parametrize("page", MARKED)
+def test_class_words_never_take_the_article(page):
+    assert html_extract.main_text(page) == MARKED[page]
+
+
 def test_pipeline_stages(spark, docs):
     rows, d, _ = docs
     table = spark.read.parquet(f"{d}/documents.parquet")
