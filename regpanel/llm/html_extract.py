@@ -3,8 +3,9 @@
 The page becomes a tree (unclosed paragraphs, cells and list items are closed
 as browsers do).  Every paragraph gives points for its length and commas to
 its ancestors, halved at each step up, and a container's points are discounted
-by its link density.  The best container is kept with the siblings that score
-well or read like text; an enclosing ``article`` or ``main`` takes its place.
+by its link density.  An enclosing ``article`` or ``main`` takes the place of the
+best container; without one, its parent does, as long as all in it is content
+(unmarked, few links), and its siblings that are content are kept.
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments are left out wherever they stand, by their element,
 role or a class or id that is one of the words.  A word that is only part of a
@@ -231,8 +232,13 @@ def _worth(x: Node) -> float:
     return x.score * (1 - _density(x)) * (0.5 if x.mark else 1)
 
 
+def _content(x: Node | str) -> bool:
+    """Whether a child can stay beside the article: text, or an element that is neither marked nor of links."""
+    return isinstance(x, str) or x.out or (not x.mark and _density(x) < 0.25)
+
+
 def best(root: Node) -> list[Node]:
-    """The container of the article and the siblings kept with it, in page order."""
+    """The container of the article and the siblings kept with it, in page order; other siblings become left out."""
     nodes = _nodes(root)
     _measure(nodes)
     for x in nodes:
@@ -262,19 +268,19 @@ def best(root: Node) -> list[Node]:
     if top.parent is None:
         return [top]
     limit = max(10.0, _worth(top) * 0.2)
-    kept = []
+    if top.tag in ("article", "main"):
+        return [s for s in top.parent.children if isinstance(s, Node) and not s.out and (
+            s is top or _worth(s) >= limit or s.tag == top.tag == "article")]
+    while top.parent is not None and all(_content(s) for s in top.parent.children if s is not top):
+        top = top.parent
+    if top.parent is None:
+        return [top]
+    loose = sum(len(s.strip()) for s in top.parent.children if isinstance(s, str))
     for s in top.parent.children:
-        if not isinstance(s, Node) or s.out:
-            continue
-        if s is top or _worth(s) >= limit or (s.tag == top.tag == "article"):
-            kept.append(s)
-        elif s.tag in ("p", "pre", "blockquote") and top.tag not in ("article", "main"):
-            text = _text(s)
-            if (len(text) > 80 and _density(s) < 0.25) or (text and not s.links and re.search(r"[.!?]$", text)):
-                kept.append(s)
-        elif s.tag in HEADINGS and top.tag not in ("article", "main") and not s.links:
-            kept.append(s)
-    return kept
+        if isinstance(s, Node) and s is not top and not _content(s) and _worth(s) < limit \
+                and (s.tag in BLOCKS or s.mark or loose < 25):  # links inside of loose text belong to it
+            s.out = True
+    return [top.parent]
 
 
 def blocks(node: Node) -> Iterator[str]:

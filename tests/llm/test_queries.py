@@ -369,6 +369,28 @@ def test_class_words_never_take_the_article(page):
     assert html_extract.main_text(page) == MARKED[page]
 
 
+SHORT = "A short section, one paragraph only."
+SECTIONS = {
+    # sections of several lengths, with a list, a table and a box beside them
+    f"<div id=content><h1>T</h1><section><h2>A</h2><p>{_P}</p><p>{_P}</p><p>{_P}</p></section><section><h2>B</h2><p>{SHORT}</p>"
+    f"</section><ul><li>x<li>y</ul><table><tr><td>1</table><div>box</div></div><div><a href=x>one</a> <a href=y>two</a></div>":
+        f"T\nA\n{_P}\n{_P}\n{_P}\nB\n{SHORT}\nx\ny\n1\nbox",
+    # a list of links beside the sections is no content, the short section is
+    f"<div><section><p>{_P}</p><p>{_P}</p></section><ul><li><a href=x>one</a><li><a href=y>two</a></ul><section><h2>B</h2>"
+    f"<p>{SHORT}</p></section></div>": f"{_P}\n{_P}\nB\n{SHORT}",
+    # loose text between the sections, with a link in it and without
+    f"<div>Loose words beside the sections, <a href=x>linked</a>.<section><p>{_P}</p><p>{_P}</p></section><ul><li><a href=x>one</a>"
+    f"</ul>End.</div>": f"Loose words beside the sections, linked.\n{_P}\n{_P}\nEnd.",
+    f"<div>Loose words.<section><p>{_P}</p><p>{_P}</p></section>End.</div>": f"Loose words.\n{_P}\n{_P}\nEnd.",
+    f"<div><section><p>{_P}</p><p>{_P}</p></section><section class='social-share-bar'><p>{_P}</p></section></div>": f"{_P}\n{_P}",
+}
+
+
+@pytest.mark.parametrize("page", SECTIONS)
+def test_short_sections_of_the_article_are_kept(page):
+    assert html_extract.main_text(page) == SECTIONS[page]
+
+
 def test_pipeline_stages(spark, docs):
     rows, d, _ = docs
     table = spark.read.parquet(f"{d}/documents.parquet")
