@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.llm import bpe, graph_dedup, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding, substring
+from regpanel.llm import (bpe, graph_dedup, html_extract, license_scan, packing, parity_join, quality, secret_scan, sharding,
+                          source_divergence, substring, turn_repair, word_trie)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -173,3 +174,116 @@ def op9_html_extraction(spark, d):
 @_query("op10_secret_scan")
 def op10_secret_scan(spark, d):
     return secret_scan.report(_table(spark, d, "documents"))
+
+
+@_query("op11_source_divergence", """
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT g.lang, g.source, coalesce(sum(c.c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT n.lang, n.source, k.term, coalesce(c.c, 0) AS c,
+             1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 2)) // (n.n + 2 * l.v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (k.c + 2)) // (l.n + 2 * l.v) AS q
+      FROM n JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)),
+o AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(o.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN o ON o.lang = a.lang AND o.source = a.source AND o.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM u QUALIFY part = 'pair' OR rank <= 10""")
+def op11_source_divergence(spark, d):
+    return source_divergence.divergence(_table(spark, d, "documents"))
+
+
+@_query("op12_word_bpe")
+def op12_word_bpe(spark, d):
+    return word_trie.round_trip(_table(spark, d, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
+def _repair_sql() -> str:
+    """The repair as one recursive pass over the rows with the least (cost, edits, text) of each of the four states."""
+    after = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    role = {"u": "user", "a": "assistant"}
+    far = "CAST(NULL AS STRUCT(c BIGINT, e VARCHAR, t VARCHAR))"
+
+    def plus(x, cost, letter, line):
+        return f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + {cost}, 'e': {x}.e || '{letter}', 't': {x}.t || {line}}} END"
+
+    def least(xs):
+        return f"list_min(list_filter([{', '.join(xs)}], lambda x: x IS NOT NULL))" if xs else far
+
+    def inserted(q, x):  # what an insert gives from the vector x0..x3
+        step = {2: (0, 1, 3), 3: (2,)}.get(q, ())
+        who = role[{2: "u", 3: "a"}.get(q, "u")]
+        return least([f"{x}{q}", *[plus(f"{x}{p}", 3, "I", f"chr(10) || '{who}:'") for p in step]])
+
+    def row(q):
+        ways = [plus(f"j{q}", 4, "D", "''")]
+        for (p, i), to in after.items():
+            if to == q:
+                keep = plus(f"j{p}", "cut", "K", "chr(10) || role || ':' || text")
+                ways.append(f"CASE WHEN NOT gone_only AND initial = '{i}' THEN {keep} END")
+                if i != "s":
+                    new = plus(f"j{p}", "3 + cut", "R", f"chr(10) || '{role[i]}:' || text")
+                    ways.append(f"CASE WHEN NOT gone_only THEN {new} END")
+        return least(ways)
+
+    vec = lambda f: ", ".join(f(q) for q in range(4))
+    once = f"SELECT * REPLACE ({vec(lambda q: inserted(q, 's') + f' AS s{q}')}) FROM"
+    return f"""
+WITH RECURSIVE z AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+bits AS (SELECT n, list_reduce(list_prepend(CAST(n AS UBIGINT), [CAST(i AS UBIGINT) FOR i IN range(8)]),
+                lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) AS v
+         FROM (SELECT unnest(range(256)) AS n)),
+tab AS (SELECT list(v ORDER BY n) AS tab FROM bits),
+crc AS (SELECT key, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+                        [CAST(ascii(x) AS UBIGINT) FOR x IN string_split(key, '')]),
+                lambda c, b: xor(c >> 8, tab[CAST(xor(c, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) % 20 AS how
+        FROM (SELECT DISTINCT key FROM z), tab),
+r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+             CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+      FROM (SELECT z.*, how, unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS copy FROM z JOIN crc USING (key))
+      WHERE how <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+             regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS core, substr(role, 1, 1) AS initial FROM r),
+f AS (SELECT *, CASE WHEN core = '' THEN 'b' WHEN nth > 1 THEN 'x' WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 't'
+                     ELSE '' END AS fault,
+             lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS two FROM o),
+k AS (SELECT conv_id, i, role, text, initial, fault IN ('b', 'x') AS gone_only, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS cut FROM f),
+e AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+             count(*) FILTER (fault = 'x') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+             count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM f GROUP BY conv_id),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'e': '', 't': ''}} AS s0, {far} AS s1, {far} AS s2, {far} AS s3
+      FROM e
+      UNION ALL
+      SELECT conv_id, i, {vec(lambda q: row(q) + f' AS s{q}')}
+      FROM (SELECT x.conv_id, x.i + 1 AS i, role, text, initial, gone_only, cut, x.s0 AS j0, x.s1 AS j1, x.s2 AS j2, x.s3 AS j3
+            FROM ({once} ({once} w)) x JOIN k ON k.conv_id IS NOT DISTINCT FROM x.conv_id AND k.i = x.i + 1)),
+a AS (SELECT conv_id, {least(['s0', 's3'])} AS best FROM ({once} ({once} (SELECT w.* FROM w JOIN e
+      ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.n = w.i))))
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.e, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@_query("op13_turn_repair", _repair_sql())
+def op13_turn_repair(spark, d):
+    return turn_repair.audit(_table(spark, d, "conversations"))
