@@ -259,9 +259,9 @@ r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
              CASE how WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
       FROM (SELECT z.*, how, unnest(CASE WHEN how = 3 THEN [0, 1] ELSE [0] END) AS copy FROM z JOIN crc USING (key))
       WHERE how <> 0),
-o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
-             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
-             regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS core, substr(role, 1, 1) AS initial FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth,
+             regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS core, substr(role, 1, 1) AS initial
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM r)),
 f AS (SELECT *, CASE WHEN core = '' THEN 'b' WHEN nth > 1 THEN 'x' WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 't'
                      ELSE '' END AS fault,
              lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS two FROM o),
