@@ -39,6 +39,7 @@ TOP = 10
 SCALE = 1_000_000_000
 BLOCK = 16 << 20  # bytes of text that are counted at once; a longer text is one block
 CELLS = 1 << 21  # shares compared at once
+SLICE = 1 << 18  # shares of a slice of terms, at least
 
 _TERM = np.ones(256, dtype=bool)
 _TERM[:128] = False
@@ -262,7 +263,11 @@ def divergence(docs: DataFrame, lang: str = "lang", source: str = "source", text
                .groupBy("lang").agg(F.sum("n").alias("lang_count"), F.count("*").alias("kept")))
     marks = (groups.join(in_group, ["lang", "source"], "left").join(in_lang, "lang", "left")
              .na.fill(0, ["count", "lang_count", "kept"]))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    marks = scratch.save(marks, "groups")
+    # slices by the size of the largest language; a slice holds more shares than it gives pairs of sources
+    cells = F.greatest(F.lit(SLICE), 8 * F.count("*") * F.count("*"))
+    sizes = marks.groupBy("lang").agg(F.ceil(F.max("kept") * F.count("*") / cells).alias("n"))
+    n = max(1, sizes.agg(F.max("n")).first()[0] or 1)
     dealt = rows.select("lang", F.expr(f"cast(pmod(xxhash64(term), {n}) as int)").alias("slice"), "source", "term", "count",
                         "lang_count", F.lit(0).cast("long").alias("kept"))
     everywhere = marks.select("lang", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("slice"), "source",
