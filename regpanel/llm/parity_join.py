@@ -15,7 +15,8 @@ little, so they are joined on that stronger condition: their key also holds
 the following piece, once whole and once without each of its bits.
 
 Candidates inside a bucket are compared on a dense sketch (a lower bound of
-the difference again) and verified on the sets.  Buckets with the same members
+the difference again), those left on a wider one that grows with the set, and
+verified on the sets.  Buckets with the same members
 become one; large ones are dealt out as pairs of blocks.  Documents already known
 to be in one group are not compared again, so a group of near copies costs
 its links once, not all its pairs.
@@ -42,6 +43,7 @@ from regpanel.llm.common import GOLDEN, Scratch, U, as_long, components, gram_ha
 
 RATIO = 1.5  # of a size band's bounds
 SKETCH_BITS = 1024
+WIDE = 4  # bits a shingle of the second sketch
 FULL = 6  # shingles a piece should hold on average; sparser sketches only extend their empty pieces
 LOW = 3  # in fuller sketches, pieces with fewer bits also need the piece after them
 BLOCK_ROWS = 512  # of a large bucket
@@ -64,9 +66,22 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(h).view(np.int64)[0])
 
 
-def dense_sketch(s: np.ndarray) -> bytes:
-    bits = (mix(s ^ U(77)) % U(SKETCH_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(bool)).tobytes()
+def dense_sketch(s: np.ndarray, size: int = SKETCH_BITS) -> bytes:
+    bits = (mix(s ^ U(77)) % U(size)).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=size) & 1).astype(bool)).tobytes()
+
+
+def wide_sketch(s: np.ndarray) -> bytes:
+    """A sketch of WIDE bits or more for each shingle, a power of two: a sixteenth of the set's own bytes at most."""
+    return dense_sketch(s, max(SKETCH_BITS, 1 << (WIDE * len(s)).bit_length() - 1))
+
+
+def wide_difference(a: np.ndarray, b: np.ndarray) -> int:
+    """Differing bits of two wide sketches; the longer one is folded to the
+    shorter one's size, which gives the sketch of that size."""
+    m = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(v.reshape(-1, m), axis=0) for v in (a, b))
+    return int(_POP[a ^ b].sum(dtype=np.int64))
 
 
 class Bands:
@@ -163,7 +178,10 @@ def _sets(k: int):
             same = [len(s) > 0 and set_id(s) == sid for s, sid in zip(sets, b.column("sid").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("sid").filter(pa.array(same, pa.bool_())),
-                 pa.array([s.tobytes() for s, ok in zip(sets, same, strict=True) if ok], pa.binary())], names=["sid", "set"])
+                 pa.array([len(s) for s, ok in zip(sets, same, strict=True) if ok], pa.int64()),
+                 pa.array([wide_sketch(s) for s, ok in zip(sets, same, strict=True) if ok], pa.binary()),
+                 pa.array([s.tobytes() for s, ok in zip(sets, same, strict=True) if ok], pa.binary())],
+                names=["sid", "n", "wide", "set"])
     return run
 
 
@@ -345,7 +363,7 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     shared = scratch.save(shared, "shared")
     members = scratch.save(meta.join(shared.select("sid").distinct(), "sid").groupBy("sid").agg(
         F.min("doc_id").alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "members")
-    size = members.select("sid", "n", "sketch")
+    size = scratch.save(members.select("sid", "n", "sketch"), "sizes")
 
     def candidates(label: DataFrame | None, thin: bool) -> DataFrame:
         """Pairs of different groups that some bucket holds and the sketches allow."""
@@ -373,31 +391,52 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     likely = d.select("doc_id", "text", place).mapInArrow(_asked(_bits(one)), "doc_id long, text string")
     texts_ = (likely.join(one.hint("merge"), "doc_id")
               .withColumn("fp", F.xxhash64("text")).dropDuplicates(["doc_id", "sid", "fp"]))
-    sets = scratch.save(texts_.select("sid", "text").mapInArrow(_sets(k), "sid long, set binary"), "sets")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        judged = (pairs.join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
+    sets = scratch.save(texts_.select("sid", "text").mapInArrow(_sets(k), "sid long, n long, wide binary, set binary"), "sets")
+
+    def verified(pairs: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """The pairs tried, and whether those that the wide sketches allow are linked; only their sets move."""
+        wide = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
+        screened = (pairs.join(wide("a"), "a").join(wide("b"), "b")
+                    .mapInArrow(_screen(t), "a long, b long, likely boolean"))
+        screened = scratch.save(screened, f"screened-{name}")
+        judged = (screened.where("likely").select("a", "b")
+                  .join(sets.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a")
                   .join(sets.select(F.col("sid").alias("b"), F.col("set").alias("sb")), "b")
                   .mapInArrow(_verify(t), "a long, b long, linked boolean"))
-        return scratch.save(judged, f"judged-{name}")
+        return screened.select("a", "b"), scratch.save(judged, f"judged-{name}")
 
     def labels(done: list[DataFrame]) -> DataFrame:
         links = reduce(DataFrame.unionAll, done).where("linked")
         return components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label"))
 
-    done = [verified(forest, "forest")]
+    first, found = verified(forest, "forest")
+    tried, done = [first], [found]
+    scratch.drop("forest", "members", "ends")
     for name, thin in (("likely", True), ("rest", False)):
         pairs = candidates(labels(done), thin)
-        tried = reduce(DataFrame.unionAll, done).select("a", "b")
-        done.append(verified(pairs.join(tried, ["a", "b"], "left_anti"), name))
+        pairs = pairs.join(reduce(DataFrame.unionAll, tried), ["a", "b"], "left_anti")
+        more, found = verified(pairs, name)
+        tried.append(more)
+        done.append(found)
     label = labels(done)
-    scratch.drop("shared", "members", "forest", "ends", "sets", "judged-forest", "judged-likely", "judged-rest")
+    scratch.drop("shared", "sizes", "sets", *[f"{x}-{n}" for n in ("forest", "likely", "rest") for x in ("screened", "judged")])
     groups = meta.join(label, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "sid").alias("g"))
     least = groups.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("component_id"))
     return groups.join(least, "g", "left").select(
         "doc_id", "n_shingles", F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _screen(t: int):
+    def run(batches):
+        for b in batches:
+            ok = []
+            for n, m, x, y in zip(b.column("na").to_pylist(), b.column("nb").to_pylist(), b.column("wa"), b.column("wb"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
+                ok.append(wide_difference(x, y) * (100 + t) <= (100 - t) * (n + m))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok, pa.bool_())], names=["a", "b", "likely"])
+    return run
+
+
 def _verify(t: int):
     def run(batches):
         for b in batches:
@@ -411,8 +450,31 @@ def _verify(t: int):
 
 
 def keep_one(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the least doc_id of their group (all columns);
-    documents without words or without an id stay."""
-    g = near_groups(docs, k, similarity, doc_id, text)
-    gone = g.where("component_id <> doc_id").select(F.col("doc_id").alias("#id")).distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`").cast("long") == F.col("`#id`"), "left_anti")
+    """One document of each group, with all its columns: of the group's
+    different texts the one of the least doc_id, and of rows with that id and
+    text one.  Rows are told apart by id and text, so where one id has several
+    texts, a near copy takes only itself.  Documents without words or without
+    an id stay, each of them."""
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    key, words = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`").cast("string")
+    fp = F.xxhash64(words)
+    own = docs.where(key.isNotNull() & words.isNotNull()).select(key.alias("id"), fp.alias("fp"), words.alias("text"))
+    name = F.xxhash64("id", "fp").alias("doc_id")  # near_groups joins by it: each different (id, text) is a document of its own
+    groups = near_groups(own.select(name, "text"), k, similarity)
+    of = groups.where("n_shingles > 0").groupBy("doc_id").agg(F.first("component_id").alias("g"))
+    members = own.groupBy("id", "fp").agg(F.count("*").alias("rows")).select("*", name).join(of, "doc_id")
+    members = scratch.save(members.select("id", "fp", "rows", "g"), "members")
+    least = members.groupBy("g").agg(F.min(F.struct("id", "fp")).alias("m")).select("m.*")
+    gone = members.join(least, ["id", "fp"], "left_anti")
+    many = members.where("rows > 1").join(least, ["id", "fp"], "left_semi")  # equal rows of a document that stays
+    taken = gone.select("id", "fp").unionAll(many.select("id", "fp"))
+
+    mark = "#"  # names that no column of the table begins with
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "#"
+
+    def told(side: DataFrame, how: str) -> DataFrame:
+        side = side.select(F.col("id").alias(f"{mark}id"), F.col("fp").alias(f"{mark}fp"))
+        return docs.join(side, (key == F.col(f"`{mark}id`")) & (fp == F.col(f"`{mark}fp`")), how)
+    repeated = told(many, "left_semi").withColumn(f"{mark}of", fp).dropDuplicates([doc_id, f"{mark}of"]).drop(f"{mark}of")
+    return told(taken, "left_anti").unionByName(repeated)

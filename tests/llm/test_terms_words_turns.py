@@ -239,3 +239,32 @@ def test_damage_of_plain_rows(spark):
         how = zlib.crc32(f"{c}:{t}".encode()) % 20
         want[c, t, "user" if how == 4 else role, "" if how == 1 else "One Two Three" if how == 2 else text, how == 0] += 1 + (how == 3)
     assert got == want
+
+
+# ------------------------------------------------------------ near duplicates by id and text
+
+
+def test_keep_one_tells_rows_by_id_and_text(spark):
+    from regpanel.llm import parity_join
+    base, other = prose(80), prose(80)
+    near = base + " tail"
+    rows = [(1, base, "a"), (1, base, "a"), (2, near, "b"), (2, other, "b"), (3, other, "c"), (4, "", "d"), (4, None, "d"),
+            (4, "", "d"), (None, base, "e"), (None, base, "e"), (5, near, "f"), (6, "three short words", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `#id` string")
+    got = Counter(tuple(r) for r in parity_join.keep_one(docs).collect())
+    # base goes to 1 (once), the unrelated text of 2 stays as the least of its own group, what has no words or id stays
+    assert got == Counter([(1, base, "a"), (2, other, "b"), (4, "", "d"), (4, None, "d"), (4, "", "d"), (None, base, "e"),
+                           (None, base, "e"), (6, "three short words", "g")])
+
+
+def test_wide_sketches_never_overstate_a_difference():
+    from regpanel.llm import parity_join as J
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        a = np.unique(rng.integers(0, 1 << 62, rng.integers(1, 3000), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.8], rng.integers(0, 1 << 62, rng.integers(0, 900), dtype=np.uint64)]))
+        differ = len(np.setxor1d(a, b))
+        x, y = (np.frombuffer(J.wide_sketch(v), dtype=np.uint8) for v in (a, b))
+        assert J.wide_difference(x, y) <= differ
+        if len(a) > 500 and differ < len(a) // 4:
+            assert J.wide_difference(x, y) > 0.6 * differ
