@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from regpanel.functions.exprs import col
@@ -24,9 +24,8 @@ def year_int(d) -> Column:
     return F.year(col(d))
 
 
-def year_sequence(spark: SparkSession, start: int, end: int, name: str = "anio") -> DataFrame:
-    """seq.Date(start-01-01, end-01-01, by="1 year") as a one-column DataFrame."""
-    return spark.range(1).select(
-        F.explode(F.sequence(F.make_date(F.lit(start), F.lit(1), F.lit(1)),
-                             F.make_date(F.lit(end), F.lit(1), F.lit(1)),
-                             F.expr("interval 1 year"))).alias(name))
+def year_sequence(start, end) -> Column:
+    """seq.Date(start-01-01, end-01-01, by="1 year"): the array of the years'
+    first days, from year columns or numbers; NULL if either is."""
+    lo, hi = (F.make_date(F.lit(y) if isinstance(y, int) else col(y), F.lit(1), F.lit(1)) for y in (start, end))
+    return F.sequence(lo, hi, F.expr("interval 1 year"))

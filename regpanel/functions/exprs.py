@@ -8,7 +8,7 @@ stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regpanel.constants import TRUNC_ELLIPSIS, TRUNC_WIDTH
@@ -28,6 +28,16 @@ def nan_to_null(x) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def without_nan(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """NaN -> NULL in the floating columns of ``df`` (of ``cols``, if given):
+    what every statistic applies first, wherever its table comes from."""
+    floating = {f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")}
+    hit = floating if cols is None else floating & set(cols)
+    if not hit:
+        return df
+    return df.select(*[nan_to_null(F.col(f"`{c}`")).alias(c) if c in hit else F.col(f"`{c}`") for c in df.columns])
+
+
 def r_div(a, b) -> Column:
     """a / b with division by zero giving NULL instead of Inf/NaN or an error."""
     return F.try_divide(col(a), col(b))

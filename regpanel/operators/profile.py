@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
+from regpanel.functions.exprs import without_nan
 from regpanel.operators.joins import join
 from regpanel.operators.quantiles import grouped_quantiles
 
@@ -44,6 +45,7 @@ def profile(df: DataFrame, group: list[str] | None = None, approx: bool = False)
     column; ``approx=True`` uses HyperLogLog counts and quantile sketches
     instead (bounded state, no expansion) for wide tables at scale."""
     group = list(group or [])
+    df = without_nan(df)
     structs, ranked = [], []
     n = F.count(F.lit(1))
     for f in df.schema.fields:

@@ -52,13 +52,10 @@ def mutate_across(df: DataFrame, cols: list[str], fn: Callable[[Column], Column]
 
 def keep_latest(df: DataFrame, period: str) -> DataFrame:
     """filter(period == max(period)) over the whole table (one global max, not
-    per group).  One aggregate job returns the max and the NULL count (a
-    single row); the filter then compares with a literal, which the scan can
-    take.  Any NULL period makes R's max NA, so no row survives (kept here)."""
-    r = df.agg(F.max(period).alias("mx"), F.count_if(F.col(period).isNull()).alias("nnull")).first()
-    if r["nnull"] or r["mx"] is None:
-        return df.where(F.lit(False))
-    return df.where(F.col(period) == F.lit(r["mx"]))
+    per group).  The max is a scalar subquery, taken when the query runs.  Any
+    NULL period makes R's max NA, so no row survives (kept here)."""
+    mx = df.agg(F.when(F.count_if(F.col(period).isNull()) == 0, F.max(period)).alias("mx"))
+    return df.where(F.col(period) == mx.scalar())
 
 
 def coalesce_pair(df: DataFrame, left: str, right: str, name: str) -> DataFrame:

@@ -14,20 +14,19 @@ from pyspark.sql import functions as F
 from regpanel.constants import BLOCK_BANDS, BLOCK_GROUPS
 from regpanel.operators.joins import join
 from regpanel.operators.quantiles import grouped_quantiles
+from regpanel.session import scratch_path
+from regpanel.sources.sinks import checkpoint_to
 
 
 def with_group_aggs(df: DataFrame, keys: list[str], aggs: dict[str, Column],
-                    materialize: bool = False, few_groups: bool = False) -> DataFrame:
+                    materialize: bool = False) -> DataFrame:
     """Attach per-group aggregates to every row (row count preserved).
 
     ``df`` feeds both the aggregate and the join; with ``materialize`` it is
-    written once to the checkpoint folder (reliable, lineage cut) so an
-    expensive upstream is not computed twice.  ``few_groups`` marks a per-group
-    table of a handful of rows; how it is joined is left to Spark."""
+    written once to the shared folder (lineage cut) so an expensive upstream
+    is not computed twice."""
     if materialize:
-        from regpanel.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
+        df = checkpoint_to(df.sparkSession, df, scratch_path(df.sparkSession, "groups"))
     g = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
     return join(df, g, keys, "left", null_safe=True)
 
@@ -62,21 +61,24 @@ def net_pay_share(f: Column, m: Column, h: Column, total_fmh: Column, corrected:
 
 def forward_fill(df: DataFrame, partition: list[str], order: str, cols: list[str],
                  chunk: Column | None = None) -> DataFrame:
-    """tidyr fill(.direction = "down") along ``order`` within ``partition``.
-
-    Without ``chunk`` one window runs per partition key — fine for
-    header-sized tables.  With ``chunk`` (a coarse bucket that never decreases
-    along ``order``, e.g. the day of a timestamp) the fill is two-level, so
-    a hot key is spread over many tasks: (1) fill inside each (key, chunk);
-    (2) the last non-NULL value of every chunk, carried forward over the
-    chunk-level table (one row per key and chunk); (3) rows still NULL take
-    the carried value.  Same result as the single window."""
+    """tidyr fill(.direction = "down") along ``order`` within ``partition``;
+    ``order`` is unique there.
+
+    The fill has two levels, so that no window holds a whole key: (1) fill
+    inside each (key, chunk); (2) the last non-NULL value of every chunk,
+    carried forward over the chunk-level table (one row per key and chunk);
+    (3) rows still NULL take the carried value.  ``chunk`` is a coarse bucket
+    that never decreases along ``order``, e.g. the day of a timestamp.
+    Without one the rows are dealt by ranges of (key, order) and written once
+    with their range's number, which is the chunk: a key of any size lies in
+    as many ranges as its rows fill."""
     s = set(cols)
     if chunk is None:
-        w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in s else F.col(c)
-                           for c in df.columns])
-    d = df.withColumn("__chunk", chunk)
+        keys = [*partition, order]
+        ranged = df.repartitionByRange(*keys).withColumn("__chunk", F.spark_partition_id())
+        d = checkpoint_to(df.sparkSession, ranged, scratch_path(df.sparkSession, "fill"))
+    else:
+        d = df.withColumn("__chunk", chunk)
     w_in = Window.partitionBy(*partition, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inner = d.select(*d.columns, *[F.last(c, ignorenulls=True).over(w_in).alias(f"__in_{c}") for c in cols])
     per_chunk = d.groupBy(*partition, "__chunk").agg(
@@ -107,17 +109,13 @@ def block_cycle_ordinal(idx, block: int = BLOCK_BANDS, cycle: int = BLOCK_GROUPS
 
 
 def group_medians(df: DataFrame, keys: list[str], cols: dict[str, str],
-                  approx: bool = False, materialize: bool = False, few_groups: bool = False) -> DataFrame:
-    """mutate(m = median(x, na.rm = TRUE)) by group, for several columns.
-    ``few_groups`` pays off together with ``materialize``: the size check then
-    reads the materialised rows instead of recomputing the upstream."""
+                  approx: bool = False, materialize: bool = False) -> DataFrame:
+    """mutate(m = median(x, na.rm = TRUE)) by group, for several columns."""
     if approx:
         return with_group_aggs(df, keys, {n: F.percentile_approx(c, 0.5, 10000).cast("double") for n, c in cols.items()},
-                               materialize=materialize, few_groups=few_groups)
+                               materialize=materialize)
     if materialize:
-        from regpanel.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
+        df = checkpoint_to(df.sparkSession, df, scratch_path(df.sparkSession, "medians"))
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).cast("double").alias("x")) for n, c in cols.items()]))
     long = df.select(*keys, each.alias("__c")).select(*keys, F.col("__c.n").alias("__name"), F.col("__c.x").alias("__x"))
     q = grouped_quantiles(long, [*keys, "__name"], F.col("__x"), [0.5])

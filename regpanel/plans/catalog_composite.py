@@ -26,7 +26,7 @@ _MEASURE_NAMES = [s[2] for s in _SHEETS.values()]
 def pl_assemble_measures(spark, d):
     path = scratch(spark, "pl2")
     C.crosstab_to_panel(spark, panel_cells(spark, d), path)
-    return C.assemble_measures(spark, path, _MEASURE_NAMES)
+    return C.finish(spark, C.assemble_measures(spark, path, _MEASURE_NAMES), scratch(spark, "pl2_final"))
 
 
 @query("pl_series_wide", f"""WITH f AS (SELECT event_type AS code, CAST(ts AS DATE) AS date,
@@ -41,25 +41,50 @@ w AS (SELECT f.date AS anio, t.tname AS region, t.area AS area_km2,
   FROM f JOIN t USING (tcode) WHERE uname = 'States' GROUP BY ALL)
 SELECT anio, region, area_km2, compras, altas, errores, {sql_sig('compras / nullif(area_km2, 0)')} AS densidad FROM w""")
 def pl_series_wide(spark, d):
-    return sig_all(C.series_wide(spark, d), ["densidad"])
+    return sig_all(C.finish(spark, C.series_wide(spark, d), scratch(spark, "pl3_final")), ["densidad"])
 
 
 PL4_SQL = """WITH f AS (SELECT event_type AS ind, CAST(ts AS DATE) AS anio,
   'Dpto ' || CAST(user_id AS VARCHAR) AS departamento, sum(CAST(value AS DECIMAL(18,2))) AS v
-  FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY ALL),
+  FROM events GROUP BY ALL),
 g AS (SELECT ind, anio, departamento, CASE WHEN v < 2 THEN NULL ELSE CAST(v AS DOUBLE) END AS v FROM f)
-SELECT c.anio, c.departamento, c.v AS click, p.v AS purchase, w.v AS view
+SELECT c.anio, c.departamento, c.v AS click, e.v AS error, p.v AS purchase, s.v AS signup, w.v AS view
 FROM (SELECT * FROM g WHERE ind = 'click') c
+LEFT JOIN (SELECT * FROM g WHERE ind = 'error') e ON c.anio = e.anio AND c.departamento = e.departamento
 LEFT JOIN (SELECT * FROM g WHERE ind = 'purchase') p ON c.anio = p.anio AND c.departamento = p.departamento
+LEFT JOIN (SELECT * FROM g WHERE ind = 'signup') s ON c.anio = s.anio AND c.departamento = s.departamento
 LEFT JOIN (SELECT * FROM g WHERE ind = 'view') w ON c.anio = w.anio AND c.departamento = w.departamento"""
 
 
 @query("pl_natural_merge", PL4_SQL)
 def pl_natural_merge(spark, d):
-    files = [C.indicator_file(spark, d, i) for i in C.NATURAL_FILES]
+    files = [C.indicator_file(spark, d, i) for i in C.natural_files(spark, d)]
     return C.natural_merge(files)
 
 
+PL4_UNLIKE_SQL = """WITH e AS (SELECT event_type AS ind, CAST(ts AS DATE) AS anio, user_id,
+  'Dpto ' || CAST(user_id AS VARCHAR) AS departamento, 'T' || CAST(user_id % 3 AS VARCHAR) AS tramo, CAST(value AS DECIMAL(18,2)) AS x
+  FROM events),
+d AS (SELECT ind, anio, departamento, tramo, sum(x) AS s, CASE WHEN sum(x) < 2 THEN NULL ELSE CAST(sum(x) AS DOUBLE) END AS v
+  FROM e GROUP BY ALL),
+w AS (SELECT departamento, CASE WHEN sum(x) < 2 THEN NULL ELSE CAST(sum(x) AS DOUBLE) END AS v FROM e WHERE ind = 'view' GROUP BY ALL)
+SELECT c.anio, c.departamento, c.tramo, c.v AS click, p.v AS purchase, s.v AS signup, w.v AS view, r.v AS error
+FROM (SELECT * FROM d WHERE ind = 'click') c
+LEFT JOIN (SELECT * FROM d WHERE ind = 'purchase') p ON c.anio = p.anio AND c.departamento = p.departamento
+LEFT JOIN (SELECT * FROM d WHERE ind = 'signup') s ON c.anio = s.anio AND c.departamento = s.departamento
+LEFT JOIN w ON c.departamento = w.departamento
+LEFT JOIN (SELECT * FROM d WHERE ind = 'error') r
+  ON c.anio = r.anio AND c.departamento = r.departamento AND c.tramo = r.tramo"""
+
+
+@query("pl_natural_merge_unlike", PL4_UNLIKE_SQL)
+def pl_natural_merge_unlike(spark, d):
+    """Files with other columns each, merged from one scan of their folder."""
+    root = scratch(spark, "pl4_unlike")
+    C.unlike_files(spark, d, root)
+    return C.natural_merge_unlike(spark, f"{root}/*", name_from="dir")
+
+
 NO_INFO_STAND_IN = "NATION_0"  # the panel region playing "no information"
 
 
@@ -68,9 +93,10 @@ def pl_natural_merge_folder(spark, d):
     """The indicator files landed in one folder (one file per indicator), merged
     from a single scan."""
     root = scratch(spark, "pl4_folder")
-    for ind in C.NATURAL_FILES:
+    for ind in C.natural_files(spark, d):
         C.indicator_file(spark, d, ind).write.mode("overwrite").parquet(f"{root}/{ind}.parquet")
-    return C.natural_merge_folder(spark, f"{root}/*.parquet", ["anio", "Departamento"], name_from="dir")
+    merged = C.natural_merge_folder(spark, f"{root}/*.parquet", ["anio", "Departamento"], name_from="dir")
+    return C.finish(spark, merged, scratch(spark, "pl4_final"))
 
 
 def _share_sql(corrected: bool) -> str:

@@ -1,29 +1,22 @@
 """Catalogue: sources and sinks (S, K rows) and parameterised readers (X rows).
 
-Round trips write to the shared folder named by spark.checkpoint.dir (never
-a machine-local temp folder) and read the result back."""
+Round trips write to the session's shared folder and read the result back."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from regpanel.functions.exprs import col
-from regpanel.operators.joins import assert_unique, fold_as_pivot
+from regpanel.operators.joins import fold_as_pivot
 from regpanel.plans.catalog_shape import CROSSTAB_SQL, panel_cells
 from regpanel.operators.reshape import crosstab_normalise
 from regpanel.plans.panel import panel, with_panel
 from regpanel.plans.registry import query, table
-from regpanel.session import ensure_checkpoint_dir
+from regpanel.session import scratch_path as scratch
 from regpanel.sources import readers as R
 from regpanel.sources import sinks as K
 
 
-def scratch(spark, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/regpanel-q/{name}/{uuid.uuid4().hex}"
-
-
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
 
@@ -82,9 +75,8 @@ def multi_file_scan(spark, d):
       .write.mode("overwrite").parquet(f"{root}/n_lines")
     li.groupBy(F.col("l_partkey").alias("partkey")).agg(F.sum("l_quantity").alias("value")) \
       .write.mode("overwrite").parquet(f"{root}/qty_total")
-    df = spark.read.parquet(f"{root}/*")
-    return df.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("measure"),
-                     "partkey", "value")
+    df = R.read_folder_with_name(spark, f"{root}/*", name_col="measure", name_from="dir")
+    return df.select("measure", "partkey", "value")
 
 
 # ---------------------------------------------------------------- S5 K4
@@ -173,10 +165,9 @@ LEFT JOIN c ON b.anio = c.anio AND b.id_region = c.id_region AND b.region = c.re
 LEFT JOIN v ON b.anio = v.anio AND b.id_region = v.id_region AND b.region = v.region""")
 def multi_spec_panel(spark, d):
     """Spec list -> ONE filtered scan -> keyed left-join fold done as one
-    conditional aggregation (keys checked unique first)."""
+    conditional aggregation (repeated keys raise out of it)."""
     long = R.read_specs(long_facts(spark, d), SPECS, user_regions(spark, d))
     keys = ["anio", "id_region", "region"]
-    assert_unique(long, keys + ["variable"], "spec facts")
     return fold_as_pivot(long, keys, "variable", ["value", "unit"], [s.var_name for s in SPECS], base="compras")
 
 

@@ -287,9 +287,9 @@ def distinct_projection(spark, d):
     return U.distinct_rows(table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
-@query("distinct_rows", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("distinct_rows", "SELECT DISTINCT * FROM lineitem")
 def distinct_rows(spark, d):
-    return U.distinct_rows(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    return U.distinct_rows(table(spark, d, "lineitem"))
 
 
 @query("bind_rows", """SELECT c_custkey AS id, c_nationkey AS nationkey, c_acctbal AS acctbal FROM customer

@@ -50,6 +50,16 @@ def strict_sum_by_group(spark, d):
         strict_sum("qty").alias("s_qty"), F.count(F.lit(1)).alias("n_lines"))
 
 
+@query("summarise_strict", f"""WITH li AS (SELECT *, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS q,
+  CASE WHEN l_linenumber <> 4 THEN l_extendedprice END AS p FROM lineitem)
+SELECT l_orderkey, CASE WHEN count(q) = count(*) THEN sum(q) END AS q,
+  {sql_sig("CASE WHEN count(p) = count(*) THEN avg(p) END")} AS p FROM li GROUP BY l_orderkey""")
+def summarise_strict(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("q"),
+                                            F.when(F.col("l_linenumber") != 4, F.col("l_extendedprice")).alias("p"))
+    return sig_all(A.summarise_strict(li, ["l_orderkey"], ["q"], ["p"]), ["p"])
+
+
 @query("strict_mean_by_group", f"""WITH li AS (SELECT *, CASE WHEN l_linenumber <> 3 THEN l_extendedprice END AS p FROM lineitem)
 SELECT l_orderkey, {sql_sig("CASE WHEN count(p) = count(*) THEN avg(p) END")} AS m_price
 FROM li GROUP BY l_orderkey""")
@@ -137,9 +147,13 @@ def distribution_by_group(spark, d):
     return sig_all(A.distribution_table(li, "l_returnflag", _DIST_COLS))
 
 
-@query("distribution_by_group_approx")
+@query("distribution_by_group_approx", f"SELECT * EXCLUDE (p25, mediana, p75), true AS p25_ok, true AS mediana_ok, true AS p75_ok FROM ("
+       + _dist_sql(_DIST_COLS, "l_returnflag", LI_SQL, "li") + ")")
 def distribution_by_group_approx(spark, d):
-    return A.distribution_table(_li(spark, d), "l_returnflag", _DIST_COLS, approx=True)
+    """Sketch quantiles, each checked against its true rank (the values
+    themselves may differ from the exact ones within the bound)."""
+    t = A.distribution_table_approx(_li(spark, d), "l_returnflag", _DIST_COLS)
+    return sig_all(t.drop("p25", "mediana", "p75"))
 
 
 @query("distribution_panel_by_band", with_panel(_dist_sql(
@@ -196,29 +210,31 @@ def _sig_profile(df):
     return sig_all(df, ["complete_rate", "mean", "sd", "p0", "p25", "p50", "p75", "p100"])
 
 
-@query("profile_numeric", _profile_sql("customer", [("c_custkey", "numeric"), ("c_nationkey", "numeric"),
-                                                    ("c_acctbal", "numeric")]))
+_CUSTOMER = [("c_custkey", "numeric"), ("c_name", "character"), ("c_nationkey", "numeric"), ("c_acctbal", "numeric"),
+             ("c_mktsegment", "character")]
+
+
+@query("profile_numeric", _profile_sql("customer", _CUSTOMER))
 def profile_numeric(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    return _sig_profile(profile(c))
+    return _sig_profile(profile(table(spark, d, "customer")))
 
 
-@query("profile_string", _profile_sql("part", [("p_name", "character"), ("p_brand", "character"),
-                                               ("p_type", "character")]))
+@query("profile_string", _profile_sql("part", [("p_partkey", "numeric"), ("p_name", "character"), ("p_brand", "character"),
+                                               ("p_type", "character"), ("p_size", "numeric"), ("p_retailprice", "numeric")]))
 def profile_string(spark, d):
-    return _sig_profile(profile(table(spark, d, "part").select("p_name", "p_brand", "p_type")))
+    return _sig_profile(profile(table(spark, d, "part")))
 
 
-@query("profile_date", _profile_sql("orders", [("o_orderdate", "date")]))
+@query("profile_date", _profile_sql("orders", [("o_orderkey", "numeric"), ("o_custkey", "numeric"), ("o_orderstatus", "character"),
+                                               ("o_totalprice", "numeric"), ("o_orderdate", "date"),
+                                               ("o_orderpriority", "character")]))
 def profile_date(spark, d):
-    return _sig_profile(profile(table(spark, d, "orders").select("o_orderdate")))
+    return _sig_profile(profile(table(spark, d, "orders")))
 
 
-@query("profile_grouped", _profile_sql("customer", [("c_name", "character"), ("c_nationkey", "numeric"),
-                                                   ("c_acctbal", "numeric")], ["c_mktsegment"]))
+@query("profile_grouped", _profile_sql("customer", _CUSTOMER[:4], ["c_mktsegment"]))
 def profile_grouped(spark, d):
-    c = table(spark, d, "customer").select("c_mktsegment", "c_name", "c_nationkey", "c_acctbal")
-    return _sig_profile(profile(c, ["c_mktsegment"]))
+    return _sig_profile(profile(table(spark, d, "customer"), ["c_mktsegment"]))
 
 
 @query("profile_panel", with_panel(_profile_sql("panel", [("anio", "numeric"), ("region", "character"),
@@ -231,15 +247,16 @@ def profile_panel(spark, d):
 
 
 # ---------------------------------------------------------------- A10 A11
-@query("table_shape", "SELECT count(*) AS n_rows, CAST(3 AS BIGINT) AS n_cols FROM lineitem")
+@query("table_shape", """SELECT count(*) AS n_rows,
+  (SELECT CAST(len(json_keys(to_json(lineitem))) AS BIGINT) FROM lineitem LIMIT 1) AS n_cols FROM lineitem""")
 def table_shape(spark, d):
-    return A.table_shape(table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity"))
+    return A.table_shape(table(spark, d, "lineitem"))
 
 
 @query("duplicate_audit", """SELECT count(*) AS n_rows,
-  (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS n_distinct FROM lineitem""")
+  (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_distinct FROM lineitem""")
 def duplicate_audit(spark, d):
-    return A.duplicate_audit(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"))
+    return A.duplicate_audit(table(spark, d, "lineitem"))
 
 
 # ---------------------------------------------------------------- A12
@@ -309,6 +326,30 @@ def correlation_pairs(spark, d):
     return sig_all(A.correlation_pairs(table(spark, d, "lineitem"), _CORR_COLS))
 
 
+_WIDE_COLS = [f"x{i}" for i in range(26)]
+
+
+def _wide_sql() -> str:
+    cols = ", ".join(f"CASE WHEN (l_orderkey + {i}) % {i + 2} <> 0 THEN l_quantity * {i + 1} + l_extendedprice / {i + 3} END AS x{i}"
+                     for i in range(26))
+    parts = [f"SELECT l_returnflag, 'x{a}' AS var_x, 'x{b}' AS var_y, "
+             + sql_sig(f"regr_sxy(x{b}, x{a}) / nullif(sqrt(regr_sxx(x{b}, x{a}) * regr_syy(x{b}, x{a})), 0)", 20)
+             + f" AS corr, CAST(regr_count(x{b}, x{a}) AS BIGINT) AS n FROM w GROUP BY l_returnflag"
+             for a in range(26) for b in range(a + 1, 26)]
+    return f"WITH w AS MATERIALIZED (SELECT l_returnflag, {cols} FROM lineitem)\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("correlation_wide", _wide_sql())
+def correlation_wide(spark, d):
+    """26 columns with holes of their own, 325 pairs, from one moment matrix."""
+    from regpanel.plans.registry import sig
+    li = table(spark, d, "lineitem")
+    wide = li.select("l_returnflag", *[F.when((F.col("l_orderkey") + i) % (i + 2) != 0, F.col("l_quantity") * (i + 1)
+                                              + F.col("l_extendedprice") / (i + 3)).alias(f"x{i}") for i in range(26)])
+    out = A.correlation_pairs(wide, _WIDE_COLS, ["l_returnflag"])
+    return out.withColumn("corr", sig("corr", 20))
+
+
 @query("correlation_pairs_grouped", _corr_sql(["l_returnflag"]))
 def correlation_pairs_grouped(spark, d):
     return sig_all(A.correlation_pairs(table(spark, d, "lineitem"), _CORR_COLS, ["l_returnflag"]))

@@ -10,11 +10,9 @@ from regpanel.functions import text as T
 from regpanel.operators.project import parse_guess
 from regpanel.plans.registry import query, table
 
-NUM_RE = X.NUMERIC_TEXT
-
-
 def _sql_num(x: str) -> str:
-    return f"CASE WHEN regexp_matches({x}, '{NUM_RE}') THEN try_cast(trim({x}) AS DOUBLE) END"
+    """A cast of the engine itself; what it takes beyond plain decimals (inf, nan, underscores) is shut out."""
+    return (f"CASE WHEN lower({x}) NOT SIMILAR TO '.*(inf|nan|_|0x).*' THEN try_cast(trim({x}, ' ') AS DOUBLE) END")
 
 
 def _sql_int(x: str) -> str:
@@ -24,9 +22,11 @@ def _sql_int(x: str) -> str:
 
 
 # ---------------------------------------------------------------- F10 F1 F4
-@query("translit_ascii", "SELECT doc_id, replace(strip_accents(lower(text)), 'ß', 'ss') AS text_ascii FROM documents")
+@query("translit_ascii", """SELECT doc_id, replace(strip_accents(text), 'ß', 'ss') AS text_ascii,
+  replace(strip_accents(lower(text)), 'ß', 'ss') AS text_lower FROM documents""")
 def translit_ascii(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.translit_lower("text").alias("text_ascii"))
+    return table(spark, d, "documents").select("doc_id", T.translit_ascii("text").alias("text_ascii"),
+                                               T.translit_lower("text").alias("text_lower"))
 
 
 @query("sanitize_text", """SELECT doc_id, lower(replace(strip_accents(regexp_replace(regexp_replace(
@@ -134,8 +134,7 @@ def year_int(spark, d):
   make_date(CAST(max(year(o_orderdate)) AS INTEGER), 1, 1), INTERVAL 1 YEAR)) AS DATE) AS anio FROM orders""")
 def year_sequence(spark, d):
     o = table(spark, d, "orders").agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
-    return o.select(F.explode(F.sequence(F.make_date("lo", F.lit(1), F.lit(1)), F.make_date("hi", F.lit(1), F.lit(1)),
-                                         F.expr("interval 1 year"))).alias("anio"))
+    return o.select(F.explode(D.year_sequence("lo", "hi")).alias("anio"))
 
 
 # ---------------------------------------------------------------- F17 F18 F21 F22 F23

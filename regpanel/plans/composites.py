@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regpanel.constants import MISSING_TOKEN, NO_INFO_REGION, QUADRANT_LABELS
+from regpanel.constants import (CONTROL_PERIOD, ES_EU_SPECS, ES_NATIONAL_FILES, ES_NUTS2, IT_EU_SPECS, IT_NUTS2, MISSING_TOKEN,
+                                NO_INFO_REGION, QUADRANT_LABELS)
 from regpanel.functions import selectors as S
 from regpanel.functions.dates import date_to_year_text, year_to_date
 from regpanel.functions.exprs import r_div, strict_mean, strict_sum, log_pos
@@ -16,9 +17,11 @@ from regpanel.operators import joins as J
 from regpanel.operators import project as P
 from regpanel.operators import windows as W
 from regpanel.operators.profile import profile
-from regpanel.operators.reshape import crosstab_normalise, pivot_longer, pivot_wider
+from regpanel.operators.cells import fill_merged, row_to_names
+from regpanel.operators.reshape import crosstab_normalise, distinct_names, pivot_longer, pivot_wider
 from regpanel.plans.panel import panel
 from regpanel.plans.registry import table
+from regpanel.session import scratch_path
 from regpanel.sources import readers as R
 from regpanel.sources import sinks as K
 
@@ -27,7 +30,7 @@ from regpanel.sources import sinks as K
 def crosstab_to_panel(spark: SparkSession, cells: DataFrame, out_path: str) -> DataFrame:
     """PL1: every sheet normalised in one job, one output folder per measure."""
     long = crosstab_normalise(cells).drop("sheet")
-    long.write.mode("overwrite").partitionBy("variable").parquet(out_path)
+    K.sized_by_group(long, "variable").write.mode("overwrite").partitionBy("variable").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
@@ -89,7 +92,9 @@ def series_wide(spark, d) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PL4
-NATURAL_FILES = ["click", "purchase", "view"]
+def natural_files(spark, d) -> list[str]:
+    """The indicators that are landed, one file each, in the order of the file names."""
+    return distinct_names(table(spark, d, "events"), "event_type")
 
 
 def indicator_file(spark, d, indicator: str) -> DataFrame:
@@ -150,13 +155,62 @@ def natural_merge_folder(spark, path: str, keys: list[str], fmt: str = "parquet"
         rename = {k: v for k, v in INDICATOR_RENAMES.items() if k in d.columns}
     if rename:
         d = d.withColumnsRenamed(rename)
-    J.assert_unique(d, keys + [indicator_col], "indicator files")
     wide = J.fold_as_pivot(d, keys, indicator_col, [value_col], indicators, base=indicators[0])
     wide = P.rename_with(wide, sanitize_name)
     wide = wide.select(*[missing_token(c).alias(c) for c in wide.columns])
     return P.parse_guess(wide)
 
 
+def natural_merge_unlike(spark, path: str, indicator_col: str = "Indicador", value_col: str = "Valor",
+                         drop: tuple[str, ...] = ("indicador", "sector"), name_from: str = "file") -> DataFrame:
+    """PL4 over files whose columns differ, from ONE scan of the folder.  Every
+    file's header is found in that scan, its value column takes the name of its
+    one indicator, and the keys are what a step's file shares with the files
+    before it (a shared measure becomes a key), as in the file-by-file chain;
+    steps with the same keys are one aggregate.  Then SIN DATOS -> NULL and the
+    type guess.  The rows are landed by file number, so a step reads its file only."""
+    found, rows = R.read_unlike_folder(spark, path, name_from=name_from)
+    landed = scratch_path(spark, "natural")
+    rows.write.mode("overwrite").partitionBy("file_no").parquet(landed)
+    rows = spark.read.schema("values array<string>, file_no int").parquet(landed)
+    place = F.element_at(F.create_map(*[x for i, (_, h) in found.items() for x in (F.lit(i), F.lit(h.index(indicator_col)))]),
+                         F.col("file_no"))
+    ind = F.get("values", place)
+    names = {r["file_no"]: r for r in rows.groupBy("file_no").agg(
+        F.min(ind).alias("lo"), F.max(ind).alias("hi"), F.count_if(ind.isNull()).alias("none")).collect()}
+    tables = []
+    for i, (name, header) in found.items():
+        r = names.get(i)
+        if r is None or r["none"] or r["lo"] != r["hi"]:
+            raise ValueError(f"natural_merge_unlike: {name} holds more than one indicator, or none")
+        t = rows.where(F.col("file_no") == i).select(*[F.get("values", F.lit(k)).alias(c) for k, c in enumerate(header)])
+        ren = {k: v for k, v in INDICATOR_RENAMES.items() if k in header}
+        t = P.rename_with(P.rename(t, {value_col: r["lo"], **ren}), sanitize_name)
+        tables.append(t.drop(*drop))
+    m = J.folded_join_chain(tables)
+    return P.parse_guess(m.select(*[missing_token(c).alias(c) for c in m.columns]))
+
+
+def unlike_files(spark, d, root: str) -> None:
+    """Indicator files with other columns each, landed as delimited text: some
+    without the size band, one without the year."""
+    e = table(spark, d, "events")
+    dpt = F.concat(F.lit("Dpto "), F.col("user_id").cast("string")).alias("Departamento")
+    day, band = F.col("ts").cast("date").cast("string").alias("Año"), F.concat(F.lit("T"), F.col("user_id") % 3).alias("Tamaño")
+    for i, (ind, keys) in enumerate([("click", [day, dpt, band]), ("purchase", [day, dpt]), ("signup", [day, dpt]),
+                                     ("view", [dpt]), ("error", [band, day, dpt])]):
+        g = e.where(F.col("event_type") == ind).groupBy(*keys).agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("__v"))
+        g = g.select("*", F.lit(ind).alias("Indicador"), F.lit("Todos, sin detalle").alias("Sector"),
+                     F.when(F.col("__v") < 2, F.lit(MISSING_TOKEN)).otherwise(F.col("__v").cast("string")).alias("Valor")).drop("__v")
+        K.write_csv(g, f"{root}/{i}_{ind}")
+
+
+def finish(spark, df: DataFrame, path: str) -> DataFrame:
+    """The final table written as CSV, as the source leaves it, and read back with its types."""
+    K.write_csv(df, path)
+    return R.read_csv(spark, path, schema=df.schema)
+
+
 # ------------------------------------------------------------------ PL5
 def share_panel(p: DataFrame, corrected: bool = False, no_info: str = NO_INFO_REGION,
                 keys: tuple[str, str] = ("anio", "region"), band: str = "tramo", extra: tuple[str, ...] = ("sector",),
@@ -237,14 +291,43 @@ def business_dims(spark, d):
     return countries, geo
 
 
-def code_mapper(spark) -> DataFrame:
-    a = spark.createDataFrame(MAPPER_MAIN, "table string, hist string, new string")
-    a = a.where(F.col("table") == "bd_size_r3").select("hist", "new")
-    b = spark.createDataFrame(MAPPER_DERIVED, "hist string, new string, bd_size_r string")
-    b = b.where(F.col("bd_size_r") == "yes").select("hist", "new")
+# Catalogue stand-in: the correspondence workbook's two sheets as cells, with
+# the header texts of the source's workbook and its merged ranges.
+MAPPER_HEAD = ("Old.Eurobase.Table", "Eurobase.code.in.historical.BD.tables", "Eurobase.code.in.new.tables")
+MAPPER_DERIVED_HEAD = ("Eurobase code in historical BD tables", "Eurobase code - from \nreference year 2021 onwards", "bd_size_r")
+
+
+def mapper_cells(spark) -> tuple[DataFrame, DataFrame]:
+    """(cells, merged ranges) of the correspondence workbook: the second sheet
+    has a merged line above its header, and equal flags below one another are merged."""
+    sheets = {"main": [MAPPER_HEAD, *MAPPER_MAIN],
+              "derived": [("Indicators", None, "Data sets"), MAPPER_DERIVED_HEAD, *MAPPER_DERIVED, ("V97999", "GRW_EMP_PC", None)]}
+    cells = [(s, r, c, v) for s, rows in sheets.items() for r, row in enumerate(rows, 1) for c, v in enumerate(row, 1) if v is not None]
+    n = len(MAPPER_DERIVED) + 2
+    ranges = [("derived", 1, 1, 1, 2), ("derived", n, 3, n + 1, 3)]
+    return (spark.createDataFrame(cells, "sheet string, row_idx int, col_idx int, value string"),
+            spark.createDataFrame(ranges, "sheet string, r0 int, c0 int, r1 int, c1 int"))
+
+
+def code_mapper_from(cells: DataFrame, ranges: DataFrame, table_name: str = "bd_size_r3", flag: str = "bd_size_r") -> DataFrame:
+    """PL6's code correspondence (hist, new) out of the workbook's cells: the
+    first sheet's rows of one old table, and the second sheet's flagged rows
+    once merged cells are filled and its second line is the header."""
+    a = row_to_names(cells.where(F.col("sheet") == "main"), 1)
+    old, hist, new = MAPPER_HEAD
+    a = a.where(F.col(f"`{old}`") == table_name).select(F.col(f"`{hist}`").alias("hist"), F.col(f"`{new}`").alias("new"))
+    b = row_to_names(fill_merged(cells.where(F.col("sheet") == "derived"), ranges.where(F.col("sheet") == "derived")), 2)
+    b = P.rename_with(b, lambda c: c.replace(" ", ".").replace("\n", ""))
+    b = b.where(F.col(f"`{flag}`") == "yes").select(
+        F.col("`Eurobase.code.in.historical.BD.tables`").alias("hist"),
+        F.col("`Eurobase.code.-.from.reference.year.2021.onwards`").alias("new"))
     return a.unionByName(b).distinct()
 
 
+def code_mapper(spark) -> DataFrame:
+    return code_mapper_from(*mapper_cells(spark))
+
+
 def indicator_panel_from(spark, facts: DataFrame, countries: DataFrame, geo: DataFrame, mapper: DataFrame,
                          codes: list[str], out_path: str, countries_kept=("italy", "spain")) -> DataFrame:
     """PL6 core.  facts (indic_sb, sizeclas, geo, TIME_PERIOD, values) -> country
@@ -330,11 +413,10 @@ def eu_controls(spark, facts: DataFrame, regions: DataFrame, specs: list[R.Datas
                 interim_path: str | None = None) -> DataFrame:
     """Spec list -> ONE filtered scan of the landed facts -> keyed fold as one
     conditional aggregation -> (anio, id_region, region, <var>, <var>_unidad…).
-    Keys are checked unique first (a breakdown left in the facts would fan
-    out); the interim result is written next to the final one when asked."""
+    Repeated keys raise (a breakdown left in the facts would fan out); the
+    interim result is written next to the final one when asked."""
     long = R.read_specs(facts, specs, regions)
     keys = ["anio", "id_region", "region"]
-    J.assert_unique(long, keys + ["variable"], "control facts")
     eu = J.fold_as_pivot(long, keys, "variable", ["value", "unit"], [s.var_name for s in specs],
                          base=specs[0].var_name)
     eu = eu.toDF(*[c.replace("_unit", "_unidad") for c in eu.columns])
@@ -362,9 +444,9 @@ def attach_national(base: DataFrame, national: DataFrame, rules: list[tuple[str,
     rc = J.recode_contains("region", rules, default=translit_lower("region"))
     key = translit_lower(F.trim(rc)) if corrected else F.lower(rc)
     nat = national.withColumn("__key", key).drop("region")
-    # a national file with a breakdown (e.g. by sex) would fan the join out: check first
+    # a national file with a breakdown (e.g. by sex) would fan the join out: it raises
     return J.join(base.withColumn("__key", translit_lower("region")), nat, ["__key", "anio"], "left",
-                  expect_unique_right=True).drop("__key")
+                  expect="one").drop("__key")
 
 
 def control_panel_eu(spark, d, country: str, region_name: str, out_dir: str) -> DataFrame:
@@ -391,8 +473,7 @@ def control_panel_national(spark, d, country: str, region_name: str, out_dir: st
 def eda_aggregated(p: DataFrame) -> DataFrame:
     """PL9: sum/mean over sectors per (year, region, band), zeros as missing,
     then the distribution table by band."""
-    agg = A.summarise_sum_mean(p, ["anio", "region", "tramo"], S.matches(p, "numero|pedidos|pessoal|valor"),
-                               S.starts_with(p, "salario"))
+    agg = cell_panel(p)
     return A.distribution_table(agg, "tramo", S.exclude(S.where_numeric(agg), ["anio"]))
 
 
@@ -401,8 +482,7 @@ def eda_salary_box(p: DataFrame) -> DataFrame:
     box statistics by (variable, band) on a natural-log scale, with the
     centre-truncated legend label."""
     from regpanel.functions.exprs import trunc_center
-    agg = A.summarise_sum_mean(p, ["anio", "region", "tramo"], S.matches(p, "numero|pedidos|pessoal|valor"),
-                               S.starts_with(p, "salario"))
+    agg = cell_panel(p)
     sal = S.exclude(S.starts_with(agg, "salario"), S.matches(agg, "sexo"))
     long = pivot_longer(agg.select(*S.col_range(agg, "anio", "tramo"), *sal), sal, "variable", "valor",
                         id_cols=S.col_range(agg, "anio", "tramo"))
@@ -467,7 +547,7 @@ def regional_quadrants(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
     df = regional_panel(spark, d)
     q = W.group_medians(df.where(F.col("tramo") == band), ["pais"],
                         {"mediana_pyme": "ent_per_1000", "mediana_pbi": "pbi_per_capita"},
-                        materialize=True, few_groups=True)
+                        materialize=True)
     lab = W.quadrant_label(F.col("ent_per_1000"), F.col("pbi_per_capita"), F.col("mediana_pyme"),
                            F.col("mediana_pbi"), QUADRANTS)
     return q.select("pais", "region", "anio", "sector", "ent_per_1000", "tasa_empleo_pyme", "pbi_per_capita",
@@ -497,3 +577,163 @@ def regional_profile(spark, d) -> DataFrame:
     """PL11: group_by(pais) |> skim()."""
     df = regional_panel(spark, d).select("pais", "ent_nr", "emp_nr", "pbi_per_capita", "ent_per_1000", "tramo")
     return profile(df, ["pais"])
+
+
+# ------------------------------------------------------------------ PL7 PL8 whole
+def dataset_facts(spark, d) -> DataFrame:
+    """Landed statistical facts of both countries: the six datasets of the
+    spec lists with their dimensions, and rows that a spec's filters drop (one
+    sex, another unit).  Nation k stands in for the k-th region code of each list."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    cents = lambda x: F.sum(x.cast("decimal(18,2)")).cast("double")
+    done = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    g = j.groupBy("c_nationkey", F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("time")).agg(
+        cents(F.col("o_totalprice")).alias("renta"), cents(done).alias("pbi"), F.count(F.lit(1)).cast("double").alias("dens"),
+        F.count_distinct("o_custkey").cast("double").alias("pobl"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("crim"),
+        F.count_if(F.col("o_orderpriority") == "5-LOW").cast("double").alias("pobr"))
+    rows = [("nama_10r_2hhinc", "renta", "EUR_HAB", "BAL", "B5N", None, None), ("nama_10r_2hhinc", "dens", "EUR_HAB", "PAID", "B5N", None, None),
+            ("nama_10r_3gdp", "pbi", "EUR_HAB", None, None, None, None), ("nama_10r_3gdp", "dens", "MIO_EUR", None, None, None, None),
+            ("demo_r_d3dens", "dens", "PER_KM2", None, None, None, None),
+            ("demo_r_pjangrp3", "pobl", "NR", None, None, "T", "TOTAL"), ("demo_r_pjangrp3", "dens", "NR", None, None, "F", "TOTAL"),
+            ("crim_gen_reg", "crim", "P_HTHAB", None, None, None, None), ("crim_gen_reg", "dens", "NR", None, None, None, None),
+            ("ilc_li41", "pobr", "PC", None, None, None, None)]
+    names = ("dataset", "values", "unit", "direct", "na_item", "sex", "age")
+    each = F.array(*[F.struct(*[(F.col(v) if n == "values" else F.lit(v).cast("string")).alias(n)
+                                for n, v in zip(names, r, strict=True)]) for r in rows])
+    geo = F.array(*[F.get(F.array(*map(F.lit, codes)), F.col("c_nationkey").cast("int")) for codes in (ES_NUTS2, IT_NUTS2)])
+    f = g.select("*", F.explode(geo).alias("geo")).select("time", "geo", F.explode(each).alias("__r"))
+    return f.where(F.col("geo").isNotNull()).select("geo", "time", "__r.*")
+
+
+def nuts_regions(spark, d) -> DataFrame:
+    """(NUTS_ID, NUTS_NAME, CNTR_CODE) of both countries' region codes."""
+    n = table(spark, d, "nation")
+    at = lambda codes: F.get(F.array(*map(F.lit, codes)), F.col("n_nationkey").cast("int"))
+    parts = [n.select(at(codes).alias("NUTS_ID"), F.col("n_name").alias("NUTS_NAME"), F.lit(c).alias("CNTR_CODE"))
+             for codes, c in ((ES_NUTS2, "ES"), (IT_NUTS2, "IT"))]
+    return parts[0].unionByName(parts[1]).where(F.col("NUTS_ID").isNotNull())
+
+
+#: the catalogue's stand-in for the control period: the years of the tables
+TABLE_PERIOD = (1990, 2030)
+
+
+def control_panel_italy(spark, facts: DataFrame, regions: DataFrame, hdi_raw: DataFrame, country: str, out_dir: str,
+                        period: tuple[int, int] = CONTROL_PERIOD, after_year: int = 2007) -> DataFrame:
+    """PL8: Italy's six datasets folded on (year, id, region), the subnational
+    index, both interim and final tables written."""
+    specs = R.specs_from(IT_EU_SPECS, IT_NUTS2, period)
+    eu = eu_controls(spark, facts, regions.where(F.col("CNTR_CODE") == "IT"), specs, f"{out_dir}/interim/eurostat")
+    return finish(spark, attach_hdi(eu, hdi_raw, country, after_year), f"{out_dir}/control")
+
+
+def control_panel_spain(spark, facts: DataFrame, regions: DataFrame, hdi_raw: DataFrame, national: list[DataFrame], country: str,
+                        rules: list[tuple[str, str]], out_dir: str, period: tuple[int, int] = CONTROL_PERIOD,
+                        after_year: int = 2007, corrected: bool = True) -> DataFrame:
+    """PL7: Spain's three datasets, the subnational index and the fold of the
+    national files (base: the first one) on (year, region); both interim tables
+    and the final one are written."""
+    specs = R.specs_from(ES_EU_SPECS, ES_NUTS2, period)
+    eu = eu_controls(spark, facts, regions.where(F.lower("CNTR_CODE") == "es"), specs, f"{out_dir}/interim/eurostat")
+    ine = J.left_join_chain(national, by=["anio", "region"], expect="one")
+    ine = K.checkpoint_to(spark, ine, f"{out_dir}/interim/ine")
+    base = attach_hdi(eu, hdi_raw, country, after_year)
+    return finish(spark, attach_national(base, ine, rules, corrected), f"{out_dir}/control")
+
+
+def national_sources(spark, d) -> dict[str, DataFrame]:
+    """The four national files' tables by file stem: ``NN Name``, period, total, unit."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    g = j.groupBy("n_nationkey", "n_name", F.year("o_orderdate").alias("y")).agg(
+        F.count_if(F.col("o_orderpriority") == "2-HIGH").cast("double").alias("tasa_homicidios"),
+        F.count_if(F.col("o_orderpriority") == "1-URGENT").cast("double").alias("tasa_criminalidad"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("tasa_pobreza"),
+        F.count_distinct("o_custkey").cast("double").alias("pobl_total"))
+    name = F.concat(F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit(" "), "n_name")
+    return {stem: g.where((F.col("n_nationkey") + F.lit(i)) % 6 != 0)  # every file lacks other regions
+            .select(name.alias("Comunidades y ciudades autónomas"), F.col("y").cast("string").alias("Periodo"),
+                    F.translate(F.format_number(measure, 2), ",.", ".,").alias("Total"), F.lit(unit[:4]).alias(unit))
+            for i, (stem, measure, unit) in enumerate(ES_NATIONAL_FILES)}
+
+
+def read_national_files(spark, root: str) -> list[DataFrame]:
+    """The files of ES_NATIONAL_FILES below ``root``, as (anio, region, measure, unit) each."""
+    return [R.read_national_file(R.read_csv_european(spark, f"{root}/{stem}.csv", numeric=["Total"]),
+                                 "Comunidades y ciudades autónomas", "Periodo", "Total", unit, measure)
+            for stem, measure, unit in ES_NATIONAL_FILES]
+
+
+# ------------------------------------------------------------------ PL9 PL10 whole
+def cell_panel(p: DataFrame) -> DataFrame:
+    """One row per (year, region, band): sums and means over the sectors, zeros as missing."""
+    return A.summarise_sum_mean(p, ["anio", "region", "tramo"], S.matches(p, "numero|pedidos|pessoal|valor"),
+                                S.starts_with(p, "salario"))
+
+
+def panel_report(p: DataFrame) -> dict[str, DataFrame]:
+    """PL9 and PL10 of a panel with one row per (year, region, band): column
+    profile, shape, duplicates, missing share by year, distribution by band,
+    evolution of firms (natural log) and of staff (base 10)."""
+    values = S.exclude(S.where_numeric(p), ["anio"])
+    return {"profile": lambda: profile(p), "shape": lambda: A.table_shape(p), "duplicates": lambda: A.duplicate_audit(p),
+            "missing": lambda: A.missing_pct(p, "anio", ("region", "tramo"), values),
+            "distribution": lambda: A.distribution_table(p, "tramo", values),
+            "firms": lambda: A.evolution_total(p, "anio", "tramo", "numero_empresas", "cant_empresas", "e"),
+            "staff": lambda: A.evolution_total(p, "anio", "tramo", "pessoal_ocupado", "cant_empleados", "10")}
+
+
+# ------------------------------------------------------------------ PL11 whole
+WELFARE = ["ent_per_1000", "pbi_per_capita", "tasa_pobreza", "hdi"]
+
+
+def regional_panel_from(controls: DataFrame, firms: DataFrame) -> DataFrame:
+    """PL11 panel out of both countries' controls and firm panels (stacked): the
+    inner join on (region, year), one country and one population column,
+    firms per 1000 inhabitants, employment rate."""
+    df = J.join(controls, firms, ["region", "anio"], "inner", suffix=("_x", "_y"))
+    df = P.coalesce_pair(df, "pais_x", "pais_y", "pais")
+    df = P.coalesce_pair(df, "poblacion_total", "pobl_total", "poblacion")
+    return df.withColumn("ent_per_1000", r_div("ent_nr", "poblacion") * 1000) \
+             .withColumn("tasa_empleo_pyme", r_div("emp_nr", "poblacion") * 100)
+
+
+def regional_pairs(df: DataFrame, bins: int = 30) -> dict:
+    """PL11's crossed charts of one band: correlations of the welfare measures
+    per country, their marginal distributions, and the fitted line of GDP on
+    firms with its ribbon on 80 points per country."""
+    long = pivot_longer(df.select("pais", *WELFARE), WELFARE, "variable", "valor", id_cols=["pais"])
+    x, y = "ent_per_1000", "pbi_per_capita"
+    return {"correlations": lambda: A.correlation_pairs(df, WELFARE, ["pais"]),
+            "marginals": lambda: A.histogram(long, ["pais", "variable"], "valor", bins),
+            "ribbon": lambda: A.fit_band(A.linear_fit(df, ["pais"], x, y), A.fit_grid(df, ["pais"], x, y), ["pais"], x)}
+
+
+def welfare_panel(spark, d, band: str = "AUTOMOBILE") -> DataFrame:
+    """The regional panel of one band with poverty and development indices, from the driver tables."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, d, "nation")
+    r = table(spark, d, "region").where(F.col("r_name").isin("EUROPE", "ASIA"))
+    j = (o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+          .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    rows = F.count(F.lit(1)).cast("double")
+    cents = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+    g = j.groupBy("r_name", F.col("n_name").alias("region"), F.year("o_orderdate").alias("anio")).agg(
+        F.count_distinct("o_custkey").cast("double").alias("__pob"), cents.alias("__val"), rows.alias("__n"),
+        F.count_if(F.col("o_orderpriority") == "5-LOW").cast("double").alias("__low"))
+    it = F.col("r_name") == "EUROPE"
+    controls = g.select("region", "anio", F.when(it, F.col("__pob")).alias("poblacion_total"),
+                        F.when(~it, F.col("__pob")).alias("pobl_total"), (F.col("__val") / F.col("__pob")).alias("pbi_per_capita"),
+                        (F.col("__low") / F.col("__n") * 100).alias("tasa_pobreza"),
+                        F.when(F.col("__low") > 0, F.col("__val") / F.col("__n") / 1e6).alias("hdi"),
+                        F.when(it, F.lit("Italia")).otherwise(F.lit("España")).alias("pais"))
+    firms = panel(spark, d).where(F.col("tramo") == band).select(
+        "anio", "region", "tramo", "sector", F.col("numero_empresas").alias("ent_nr"), F.col("pessoal_ocupado").alias("emp_nr"),
+        F.lit(None).cast("string").alias("pais"))
+    return regional_panel_from(controls, firms)

@@ -10,6 +10,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +67,25 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     elif spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_written: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one for a table that cuts lineage; a lazy
+    result may still read it, so it stays until :func:`clear_scratch`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/regpanel-q/{name}/{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes the scratch tables that this process has made; call it once the
+    results that read them are written or collected.  Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = len(_written)
+    while _written:
+        p = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        p.getFileSystem(conf).delete(p, True)
+    return n

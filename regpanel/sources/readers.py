@@ -5,16 +5,19 @@ storage form, scanned once with pushed-down dimension predicates."""
 
 from __future__ import annotations
 
+import csv
 import datetime
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from regpanel.functions.dates import year_to_date
 from regpanel.functions.exprs import nan_to_null
 from regpanel.functions.text import separate_code_name
+from regpanel.session import scratch_path
+from regpanel.sources.sinks import checkpoint_to
 
 NULL_TOKENS = ("", "NA")
 
@@ -69,11 +72,69 @@ def european_number(c) -> Column:
 
 
 def read_folder_with_name(spark: SparkSession, path: str, fmt: str = "parquet",
-                          name_col: str = "source_file", **opts) -> DataFrame:
-    """One scan over a folder; the file name is kept as a discriminator column
-    (replaces list.files |> lapply(read))."""
+                          name_col: str = "source_file", name_from: str = "file", **opts) -> DataFrame:
+    """One scan over a folder; the file's name (``name_from="dir"``: its
+    folder's) is kept as a discriminator column (replaces list.files |> lapply(read))."""
     df = spark.read.format(fmt).options(**opts).load(path)
-    return df.withColumn(name_col, F.col("_metadata.file_name"))
+    part = r"/([^/]+)/[^/]+$" if name_from == "dir" else r"/([^/]+)$"
+    return df.withColumn(name_col, F.regexp_extract(F.col("_metadata.file_path"), part, 1))
+
+
+def read_with_ordinal(spark: SparkSession, path, fmt: str = "parquet", ordinal: str = "__ord",
+                      schema: StructType | str | None = None, **opts) -> DataFrame:
+    """Rows with their place (from 0) in file order: files by path, rows as they
+    stand in them.  Places are prefix sums: every file's (or split's) row count
+    gives where it begins, the row's place inside is added.  Parquet knows a
+    row's place in its file; for other formats the rows are written once with
+    the ids their scan gave them, so that a repeated task cannot renumber them.
+    The running sum is over one row per split, never over the rows."""
+    r = spark.read.format(fmt).options(**opts)
+    df = (r.schema(schema) if schema is not None else r).load(path)
+    file = F.col("_metadata.file_path").alias("__file")
+    if fmt == "parquet":
+        d = df.select("*", file, F.lit(0).cast("bigint").alias("__start"), F.col("_metadata.row_index").alias("__at"))
+    else:
+        d = df.select("*", file, F.col("_metadata.file_block_start").alias("__start"),
+                      F.monotonically_increasing_id().alias("__at"))
+        d = checkpoint_to(spark, d, scratch_path(spark, "ordinal"))
+    splits = d.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__least"))
+    before = F.sum("__n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
+    base = splits.select("__file", "__start", (F.coalesce(before, F.lit(0)) - F.col("__least")).alias("__base"))
+    return d.join(base, ["__file", "__start"]).select((F.col("__base") + F.col("__at")).alias(ordinal), *df.columns)
+
+
+def read_unlike_folder(spark: SparkSession, path: str, sep: str = ",", name_from: str = "file"
+                       ) -> tuple[dict[int, tuple[str, list[str]]], DataFrame]:
+    """A folder of delimited files whose headers differ, in one scan:
+    {number: (name, header)} in the order of the names, and the rows as
+    (file_no, values), values in the order of that file's header.
+
+    The scan reads lines and writes them once; a file's first line is its
+    header.  With ``name_from="dir"`` the files of one folder are parts of one
+    table and must have one header.  Lines are split by Spark's CSV reader
+    (quotes may hold the separator, values no line break); empty lines are
+    skipped.  The driver gets one row per file."""
+    lines = (spark.read.text(path).where(F.trim("value") != "")
+             .select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+                     F.monotonically_increasing_id().alias("__at"), "value"))
+    lines = checkpoint_to(spark, lines, scratch_path(spark, "unlike"))
+    heads = lines.groupBy("__file").agg(F.min(F.struct("__start", "__at", "value")).alias("h")).select("__file", "h.*").collect()
+    parsed = {h["__file"]: next(csv.reader([h["value"]], delimiter=sep)) for h in heads}
+    name = {f: f.rstrip("/").rsplit("/", 2)[-2 if name_from == "dir" else -1] for f in parsed}
+    found: dict[int, tuple[str, list[str]]] = {}
+    for i, n in enumerate(sorted(set(name.values()))):
+        headers = [h for f, h in parsed.items() if name[f] == n]
+        if any(h != headers[0] for h in headers):
+            raise ValueError(f"read_unlike_folder: the parts of {n} have different headers")
+        found[i] = n, headers[0]
+    number = {n: i for i, (n, _) in found.items()}
+    first = spark.createDataFrame([(number[name[h["__file"]]], h["__file"], h["__start"], h["__at"]) for h in heads],
+                                  "file_no int, __file string, __hs long, __ha long")
+    widest = max((len(h) for _, h in found.values()), default=1)
+    v = F.from_csv("value", ", ".join(f"c{i} string" for i in range(widest)), {"sep": sep, "nullValue": "NA"})
+    rows = (lines.join(first, "__file").where((F.col("__start") != F.col("__hs")) | (F.col("__at") != F.col("__ha")))
+            .withColumn("__v", v).select("file_no", F.array(*[F.col("__v")[f"c{i}"] for i in range(widest)]).alias("values")))
+    return found, rows
 
 
 def read_cells(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -115,8 +176,7 @@ def read_specs(facts: DataFrame, specs: list[DatasetSpec], regions: DataFrame,
                value_col: str = "values", unit_col: str = "unit",
                region_id: str = "NUTS_ID", region_name: str = "NUTS_NAME") -> DataFrame:
     """ONE scan for all specs: OR of the spec predicates (pushed to parquet),
-    a when-chain naming the measure, inner join to the region list (broadcast
-    after a bounded size check), distinct.  Output long: (anio, id_region, region, variable, value, unit)."""
+    a when-chain naming the measure, inner join to the region list, distinct.  Output long: (anio, id_region, region, variable, value, unit)."""
     pred = None
     name = None
     for s in specs:
@@ -127,8 +187,6 @@ def read_specs(facts: DataFrame, specs: list[DatasetSpec], regions: DataFrame,
                                  name.alias("variable"), F.col(value_col).alias("value"),
                                  F.col(unit_col).alias("unit"))
     r = regions.select(F.col(region_id).alias("id_region"), F.col(region_name).alias("region"))
-    # the region list is broadcast only after a bounded size check, so the
-    # large fact side is never shuffled for this join when the list is small
     return (f.join(r, "id_region")
              .select("anio", "id_region", "region", "variable", "value", "unit").distinct())
 
