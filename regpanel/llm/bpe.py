@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 import hashlib
 import struct
 from collections import deque
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -42,6 +44,19 @@ MAX_PAIRS = 1 << 19
 PIECES_AT_ONCE = 1 << 16
 
 
+@contextmanager
+def _uncollected():
+    """No scans for unreachable cycles meanwhile: the states, of which there is
+    a bounded number, are all in use until they are dropped together."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def read_ranks(vocabulary: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
 
@@ -97,6 +112,7 @@ class Transducer:
     def _reset(self) -> None:
         self.states: dict[tuple, _State] = {}
         self.start, self.made = _State(0, -1, ((),)), 0
+        gc.collect()  # the states dropped point to one another
 
     def _last_merges(self) -> None:
         """The two parts that each token is merged from at last (single bytes:
@@ -178,23 +194,20 @@ class Transducer:
                 ok = pairs[prev << 32 | t] = self._stays(prev, t)
             if ok:
                 break
-        kept.append((*before, t))
-        first, out = kept[0], ()
-        if first:  # tokens that all chains begin with are settled
-            k = 1
-            while all([c[:k] == first[:k] for c in kept]):
+        kept.append(before + (t,))
+        low, high = min(kept), max(kept)  # what these two begin with, all chains between them begin with
+        if low and low[0] == high[0]:  # such tokens are settled
+            k, most = 1, min(len(low), len(high))
+            while k < most and low[k] == high[k]:
                 k += 1
-                if k > len(first):
-                    break
-            out = first[:k - 1]
-        if out:
+            out = low[:k]
             last = out[-1]
-            key = (node, last, *[c[k - 1:] for c in kept])
+            key = (node, last, *[c[k:] for c in kept])
             to = self.states.get(key)  # only what comes after settled tokens can be met again on other ways
             if to is None:
                 to = self.states[key] = _State(node, last, key[2:])
         else:
-            to = _State(node, last, kept)
+            out, to = (), _State(node, last, kept)
         self.made += 1
         got = s.moves[b] = (to, out)
         return got
@@ -284,7 +297,8 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str = "d
     def run(batches):
         enc = encoder(v.value, pattern)
         for b in batches:
-            ids = [enc.encode(t or "") for t in b.column(text).to_pylist()]
+            with _uncollected():
+                ids = [enc.encode(t or "") for t in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                               pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
     return d.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids binary")
@@ -315,16 +329,17 @@ def round_trip(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str
         enc = encoder(v.value, pattern)
         for b in batches:
             n, a, c = [], [], []
-            for t in b.column(text).to_pylist():
-                dec, size, of_ids, of_text = Decoder(enc), 0, hashlib.sha256(), hashlib.sha256()
-                for ids in enc.stream(t or ""):
-                    size += len(ids) // 4
-                    of_ids.update(ids)
-                    of_text.update(dec.feed(ids).encode())
-                of_text.update(dec.feed(b"", True).encode())
-                n.append(size)
-                a.append(of_ids.hexdigest())
-                c.append(of_text.hexdigest())
+            with _uncollected():
+                for t in b.column(text).to_pylist():
+                    dec, size, of_ids, of_text = Decoder(enc), 0, hashlib.sha256(), hashlib.sha256()
+                    for ids in enc.stream(t or ""):
+                        size += len(ids) // 4
+                        of_ids.update(ids)
+                        of_text.update(dec.feed(ids).encode())
+                    of_text.update(dec.feed(b"", True).encode())
+                    n.append(size)
+                    a.append(of_ids.hexdigest())
+                    c.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()),
                                               pa.array(c, pa.string())], names=names)
     return d.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")

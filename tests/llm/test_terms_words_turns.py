@@ -268,3 +268,26 @@ def test_wide_sketches_never_overstate_a_difference():
         assert J.wide_difference(x, y) <= differ
         if len(a) > 500 and differ < len(a) // 4:
             assert J.wide_difference(x, y) > 0.6 * differ
+
+
+# ------------------------------------------------------------ byte BPE of long texts and dropped states
+
+
+def test_byte_bpe_of_long_texts_and_few_states(monkeypatch):
+    import tiktoken
+
+    from regpanel.llm import bpe
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(read_vocabulary(path)), special_tokens={})
+    enc = bpe.Encoder(read_vocabulary(path), P.PATTERN)
+    monkeypatch.setattr(bpe, "PIECES_AT_ONCE", 50)  # the branch of long texts, some pieces at a time
+    enc.machine.max_states = 200
+    rng = random.Random(7)
+    for _ in range(30):
+        text = "".join(rng.choices("abcdeéßΣ日😀 \n\t.,'s0123", k=rng.randint(51, 900)))
+        want = plain.encode_ordinary(text)
+        parts = list(enc.stream(text))
+        assert len(parts) > 1
+        assert np.frombuffer(b"".join(parts), dtype="<u4").tolist() == want
+        dec = bpe.Decoder(enc)
+        assert "".join([dec.feed(p) for p in parts] + [dec.feed(b"", True)]) == text
