@@ -8,10 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import NumericType, StringType, DateType, TimestampType, TimestampNTZType
 
 
-def everything(df: DataFrame) -> list[str]:
-    return list(df.columns)
-
-
 def starts_with(df: DataFrame, prefix: str, ignore_case: bool = True) -> list[str]:
     p = prefix.lower() if ignore_case else prefix
     return [c for c in df.columns if (c.lower() if ignore_case else c).startswith(p)]

@@ -128,11 +128,6 @@ def band_recode(x) -> Column:
     return c
 
 
-def band_order_key(x) -> Column:
-    """Ordered-factor level key: numeric prefix of the label, non-numeric last."""
-    return F.regexp_replace(col(x), " .*", "").try_cast("double")
-
-
 def missing_token(x, token: str = MISSING_TOKEN) -> Column:
     """if_else(as.character(x) == token, NA, as.character(x))."""
     return F.nullif(col(x).cast("string"), F.lit(token))

@@ -82,37 +82,38 @@ def distribution_table(df: DataFrame, group: str, value_cols: list[str],
                       "max", "std_dev", "std_err", "cv", "cant_faltantes")
 
 
-def rank_errors(df: DataFrame, keys: list[str], value: Column, found: DataFrame, probs: list[float],
-                quantiles: str = "__q") -> DataFrame:
-    """How far, as a share of the group's rows, each returned quantile's rank is
-    from the wanted one: keys and ``__err``, an array in the order of ``probs``.
-    ``found`` holds the quantiles' array per key; one more aggregate counts the
-    values below and up to each, so the bound is checked, not trusted."""
+def quantile_ranks(df: DataFrame, keys: list[str], value: Column, found: DataFrame, n_probs: int,
+                   quantiles: str = "__q") -> DataFrame:
+    """The true ranks (from 1) that returned quantiles hold: keys, ``n`` rows with
+    a value, and ``ranks``, an array of (first, last) in the order of the
+    quantiles' array in ``found``.  One more aggregate over the rows."""
     from regpanel.operators.joins import join
-    j = join(df.select(*keys, value.cast("double").alias("__v")).where(F.col("__v").isNotNull()), found, keys, "inner")
-    n = F.count(F.lit(1))
-    errs = []
-    for i, p in enumerate(probs):
-        q = F.col(quantiles)[i]
-        below, upto = F.count_if(F.col("__v") < q), F.count_if(F.col("__v") <= q)
-        # the value holds the ranks below + 1 .. upto; the wanted one is p * n
-        errs.append(F.greatest(F.lit(0.0), (below - p * n) / n, (p * n - upto) / n))
-    return j.groupBy(*keys).agg(F.array(*errs).alias("__err"))
+    v = F.col("__v")
+    j = join(df.select(*keys, value.cast("double").alias("__v")).where(v.isNotNull()), found, keys, "inner")
+    ranks = [F.struct((F.count_if(v < F.col(quantiles)[i]) + 1).alias("first"), F.count_if(v <= F.col(quantiles)[i]).alias("last"))
+             for i in range(n_probs)]
+    return j.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(*ranks).alias("ranks"))
+
+
+def rank_within(rank: Column, n: Column, p: float, accuracy: int) -> Column:
+    """The sketch's promise: one of the ranks held lies between
+    floor((p - 1 / accuracy) * n) and ceil((p + 1 / accuracy) * n)."""
+    return (rank["last"] >= F.floor((p - 1 / accuracy) * n)) & (rank["first"] <= F.ceil((p + 1 / accuracy) * n))
 
 
 def distribution_table_approx(df: DataFrame, group: str, value_cols: list[str], accuracy: int = 10000) -> DataFrame:
     """:func:`distribution_table` with sketch quantiles (mergeable, of bounded
-    size) and, for each of the three, whether its true rank is within
-    1 / accuracy of the wanted one: ``p25_ok``, ``mediana_ok``, ``p75_ok``."""
+    size) and, for each of the three, whether its true rank is as near to the
+    wanted one as the sketch promises: ``p25_ok``, ``mediana_ok``, ``p75_ok``."""
     t = distribution_table(df, group, value_cols, approx=True, accuracy=accuracy)
     long = without_nan(pivot_longer(df.where(F.col(group).isNotNull()).select(group, *value_cols),
                                     value_cols, "variable", "__v", id_cols=[group]), ["__v"])
     found = t.select(group, "variable", F.array("p25", "mediana", "p75").alias("__q"))
-    err = rank_errors(long, [group, "variable"], F.col("__v"), found, [0.25, 0.5, 0.75])
+    ranks = quantile_ranks(long, [group, "variable"], F.col("__v"), found, 3)
     from regpanel.operators.joins import join
-    j = join(t, err, [group, "variable"], "left")
-    ok = [(F.coalesce(F.col("__err")[i], F.lit(0.0)) <= 1.0 / accuracy).alias(f"{n}_ok")
-          for i, n in enumerate(("p25", "mediana", "p75"))]
+    j = join(t, ranks, [group, "variable"], "left")
+    ok = [F.coalesce(rank_within(F.col("ranks")[i], F.col("n"), p, accuracy), F.lit(True)).alias(f"{name}_ok")
+          for i, (name, p) in enumerate((("p25", 0.25), ("mediana", 0.5), ("p75", 0.75)))]
     return j.select(*t.columns, *ok)
 
 

@@ -9,6 +9,9 @@ from pyspark.sql.types import NumericType
 from regpanel.constants import MEASURE_MARKER
 from regpanel.functions.exprs import as_int_trunc, as_num
 from regpanel.functions.text import sanitize, split_nth
+from regpanel.operators.cells import header_names, row_counts, slice_rows
+from regpanel.session import scratch_path
+from regpanel.sources.sinks import checkpoint_to
 
 
 def pivot_longer(df: DataFrame, cols: list[str], names_to: str = "name",
@@ -77,18 +80,16 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
     behaviour), the region of the nearest row above (``"ffill"``), or raises
     (``"reject"``).  A body column belongs to header group
     ``((col - first) div n_bands) mod n_groups + 1``.  All header tables hold
-    one row per sheet column and are broadcast after a bounded size check, so
-    the body cells are shuffled only for the join with their region cell.
+    one row per sheet column; the body cells are the slice of rows between the
+    header and the source note.
     """
-    fc = first_value_col
+    fc, spark = first_value_col, cells.sparkSession
     c = cells.select("sheet", "row_idx", "col_idx", "value")
     # The header rows (1-5) and the region column are small (sheet width +
-    # sheet height).  Extract them in ONE pass and cut the lineage (reliable
-    # checkpoint), so the many header tables below never rescan the cells.
-    from regpanel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(cells.sparkSession)
-    small = c.where((F.col("row_idx") <= 5) | (F.col("col_idx") == 1)).checkpoint()
-    last_row = c.groupBy("sheet").agg(F.max("row_idx").alias("__last")).checkpoint()
+    # sheet height).  They are taken out in ONE pass and written, so the many
+    # header tables below never rescan the cells.
+    small = checkpoint_to(spark, c.where((F.col("row_idx") <= 5) | (F.col("col_idx") == 1)), scratch_path(spark, "headers"))
+    last_row = checkpoint_to(spark, row_counts(c), scratch_path(spark, "row-counts"))
     measure = (small.where((F.col("row_idx") == 1) & (F.col("col_idx") == 1))
                     .select("sheet", sanitize(split_nth("value", MEASURE_MARKER, 2)).alias("variable")))
 
@@ -107,25 +108,18 @@ def crosstab_normalise(cells: DataFrame, first_value_col: int = 3, n_bands: int
                            .alias("group")))
     n_groups = groups.groupBy("sheet").agg(F.max("group").alias("__ng"))
 
-    bands = (small.where((F.col("row_idx") == 5) & (F.col("col_idx") >= fc))
-              .select("sheet", "col_idx", F.col("value").alias("tramo")))
+    bands = header_names(small.where(F.col("col_idx") >= fc), 5, "tramo")
     if n_bands is None:
         nb = (bands.groupBy("sheet").agg(F.count_distinct("tramo").alias("__nb")))
     else:
         nb = bands.select("sheet").distinct().withColumn("__nb", F.lit(n_bands))
 
-    # Header tables hold one row per sheet column: they grow with sheets x width,
-    # so each is broadcast only after a bounded size check (otherwise a shuffle
-    # join).  Broadcasting them keeps the large body cells from being shuffled.
-    # one per-sheet table: measure name, band count, group count, last row
-    meta = nb.join(n_groups, "sheet").join(measure, "sheet").join(last_row, "sheet")
-    body = (c.where(F.col("col_idx") >= fc).join(meta, "sheet")
-             .where((F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last"))))
-    regions = (small.join(last_row, "sheet")
-                    .where((F.col("col_idx") == 1) & (F.col("row_idx") >= 6) & (F.col("row_idx") < F.col("__last")))
-                    .select("sheet", "row_idx", F.col("value").alias("region")))
-    vals = body.where(F.col("col_idx") >= fc).select("sheet", "row_idx", "col_idx", "value",
-                                                     "variable", "__nb", "__ng")
+    # one per-sheet table: measure name, band count, group count; how the
+    # header-sized tables are joined is left to Spark
+    meta = nb.join(n_groups, "sheet").join(measure, "sheet")
+    regions = (slice_rows(small.where(F.col("col_idx") == 1), 6, -1, last_row)
+               .select("sheet", "row_idx", F.col("value").alias("region")))
+    vals = slice_rows(c.where(F.col("col_idx") >= fc), 6, -1, last_row).join(meta, "sheet")
     cast = as_int_trunc("value") if value_type == "int" else as_num("value")
     if blank_region == "ffill":
         rows = vals.select("sheet", "row_idx").distinct().join(regions, ["sheet", "row_idx"], "left")

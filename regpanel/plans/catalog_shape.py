@@ -12,6 +12,8 @@ from regpanel.operators.reshape import (crosstab_normalise, distinct_names, pane
                                         pivot_duplicates, pivot_longer, pivot_wider)
 from regpanel.plans.panel import panel, with_panel
 from regpanel.plans.registry import query, sig_all, sql_sig, table
+from regpanel.session import scratch_path
+from regpanel.sources.sinks import checkpoint_to
 
 # ---------------------------------------------------------------- W1 W2 W3
 _SHARE_SRC = """WITH li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -215,18 +217,17 @@ def panel_cells(spark, d):
     is a blank body cell (a row with a NULL value).
 
     The long panel feeds five branches of the layout and the cells feed five
-    branches of the normaliser, so both are cut with a reliable checkpoint
-    (shared checkpoint folder) instead of being recomputed per branch."""
-    from regpanel.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    branches of the normaliser, so both are written once instead of being
+    recomputed per branch."""
     p = panel(spark, d)
     long = pivot_longer(p.select("anio", "region", "tramo", "sector", *_SHEETS), list(_SHEETS), "measure", "value",
                         id_cols=["anio", "region", "tramo", "sector"])
     sheet, title = (F.element_at(F.create_map(*[F.lit(x) for m, s in _SHEETS.items() for x in (m, s[i])]), F.col("measure"))
                     for i in (0, 1))
     long = long.withColumn("sheet", sheet).withColumn("title", title)
-    long = long.checkpoint()
-    return panel_to_cells(long, "sheet", "title", "anio", "sector", "region", "tramo", "value").checkpoint()
+    long = checkpoint_to(spark, long, scratch_path(spark, "sheets-long"))
+    cells = panel_to_cells(long, "sheet", "title", "anio", "sector", "region", "tramo", "value")
+    return checkpoint_to(spark, cells, scratch_path(spark, "sheets-cells"))
 
 
 CROSSTAB_SQL = with_panel(f"""

@@ -11,7 +11,7 @@ data, as in the real panels):
 * salario_medio    mean order value (exact cents / count), NULL below 3 orders
 
 orders ⨝ customer is a shuffle join on the customer key (both sides grow
-with the data); nation is broadcast after a bounded row check.
+with the data); how nation is joined is left to Spark.
 """
 
 from __future__ import annotations

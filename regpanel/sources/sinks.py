@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regpanel.session import scratch_path
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """write_csv with header, NULL written as NA."""
@@ -33,9 +35,10 @@ def sized_by_group(df: DataFrame, group: str, target_bytes: int = TARGET_FILE_BY
     """Rows dealt so that a write partitioned by ``group`` gives every group
     total / target files: one salt per file, by a hash of the row, so a large
     group is spread and a small one is not cut into one file per task.  Rows
-    with a NULL group go, as with R's split."""
-    d = df.where(F.col(group).isNotNull())
-    sizes = files_per_group(df, group, target_bytes).select(F.col(group).alias("__g"), "n_files")
+    with a NULL group go, as with R's split.  The rows are written once first,
+    so that the sizes and the rows are one and the same evaluation."""
+    d = checkpoint_to(df.sparkSession, df.where(F.col(group).isNotNull()), scratch_path(df.sparkSession, "sized"))
+    sizes = files_per_group(d, group, target_bytes).select(F.col(group).alias("__g"), "n_files")
     j = d.join(sizes, F.col(group) == F.col("__g")).drop("__g")
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("n_files"))
     return j.withColumn("__salt", salt).repartition(group, "__salt").drop("__salt", "n_files")

@@ -230,9 +230,11 @@ def test_sketch_ranks_are_checked(spark):
     df = spark.range(5000).selectExpr("'g' as g", "cast(id as double) as x")
     t = A.distribution_table_approx(df, "g", ["x"], accuracy=200).first()
     assert t["p25_ok"] and t["mediana_ok"] and t["p75_ok"]
-    wrong = spark.createDataFrame([("g", [0.0, 2500.0])], "g string, __q array<double>")
-    err = A.rank_errors(df, ["g"], F.col("x"), wrong, [0.25, 0.5]).first()["__err"]
-    assert err[0] == pytest.approx(0.25, abs=1e-3) and err[1] < 1e-3
+    some = spark.createDataFrame([("g", [0.0, 2500.0])], "g string, __q array<double>")
+    r = A.quantile_ranks(df, ["g"], F.col("x"), some, 2)
+    assert [tuple(x) for x in r.first()["ranks"]] == [(1, 1), (2501, 2501)]
+    ok = r.select(A.rank_within(F.col("ranks")[0], F.col("n"), 0.25, 200), A.rank_within(F.col("ranks")[1], F.col("n"), 0.5, 200))
+    assert tuple(ok.first()) == (False, True)
 
 
 def test_moment_matrix_equals_the_expressions(spark):
