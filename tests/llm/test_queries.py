@@ -49,7 +49,7 @@ def docs(tables):
 
 @pytest.fixture(scope="module")
 def empty(tables):
-    return tables(documents=([], SCHEMA), pages=([], "page_id long, url string, html string"),
+    return tables(documents=([], SCHEMA + ", lang string"), pages=([], "page_id long, url string, html string"),
                   embeddings=([], "vec_id long, embedding array<float>, label int"),
                   conversations=([], "conv_id long, turn long, role string, text string"))[0]
 
