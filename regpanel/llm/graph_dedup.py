@@ -308,14 +308,18 @@ def _valid(v):
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id",
                     embedding: str = "embedding", label: str = "label") -> DataFrame:
-    """vec_id, n_links, component_id, kept, audit_recall: one row per input row."""
+    """vec_id, n_links, component_id, kept, audit_recall: one row per input row.
+    Where rows of one vec_id hold different vectors, each is a vector of its
+    own, with its own links; equal vectors of a label link with one another,
+    whatever their ids."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "graph-dedup")
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{embedding}`").alias("v"),
                           F.col(f"`{label}`").cast("string").alias("label"))
     rows = rows.withColumn("ok", F.col("vec_id").isNotNull() & F.col("label").isNotNull() & _valid("v"))
-    reps = scratch.save(rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("one"), F.count("*").alias("c"))
-                        .withColumn("dim", F.size("v")), "vectors")
+    # a vector is named by its label and components; a vec_id may stand for several vectors
+    reps = scratch.save(rows.where("ok").groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("c"))
+                        .withColumn("one", F.xxhash64("label", "v")).withColumn("dim", F.size("v")), "vectors")
     sent = spark.sparkContext.broadcast(_centres(reps, threshold))
     kind = reps.schema["v"].dataType.simpleString()
     members = reps.mapInArrow(_assign(sent, threshold), f"shard long, home boolean, one long, c long, label string, dim int, v {kind}")
@@ -344,11 +348,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, vec_id: st
     comp = components(spark, found.where("b is not null")).withColumnRenamed("id", "one")
     groups = reps.join(counts, "one", "left").join(comp, "one", "left").select(
         "label", "v", (F.coalesce("n", F.lit(0)) + F.col("c") - 1).alias("n_links"),
-        F.coalesce("component", "one").alias("component"), "one")
+        F.coalesce("component", "one").alias("component"), "one", "least")
     groups = scratch.save(groups, "groups")
+    named = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    groups = scratch.save(groups.join(named, "component"), "named")
     scratch.drop("members", "graph", "found")
     recall = audit(reps, groups, threshold)
-    out = rows.where("ok").join(groups, ["label", "v"]).select("vec_id", "n_links", F.col("component").alias("component_id"))
+    out = rows.where("ok").join(groups, ["label", "v"]).select("vec_id", "n_links", "component_id")
     out = out.unionAll(rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                                    F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))) \

@@ -291,3 +291,13 @@ def test_byte_bpe_of_long_texts_and_few_states(monkeypatch):
         assert np.frombuffer(b"".join(parts), dtype="<u4").tolist() == want
         dec = bpe.Decoder(enc)
         assert "".join([dec.feed(p) for p in parts] + [dec.feed(b"", True)]) == text
+
+
+def test_one_id_of_two_vectors_has_the_links_of_each(spark):
+    from regpanel.llm import graph_dedup
+    e = np.eye(6)
+    rows = [(1, e[0], "a"), (1, e[1], "a"), (2, e[0] + 0.01 * e[2], "a"), (3, e[1] + 0.01 * e[3], "a"), (3, e[4], "a"), (4, e[4], "b")]
+    df = spark.createDataFrame([(i, v.tolist(), x) for i, v, x in rows], "vec_id long, embedding array<double>, label string")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in graph_dedup.near_duplicates(df).collect())
+    assert got == Counter([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)])
+    assert all(r.audit_recall == 1 for r in graph_dedup.near_duplicates(df).collect())
