@@ -49,7 +49,7 @@ SELECT r.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.c) AS component_i
        CAST(1.0 AS DOUBLE) AS audit_recall
 FROM r LEFT JOIN n ON n.a = r.vec_id GROUP BY r.vec_id""")
 def op1_embedding_near_dedup(spark, d):
-    return graph_dedup.near_duplicates(_table(spark, d, "embeddings"))
+    return graph_dedup.near_duplicates(_table(spark, d, "embeddings")).drop("walk_recall")
 
 
 @_query("op2_substring_dedup", f"""

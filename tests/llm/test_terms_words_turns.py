@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
@@ -301,3 +302,71 @@ def test_one_id_of_two_vectors_has_the_links_of_each(spark):
     got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in graph_dedup.near_duplicates(df).collect())
     assert got == Counter([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True)])
     assert all(r.audit_recall == 1 for r in graph_dedup.near_duplicates(df).collect())
+
+
+def _dense(seed=5):
+    """Unit vectors of tight groups, pairs and scattered rows."""
+    from regpanel.llm import graph_dedup
+    rng = np.random.default_rng(seed)
+    middles = graph_dedup._unit(rng.normal(size=(8, 32)))
+    groups = [m + rng.normal(size=(n, 32)) * 0.015 for m, n in zip(middles, (2, 2, 3, 20, 80, 150, 5, 2), strict=True)]
+    return graph_dedup._unit(np.concatenate([*groups, rng.normal(size=(600, 32))]))
+
+
+def _met(x, edges):
+    from regpanel.llm import graph_dedup
+    true = x @ x.T >= 0.98
+    np.fill_diagonal(true, False)
+    q, j = graph_dedup.Graph(x, edges).search(x, np.arange(len(x)), 0.98)
+    return int(true[q, j].sum()) / int(true.sum())
+
+
+def test_the_walk_finds_by_the_graph_alone():
+    """Recall comes from the edges: without them it falls, with them nearly all links are met."""
+    from regpanel.llm import graph_dedup
+    x, none = _dense(), np.empty(0, np.int64)
+    assert _met(x, graph_dedup.build(x)) >= 0.99
+    assert _met(x, (none, none)) < 0.2
+
+
+def test_pruned_lists_keep_the_nearest_and_the_degree():
+    from regpanel.llm import graph_dedup
+    x = _dense(6)
+    src, dst = graph_dedup.build(x)
+    s = x @ x.T
+    np.fill_diagonal(s, -2)
+    assert np.bincount(src, minlength=len(x)).max() <= graph_dedup.DEGREE
+    near = {}
+    for a, b in zip(src.tolist(), dst.tolist(), strict=True):
+        near.setdefault(a, []).append(b)
+    assert all(s[i, near[i]].max() >= s[i].max() - 1e-5 for i in range(len(x)))
+    for i in range(0, len(x), 37):  # brute force: walk the sorted pool, keep what no kept one is alpha times nearer to
+        kept = []
+        for j in np.argsort(-s[i], kind="stable")[:graph_dedup.POOL]:
+            if len(kept) < graph_dedup.DEGREE and all(graph_dedup.ALPHA * (1 - s[k, j]) > 1 - s[i, j] for k in kept):
+                kept.append(int(j))
+        assert len(set(kept) & set(near[i])) >= len(kept) - 1  # ties in single precision
+
+
+@pytest.mark.parametrize("broken", ["search", "deal"])
+def test_shards_and_labels_of_low_recall_are_compared_whole(spark, monkeypatch, broken):
+    """A graph without edges, or a deal that parts groups, costs no link."""
+    from regpanel.llm import graph_dedup
+    x = _dense(7)
+    monkeypatch.setattr(graph_dedup, "TARGET", 200)
+    monkeypatch.setattr(graph_dedup, "SHARD_ROWS", 500)
+    if broken == "search":
+        def lost(t):
+            return pa.table({"src": [], "dst": []}, schema=pa.schema([("src", pa.int64()), ("dst", pa.int64())]))
+        monkeypatch.setattr(graph_dedup, "_build", lost)
+    else:
+        monkeypatch.setattr(graph_dedup, "OVERLAP", 1)
+        # centres within the tight groups part them
+        monkeypatch.setattr(graph_dedup, "_centres", lambda reps: {("1", 32): (0, x[[10, 40, 60, 90, 120, 150, 180, 220]])})
+    got = graph_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                                                            "vec_id long, embedding array<double>, label int")).collect()
+    true = x @ x.T >= 0.98
+    np.fill_diagonal(true, False)
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(true.sum(axis=1).tolist()))
+    assert all(r.audit_recall == 1 for r in got)
+    assert (got[0].walk_recall < 0.5) == (broken == "search")
