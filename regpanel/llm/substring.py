@@ -10,7 +10,8 @@ suffix automaton over words, every surrounding is streamed through it, and the
 matching statistics restricted to states with a second owner give the maximal
 repeated spans.  A marker at the gram keeps matches aligned, so that no place
 matches itself.  Grams with more distinct surroundings than a shard may hold
-are settled by counting their windows' hashes, an exact and splittable way.
+are settled by counting hashes of halved ranges of windows (:func:`_bisected`),
+an exact and splittable way.
 
 :func:`reference_spans` is the broadcast form for a small outside reference:
 its shards' automata are built once per worker and all documents stream
@@ -230,22 +231,74 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["rk", "s", "e"])
 
 
-def _windows(length: int):
-    """Every window around a gram: its hash (with its place), and where it is."""
+def _halves(length: int):
+    """For every surrounding and range [a, b] of words that a window may reach
+    before the gram, two hashes: ``any`` of the words that all of the range's
+    windows hold, ``all`` of the words that they cover (null where the text
+    ends before).  Ranges without a window in the text go."""
     def run(batches):
         for b in batches:
-            out = []
-            for r in b.to_pylist():
-                w = np.frombuffer(r["words"], dtype=np.uint64)
-                first = np.arange(0, len(w) - length + 1)
-                h = run_hashes(w, first, first + length) ^ mix((r["pos"] - r["start"] - first).astype(np.uint64))
-                out.append((np.full(len(h), r["anchor"]), as_long(h), np.full(len(h), r["rk"]), r["start"] + first,
-                            np.full(len(h), r["c"])))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["anchor", "h", "rk", "s", "c"])
+            keep, some, whole = [], [], []
+            w_, p_, s_, a_, b_ = (b.column(n).to_pylist() for n in ("words", "pos", "start", "a", "b"))
+            for i, (w, pos, start, lo, hi) in enumerate(zip(w_, p_, s_, a_, b_, strict=True)):
+                w, at = np.frombuffer(w, dtype=np.uint64), pos - start
+                if lo > at or hi < at + length - len(w):
+                    continue
+                full = hi <= at and lo >= at + length - len(w)
+                first = np.array([at - lo, at - hi if full else at - lo])
+                stop = np.array([at - hi, at - lo if full else at - hi]) + length
+                h = as_long(run_hashes(w, first, stop) ^ mix(np.array([2 * lo, 2 * lo + 1], dtype=np.uint64)))
+                keep.append(i)
+                some.append(int(h[0]))
+                whole.append(int(h[1]) if full else None)
+            t = b.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*t.columns, pa.array(some, pa.int64()), pa.array(whole, pa.int64())],
+                                             names=[*t.schema.names, "any", "all"])
     return run
 
 
+def _bisected(scratch: Scratch, around: DataFrame, length: int) -> DataFrame:
+    """rk, s, e: what the surroundings of grams share, however many they are.
+
+    The windows around a gram are told by the words they reach before it.
+    Ranges of that number are halved: where a surrounding's words under all
+    windows of a range occur twice, the range is repeated as a whole and one
+    surrounding stands for its equals from there on; where the words that its
+    windows have in common occur once, none is repeated; other ranges are cut
+    in two.  All is counted by hashes, and rows grow with the surroundings."""
+    names = ["anchor", "rk", "pos", "start", "c", "words"]
+    top, out, depth = length - GRAM, [], 0
+    cur = around.select(*names, F.lit(0).alias("a"), F.lit(top).alias("b"))
+    while top >= 0:
+        depth += 1
+        if depth > 1 or top == 0:  # the words in common of the first range are the gram
+            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cur.schema)
+            rows = scratch.save(cur.mapInArrow(_halves(length), f"{kinds}, any long, all long"), f"ranges-{depth}")
+            rows = rows.withColumn("key", F.coalesce("all", F.xxhash64("rk", "pos")))
+            equal = scratch.save(rows.groupBy("anchor", "a", "b", "key").agg(
+                F.sum("c").alias("n"), F.count("all").alias("held"), F.min("any").alias("any"),
+                F.min(F.struct("rk", "pos", "start", "words")).alias("one")), f"equal-{depth}")
+            again = equal.where("n > 1 and held > 0").select("anchor", "a", "key")
+            out.append(scratch.save(rows.where("c = 1").join(again, ["anchor", "a", "key"], "left_semi").select(
+                "rk", (F.col("pos") - F.col("b")).alias("s"), (F.col("pos") - F.col("a") + length).alias("e")), f"spans-{depth}"))
+            open_ = equal.where("a < b")
+            met = open_.groupBy("anchor", "a", "any").agg(F.count("*").alias("k"), F.min("n").alias("rarest")) \
+                .where("k > 1 and rarest = 1").select("anchor", "a", "any")
+            cur = scratch.save(open_.join(met, ["anchor", "a", "any"], "left_semi").select(
+                "anchor", "one.*", F.least(F.col("n"), F.lit(2)).alias("c"), "a", "b").select(*names, "a", "b"), f"open-{depth}")
+            scratch.drop(f"ranges-{depth}", f"equal-{depth}", f"open-{depth - 1}")
+            if cur.isEmpty():
+                break
+        middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
+        cur = cur.withColumn("half", F.explode(F.array(F.struct(F.col("a"), middle.alias("b")),
+                                                       F.struct((middle + 1).alias("a"), F.col("b"))))) \
+            .where("half.a <= half.b").select(*names, "half.a", "half.b")
+    found = out[0]
+    for more in out[1:]:
+        found = found.unionAll(more)
+    return found
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = F.col(f"`{text}`").cast("string")
     return docs.select(F.xxhash64(F.col(f"`{doc_id}`"), t).alias("rk"), t.alias("text"))
@@ -278,11 +331,7 @@ def spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: s
     large = per.where(F.col("kinds") > SHARD).select("anchor")
     shared = (around.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
               .mapInArrow(_shards(length), "rk long, s long, e long"))
-    windows = around.join(large, "anchor", "left_semi").mapInArrow(
-        _windows(length), "anchor long, h long, rk long, s long, c long")
-    again = windows.groupBy("anchor", "h").agg(F.sum("c").alias("n")).where("n > 1").select("anchor", "h")
-    counted = (windows.where("c = 1").join(again, ["anchor", "h"], "left_semi")
-               .select("rk", "s", (F.col("s") + length).alias("e")))
+    counted = _bisected(scratch, around.join(large, "anchor", "left_semi"), length)
     both = whole.unionAll(shared).unionAll(counted)
     return both.groupBy("rk").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 

@@ -370,3 +370,35 @@ def test_shards_and_labels_of_low_recall_are_compared_whole(spark, monkeypatch,
     assert {r.vec_id: r.n_links for r in got} == dict(enumerate(true.sum(axis=1).tolist()))
     assert all(r.audit_recall == 1 for r in got)
     assert (got[0].walk_recall < 0.5) == (broken == "search")
+
+
+@pytest.mark.parametrize("shard", [1, 256])
+def test_passages_at_odd_places_by_ranges_and_automata(spark, monkeypatch, shard):
+    """Passages of 30 to 60 words cut at random, texts that begin or end within them, repeated and near-equal rows."""
+    from regpanel.llm import substring
+    monkeypatch.setattr(substring, "SHARD", shard)
+    rng = random.Random(23)
+    word = lambda k: "w%d" % rng.randrange(k)
+    passages = [[word(40) for _ in range(70)] for _ in range(3)]
+    rows = []
+    for i in range(160):
+        p = rng.choice(passages)
+        a = rng.randrange(0, 25)
+        cut = p[a:a + rng.randint(30, 60)]
+        if rng.random() < 0.3:
+            cut[rng.randrange(len(cut))] = "changed"
+        t = [word(5000) for _ in range(rng.choice((0, 0, 3, 40)))] + cut + [word(5000) for _ in range(rng.choice((0, 0, 5, 40)))]
+        rows.append((i, " ".join(t)))
+    rows += [(200 + i, rows[i][1]) for i in range(5)] + [(300, None), (301, "")]
+    seen = Counter()
+    for _, t in rows:
+        w = (t or "").split()
+        seen.update(tuple(w[i:i + 35]) for i in range(len(w) - 34))
+    want = {}
+    for i, t in rows:
+        w = (t or "").split()
+        gone = {j for s in range(len(w) - 34) if seen[tuple(w[s:s + 35])] > 1 for j in range(s, s + 35)}
+        kept = " ".join(x for j, x in enumerate(w) if j not in gone)
+        want[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    got = substring.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
