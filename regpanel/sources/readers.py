@@ -100,6 +100,7 @@ def read_with_ordinal(spark: SparkSession, path, fmt: str = "parquet", ordinal:
     splits = d.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__least"))
     before = F.sum("__n").over(Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1))
     base = splits.select("__file", "__start", (F.coalesce(before, F.lit(0)) - F.col("__least")).alias("__base"))
+    base = checkpoint_to(spark, base, scratch_path(spark, "bases"))  # of known size, so that the rows need not move to meet it
     return d.join(base, ["__file", "__start"]).select((F.col("__base") + F.col("__at")).alias(ordinal), *df.columns)
 
 

@@ -293,3 +293,27 @@ def test_scratch_is_cleared(spark):
     assert clear_scratch(spark) >= 1
     with pytest.raises(Exception):
         spark.read.parquet(p)
+
+
+# ------------------------------------------------------------ small tables that large ones meet
+
+
+@pytest.fixture
+def little_broadcast(spark):
+    """Only tables below 20 kB are sent around unasked."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20kb")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _sorted_joins(df):
+    return df._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin")
+
+
+def test_rows_stay_where_they_are_for_their_ordinals(spark, tmp_path, little_broadcast):
+    p = str(tmp_path / "t")
+    spark.range(0, 40000, 1, 3).select("id", F.xxhash64("id").alias("x")).write.option("maxRecordsPerFile", 9000).parquet(p)
+    got = R.read_with_ordinal(spark, p)
+    assert _sorted_joins(got) == 0
+    assert got.where("__ord <> id").count() == 0 and got.count() == 40000
