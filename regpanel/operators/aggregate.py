@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from regpanel.functions.exprs import (corr_safe, count_missing, log_pos, n_distinct_na,
                                       strict_mean, strict_sum, sum_na_rm, without_nan, zero_as_missing)
-from regpanel.operators.quantiles import grouped_quantiles, quantiles_of_counts, value_counts
+from regpanel.operators.quantiles import _written, grouped_quantiles, quantiles_of_counts, value_counts
 from regpanel.operators.reshape import pivot_longer
 
 
@@ -105,7 +105,8 @@ def distribution_table_approx(df: DataFrame, group: str, value_cols: list[str],
     """:func:`distribution_table` with sketch quantiles (mergeable, of bounded
     size) and, for each of the three, whether its true rank is as near to the
     wanted one as the sketch promises: ``p25_ok``, ``mediana_ok``, ``p75_ok``."""
-    t = distribution_table(df, group, value_cols, approx=True, accuracy=accuracy)
+    # written once: of known size, so that the values need not move, all of a group to one task, to meet it
+    t = _written(distribution_table(df, group, value_cols, approx=True, accuracy=accuracy), "distribution")
     long = without_nan(pivot_longer(df.where(F.col(group).isNotNull()).select(group, *value_cols),
                                     value_cols, "variable", "__v", id_cols=[group]), ["__v"])
     found = t.select(group, "variable", F.array("p25", "mediana", "p75").alias("__q"))

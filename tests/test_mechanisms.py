@@ -317,3 +317,12 @@ def test_rows_stay_where_they_are_for_their_ordinals(spark, tmp_path, little_bro
     got = R.read_with_ordinal(spark, p)
     assert _sorted_joins(got) == 0
     assert got.where("__ord <> id").count() == 0 and got.count() == 40000
+
+
+def test_values_stay_where_they_are_for_their_ranks(spark, tmp_path, little_broadcast):
+    p = str(tmp_path / "t")
+    spark.range(0, 40000, 1, 3).selectExpr("if(id % 4 = 0, 'a', 'b') as g", "cast(id % 997 as double) / 7 as x", "rand(1) as y").write.parquet(p)
+    t = A.distribution_table_approx(spark.read.parquet(p), "g", ["x", "y"], accuracy=200)
+    assert _sorted_joins(t) == 1  # of the two results, one row a group each
+    assert [(r["g"], r["variable"], r["p25_ok"], r["mediana_ok"], r["p75_ok"]) for r in t.orderBy("g", "variable").collect()] == [
+        (g, v, True, True, True) for g in "ab" for v in "xy"]
