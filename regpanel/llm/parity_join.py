@@ -14,9 +14,9 @@ piece after it (the cyclic form of the pigeonhole).  Pieces with few bits say
 little, so they are joined on that stronger condition: their key also holds
 the following piece, once whole and once without each of its bits.
 
-Candidates inside a bucket are compared on a dense sketch (a lower bound of
-the difference again), those left on a wider one that grows with the set, and
-verified on the sets.  Buckets with the same members
+Candidates inside a bucket are compared on a dense sketch of a bit or more for
+each shingle (a lower bound of the difference again, which large sets do not
+fill up), those left on a wider one, and verified on the sets.  Buckets with the same members
 become one; large ones are dealt out as pairs of blocks.  Documents already known
 to be in one group are not compared again, so a group of near copies costs
 its links once, not all its pairs.
@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from regpanel.llm.common import GOLDEN, Scratch, U, as_long, components, gram_hashes, mix, seeded, texts, word_hashes
 
 RATIO = 1.5  # of a size band's bounds
-SKETCH_BITS = 1024
+SKETCH_BITS = 1024  # of a bucket's sketch at least
+MOST_BITS = 1 << 17  # of a bucket's sketch at most, so that a bucket's rows stay small; the wider one has no such bound
 WIDE = 4  # bits a shingle of the second sketch
 FULL = 6  # shingles a piece should hold on average; sparser sketches only extend their empty pieces
 LOW = 3  # in fuller sketches, pieces with fewer bits also need the piece after them
@@ -71,6 +72,11 @@ def dense_sketch(s: np.ndarray, size: int = SKETCH_BITS) -> bytes:
     return np.packbits((np.bincount(bits, minlength=size) & 1).astype(bool)).tobytes()
 
 
+def bucket_sketch(s: np.ndarray) -> bytes:
+    """A sketch of one to two bits for each shingle, a power of two."""
+    return dense_sketch(s, min(max(SKETCH_BITS, 1 << len(s).bit_length()), MOST_BITS))
+
+
 def wide_sketch(s: np.ndarray) -> bytes:
     """A sketch of WIDE bits or more for each shingle, a power of two: a sixteenth of the set's own bytes at most."""
     return dense_sketch(s, max(SKETCH_BITS, 1 << (WIDE * len(s)).bit_length() - 1))
@@ -145,7 +151,7 @@ def _meta(k: int):
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                 pa.array([dense_sketch(s) if len(s) else None for s in sets], pa.binary())],
+                 pa.array([bucket_sketch(s) if len(s) else None for s in sets], pa.binary())],
                 names=["doc_id", "n", "sid", "sketch"])
     return run
 
@@ -277,8 +283,29 @@ def _asked(bits: np.ndarray):
 _POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
 
-def _hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _POP[a ^ b].sum(axis=1, dtype=np.int64)
+class _Sketches:
+    """Sketches of several sizes, one matrix of 64-bit words for each size."""
+
+    def __init__(self, rows: list[bytes]):
+        self.size = np.array([len(r) // 8 for r in rows], dtype=np.int64)
+        self.at, self.of = np.empty(len(rows), np.int64), {}
+        for m in np.unique(self.size).tolist():
+            mine = np.flatnonzero(self.size == m)
+            self.at[mine] = np.arange(len(mine))
+            self.of[m] = np.frombuffer(b"".join(rows[i] for i in mine), dtype=np.uint64).reshape(len(mine), m)
+
+    def difference(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Differing bits of the rows a and b; the longer sketch is folded to the shorter one's size."""
+        out = np.empty(len(a), np.int64)
+        sizes = np.stack([self.size[a], self.size[b]], axis=1)
+        for p, q in np.unique(sizes, axis=0).tolist():
+            mine, m = np.flatnonzero((sizes[:, 0] == p) & (sizes[:, 1] == q)), min(p, q)
+            step = max(1, (1 << 20) // max(p, q))
+            for part in (mine[i:i + step] for i in range(0, len(mine), step)):
+                x, y = self.of[p][self.at[a[part]]], self.of[q][self.at[b[part]]]
+                x, y = (v if v.shape[1] == m else np.bitwise_xor.reduce(v.reshape(len(v), -1, m), axis=1) for v in (x, y))
+                out[part] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def _compare(t: int, thin: bool):
@@ -295,8 +322,7 @@ def _compare(t: int, thin: bool):
             ok = (label[a] != label[b]) & ((block[a] != block[b]) | (block[a] < 0))
             ok &= 100 * np.minimum(n[a], n[b]) >= t * np.maximum(n[a], n[b])
             a, b = a[ok], b[ok]
-            h = np.concatenate([_hamming(sketch[a[i:i + 65536]], sketch[b[i:i + 65536]]) for i in range(0, len(a), 65536)]
-                               or [np.empty(0, np.int64)])
+            h = sketch.difference(a, b)
             ok = h * (100 + t) <= (100 - t) * (n[a] + n[b])
             found.append((h[ok], a[ok], b[ok]))
         return found
@@ -309,8 +335,7 @@ def _compare(t: int, thin: bool):
             edge = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             key = np.repeat(np.arange(len(edge) + 1), np.diff(np.r_[0, edge, len(key)]))
             sid, n, label, block = (rows.column(c).to_numpy() for c in ("sid", "n", "label", "block"))
-            sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(sid), -1)
-            found = pairs(key, sid, n, label, sketch, block)
+            found = pairs(key, sid, n, label, _Sketches(rows.column("sketch").to_pylist()), block)
             root: dict[int, int] = {}
 
             def top(v):

@@ -402,3 +402,36 @@ def test_passages_at_odd_places_by_ranges_and_automata(spark, monkeypatch, shard
         want[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     got = substring.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
+
+
+def test_large_texts_with_a_common_passage_are_no_candidates(spark, monkeypatch):
+    """The bucket sketches of large sets are not full: texts that share only a passage are told apart in the bucket."""
+    from regpanel.llm import parity_join as J
+    rng = random.Random(31)
+    word = lambda: "w%d" % rng.randrange(10 ** 6)
+    passage = [word() for _ in range(150)]
+    rows = [(i, [word() for _ in range(3000)] + passage) for i in range(12)]
+    rows += [(100, rows[0][1][:2900]), (101, rows[0][1][300:])]  # near copies of the first one
+    seen, save = {}, J.Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        if name.startswith("screened"):
+            seen[name] = out.count()
+        return out
+    monkeypatch.setattr(J.Scratch, "save", counted)
+    got = J.near_groups(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string"), 5, 80).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 0 if i > 99 else i for i, _ in rows}
+    assert sum(seen.values()) <= 3
+
+
+def test_bucket_sketches_of_several_sizes():
+    from regpanel.llm import parity_join as J
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64)) for n in (1, 40, 900, 1100, 2500, 5000)]
+    rows = [J.bucket_sketch(s) for s in sets]
+    a, b = (x.ravel() for x in np.meshgrid(range(6), range(6)))
+    got = J._Sketches(rows).difference(a, b)
+    bits = [np.frombuffer(r, dtype=np.uint8) for r in rows]
+    assert got.tolist() == [J.wide_difference(bits[i], bits[j]) for i, j in zip(a, b, strict=True)]
+    assert all(d <= len(np.setxor1d(sets[i], sets[j])) for d, i, j in zip(got, a, b, strict=True))
