@@ -41,6 +41,7 @@ GRAM = 8
 SHARD = 256  # distinct surroundings in one automaton
 _STEP = 0xD1342543DE82EF95  # odd multiplier of the sequence polynomial
 _BACK = pow(_STEP, -1, 1 << 64)
+_PLACE = U((1 << 19) - 1)  # low bits that hold a place among the grams of 2^18 windows
 
 
 class Automaton:
@@ -70,30 +71,45 @@ class Automaton:
         return clone
 
     def add(self, words: list) -> None:
-        last = 0
+        last, moves, link, length = 0, self.next, self.link, self.len
         for w in words:
-            q = self.next[last].get(w)
+            q = moves[last].get(w)
             if q is not None:
-                last = self._split(last, w, q)
+                last = q if length[q] == length[last] + 1 else self._split(last, w, q)
                 continue
-            cur, p = self._new(self.len[last] + 1, {}, 0), last
-            while p >= 0 and w not in self.next[p]:
-                self.next[p][w] = cur
-                p = self.link[p]
+            cur, p = self._new(length[last] + 1, {}, 0), last
+            while p >= 0 and w not in moves[p]:
+                moves[p][w] = cur
+                p = link[p]
             if p >= 0:
-                self.link[cur] = self._split(p, w, self.next[p][w])
+                link[cur] = self._split(p, w, moves[p][w])
             last = cur
 
-    def own(self, words: list, owner: int, weight: int = 1) -> None:
-        """Count a sequence as an owner of all its substrings' states."""
-        v = 0
+    def own(self, words: list, owner: int, weight: int = 1, enough: int | None = None) -> list[int]:
+        """Count a sequence as an owner of all its substrings' states; the
+        states of its prefixes.  Counts of ``enough`` owners may stay at that:
+        what a state's words hold has as many owners at least."""
+        v, path = 0, []
+        moves, seen, owners, link = self.next, self._seen, self.owners, self.link
         for w in words:
-            v = self.next[v][w]
+            v = moves[v][w]
+            path.append(v)
             u = v
-            while u > 0 and self._seen[u] != owner:
-                self._seen[u] = owner
-                self.owners[u] += weight
-                u = self.link[u]
+            while u > 0 and seen[u] != owner and (enough is None or owners[u] < enough):
+                seen[u] = owner
+                owners[u] += weight
+                u = link[u]
+        return path
+
+    def held(self, path: list[int], first: int, owners: int = 1) -> Iterator[tuple[int, int]]:
+        """:meth:`statistics` of a sequence that was added, by the states that
+        :meth:`own` gave: (end, length) from the end ``first`` on."""
+        link, count, length = self.link, self.owners, self.len
+        for e in range(first, len(path)):
+            u = v = path[e]
+            while u > 0 and count[u] < owners:
+                u = link[u]
+            yield e, e + 1 if u == v else length[u]
 
     def statistics(self, words, owners: int = 1) -> Iterator[int]:
         """For each end, the length of the longest suffix held by ``owners`` sequences or more."""
@@ -139,9 +155,16 @@ def anchors(w: np.ndarray, length: int, k: int = GRAM) -> tuple[np.ndarray, np.n
     span = length - k + 1
     picks = []
     for at in range(0, len(g) - span + 1, 1 << 18):
-        part = np.lib.stride_tricks.sliding_window_view(g[at:at + (1 << 18) + span - 1], span)
-        picks.append(np.unique(part.argmin(axis=1) + np.arange(at, at + len(part))))
-    pos = np.unique(np.concatenate(picks))
+        part = g[at:at + (1 << 18) + span - 1]
+        # the place in the low bits: of grams that are equal in the others the first is the least
+        low, wide = (part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), 1
+        while wide < span:  # the least of twice as many, or of what is left to a window
+            step = min(wide, span - wide)
+            low = np.minimum(low[:-step], low[step:])
+            wide += step
+        pick = (low & _PLACE).astype(np.int64) + at
+        picks.append(pick[np.r_[True, pick[1:] != pick[:-1]]])  # places never go back
+    pos = picks[0] if len(picks) == 1 else np.unique(np.concatenate(picks))
     return g[pos], pos
 
 
@@ -195,14 +218,13 @@ def shard_spans(rows: list[dict], length: int) -> Iterator[tuple[int, int, int]]
         at = r["pos"] - r["start"]
         marked.append([*w[:at], "gram", *w[at:]])
         machine.add(marked[-1])
-    for i, (r, w) in enumerate(zip(rows, marked, strict=True)):
-        machine.own(w, i, min(r["c"], 2))
-    for r, w in zip(rows, marked, strict=True):
+    paths = [machine.own(w, i, min(r["c"], 2), enough=2) for i, (r, w) in enumerate(zip(rows, marked, strict=True))]
+    for r, path in zip(rows, paths, strict=True):
         if r["c"] > 1:  # repeated as a whole
             continue
         at, best = r["pos"] - r["start"], {}
-        for e, n in enumerate(machine.statistics(w, 2)):
-            if e > at and n > e - at and n > length:  # the match holds the gram's mark
+        for e, n in machine.held(path, max(at + 1, length), 2):
+            if n > e - at and n > length:  # the match holds the gram's mark
                 best[e - n + 1] = e
         for s, e in best.items():
             yield r["rk"], r["start"] + s, r["start"] + e  # the mark stands before the gram: one place less
@@ -345,17 +367,26 @@ def _kept(n: int, found: list | None) -> np.ndarray:
     return np.cumsum(change[:n]) == 0
 
 
+def _joined(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The words [start, end) of a text, one space between them."""
+    data, change = np.append(text, np.uint8(0x20)), np.zeros(len(text) + 2, dtype=np.int8)
+    data[ends] = 0x20  # each word is kept with the byte after it
+    change[starts] = 1
+    change[ends + 1] -= 1
+    return data[np.add.accumulate(change, dtype=np.int8)[:-1].view(bool)][:-1].tobytes()
+
+
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n, gone, sha = [], [], []
         for text, found in zip(texts(b.column("text")), b.column("spans").to_pylist(), strict=True):
             starts, ends = word_bounds(text)
-            keep = _kept(len(starts), found)
             n.append(len(starts))
-            gone.append(len(starts) - int(keep.sum()))
-            data = text.tobytes()
-            words = [data[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True)]
-            sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            if found:
+                keep = _kept(len(starts), found)
+                starts, ends = starts[keep], ends[keep]
+            gone.append(n[-1] - len(starts))
+            sha.append(hashlib.sha256(_joined(text, starts, ends)).hexdigest())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
                                           pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 

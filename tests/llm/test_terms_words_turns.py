@@ -435,3 +435,40 @@ def test_bucket_sketches_of_several_sizes():
     bits = [np.frombuffer(r, dtype=np.uint8) for r in rows]
     assert got.tolist() == [J.wide_difference(bits[i], bits[j]) for i, j in zip(a, b, strict=True)]
     assert all(d <= len(np.setxor1d(sets[i], sets[j])) for d, i, j in zip(got, a, b, strict=True))
+
+
+def test_states_of_added_words_give_their_statistics():
+    from regpanel.llm import substring
+    rng = random.Random(3)
+    for _ in range(200):
+        rows = [[rng.randrange(4) for _ in range(rng.randint(1, 30))] for _ in range(rng.randint(1, 6))]
+        weights = [rng.randint(1, 2) for _ in rows]
+        full, some = substring.Automaton(), substring.Automaton()
+        for m in (full, some):
+            for w in rows:
+                m.add(w)
+        for i, w in enumerate(rows):
+            full.own(w, i, weights[i])
+        paths = [some.own(w, i, weights[i], enough=2) for i, w in enumerate(rows)]
+        for w, path in zip(rows, paths, strict=True):
+            assert list(some.held(path, 0, 2)) == list(enumerate(full.statistics(w, 2)))
+
+
+def test_anchors_are_the_first_least_grams(monkeypatch):
+    from regpanel.llm import substring
+    rng = np.random.default_rng(6)
+    for n, kinds in ((34, 9), (35, 9), (36, 2), (400, 1), (400, 3), (700, 10 ** 6)):
+        w = rng.integers(0, kinds, n).astype(np.uint64)
+        g = substring.gram_hashes(w, 8)
+        want = sorted({i + int(g[i:i + 28].argmin()) for i in range(n - 34)})
+        gram, pos = substring.anchors(w, 35)
+        assert pos.tolist() == want and (gram == g[pos]).all()
+
+
+def test_kept_words_are_joined_by_one_space():
+    from regpanel.llm import substring
+    for text in ("", " ", "a", "\ta  bc\n", "a b c", "é\r\nß  ", "x" * 300 + " y"):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        starts, ends = substring.word_bounds(data)
+        assert substring._joined(data, starts, ends).decode() == " ".join(re.findall(r"[^\x20\x09-\x0D]+", text))
+        assert substring._joined(data, starts[1:], ends[1:]).decode() == " ".join(re.findall(r"[^\x20\x09-\x0D]+", text)[1:])
