@@ -200,7 +200,7 @@ def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b"
         scratch.drop(f"cc-edges-{k - 1}")
         e = nxt
     if nodes is None:
-        return spark.createDataFrame([], "id long, component long")
+        return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
     least = nodes.groupBy("root").agg(F.min("id").alias("component"))
     out = scratch.save(nodes.join(least, "root").select("id", "component"), "cc-result")
     scratch.drop(f"cc-edges-{k}", f"cc-map-{k}", f"cc-nodes-{k}")

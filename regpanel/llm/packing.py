@@ -8,7 +8,10 @@ across a border leaves one boundary piece on either side.
 
 The tokenizer works word by word: its normalizer and pattern never join
 characters over white space, so a text's ids are its words' ids in order, and
-a bounded cache holds the ids of words seen before.
+a cache of two generations holds the ids of words seen before: words that are
+met again move to the new one, and the old one goes as a whole.  Workers
+outlive their tasks, so the cache is kept small, and a task's rows are encoded
+a few at a time.
 
 Defined cases: a null or empty text is one end token; long texts are cut as
 often as needed; repeated rows are packed one by one; an empty table gives no
@@ -35,7 +38,8 @@ from regpanel.llm.prefix import partition_bases
 LENGTH = 4096
 END = 2
 MAX_VOCABULARY_BYTES = 64 << 20  # what is broadcast: the tokenizer's file
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18  # of a generation
+ROWS = 256  # encoded at once
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe of contractions
 
 
@@ -52,26 +56,32 @@ class WordEncoder(dict):
 
     def __init__(self, vocabulary: bytes):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary.decode())
 
     def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(PUNCTUATION)
-        if core != word and (core if core.isascii() else unicodedata.normalize("NFC", core).lower()).isalpha():
-            # the pattern cuts between letters and punctuation
-            got = self[core] + self[word[len(core):]]
-        elif word.isascii() and word.isalpha() and not word.islower():  # the normalizer lower-cases
-            got = self[word.lower()]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            got = struct.pack(f"<{len(ids)}I", *ids)
+        got = self.old.pop(word, None)
+        if got is None:
+            got = self._ids(word)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = got
         return got
 
+    def _ids(self, word: str) -> bytes:
+        core = word.rstrip(PUNCTUATION)
+        if core != word and (core if core.isascii() else unicodedata.normalize("NFC", core).lower()).isalpha():
+            # the pattern cuts between letters and punctuation
+            return self[core] + self[word[len(core):]]
+        if word.isascii() and word.isalpha() and not word.islower():  # the normalizer lower-cases
+            return self[word.lower()]
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.__getitem__, words))
@@ -93,7 +103,7 @@ def _encoded(vocabulary, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, tail = word_encoder(vocabulary.value), np.array([end], dtype="<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             ids, n, at = [], [], []
             for text in b.column("text").to_pylist():
                 got = enc.encode(text or "") + tail

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ def partition_bases(table: DataFrame, amount: str) -> tuple[DataFrame, int, int]
               .orderBy("part").collect())
     rows = [0, *accumulate(r["n"] for r in totals)]
     amounts = [0, *accumulate(r["amount"] for r in totals)]
-    bases = [(r["part"], a, b) for r, a, b in zip(totals, rows, amounts, strict=False)]
-    spark = table.sparkSession
-    return spark.createDataFrame(bases, "part int, base_row long, base long"), rows[-1], amounts[-1]
+    bases = pa.table([pa.array([r["part"] for r in totals], pa.int32()), pa.array(rows[:-1], pa.int64()),
+                      pa.array(amounts[:-1], pa.int64())], names=["part", "base_row", "base"])
+    # from Arrow: rows of Python objects would be unpickled by a second set of Python workers
+    return table.sparkSession.createDataFrame(bases), rows[-1], amounts[-1]
