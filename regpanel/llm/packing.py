@@ -6,12 +6,15 @@ writes ids with running token totals; the per-partition totals give global
 offsets; pass two cuts every document at the window borders, so a document
 across a border leaves one boundary piece on either side.
 
-The tokenizer works word by word: its normalizer and pattern never join
-characters over white space, so a text's ids are its words' ids in order, and
-a cache of two generations holds the ids of words seen before: words that are
-met again move to the new one, and the old one goes as a whole.  Workers
-outlive their tasks, so the cache is kept small, and a task's rows are encoded
-a few at a time.
+The tokenizer's pattern cuts lower-case text into pieces whose ids do not
+depend on what is around them.  Where a text's characters are ones for which
+lower case and character classes are beyond doubt, it is cut here at borders
+where pieces always end, by Arrow for some rows at once, and each different
+word of these rows is looked up once.  In other texts, words with other
+characters go to the tokenizer whole.  A cache of two generations holds the ids
+of words seen before: words that are met again move to the new one, and the old
+one goes as a whole.  New pieces are asked for together.  Workers outlive their
+tasks, so the cache is kept small, and a task's rows are encoded a few at a time.
 
 Defined cases: a null or empty text is one end token; long texts are cut as
 often as needed; repeated rows are packed one by one; an empty table gives no
@@ -20,14 +23,17 @@ pieces; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +45,25 @@ LENGTH = 4096
 END = 2
 MAX_VOCABULARY_BYTES = 64 << 20  # what is broadcast: the tokenizer's file
 CACHE_WORDS = 1 << 18  # of a generation
-ROWS = 256  # encoded at once
-PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII, without the apostrophe of contractions
+ROWS, BYTES = 256, 4 << 20  # encoded at once
+PIECES = 1 << 16  # of a text, looked up at once
+TOGETHER = 8  # new pieces that one call is made for
+LETTERS, NUMBERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+OTHERS = "\0-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf\xd7\xf7\u2010-\u2027\u20ac"  # but spaces
+# the tokenizer's pattern for lower-case texts without UNSAFE characters
+PIECE = re.compile(f"[{LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{NUMBERS}]|[{OTHERS}]+")
+# what NFC, lower case and the classes of Unicode's versions do not leave as simple
+UNSAFE = re.compile("[^\0-\x7f\xa0-\u012f\u0131-\u017f\u2010-\u2027\u20ac]")
+SPACE = re.compile("[ \n\t\r]")
+# between which pieces always end: before letters, an apostrophe may belong to them
+BORDERS = [f"([{LETTERS}])([{OTHERS}])", f"([{OTHERS.replace('!-/', '!-&(-/')}])([{LETTERS}])"]
+KNOWN = [  # the tokenizer's steps for which all this holds
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}]
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -51,40 +74,104 @@ def read_vocabulary(path: str) -> bytes:
     return data
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder(dict):
-    """word -> its ids as little-endian unsigned 32-bit integers."""
+    """piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, vocabulary: bytes):
         super().__init__()
         self.old: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
-
-    def __missing__(self, word: str) -> bytes:
-        got = self.old.pop(word, None)
-        if got is None:
-            got = self._ids(word)
-        if len(word) <= 64:
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tokenizer = t = Tokenizer.from_str(vocabulary.decode())
+        self.plain = Tokenizer(t.model)  # for pieces between spaces, which are normal already
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.known = [x and json.loads(x.__getstate__()) for x in (t.normalizer, t.pre_tokenizer)] == KNOWN
+        self.added = [a.content for a in t.get_added_tokens_decoder().values()]
+        self.ends = np.array([(t.id_to_token(i) or "").endswith("</w>") for i in range(t.get_vocab_size())])
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.pop(piece, None)
+        if ids is None:
+            ids = _packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if len(piece) <= 64:
             if len(self) >= CACHE_WORDS:
-                self.old = dict(self)
-                self.clear()
-            self[word] = got
+                self._age()
+            self[piece] = ids
+        return ids
+
+    def _age(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Asks for many pieces at once: each has one id that ends it."""
+        data = _packed(self.plain.encode(" ".join(pieces), add_special_tokens=False).ids)
+        at = 4 * np.flatnonzero(self.ends[np.frombuffer(data, dtype="<u4")]) + 4
+        self.update(zip(pieces, [data[i:j] for i, j in pairwise([0, *at.tolist()])], strict=True))
+
+    def _pieces(self, text: str) -> list[str]:
+        """A text's pieces, and whole words where the pattern here may not be the tokenizer's."""
+        if not self.known:
+            return [text]
+        if any(token in text for token in self.added):
+            return SPACE.split(text)
+        if text.isascii() or not UNSAFE.search(text):
+            return PIECE.findall(text.lower())
+        return [p for word in SPACE.split(text) for p in ([word] if UNSAFE.search(word) else PIECE.findall(word.lower()))]
+
+    def _some(self, pieces: list[str]) -> list[bytes]:
+        got = list(map(self.get, pieces))
+        at = [i for i, ids in enumerate(got) if ids is None]
+        if at:
+            new = {p for i in at if len(p := pieces[i]) <= 64}
+            if len(self) + len(new) > CACHE_WORDS:
+                self._age()
+            old, ask = self.old, []
+            for p in new:
+                ids = old.pop(p, None)
+                if ids is not None:
+                    self[p] = ids
+                elif p.isalpha() and self.known and PIECE.fullmatch(p):
+                    ask.append(p)
+            if len(ask) >= TOGETHER:
+                self._learn(ask)
+            for i in at:
+                got[i] = self[pieces[i]]
         return got
 
-    def _ids(self, word: str) -> bytes:
-        core = word.rstrip(PUNCTUATION)
-        if core != word and (core if core.isascii() else unicodedata.normalize("NFC", core).lower()).isalpha():
-            # the pattern cuts between letters and punctuation
-            return self[core] + self[word[len(core):]]
-        if word.isascii() and word.isalpha() and not word.islower():  # the normalizer lower-cases
-            return self[word.lower()]
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _all(self, pieces: list[str]) -> list[bytes]:
+        return [ids for i in range(0, len(pieces), PIECES) for ids in self._some(pieces[i:i + PIECES])]
 
     def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.__getitem__, words))
+        return b"".join(self._all(self._pieces(text)))
+
+    def _simple(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without UNSAFE characters, each of their words looked up once."""
+        t = pc.utf8_lower(texts)
+        for space in "\n\t\r":
+            t = pc.replace_substring(t, space, " ")
+        for border in BORDERS:
+            t = pc.replace_substring_regex(t, border, r"\1 \2")
+        words = pc.split_pattern(t, " ")
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(self._all(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(coded.indices)
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])[words.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[i:j]) for i, j in pairwise(at)]
+
+    def encode_rows(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text; null is empty."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, UNSAFE.pattern) if self.known else pa.array([True] * len(texts))
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        simple = iter(self._simple(texts.filter(pc.invert(odd))))
+        return [self.encode(t.as_py()) if o else next(simple) for t, o in zip(texts, odd.to_pylist(), strict=True)]
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -99,21 +186,30 @@ def word_encoder(vocabulary: bytes) -> WordEncoder:
     return _encoders[key]
 
 
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Starts and lengths of runs of rows, of BYTES at most unless of one row."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and (i - start == ROWS or size + n > BYTES):
+            yield start, i - start
+            start, size = i, 0
+        size += n
+    if len(texts):
+        yield start, len(texts) - start
+
+
 def _encoded(vocabulary, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, tail = word_encoder(vocabulary.value), np.array([end], dtype="<u4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
-        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
-            ids, n, at = [], [], []
-            for text in b.column("text").to_pylist():
-                got = enc.encode(text or "") + tail
-                ids.append(got)
-                n.append(len(got) // 4)
-                at.append(before)
-                before += n[-1]
+        for b in (b.slice(i, n) for b in batches for i, n in _groups(b.column("text"))):
+            ids = [got + tail for got in enc.encode_rows(b.column("text"))]
+            n = [len(got) // 4 for got in ids]
+            *at, before = accumulate(n, initial=before)
             cols = [b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(n, pa.int64()),
                     pa.array([part] * len(n), pa.int32()), pa.array(at, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "ids", "n", "part", "before"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
