@@ -11,6 +11,11 @@ point cannot change any more and are emitted, so the lookahead is bounded by
 the longest token.  States and their moves are made when first needed; beyond
 ``MAX_STATES`` all are dropped and made anew, which changes no result.
 
+With the pattern known here, some rows at once are cut into chunks where that
+changes none of its pieces; each different chunk is looked up once, and new
+ones go to the machine in order, as those that begin alike share states.  With other patterns, and texts larger than ``BYTES``, each text is
+cut by its pattern alone.
+
 Decoding joins the tokens' bytes and runs them through an incremental UTF-8
 decoder, which holds back the bytes of an unfinished character.
 
@@ -27,12 +32,13 @@ import gc
 import hashlib
 import struct
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +48,13 @@ CACHE_PIECES = 1 << 20
 MAX_STATES = 1 << 18
 MAX_PAIRS = 1 << 19
 PIECES_AT_ONCE = 1 << 16
+BYTES = 8 << 20  # of rows encoded together
+# the pattern for which it is known where pieces end and no lookahead goes on, and the kinds of characters before and after
+KNOWN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BLANK, WHITE, LETTER, NUMBER, QUOTE, OTHER, VISIBLE = range(1, 8)  # 0: unknown; a visible one is no white space
+SEEN = (LETTER, NUMBER, QUOTE, OTHER)
+BORDERS = [*((a, b) for a in (*SEEN, VISIBLE) for b in (BLANK, WHITE)),  # but not behind white space: (?!\S) looks on
+           *((a, b) for a in SEEN for b in SEEN if a != b and {a, b} != {QUOTE, OTHER} and (a, b) != (QUOTE, LETTER))]
 
 
 @contextmanager
@@ -65,15 +78,6 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class _State:
-    __slots__ = ("node", "last", "chains", "moves", "final")
-
-    def __init__(self, node: int, last: int, chains: tuple):
-        self.node, self.last, self.chains = node, last, chains  # from the longest suffix to the empty one
-        self.moves: dict[int, tuple] = {}
-        self.final = chains[-1]  # what is still to be emitted if the piece ends here
-
-
 class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
@@ -110,9 +114,11 @@ class Transducer:
         self.child, self.depth, self.token, self.fail = child, depth, token, fail
 
     def _reset(self) -> None:
-        self.states: dict[tuple, _State] = {}
-        self.start, self.made = _State(0, -1, ((),)), 0
-        gc.collect()  # the states dropped point to one another
+        self.states: dict[tuple, int] = {}
+        self.moves: dict[int, tuple[int, tuple]] = {}  # of state << 8 | byte: the next state and what is emitted
+        # of each state the node, the last token settled, and the chains from the longest suffix to the empty one,
+        # the last of which is still to be emitted if the piece ends there; 0 is the start
+        self.nodes, self.lasts, self.chains = [0], [-1], [((),)]
 
     def _last_merges(self) -> None:
         """The two parts that each token is merged from at last (single bytes:
@@ -177,10 +183,17 @@ class Transducer:
         self._steps[node << 8 | b] = got
         return got
 
-    def _move(self, s: _State, b: int) -> tuple[_State, tuple]:
-        step = self._steps.get(s.node << 8 | b)
-        node, on, ends = step if step is not None else self._step(s.node, b)
-        old, last, pairs = s.chains, s.last, self._pairs
+    def _made(self, node: int, last: int, chains: tuple | list) -> int:
+        self.nodes.append(node)
+        self.lasts.append(last)
+        self.chains.append(chains)
+        return len(self.nodes) - 1
+
+    def _move(self, s: int, b: int) -> tuple[int, tuple]:
+        at = self.nodes[s]
+        step = self._steps.get(at << 8 | b)
+        node, on, ends = step if step is not None else self._step(at, b)
+        old, last, pairs = self.chains[s], self.lasts[s], self._pairs
         kept = [old[i] for i in on]
         for i, t in ends:
             before = old[i]
@@ -195,41 +208,79 @@ class Transducer:
             if ok:
                 break
         kept.append(before + (t,))
-        low, high = min(kept), max(kept)  # what these two begin with, all chains between them begin with
-        if low and low[0] == high[0]:  # such tokens are settled
-            k, most = 1, min(len(low), len(high))
-            while k < most and low[k] == high[k]:
-                k += 1
-            out = low[:k]
+        out = ()
+        if kept[0]:  # only the longest suffix can begin where the settled tokens end
+            low, high = min(kept), max(kept)  # what these two begin with, all chains between them begin with
+            if low[0] == high[0]:  # such tokens are settled
+                k, most = 1, min(len(low), len(high))
+                while k < most and low[k] == high[k]:
+                    k += 1
+                out = low[:k]
+        if out:
             last = out[-1]
             key = (node, last, *[c[k:] for c in kept])
             to = self.states.get(key)  # only what comes after settled tokens can be met again on other ways
             if to is None:
-                to = self.states[key] = _State(node, last, key[2:])
+                to = self.states[key] = self._made(node, last, key[2:])
         else:
-            out, to = (), _State(node, last, kept)
-        self.made += 1
-        got = s.moves[b] = (to, out)
+            to = self._made(node, last, kept)
+        got = self.moves[s << 8 | b] = (to, out)
         return got
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token
             return [whole]
-        if self.made > self.max_states:
+        if len(self.moves) > self.max_states:
             self._reset()
-        s, ids = self.start, []
+        s, ids, moves = 0, [], self.moves
         for b in piece:
-            m = s.moves.get(b)
+            m = moves.get(s << 8 | b)
             s, out = m if m is not None else self._move(s, b)
             if out:
                 ids += out
-        ids += s.final
+        ids += self.chains[s][-1]
         return ids
 
 
+class Cutter:
+    """Places in UTF-8 where texts can be cut without changing the known pattern's pieces.
+
+    Of characters of one or two bytes the kind is known; of longer ones only
+    that their last two bytes are not those of a white space."""
+
+    def __init__(self):
+        import regex
+        kinds = [(BLANK, " "), (WHITE, r"\s"), (LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (QUOTE, "'"), (OTHER, ".")]
+        which = regex.compile("|".join(f"({p})" for _, p in kinds), regex.DOTALL)
+        start, end = np.zeros((2, 256, 256), np.uint8)
+        end[0x80:0xc0, 0x80:0xc0] = VISIBLE
+        for c in map(chr, range(0x800)):
+            kind, data = kinds[which.match(c).lastindex - 1][0], c.encode()
+            if len(data) == 1:
+                start[data[0], :] = end[:, data[0]] = kind
+            else:
+                start[data[0], data[1]] = end[data[0], data[1]] = kind
+        for c in regex.findall(r"\s", "".join(map(chr, [*range(0x800, 0xd800), *range(0xe000, 0x110000)]))):
+            end[tuple(c.encode()[-2:])] = 0
+        borders = np.zeros((8, 8), bool)
+        borders[tuple(zip(*BORDERS, strict=True))] = True
+        self.start, self.end, self.borders = start.ravel(), end.ravel() << 3, borders.ravel()
+
+    def cut(self, data: np.ndarray) -> np.ndarray:
+        """For each byte, whether a text can be cut before it."""
+        out = np.empty(len(data), bool)
+        for i in range(0, len(data), 1 << 20):  # the places of some bytes at a time
+            some = np.zeros(min(1 << 20, len(data) - i) + 3, np.uint16)  # with two bytes before them and one behind
+            low, high = max(i - 2, 0), min(i + (1 << 20) + 1, len(data))
+            some[low - i + 2:high - i + 2] = data[low:high]
+            two = some[:-1] << 8 | some[1:]
+            out[i:i + (1 << 20)] = self.borders[self.end[two[:-2]] | self.start[two[2:]]]
+        return out
+
+
 class Encoder(dict):
-    """piece -> its ids, little-endian unsigned 32-bit; a bounded cache over the transducer."""
+    """piece, or some pieces of a text -> ids, little-endian unsigned 32-bit; a bounded cache over the transducer."""
 
     def __init__(self, vocabulary: bytes, pattern: str):
         super().__init__()
@@ -237,16 +288,56 @@ class Encoder(dict):
         self.machine = Transducer(read_ranks(vocabulary))
         self.pattern = regex.compile(pattern)
         top = max(self.machine.tokens) + 1
-        self.bytes = [self.machine.tokens.get(i) for i in range(top)]
+        self.bytes = pa.array([self.machine.tokens.get(i) for i in range(top)], pa.binary())
+        self.cutter = Cutter() if pattern == KNOWN else None
 
-    def __missing__(self, piece: str) -> bytes:
-        got = _packed(self.machine.encode(piece.encode()))
-        if len(piece) <= 64:
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= 64:
             if len(self) >= CACHE_PIECES:
                 self.clear()
-            self[piece] = got
+            self[text] = ids
+        return ids
+
+    def __missing__(self, piece: str) -> bytes:
+        return self._keep(piece, _packed(self.machine.encode(piece.encode())))
+
+    def _chunk(self, chunk: str) -> bytes:
+        pieces = self.pattern.findall(chunk)
+        if len(pieces) == 1:
+            return self[chunk]
+        return self._keep(chunk, b"".join(map(self.__getitem__, pieces)))  # no piece anywhere is equal to it
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        got = list(map(self.get, chunks))
+        for i in sorted([i for i, ids in enumerate(got) if ids is None], key=chunks.__getitem__):
+            got[i] = self._chunk(chunks[i])
         return got
 
+    def _together(self, texts: pa.Array) -> Iterator[list[memoryview]]:
+        """The ids of each text, each different chunk of theirs looked up once."""
+        texts = pc.fill_null(texts, "").cast(pa.string())
+        rows = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data, rows = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[rows[0]:rows[-1]], rows - rows[0]
+        border = self.cutter.cut(data)
+        border[rows[rows < len(data)]] = True
+        starts = np.flatnonzero(border).astype(np.int32)
+        at = np.append(starts, np.int32(len(data)))
+        chunks = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data)])
+        coded = chunks.dictionary_encode()
+        ids = pa.array(self._chunks(coded.dictionary.to_pylist()), pa.binary())
+        size = np.append(0, np.cumsum(pc.binary_length(ids).to_numpy()[coded.indices.to_numpy()], dtype=np.int64))
+        ids = memoryview(ids.take(coded.indices).buffers()[2] or b"")
+        for i, j in pairwise(size[np.searchsorted(starts, rows)].tolist()):
+            yield [ids[i:j]]
+
+    def rows(self, texts: pa.Array) -> Iterator[Iterable[bytes | memoryview]]:
+        """Of each text (null: empty) the ids, some pieces at a time."""
+        for i, n, size in _groups(texts):
+            if self.cutter and size <= BYTES:
+                yield from self._together(texts.slice(i, n))
+            else:
+                yield from (self.stream(t or "") for t in texts.slice(i, n).to_pylist())
+
     def stream(self, text: str) -> Iterator[bytes]:
         """The ids of a text, some pieces at a time."""
         if len(text) <= PIECES_AT_ONCE:
@@ -268,8 +359,22 @@ class Decoder:
         self.utf8 = codecs.getincrementaldecoder("utf-8")(errors="replace")
 
     def feed(self, ids: bytes, final: bool = False) -> str:
-        data = b"".join(map(self.table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
-        return self.utf8.decode(data, final)
+        tokens = self.table.take(pa.array(np.frombuffer(ids, dtype="<u4")))
+        if tokens.null_count:
+            raise ValueError("ids without a token")
+        return self.utf8.decode(tokens.buffers()[2] or b"", final)
+
+
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """Starts, lengths and bytes of runs of rows, of BYTES at most unless of one row."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > start and size + n > BYTES:
+            yield start, i - start, size
+            start, size = i, 0
+        size += n
+    if len(texts):
+        yield start, len(texts) - start, size
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -298,9 +403,10 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str = "d
         enc = encoder(v.value, pattern)
         for b in batches:
             with _uncollected():
-                ids = [enc.encode(t or "") for t in b.column(text).to_pylist()]
+                ids = [b"".join(parts) for parts in enc.rows(b.column(text))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                               pa.array(ids, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+        pa.default_memory_pool().release_unused()
     return d.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids binary")
 
 
@@ -330,9 +436,9 @@ def round_trip(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str
         for b in batches:
             n, a, c = [], [], []
             with _uncollected():
-                for t in b.column(text).to_pylist():
+                for parts in enc.rows(b.column(text)):
                     dec, size, of_ids, of_text = Decoder(enc), 0, hashlib.sha256(), hashlib.sha256()
-                    for ids in enc.stream(t or ""):
+                    for ids in parts:
                         size += len(ids) // 4
                         of_ids.update(ids)
                         of_text.update(dec.feed(ids).encode())
@@ -342,4 +448,5 @@ def round_trip(docs: DataFrame, vocabulary_path: str, pattern: str, doc_id: str
                     c.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()),
                                               pa.array(c, pa.string())], names=names)
+        pa.default_memory_pool().release_unused()
     return d.mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
