@@ -49,6 +49,7 @@ MAX_STATES = 1 << 18
 MAX_PAIRS = 1 << 19
 PIECES_AT_ONCE = 1 << 16
 BYTES = 8 << 20  # of rows encoded together
+FEW = 64  # ids, and less, are decoded without Arrow, whose calls cost more than they save
 # the pattern for which it is known where pieces end and no lookahead goes on, and the kinds of characters before and after
 KNOWN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BLANK, WHITE, LETTER, NUMBER, QUOTE, OTHER, VISIBLE = range(1, 8)  # 0: unknown; a visible one is no white space
@@ -288,7 +289,8 @@ class Encoder(dict):
         self.machine = Transducer(read_ranks(vocabulary))
         self.pattern = regex.compile(pattern)
         top = max(self.machine.tokens) + 1
-        self.bytes = pa.array([self.machine.tokens.get(i) for i in range(top)], pa.binary())
+        self.bytes = [self.machine.tokens.get(i) for i in range(top)]
+        self.table = pa.array(self.bytes, pa.binary())
         self.cutter = Cutter() if pattern == KNOWN else None
 
     def _keep(self, text: str, ids: bytes) -> bytes:
@@ -355,11 +357,14 @@ class Decoder:
     """Streaming decode: feed ids, get the characters finished so far."""
 
     def __init__(self, encoder: Encoder):
-        self.table = encoder.bytes
+        self.bytes, self.table = encoder.bytes, encoder.table
         self.utf8 = codecs.getincrementaldecoder("utf-8")(errors="replace")
 
     def feed(self, ids: bytes, final: bool = False) -> str:
-        tokens = self.table.take(pa.array(np.frombuffer(ids, dtype="<u4")))
+        ids = np.frombuffer(ids, dtype="<u4")
+        if len(ids) <= FEW:
+            return self.utf8.decode(b"".join(map(self.bytes.__getitem__, ids.tolist())), final)
+        tokens = self.table.take(pa.array(ids))
         if tokens.null_count:
             raise ValueError("ids without a token")
         return self.utf8.decode(tokens.buffers()[2] or b"", final)

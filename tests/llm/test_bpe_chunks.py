@@ -120,7 +120,11 @@ def test_other_patterns_cut_whole_texts(spark, plain, monkeypatch):
     _check(bpe.round_trip(Rows(_batch(texts)), PATH, pattern), texts, own)
 
 
-def test_ids_without_a_token_are_an_error():
+@pytest.mark.parametrize("n", [1, bpe.FEW, bpe.FEW + 1, 1000])
+def test_few_and_many_ids_are_decoded_alike(n):
     encoder = bpe.Encoder(read_vocabulary(PATH), P.PATTERN)
+    ids = list(range(n))
+    assert bpe.Decoder(encoder).feed(np.array(ids, "<u4").tobytes(), True) == b"".join(
+        encoder.machine.tokens[i] for i in ids).decode(errors="replace")
     with pytest.raises((IndexError, ValueError)):
-        bpe.Decoder(encoder).feed(np.array([len(encoder.bytes)], "<u4").tobytes())
+        bpe.Decoder(encoder).feed(np.array([len(encoder.bytes)] * n, "<u4").tobytes())
