@@ -14,6 +14,14 @@ piece after it (the cyclic form of the pigeonhole).  Pieces with few bits say
 little, so they are joined on that stronger condition: their key also holds
 the following piece, once whole and once without each of its bits.
 
+More pieces say more (the cycle lemma): some piece agrees and is followed, for
+every r, by r pieces that differ in no more than r bits.  A few common
+shingles are all that many pieces hold, and the texts that share them grow with
+the table, their pairs with its square.  Rows of such pieces carry a 64-bit
+sketch of the RUN pieces that follow; a bucket is parted into those that can be
+reached over sketches that differ in RUN bits or less, before any set is
+compared.
+
 Candidates inside a bucket are compared on a dense sketch of a bit or more for
 each shingle (a lower bound of the difference again, which large sets do not
 fill up), those left on a wider one, and verified on the sets.  Buckets with the same members
@@ -46,7 +54,11 @@ SKETCH_BITS = 1024  # of a bucket's sketch at least
 MOST_BITS = 1 << 17  # of a bucket's sketch at most, so that a bucket's rows stay small; the wider one has no such bound
 WIDE = 4  # bits a shingle of the second sketch
 FULL = 6  # shingles a piece should hold on average; sparser sketches only extend their empty pieces
-LOW = 3  # in fuller sketches, pieces with fewer bits also need the piece after them
+LOW = 3  # pieces with fewer bits: in fuller sketches they also need the piece after them, and they carry a sketch of RUN pieces
+RUN = 4  # pieces whose sketch tells apart texts that share a common piece
+MATRIX = 64  # members of buckets whose sketches are compared as a matrix, many buckets at once
+HELD = 1 << 16  # members of buckets that are parted
+PIVOTS = 8  # rows that all others of a bucket are compared with before groups are joined
 BLOCK_ROWS = 512  # of a large bucket
 FILTER_BITS = 1 << 23  # of the filter that spares most texts a shuffle: 1 MB, broadcast
 LARGE = 4096  # members of buckets that are named by them
@@ -111,9 +123,13 @@ class Bands:
         return out
 
 
-def piece_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """The 64-bit join keys of one set."""
-    keys = []
+def piece_keys(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit join keys of one set, and for those of few bits the sketch
+    of the RUN pieces that follow (0 for the others).
+
+    At one key at least that both have, the sketches of two similar sets
+    differ in RUN bits or less."""
+    keys, nears = [], []
     for band, most in bands.of(len(s)):
         if most == 0:  # only equal sets are similar enough, and those are one member
             continue
@@ -127,18 +143,37 @@ def piece_keys(s: np.ndarray, bands: Bands) -> np.ndarray:
         size = np.bincount(piece, minlength=n)
         first = np.cumsum(size) - size
         name = seeded(1000 + band, n)
-        whole = np.zeros(n, dtype=np.uint64)
+        whole, spots = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
         full = size > 0
         if len(odd):
             whole[full] = np.bitwise_xor.reduceat(value, first[full])
+            spots[full] = np.bitwise_xor.reduceat(U(1) << (value >> U(58)), first[full])
         key = mix(whole ^ name)
+        near = _followers(spots)
         least = LOW if int(bands.bounds[band]) >= FULL * n * 0.9 else 1
-        keys.append(key[size >= least])
-        for i in np.flatnonzero(size < least):
-            j = (i + 1) % n
-            nxt = whole[j] ^ value[first[j]:first[j] + size[j]]
-            keys.append(mix(np.append(nxt, whole[j]) * U(3) + key[i]))
-    return np.unique(np.concatenate(keys)) if keys else np.empty(0, dtype=np.uint64)
+        own = size >= least
+        keys.append(key[own])
+        nears.append(np.where(size < LOW, near, U(0))[own])
+        i = np.flatnonzero(~own)
+        j = (i + 1) % n
+        many = size[j]
+        of = np.repeat(np.arange(len(i)), many)
+        without = whole[j[of]] ^ value[np.arange(len(of)) + (first[j] - (np.cumsum(many) - many))[of]]
+        keys.append(mix(np.concatenate([without, whole[j]]) * U(3) + key[np.concatenate([i[of], i])]))
+        nears.append(near[np.concatenate([i[of], i])])
+    if not keys:
+        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)
+    keys, at = np.unique(np.concatenate(keys), return_index=True)
+    return keys, np.concatenate(nears)[at]
+
+
+def _followers(piece: np.ndarray) -> np.ndarray:
+    """For each of the pieces of a cycle, the sketch of the RUN pieces after it (all others, where there are fewer)."""
+    run = min(RUN, len(piece) - 1)
+    ring, out = np.concatenate([piece, piece[:run]]), np.zeros(len(piece), dtype=np.uint64)
+    for r in range(1, run + 1):
+        out ^= ring[r:r + len(piece)]
+    return out
 
 
 # ------------------------------------------------------------ Spark steps
@@ -160,7 +195,7 @@ def _pieces(k: int, t: int):
     def run(batches):
         bands, seen = Bands(t), set()
         for b in batches:
-            keys, owner = [], []
+            keys, near, owner = [], [], []
             for text in texts(b.column("text")):
                 s = shingles(text, k)
                 sid = set_id(s) if len(s) else None
@@ -169,11 +204,12 @@ def _pieces(k: int, t: int):
                 if len(seen) >= 1 << 20:
                     seen.clear()
                 seen.add(sid)
-                keys.append(piece_keys(s, bands))
-                owner.append(np.full(len(keys[-1]), sid, dtype=np.int64))
-            keys = np.concatenate([*keys, np.empty(0, np.uint64)])
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(keys)), pa.array(np.concatenate([*owner, np.empty(0, np.int64)]))],
-                                             names=["key", "sid"])
+                key, sketch = piece_keys(s, bands)
+                keys.append(key)
+                near.append(sketch)
+                owner.append(np.full(len(key), sid, dtype=np.int64))
+            cols = [as_long(np.concatenate([*c, np.empty(0, c[0].dtype if c else np.int64)])) for c in (keys, owner, near)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "sid", "near"])
     return run
 
 
@@ -191,6 +227,91 @@ def _sets(k: int):
     return run
 
 
+def _spread(near: np.ndarray) -> np.ndarray:
+    """For each sketch, the first one that is reached over differences of RUN bits or less."""
+    label, left = np.empty(len(near), np.int64), np.arange(len(near))
+    while len(left):
+        start, todo = left[0], [left[0]]
+        left = left[1:]
+        label[start] = start
+        while todo and len(left):
+            close = np.bitwise_count(near[left] ^ near[todo.pop()]) <= RUN
+            label[left[close]] = start
+            todo += left[close].tolist()
+            left = left[~close]
+    return label
+
+
+def _matrices(near: np.ndarray) -> np.ndarray:
+    """:func:`_spread` of every row of a matrix."""
+    m = near.shape[1]
+    close = np.bitwise_count(near[:, :, None] ^ near[:, None, :]) <= RUN
+    label = np.broadcast_to(np.arange(m), near.shape)
+    while True:
+        least = np.where(close, label[:, None, :], m).min(axis=2)
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _apart(key: np.ndarray, sid: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole buckets, sorted by (key, sid): (key, sid) of their parts of two
+    members or more.  The part of a bucket's first member keeps the key."""
+    edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    size = np.diff(np.r_[edge, len(key)])
+    many = np.repeat(size > 1, size)
+    key, sid, near, size = key[many], sid[many], near[many].view(np.uint64), size[size > 1]
+    if not len(key):
+        return key, sid
+    edge = np.cumsum(size) - size
+    label = np.repeat(edge, size)
+    close = np.logical_and.reduceat(np.bitwise_count(near ^ near[label]) <= RUN, edge)
+    for m in np.unique(size[~close]).tolist():
+        at = edge[~close & (size == m)]
+        if m > MATRIX:
+            for i in at.tolist():
+                label[i:i + m] = i + _spread(near[i:i + m])
+            continue
+        step = max(1, (1 << 20) // m ** 2)
+        for some in (at[i:i + step, None] + np.arange(m) for i in range(0, len(at), step)):
+            label[some] = some[:, :1] + _matrices(near[some])
+    order = np.argsort(label, kind="stable")
+    order = order[np.bincount(label, minlength=len(key))[label[order]] > 1]
+    key, sid, first, bucket = key[order], sid[order], label[order], np.repeat(edge, size)[order]
+    other = as_long(mix(key.view(np.uint64) ^ mix((first - bucket).astype(np.uint64))))
+    return np.where(first == bucket, key, other), sid
+
+
+class _Parts:
+    """Streams rows sorted by (key, sid) and gives (key, sid) of the parts of
+    keys with two members or more.  Of keys with more than HELD members all
+    are passed on as they come."""
+
+    def __init__(self):
+        self.rows = [np.empty(0, np.int64)] * 3
+        self.passing = False
+
+    def feed(self, key: np.ndarray, sid: np.ndarray, near: np.ndarray, end: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        key, sid, near = (np.r_[x, y] for x, y in zip(self.rows, (key, sid, near), strict=True))
+        if not len(key):
+            return key, sid
+        new = np.r_[True, (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])]
+        key, sid, near = key[new], sid[new], near[new]
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        cut, out = len(key) if end else int(edge[-1]), []  # what comes before is complete
+        start = 0
+        if self.passing and cut:  # the rest of the bucket that was being passed on
+            start = int(edge[1]) if len(edge) > 1 else cut
+            out.append((key[:start], sid[:start]))
+            self.passing = False
+        out.append(_apart(key[start:cut], sid[start:cut], near[start:cut]))
+        if len(key) - cut > (1 if self.passing else HELD):  # pass on all but the last row
+            out.append((key[cut:-1], sid[cut:-1]))
+            cut, self.passing = len(key) - 1, True
+        self.rows = [x[cut:] for x in (key, sid, near)]
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
 class _Buckets:
     """Streams rows sorted by (key, sid) and gives the members of keys with two
     members or more: (key, sid, place in the bucket, first member).
@@ -252,12 +373,12 @@ class _Buckets:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    state = _Buckets()
+    parts, state = _Parts(), _Buckets()
     names = ["key", "sid", "place", "first"]
     for b in batches:
-        rows = state.feed(*(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "sid")))
+        rows = state.feed(*parts.feed(*(b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "sid", "near"))))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
-    rows = state.feed(np.empty(0, np.int64), np.empty(0, np.int64), end=True)
+    rows = state.feed(*parts.feed(*[np.empty(0, np.int64)] * 3, end=True), end=True)
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=names)
 
 
@@ -297,9 +418,11 @@ class _Sketches:
     def difference(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Differing bits of the rows a and b; the longer sketch is folded to the shorter one's size."""
         out = np.empty(len(a), np.int64)
-        sizes = np.stack([self.size[a], self.size[b]], axis=1)
-        for p, q in np.unique(sizes, axis=0).tolist():
-            mine, m = np.flatnonzero((sizes[:, 0] == p) & (sizes[:, 1] == q)), min(p, q)
+        p, q = self.size[a], self.size[b]
+        kind = p << 32 | q
+        for both in np.unique(kind).tolist():
+            mine, p, q = np.flatnonzero(kind == both), both >> 32, both & 0xFFFFFFFF
+            m = min(p, q)
             step = max(1, (1 << 20) // max(p, q))
             for part in (mine[i:i + step] for i in range(0, len(mine), step)):
                 x, y = self.of[p][self.at[a[part]]], self.of[q][self.at[b[part]]]
@@ -310,22 +433,34 @@ class _Sketches:
 
 def _compare(t: int, thin: bool):
     """Of rows sorted by bucket: the pairs of different groups whose sketches
-    allow the similarity; ``thin`` leaves a forest of each batch's groups."""
-
-    def pairs(key, sid, n, label, sketch, block):
-        found = []
-        for d in range(1, len(key)):
-            same = np.flatnonzero(key[d:] == key[:-d])
-            if not len(same):
+    allow the similarity; ``thin`` leaves a forest of each batch's groups, and
+    groups that it has joined already are not compared again, so that a bucket
+    of near copies costs its links and not all its pairs."""
+
+    def pairs(key, n, group, sketch, block):
+        """Pairs of each bucket's first row, then its second one and so on
+        (the order of rows is the same in all buckets, so that many batches
+        find the same pairs), and their estimated difference in parts of the
+        allowed one; ``group`` may change meanwhile."""
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[key]
+        rest = np.arange(len(key))
+        for d in range(len(key)):
+            rest = rest[rest - first[rest] > d]
+            if not len(rest):
                 break
-            a, b = same, same + d
-            ok = (label[a] != label[b]) & ((block[a] != block[b]) | (block[a] < 0))
-            ok &= 100 * np.minimum(n[a], n[b]) >= t * np.maximum(n[a], n[b])
+            a = first[rest] + d
+            ok = (group[a] != group[rest]) & ((block[a] != block[rest]) | (block[a] < 0))
+            a, b = a[ok], rest[ok]
+            ok = 100 * np.minimum(n[a], n[b]) >= t * np.maximum(n[a], n[b])
             a, b = a[ok], b[ok]
-            h = sketch.difference(a, b)
-            ok = h * (100 + t) <= (100 - t) * (n[a] + n[b])
-            found.append((h[ok], a[ok], b[ok]))
-        return found
+            if not len(a):
+                continue
+            h, both = sketch.difference(a, b), n[a] + n[b]
+            ok = h * (100 + t) <= (100 - t) * both
+            if ok.any():
+                a, b, bits = a[ok], b[ok], 64 * np.minimum(sketch.size[a], sketch.size[b])[ok]
+                met = -np.log1p(-np.minimum(2 * h[ok] / bits, 0.999)) * bits / 2  # with the bits that were flipped twice
+                yield d, met * (100 + t) / ((100 - t) * both[ok]), a, b
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -335,25 +470,43 @@ def _compare(t: int, thin: bool):
             edge = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             key = np.repeat(np.arange(len(edge) + 1), np.diff(np.r_[0, edge, len(key)]))
             sid, n, label, block = (rows.column(c).to_numpy() for c in ("sid", "n", "label", "block"))
-            found = pairs(key, sid, n, label, _Sketches(rows.column("sketch").to_pylist()), block)
-            root: dict[int, int] = {}
+            names, group = np.unique(label, return_inverse=True)
+            root = np.arange(len(names))
 
             def top(v):
-                while v in root:
+                while root[v] != v:
                     v = root[v]
                 return v
-            left, right = [], []
-            if found:
-                h, a, b = (np.concatenate(c) for c in zip(*found, strict=True))
-                if not thin:
-                    left, right = sid[a], sid[b]
-                for i in np.argsort(h, kind="stable") if thin else ():
-                    p, q = top(int(label[a[i]])), top(int(label[b[i]]))
+
+            def join(found: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+                """The pairs, nearest first, that join groups."""
+                far, a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+                keep, order = [], np.argsort(far, kind="stable")
+                for i, p, q in zip(order.tolist(), group[a[order]].tolist(), group[b[order]].tolist(), strict=True):
+                    p, q = top(p), top(q)
                     if p != q:
                         root[p] = q
-                        left.append(int(sid[a[i]]))
-                        right.append(int(sid[b[i]]))
-            return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                        keep.append(i)
+                while (root[root] != root).any():
+                    root[:] = root[root]
+                group[:] = root[group]
+                return a[keep], b[keep]
+            ends, sure, doubtful = [], [], []
+            for d, far, a, b in pairs(key, n, group, _Sketches(rows.column("sketch").to_pylist()), block):
+                if not thin:
+                    ends.append((a, b))
+                    continue
+                if sure and d >= PIVOTS:
+                    ends.append(join(sure))
+                    sure = []
+                    left = group[a] != group[b]
+                    far, a, b = far[left], a[left], b[left]
+                is_sure = far <= 1
+                sure.append((far[is_sure], a[is_sure], b[is_sure]))
+                doubtful.append((far[~is_sure], a[~is_sure], b[~is_sure]))
+            ends += [join(found) for found in (sure, doubtful) if found]
+            a, b = (np.concatenate(c) for c in zip(*ends, strict=True)) if ends else [np.empty(0, np.int64)] * 2
+            return pa.RecordBatch.from_arrays([pa.array(sid[a], pa.int64()), pa.array(sid[b], pa.int64())], names=["a", "b"])
 
         for b in batches:
             if not b.num_rows:
@@ -381,7 +534,7 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
     scratch = Scratch(spark, "parity-join")
     d = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     meta = scratch.save(d.mapInArrow(_meta(k), "doc_id long, n long, sid long, sketch binary"), "meta")
-    pieces = d.select("text").mapInArrow(_pieces(k, t), "key long, sid long")
+    pieces = d.select("text").mapInArrow(_pieces(k, t), "key long, sid long, near long")
     shared = (pieces.repartition("key").sortWithinPartitions("key", "sid")
               .mapInArrow(_shared, "key long, sid long, place long, first long")
               .groupBy("key", "sid").agg(F.min("place").alias("place"), F.min("first").alias("first")))
@@ -430,20 +583,22 @@ def near_groups(docs: DataFrame, k: int = 5, similarity: int = 80, doc_id: str =
                   .mapInArrow(_verify(t), "a long, b long, linked boolean"))
         return screened.select("a", "b"), scratch.save(judged, f"judged-{name}")
 
-    def labels(done: list[DataFrame]) -> DataFrame:
-        links = reduce(DataFrame.unionAll, done).where("linked")
+    def labels(found: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """The groups of the links found and of those known before, of which one link a member is enough."""
+        links = found.where("linked").select("a", "b")
+        if known is not None:
+            links = links.unionAll(known.select("sid", "label"))
         return components(spark, links).select(F.col("id").alias("sid"), F.col("component").alias("label"))
 
     first, found = verified(forest, "forest")
-    tried, done = [first], [found]
+    tried, label = [first], labels(found)
     scratch.drop("forest", "members", "ends")
     for name, thin in (("likely", True), ("rest", False)):
-        pairs = candidates(labels(done), thin)
+        pairs = candidates(label, thin)
         pairs = pairs.join(reduce(DataFrame.unionAll, tried), ["a", "b"], "left_anti")
         more, found = verified(pairs, name)
         tried.append(more)
-        done.append(found)
-    label = labels(done)
+        label = labels(found, label)
     scratch.drop("shared", "sizes", "sets", *[f"{x}-{n}" for n in ("forest", "likely", "rest") for x in ("screened", "judged")])
     groups = meta.join(label, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "sid").alias("g"))
     least = groups.where("g is not null").groupBy("g").agg(F.min("doc_id").alias("component_id"))
