@@ -481,8 +481,10 @@ def _compare(t: int, thin: bool):
             def join(found: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
                 """The pairs, nearest first, that join groups."""
                 far, a, b = (np.concatenate(c) for c in zip(*found, strict=True))
-                keep, order = [], np.argsort(far, kind="stable")
-                for i, p, q in zip(order.tolist(), group[a[order]].tolist(), group[b[order]].tolist(), strict=True):
+                keep, order, p, q = [], np.argsort(far, kind="stable"), group[a], group[b]
+                pair = np.minimum(p, q) * len(names) + np.maximum(p, q)
+                order = order[np.sort(np.unique(pair[order], return_index=True)[1])]  # many buckets hold the same two
+                for i, p, q in zip(order.tolist(), p[order].tolist(), q[order].tolist(), strict=True):
                     p, q = top(p), top(q)
                     if p != q:
                         root[p] = q
